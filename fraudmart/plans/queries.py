@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fraudmart.operators import rules
+from fraudmart.operators import rules, scd2
 from fraudmart.operators.context import transaction_context
 from fraudmart.operators.sequence import card_sequence
+from fraudmart.schemas import DimSpec
 from fraudmart.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,8 +57,71 @@ def _fraud_events(history):
                                                fx.blacklist(spark, d))
 
 
+# --- SCD2 days ------------------------------------------------------------------
+FIXTURE_DIM = DimSpec("fixture", "k", ("a", "b"), new_from="update_dt", change_from="update_dt")
+HIST_COLS = FIXTURE_DIM.history_columns
+
+
+def _day_inputs(spark, d, day):
+    stage = fx.scd2_day(spark, d, day)
+    return stage, stage.select("k"), fx.scd2_load_date(day)
+
+
+def scd2_history(spark, d, day: int, last_snapshot: bool = True,
+                 missing_snapshot: str = "skip") -> DataFrame:
+    """History after applying days 1..day, each with its full key snapshot
+    (the last one optionally without)."""
+    first, _, _ = _day_inputs(spark, d, 1)
+    hist = first.limit(0).select("k", "a", "b", F.col("update_dt").alias("effective_from"),
+                                 F.col("update_dt").alias("effective_to"),
+                                 F.lit("N").alias("deleted_flg"))
+    for n in range(1, day + 1):
+        stage, keys, run = _day_inputs(spark, d, n)
+        keys = keys if (n < day or last_snapshot) else None
+        hist = scd2.scd2_apply(hist, stage, FIXTURE_DIM, run, keys, missing_snapshot)
+    return hist
+
+
+def _scd2_step(step, day):
+    def q(spark, d):
+        before = scd2_history(spark, d, day - 1)
+        stage, keys, run = _day_inputs(spark, d, day)
+        if step == "new":
+            return scd2.scd2_new(before, stage, FIXTURE_DIM)
+        if step == "changed":
+            return scd2.scd2_changed(before, stage, FIXTURE_DIM)
+        if step == "closed":
+            return scd2.scd2_closed(before, stage, FIXTURE_DIM)
+        if step == "resurrected":
+            return scd2.scd2_resurrected(before, stage, FIXTURE_DIM)
+        if step == "deleted":
+            # D5 runs after D1-D3 of the same day
+            after_changes = scd2.scd2_apply(before, stage, FIXTURE_DIM, run, keys=None)
+            return scd2.scd2_tombstones(after_changes, keys, FIXTURE_DIM, run)
+        raise ValueError(step)
+    return q
+
+
+def _scd2_apply(day, last_snapshot=True, missing="skip", open_only=False):
+    def q(spark, d):
+        h = scd2_history(spark, d, day, last_snapshot, missing)
+        return h.where(F.col("effective_to") == F.lit(fx.OPEN_DATE)) if open_only else h
+    return q
+
+
 def registry() -> dict[str, Query]:
     return {
+        "scd2_new": _scd2_step("new", 2),
+        "scd2_changed": _scd2_step("changed", 2),
+        "scd2_closed": _scd2_step("closed", 2),
+        "scd2_deleted": _scd2_step("deleted", 2),
+        "scd2_resurrected": _scd2_step("resurrected", 3),
+        "scd2_apply_day1": _scd2_apply(1),
+        "scd2_apply_day2": _scd2_apply(2),
+        "scd2_apply_day3": _scd2_apply(3),
+        "scd2_missing_snapshot_skip": _scd2_apply(2, last_snapshot=False, missing="skip"),
+        "scd2_missing_snapshot_delete": _scd2_apply(2, last_snapshot=False, missing="delete"),
+        "scd2_open_day3": _scd2_apply(3, open_only=True),
         "context_all": _context("all"),
         "context_as_of": _context("as_of"),
         "txn_lead_lag": _txn_lead_lag,
