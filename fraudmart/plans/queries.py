@@ -12,10 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.operators import rules, scd2
+import datetime as _dt
+
+from fraudmart.operators import facts, report, rules, scd2, watermarks
 from fraudmart.operators.context import transaction_context
 from fraudmart.operators.sequence import card_sequence
-from fraudmart.schemas import DimSpec
+from fraudmart.schemas import WATERMARKS, DimSpec
+from fraudmart.sources import drops, extract
 from fraudmart.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,8 +112,91 @@ def _scd2_apply(day, last_snapshot=True, missing="skip", open_only=False):
     return q
 
 
+# --- report append ----------------------------------------------------------------
+
+def _report_append(existing: str, report_dt: _dt.date = fx.REPORT_RUN_DATE):
+    def q(spark, d):
+        events = rules.fraud_events(report_context(spark, d, "all"), fx.blacklist(spark, d))
+        old = rules.fraud_events(report_context(spark, d, existing), fx.blacklist(spark, d))
+        rep = report.report_rows(old).withColumn("report_dt", F.lit(report_dt))
+        return report.append_report(events, rep, fx.REPORT_RUN_DATE)
+    return q
+
+
+# --- extract and watermarks -----------------------------------------------------
+LATE_WM = _dt.date(2001, 8, 1)
+
+
+def _extract(wm: _dt.date):
+    return lambda spark, d: extract.incremental_extract(fx.orders_source(spark, d), wm, wm)
+
+
+def _extract_keys(spark, d):
+    return extract.key_snapshot(fx.orders_source(spark, d), "k")
+
+
+def _ctrl_after_batch(spark, d, monotone: bool):
+    """Control table with the default sources plus 'orders' at 2001-08-01,
+    advanced by the orders batch extracted at that watermark."""
+    rows = [(s, t, LATE_WM if t == "orders" else (fx.EPOCH_DATE if c else None),
+             LATE_WM if t == "orders" else fx.EPOCH_DATE)
+            for s, t, c in (*watermarks.DEFAULT_SOURCES, ("mart", "orders", True))]
+    ctrl = spark.createDataFrame(rows, WATERMARKS)
+    wc, wu = extract.read_watermark(ctrl, "orders")
+    batch = extract.incremental_extract(fx.orders_source(spark, d), wc, wu)
+    return watermarks.advance_watermark(ctrl, batch, "orders", monotone=monotone)
+
+
+def _watermark(monotone: bool):
+    return lambda spark, d: _ctrl_after_batch(spark, d, monotone)
+
+
+def _watermark_read(spark, d):
+    return extract.watermark_values(_ctrl_after_batch(spark, d, False))
+
+
+# --- facts and drops ------------------------------------------------------------------
+
+def _fact_txn(dedupe_on):
+    return lambda spark, d: facts.append_transactions(
+        fx.transactions_batch(spark, d), fx.transactions_loaded(spark, d), dedupe_on)
+
+
+def _fact_blacklist(keep):
+    return lambda spark, d: facts.append_blacklist(
+        fx.blacklist_batch(spark, d), fx.blacklist_loaded(spark, d), keep)
+
+
+def _txn_parse(spark, d):
+    return drops.good(drops.parse_transactions(fx.transactions_drop_text(spark, d)))
+
+
+def _txn_quarantine(spark, d):
+    return drops.quarantine(drops.parse_transactions(fx.transactions_drop_text(spark, d)))
+
+
+def _blacklist_read(spark, d):
+    return drops.good(drops.parse_blacklist(fx.blacklist_drop_text(spark, d)))
+
+
 def registry() -> dict[str, Query]:
     return {
+        "extract_incremental": _extract(_dt.date(2001, 1, 1)),
+        "extract_incremental_late": _extract(LATE_WM),
+        "extract_keys": _extract_keys,
+        "watermark_advance": _watermark(False),
+        "watermark_advance_monotone": _watermark(True),
+        "watermark_read": _watermark_read,
+        "fact_transactions_append": _fact_txn(("trans_id", "trans_date")),
+        "fact_transactions_append_by_time": _fact_txn(("trans_date",)),
+        "fact_blacklist_append": _fact_blacklist("first"),
+        "fact_blacklist_append_earliest": _fact_blacklist("earliest"),
+        "transactions_parse": _txn_parse,
+        "transactions_quarantine": _txn_quarantine,
+        "blacklist_read": _blacklist_read,
+        "fraud_report_append": _report_append("as_of"),
+        "fraud_report_rerun": _report_append("all"),
+        "fraud_report_next_day": _report_append("all", _dt.date(2024, 1, 31)),
         "scd2_new": _scd2_step("new", 2),
         "scd2_changed": _scd2_step("changed", 2),
         "scd2_closed": _scd2_step("closed", 2),

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.schemas import LIVE_FLAG, OPEN_DATE  # noqa: F401  (OPEN_DATE re-exported)
+from fraudmart.schemas import EPOCH_DATE, LIVE_FLAG, OPEN_DATE  # noqa: F401  (re-exported)
 
 # Fixed dates of the fixtures.
 HISTORY_START = _dt.date(2023, 1, 1)
