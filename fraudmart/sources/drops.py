@@ -66,8 +66,10 @@ def _read_text(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
                            "_file_time": F.col("_metadata.file_modification_time")})
 
 
-def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def _empty_with_error(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    # a new StructType: StructType.add would change the shared schema constant
+    fields = list(schema.fields) + [T.StructField("_error", T.StringType())]
+    return spark.createDataFrame([], T.StructType(fields))
 
 
 # --- parsers (string DataFrame in, typed DataFrame + error column out) -------
@@ -125,13 +127,13 @@ def quarantine(df: DataFrame) -> DataFrame:
 
 def read_transactions(spark: SparkSession, paths: list[str]) -> DataFrame:
     if not paths:
-        return _empty(spark, TRANSACTIONS.add("_error", T.StringType()))
+        return _empty_with_error(spark, TRANSACTIONS)
     return parse_transactions(_read_text(spark, paths, TXN_SEPARATOR))
 
 
 def read_blacklist(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame:
     if not paths:
-        return _empty(spark, BLACKLIST.add("_error", T.StringType()))
+        return _empty_with_error(spark, BLACKLIST)
     return parse_blacklist(_read_text(spark, paths, sep))
 
 
