@@ -116,18 +116,36 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
                  two_cities_limit: str = TWO_CITIES_LIMIT,
                  amount_guess_limit: str = AMOUNT_GUESS_LIMIT,
                  broadcast_rows: int = 1_000_000) -> DataFrame:
-    """All four rules, bag union (an operation can raise several types)."""
+    """All four rules, bag union (an operation can raise several types).
+
+    One frame and one bitmask of verdicts per operation (rule 3 marks a
+    candidate). Both consumers — the per-operation explode and the rule-3
+    aggregate — read that same column, so their plans below it are identical
+    and the context join and the card/day shuffle run once (the second
+    consumer reuses the exchange)."""
     frame = rule_frame(ctx, lead_reach=two_cities_limit, lag_reach=amount_guess_limit)
     flagged = with_blacklist(frame, blacklist, broadcast_rows)
-    types = F.filter(
-        F.array(
-            F.when(passport_condition(), F.lit(EVENT_PASSPORT)),
-            F.when(contract_condition(), F.lit(EVENT_CONTRACT)),
-            F.when(amount_guess_condition(amount_guess_limit), F.lit(EVENT_AMOUNT_GUESS)),
-        ),
-        lambda t: t.isNotNull(),
-    )
-    per_operation = flagged.select(
-        F.col("trans_date").alias("event_dt"), "passport", "fio", "phone",
-        F.explode(types).alias("event_type"), "report_dt")
-    return per_operation.unionByName(two_cities_events(frame))
+
+    def bit(cond, value):
+        return F.when(cond, F.lit(value)).otherwise(F.lit(0))
+
+    # one int column carries all four verdicts of an operation
+    flags = (bit(passport_condition(), 1) + bit(contract_condition(), 2)
+             + bit(amount_guess_condition(amount_guess_limit), 4) + bit(two_cities_condition(), 8))
+    typed = flagged.select("trans_date", "passport", "fio", "phone", "report_dt",
+                           flags.alias("flags")).where(F.col("flags") != 0)
+
+    def has(value):
+        return F.col("flags").bitwiseAND(value) != 0
+
+    types = F.array(F.when(has(1), F.lit(EVENT_PASSPORT)), F.when(has(2), F.lit(EVENT_CONTRACT)),
+                    F.when(has(4), F.lit(EVENT_AMOUNT_GUESS)))
+    per_operation = (typed.select(F.col("trans_date").alias("event_dt"), "passport", "fio",
+                                  "phone", F.explode(types).alias("event_type"), "report_dt")
+                     .where(F.col("event_type").isNotNull()))
+    two_cities = (typed.where(has(8))
+                  .groupBy("passport", "fio", "phone")
+                  .agg(F.max("trans_date").alias("event_dt"), F.max("report_dt").alias("report_dt"))
+                  .select("event_dt", "passport", "fio", "phone",
+                          F.lit(EVENT_TWO_CITIES).alias("event_type"), "report_dt"))
+    return per_operation.unionByName(two_cities)

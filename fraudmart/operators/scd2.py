@@ -198,8 +198,8 @@ def scd2_touched(hist: DataFrame, stage: DataFrame, spec: DimSpec, run_date: _dt
         # tombstone
         F.when(delete, row(cur_attrs, F.lit(run_date), F.lit(OPEN_DATE), F.lit(DELETED_FLAG))),
     )
-    out = g.select(key, change.alias("change"),
-                   F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("v"))
+    out = (g.select(key, change.alias("change"), F.explode(rows).alias("v"))
+           .where(F.col("v").isNotNull()))
     return out.select(key, *[F.col(f"v.{a}").alias(a) for a in attrs],
                       "v.effective_from", "v.effective_to", "v.deleted_flg", "change")
 

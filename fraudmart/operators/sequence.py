@@ -89,18 +89,18 @@ def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20
         F.unix_date(F.to_date("trans_date")).cast("bigint") * per_day
         + F.floor(sec_of_day / bucket_seconds),
         F.lit(NULL_DAY).cast("bigint"))
-    buckets = F.filter(
-        F.array(
-            F.col("home_bucket"),
-            # tail of this bucket: lag context for the next one
-            F.when(in_bucket >= bucket_seconds - lag_s, F.col("home_bucket") + 1),
-            # head of this bucket: lead context for the previous one
-            F.when(in_bucket <= lead_s, F.col("home_bucket") - 1),
-        ),
-        lambda b: b.isNotNull(),
+    # home bucket, plus the neighbour bucket a row is halo for (NULL when not);
+    # a plain explode + null filter stays in generated code (no lambda)
+    buckets = F.array(
+        F.col("home_bucket"),
+        # tail of this bucket: lag context for the next one
+        F.when(in_bucket >= bucket_seconds - lag_s, F.col("home_bucket") + 1),
+        # head of this bucket: lead context for the previous one
+        F.when(in_bucket <= lead_s, F.col("home_bucket") - 1),
     )
     spread = (ctx.withColumn("home_bucket", home)
               .withColumn("bucket", F.explode(buckets))
+              .where(F.col("bucket").isNotNull())
               # one shuffle: a hot card is split by its buckets
               .repartition("card_num", "bucket"))
     w = card_window("bucket")
