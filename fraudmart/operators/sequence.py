@@ -55,12 +55,78 @@ def neighbour_columns(w, lags: int = 3) -> dict[str, Column]:
     return cols
 
 
-def card_sequence(ctx: DataFrame) -> DataFrame:
-    """The context plus lead(city, date) and lag 1–3 of result and amount
-    and lag 3 of the date, over the whole card partition."""
+def card_sequence_whole(ctx: DataFrame) -> DataFrame:
+    """W0 over the whole card partition (one task per card)."""
     return ctx.withColumns(neighbour_columns(card_window()))
 
 
+LAG_COLUMNS = ("oper_result", "amt", "trans_date")
+LEAD_COLUMNS = ("terminal_city", "trans_date")
+
+
+def card_sequence(ctx: DataFrame, lags: int = 3, bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+    """The context plus lead(city, date), lag 1–3 of result and amount and
+    lag 3 of the date — exact, with a hot card split by day.
+
+    1. Rows are windowed per (owner+card, day): in-day lead/lag, row number.
+    2. Each day keeps a boundary summary — its last ``lags`` rows and its
+       first row — (at most lags+1 rows per day, aggregated where the rows
+       already are, no shuffle).
+    3. A window over the summaries (one row per card-day) gives each day the
+       tail of the previous ``lags`` days and the head of the next day; a
+       neighbour that falls outside the day is taken from there.
+    4. The summaries are joined back on (owner+card, day); the row side is
+       already partitioned that way, so only the small side moves.
+    """
+    grp = F.struct(*[F.col(c) for c in PARTITION])       # NULL fio stays one group
+    per_day = DAY_SECONDS // bucket_seconds
+    sec_of_day = F.hour("trans_date") * 3600 + F.minute("trans_date") * 60 + F.second("trans_date")
+    day = F.coalesce(F.unix_date(F.to_date("trans_date")).cast("bigint") * per_day
+                     + F.floor(sec_of_day / bucket_seconds), F.lit(NULL_DAY).cast("bigint"))
+    rows = ctx.withColumns({"_grp": grp, "_day": day}).repartition("_grp", "_day")
+    w = Window.partitionBy("_grp", "_day").orderBy(*_order())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    inner = rows.withColumns({
+        "_rn": F.row_number().over(w),
+        "_cnt": F.count(F.lit(1)).over(whole),
+        **{f"_lead_{c}": F.lead(c, 1).over(w) for c in LEAD_COLUMNS},
+        **{f"_lag{k}_{c}": F.lag(c, k).over(w) for c in LAG_COLUMNS for k in range(1, lags + 1)},
+    })
+    tail = F.struct(F.col("_rn").alias("rn"), *[F.col(c) for c in LAG_COLUMNS])
+    head = F.struct(*[F.col(c) for c in LEAD_COLUMNS])
+    summary = (inner.where((F.col("_rn") == 1) | (F.col("_rn") > F.col("_cnt") - lags))
+               .groupBy("_grp", "_day")
+               .agg(F.sort_array(F.collect_list(
+                        F.when(F.col("_rn") > F.col("_cnt") - lags, tail))).alias("_tail"),
+                    F.max(F.when(F.col("_rn") == 1, head)).alias("_head")))
+    days = Window.partitionBy("_grp").orderBy("_day")
+    before = F.concat(*[F.coalesce(F.lag("_tail", k).over(days), F.array().cast(
+        summary.schema["_tail"].dataType)) for k in range(lags, 0, -1)])
+    edges = summary.select("_grp", "_day", before.alias("_before"),
+                           F.lead("_head", 1).over(days).alias("_after"))
+    j = inner.join(edges, ["_grp", "_day"], "left")
+    out = {}
+    for k in range(1, lags + 1):
+        # k rows back from row rn of the day = (k - rn + 1)-th from the end of
+        # the rows before the day (negative index; NULL when there are fewer)
+        from_before = F.try_element_at("_before", F.least(F.col("_rn") - k - 1, F.lit(-1)))
+        for c in LAG_COLUMNS:
+            out[(c, k)] = F.when(F.col("_rn") > k, F.col(f"_lag{k}_{c}")) \
+                .otherwise(from_before.getField(c))
+    cols = {
+        "terminal_city_lead": F.when(F.col("_rn") < F.col("_cnt"), F.col("_lead_terminal_city"))
+                               .otherwise(F.col("_after.terminal_city")),
+        "trans_date_lead": F.when(F.col("_rn") < F.col("_cnt"), F.col("_lead_trans_date"))
+                            .otherwise(F.col("_after.trans_date")),
+    }
+    for k in range(lags, 0, -1):
+        cols[f"oper_result_lag_{k}"] = out[("oper_result", k)]
+    for k in range(lags, 0, -1):
+        cols[f"amt_lag_{k}"] = out[("amt", k)]
+    cols[f"trans_date_lag_{lags}"] = out[("trans_date", lags)]
+    return j.select(*ctx.columns, *[v.alias(n) for n, v in cols.items()])
+
+
 def _seconds(limit: str) -> int:
     amount, unit = limit.split()
     unit = unit.lower().rstrip("s")
