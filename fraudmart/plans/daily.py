@@ -49,12 +49,18 @@ DATE_PARTITIONS = {
 class Sources:
     """Inputs of one run. Relational sources are DataFrames with the source
     column names (``spark.read.jdbc`` or a replica); ``landing`` is the folder
-    of file drops. Any of them may be None (nothing arrived)."""
+    of file drops. Drops that were already read elsewhere can be handed in as
+    text DataFrames with the drop's header names (``*_drop``); they take the
+    place of the landing folder for their kind. Any input may be None
+    (nothing arrived)."""
 
     cards: DataFrame | None = None
     accounts: DataFrame | None = None
     clients: DataFrame | None = None
     landing: str | None = None
+    terminals_drop: DataFrame | None = None
+    blacklist_drop: DataFrame | None = None
+    transactions_drop: DataFrame | None = None
 
 
 @dataclass
@@ -125,14 +131,21 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     files = {k: (drops.unseen_files(spark, sources.landing, k, ledger) if sources.landing else [])
              for k in drops.KINDS}
     sep = opt.drop_separator
-    term = drops.read_terminals(spark, files[DROP_TERMINALS], run_date, sep[DROP_TERMINALS])
-    bl_raw = drops.read_blacklist(spark, files[DROP_BLACKLIST], sep[DROP_BLACKLIST])
-    tx_raw = drops.read_transactions(spark, files[DROP_TRANSACTIONS])
+    term = (drops.parse_terminals(sources.terminals_drop, run_date)
+            if sources.terminals_drop is not None else
+            drops.read_terminals(spark, files[DROP_TERMINALS], run_date, sep[DROP_TERMINALS]))
+    bl_raw = (drops.parse_blacklist(sources.blacklist_drop)
+              if sources.blacklist_drop is not None else
+              drops.read_blacklist(spark, files[DROP_BLACKLIST], sep[DROP_BLACKLIST]))
+    tx_raw = (drops.parse_transactions(sources.transactions_drop)
+              if sources.transactions_drop is not None else
+              drops.read_transactions(spark, files[DROP_TRANSACTIONS]))
 
     stage: dict[str, DataFrame | None] = {}
     keys: dict[str, DataFrame | None] = {}
     if term is not None:
-        stage["terminals"] = drops.with_file_order(drops.good(term))
+        stage["terminals"] = (drops.with_file_order(drops.good(term))
+                              if "_file_time" in term.columns else drops.good(term))
         keys["terminals"] = stage["terminals"].select("terminal_id")  # same read as the stage
     for name in ("cards", "accounts", "clients"):
         src = getattr(sources, name)

@@ -179,8 +179,37 @@ def _blacklist_read(spark, d):
     return drops.good(drops.parse_blacklist(fx.blacklist_drop_text(spark, d)))
 
 
+# --- the whole daily run ------------------------------------------------------------
+
+def _daily_run(spark, d):
+    """One run on an empty store under the session's checkpoint folder; the
+    result is the published fraud report of the run."""
+    import uuid
+
+    from fraudmart.plans import daily
+    from fraudmart.plans.sizing import checkpoint_dir
+
+    base = checkpoint_dir(spark)
+    if not base:  # only outside a cluster (tests, local checks): no folder was configured
+        import tempfile
+        base = tempfile.mkdtemp(prefix="fraudmart-")
+        spark.sparkContext.setCheckpointDir(base)
+    root = f"{base.rstrip('/')}/daily-run-{uuid.uuid4().hex}"
+    created = fx.REPORT_RUN_DATE - _dt.timedelta(days=16)
+    src = daily.Sources(
+        cards=fx.relational_source(fx.cards(spark, d), created, {"account_num": "account"}),
+        accounts=fx.relational_source(fx.accounts(spark, d), created, {"account_num": "account"}),
+        clients=fx.relational_source(fx.clients(spark, d), created, {}),
+        terminals_drop=fx.terminals_drop_text(spark, d),
+        blacklist_drop=fx.blacklist_drop_text(spark, d),
+        transactions_drop=fx.transactions_drop_text(spark, d))
+    daily.run_daily(spark, root, src, fx.REPORT_RUN_DATE, run_id="00000001")
+    return daily.read_state(spark, root)["fraud_report"]
+
+
 def registry() -> dict[str, Query]:
     return {
+        "daily_run": _daily_run,
         "extract_incremental": _extract(_dt.date(2001, 1, 1)),
         "extract_incremental_late": _extract(LATE_WM),
         "extract_keys": _extract_keys,

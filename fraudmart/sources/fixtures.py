@@ -248,3 +248,16 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 == 0, F.lit(None).cast("date"))
          .otherwise(F.date_add(create, (k % 400).cast("int"))).alias("update_dt"),
     )
+
+
+def terminals_drop_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Today's terminal snapshot as the drop spells it (version 1 cities)."""
+    return terminals_hist(spark, sf_dir).where(F.col("effective_from") == F.lit(HISTORY_START)) \
+        .select("terminal_id", "terminal_type", "terminal_city", "terminal_address")
+
+
+def relational_source(df: DataFrame, created: _dt.date, renames: dict[str, str]) -> DataFrame:
+    """A staged dimension as its source table shows it: source column names,
+    every row created on ``created`` and never updated."""
+    return df.withColumnsRenamed(renames).withColumns(
+        {"create_dt": F.lit(created), "update_dt": F.lit(None).cast("date")})
