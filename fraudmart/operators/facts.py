@@ -36,8 +36,8 @@ def append_blacklist(stage: DataFrame, fact: DataFrame, keep: str = "first") ->
 
 
 def _batch_range(stage: DataFrame, fact: DataFrame, col: str) -> DataFrame:
-    lo = stage.agg(F.min(col)).scalar()
-    hi = stage.agg(F.max(col)).scalar()
+    bounds = stage.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    lo, hi = bounds.getField("lo"), bounds.getField("hi")
     pruned = fact.where((F.col(col) >= lo) & (F.col(col) <= hi))
     if "trans_dt" in fact.columns:
         pruned = pruned.where((F.col("trans_dt") >= F.to_date(lo))

@@ -1,6 +1,6 @@
 """K6, M1, M2: the extract high-water marks.
 
-Batch maxima are scalar subqueries (one partial + final aggregate each), so
+Batch maxima are one scalar subquery (partial + final aggregate), so
 advancing a watermark never collects the batch.
 """
 
@@ -45,16 +45,20 @@ def advance_watermark(ctrl: DataFrame, batch: DataFrame, table_name: str,
     An empty batch leaves the marks unchanged either way.
     """
     this = F.col("table_name") == table_name
+    # both maxima in one aggregate over the batch (one scan)
+    cols = {"c": create_col, "u": update_col}
+    maxima = batch.agg(F.struct(*[(F.max(c) if c else F.lit(None).cast("date")).alias(k)
+                                  for k, c in cols.items()])).scalar()
 
-    def advanced(old: str, col: str | None):
+    def advanced(old: str, col: str | None, field: str):
         if col is None:
             return F.col(old)
-        new = batch.agg(F.max(col)).scalar()
+        new = maxima.getField(field)
         value = F.greatest(F.col(old), new) if monotone else F.coalesce(new, F.col(old))
         return F.when(this, value).otherwise(F.col(old))
 
     return ctrl.select(
         "schema_name", "table_name",
-        advanced("max_create_dt", create_col).alias("max_create_dt"),
-        advanced("max_update_dt", update_col).alias("max_update_dt"),
+        advanced("max_create_dt", create_col, "c").alias("max_create_dt"),
+        advanced("max_update_dt", update_col, "u").alias("max_update_dt"),
     )

@@ -2,7 +2,9 @@
 
 Order (as the source system, with the archive step folded into the commit):
 stage → key snapshots → SCD2 (new, changed, deleted) → facts → watermarks →
-report → ledger of consumed files → manifest (the commit).
+report → ledger of consumed files → manifest (the commit). Relational
+batches are staged (written once, read back), so every later step of the run
+sees the same extract even when the source is a live database.
 
 Every step is a lazy DataFrame; the only values that reach the driver are
 the watermarks (one row per source), the list of unseen drop file names and
@@ -150,7 +152,12 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     for name in ("cards", "accounts", "clients"):
         src = getattr(sources, name)
         if src is not None:
-            stage[name], keys[name] = _relational_stage(src, name, ctrl)
+            extracted, keys[name] = _relational_stage(src, name, ctrl)
+            # K2: the batch is written once and read back, so SCD2 and the
+            # watermark see the same rows even if the live source moves on
+            part = store.write(f"stage_{name}", run_id, extracted)
+            parts[f"stage_{name}"] = [part]
+            stage[name] = store.read(f"stage_{name}", extracted.schema, m, parts=[part])
 
     # --- SCD2 per dimension: one shuffle each, write open + newly closed ----
     for name, spec in DIMENSIONS.items():
@@ -207,8 +214,17 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
                                            F.to_json(F.struct("*")).alias("row")),
            drops.quarantine(tx_raw).select(F.lit(DROP_TRANSACTIONS).alias("kind"),
                                            F.to_json(F.struct("*")).alias("row"))]
-    parts.setdefault("quarantine", []).append(
-        store.write("quarantine", run_id, bad[0].unionByName(bad[1])))
+    if term is not None:
+        bad.append(drops.quarantine(term).select(F.lit(DROP_TERMINALS).alias("kind"),
+                                                 F.to_json(F.struct("*")).alias("row")))
+    for name in ("cards", "accounts", "clients"):   # Q20: a NULL key cannot be versioned
+        if stage.get(name) is not None:
+            bad.append(scd2.quarantine_keys(stage[name], DIMENSIONS[name]).select(
+                F.lit(name).alias("kind"), F.to_json(F.struct("*")).alias("row")))
+    quarantined = bad[0]
+    for b in bad[1:]:
+        quarantined = quarantined.unionByName(b)
+    parts.setdefault("quarantine", []).append(store.write("quarantine", run_id, quarantined))
     consumed = [(p.rsplit("/", 1)[-1], k, run_id) for k, ps in files.items() for p in ps]
     parts.setdefault("file_ledger", []).append(
         store.write("file_ledger", run_id, spark.createDataFrame(consumed, drops.LEDGER)))

@@ -37,6 +37,13 @@ AMOUNT_GUESS_REJECTS = 3
 # Timestamp format of the transactions drop; field separator; decimal comma.
 TXN_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 TXN_SEPARATOR = ";"
+# Declared text lengths of the target tables (VARCHAR(n) / CHAR(n)); a longer
+# value would be rejected by the target, so the row goes to quarantine.
+MAX_LENGTH = {
+    "trans_id": 15, "card_num": 20, "oper_type": 15, "oper_result": 15, "terminal": 10,
+    "passport_num": 30,
+    "terminal_id": 10, "terminal_type": 10, "terminal_city": 20, "terminal_address": 100,
+}
 # File-name substrings that identify the three drop kinds.
 DROP_TERMINALS = "terminals"
 DROP_BLACKLIST = "passport_blacklist"

@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudmart.functions.columns import clean_key, parse_amount, parse_date, parse_timestamp
 from fraudmart.schemas import (
-    BLACKLIST, DROP_BLACKLIST, DROP_TERMINALS, DROP_TRANSACTIONS, TRANSACTIONS, TXN_SEPARATOR,
+    BLACKLIST, DROP_BLACKLIST, DROP_TERMINALS, DROP_TRANSACTIONS, MAX_LENGTH, TRANSACTIONS,
+    TXN_SEPARATOR,
 )
 
 LEDGER = T.StructType([
@@ -74,22 +75,34 @@ def _empty_with_error(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 # --- parsers (string DataFrame in, typed DataFrame + error column out) -------
 
+def _too_long(cols: dict[str, Column]) -> Column:
+    """First column (in order) whose value exceeds its declared length."""
+    err = None
+    for name, c in cols.items():
+        if name in MAX_LENGTH:
+            cond = F.length(c) > MAX_LENGTH[name]
+            err = F.when(cond, F.lit(f"length:{name}")) if err is None else \
+                err.when(cond, F.lit(f"length:{name}"))
+    return err
+
+
 def parse_transactions(raw: DataFrame) -> DataFrame:
     """Drop columns (any order, all text) → fact columns; ``_error`` names the
     first field that did not parse (NULL for a clean row)."""
     amt = parse_amount("amount")
     ts = parse_timestamp("transaction_date")
-    err = (F.when(F.col("amount").isNotNull() & amt.isNull(), F.lit("amount"))
+    text = {"trans_id": F.trim("transaction_id"), "card_num": clean_key(F.trim("card_num")),
+            "oper_type": F.trim("oper_type"), "oper_result": F.trim("oper_result"),
+            "terminal": F.trim("terminal")}
+    err = (_too_long(text)
+           .when(F.col("amount").isNotNull() & amt.isNull(), F.lit("amount"))
            .when(F.col("transaction_date").isNotNull() & ts.isNull(), F.lit("transaction_date")))
     extra = [c for c in ("_file", "_file_time") if c in raw.columns]
     return raw.select(
-        F.trim("transaction_id").alias("trans_id"),
-        ts.alias("trans_date"),
-        clean_key(F.trim("card_num")).alias("card_num"),
-        F.trim("oper_type").alias("oper_type"),
-        amt.alias("amt"),
-        F.trim("oper_result").alias("oper_result"),
-        F.trim("terminal").alias("terminal"),
+        text["trans_id"].alias("trans_id"), ts.alias("trans_date"),
+        text["card_num"].alias("card_num"), text["oper_type"].alias("oper_type"),
+        amt.alias("amt"), text["oper_result"].alias("oper_result"),
+        text["terminal"].alias("terminal"),
         err.alias("_error"), *extra,
     )
 
@@ -97,21 +110,24 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
 def parse_blacklist(raw: DataFrame) -> DataFrame:
     """``date``, ``passport`` (by name) → ``passport_num``, ``entry_dt``."""
     d = parse_date("date")
-    err = F.when(F.col("date").isNotNull() & d.isNull(), F.lit("date"))
+    passport = F.trim("passport")
+    err = (_too_long({"passport_num": passport})
+           .when(F.col("date").isNotNull() & d.isNull(), F.lit("date")))
     extra = [c for c in ("_file", "_file_time") if c in raw.columns]
-    return raw.select(F.trim("passport").alias("passport_num"), d.alias("entry_dt"),
+    return raw.select(passport.alias("passport_num"), d.alias("entry_dt"),
                       err.alias("_error"), *extra)
 
 
 def parse_terminals(raw: DataFrame, load_date: _dt.date) -> DataFrame:
     """Terminal snapshot; the load date becomes ``update_dt``."""
     extra = [c for c in ("_file", "_file_time") if c in raw.columns]
+    text = {c: F.trim(c) for c in ("terminal_id", "terminal_type", "terminal_city",
+                                   "terminal_address")}
+    err = _too_long(text).when(text["terminal_id"].isNull(), F.lit("terminal_id"))
     return raw.select(
-        F.trim("terminal_id").alias("terminal_id"), F.trim("terminal_type").alias("terminal_type"),
-        F.trim("terminal_city").alias("terminal_city"),
-        F.trim("terminal_address").alias("terminal_address"),
+        *[v.alias(k) for k, v in text.items()],
         F.lit(load_date).alias("update_dt"),
-        F.lit(None).cast("string").alias("_error"), *extra,
+        err.alias("_error"), *extra,
     )
 
 

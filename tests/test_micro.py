@@ -252,3 +252,15 @@ def test_report_rerun_and_rounding(spark):
     assert got["P1"] == ts("2024-01-10 10:00:01")
     again = report.append_report(ev, first, RUN).collect()
     assert [r.passport for r in again] == [None]  # NULL passport never matches
+
+
+def test_declared_length_goes_to_quarantine(spark):
+    cols = ("transaction_id", "transaction_date", "amount", "card_num", "oper_type",
+            "oper_result", "terminal")
+    raw = spark.createDataFrame(
+        [("1", "2024-01-10 10:00:00", "1", "K1", "PAYMENT", "SUCCESS", "T1"),
+         ("2", "2024-01-10 10:00:00", "1", "K1", "PAYMENT", "SUCCESS", "T" + "9" * 10)],
+        ", ".join(f"{c} string" for c in cols))
+    parsed = drops.parse_transactions(raw)
+    assert [r.trans_id for r in drops.good(parsed).collect()] == ["1"]
+    assert [r._error for r in drops.quarantine(parsed).collect()] == ["length:terminal"]
