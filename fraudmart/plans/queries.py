@@ -97,10 +97,15 @@ def _scd2_step(step, day):
             return scd2.scd2_closed(before, stage, FIXTURE_DIM)
         if step == "resurrected":
             return scd2.scd2_resurrected(before, stage, FIXTURE_DIM)
-        if step == "deleted":
-            # D5 runs after D1-D3 of the same day
+        if step in ("deleted", "close_deleted"):
+            # D5/D6 run after D1-D3 of the same day
             after_changes = scd2.scd2_apply(before, stage, FIXTURE_DIM, run, keys=None)
-            return scd2.scd2_tombstones(after_changes, keys, FIXTURE_DIM, run)
+            op = scd2.scd2_tombstones if step == "deleted" else scd2.scd2_close_deleted
+            return op(after_changes, keys, FIXTURE_DIM, run)
+        if step == "changes":
+            touched = scd2.scd2_touched(before, stage, FIXTURE_DIM, run, keys)
+            return (touched.groupBy("change")
+                    .agg(F.countDistinct("k").alias("keys"), F.count(F.lit(1)).alias("rows")))
         raise ValueError(step)
     return q
 
@@ -231,6 +236,10 @@ def registry() -> dict[str, Query]:
         "scd2_closed": _scd2_step("closed", 2),
         "scd2_deleted": _scd2_step("deleted", 2),
         "scd2_resurrected": _scd2_step("resurrected", 3),
+        "scd2_close_deleted": _scd2_step("close_deleted", 2),
+        "scd2_changes_day2": _scd2_step("changes", 2),
+        "scd2_changes_day3": _scd2_step("changes", 3),
+        "blacklist_first_entry": lambda spark, d: rules.blacklist_first_entry(fx.blacklist(spark, d)),
         "scd2_apply_day1": _scd2_apply(1),
         "scd2_apply_day2": _scd2_apply(2),
         "scd2_apply_day3": _scd2_apply(3),

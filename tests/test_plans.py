@@ -77,3 +77,16 @@ def test_rule_frame_bucket_width_does_not_change_events(spark):
     assert as_rows(hour.collect()) == as_rows(day.where("event_type = '3'").collect())
     assert as_rows(rules._events(frame_hour.where(rules.amount_guess_condition()), "4")
                    .collect()) == as_rows(day.where("event_type = '4'").collect())
+
+
+def test_hot_card_is_spread_over_day_partitions(spark):
+    """All operations on one card over 30 days: the window input is hashed by
+    (card, day), so the card lands in many shuffle partitions."""
+    ctx = report_context(spark, D).withColumn("card_num", F.lit("HOT"))
+    p = plan(sequence.rule_frame(ctx))
+    assert re.search(r"Exchange hashpartitioning\(card_num#\d+, bucket#\d+L?, \d+\)", p)
+    spread = (ctx.withColumn("day", F.to_date("trans_date")).repartition(64, "card_num", "day")
+              .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 10
+    whole = as_rows(sequence.card_sequence_whole(ctx).collect())
+    assert as_rows(sequence.card_sequence(ctx).collect()) == whole
