@@ -2,18 +2,24 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (timed runs after one warm-up, default 3).
-Each job is forced with the ``noop`` sink; the median is reported.
+Each job (plan building included) is forced with the ``noop`` sink; the
+median wall time is reported. Shuffle bytes written per job (last run) are
+read from Spark's event log in a scratch folder: at this scale everything is
+small enough to broadcast, so the shuffle volume is the number that shows how
+a plan would behave on a cluster.
 Prints ONE JSON line on stdout.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import json
 import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,9 +29,13 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
 
-def session():
+def session(event_dir: str):
     from pyspark.sql import SparkSession
     s = (SparkSession.builder.master(f"local[{CPUS}]")
+         .config("spark.eventLog.enabled", "true")
+         .config("spark.eventLog.dir", event_dir)
+         .config("spark.eventLog.compress", "false")
+         .config("spark.eventLog.rolling.enabled", "false")
          .appName("fraudmart-bench")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
@@ -43,15 +53,21 @@ def jobs(spark):
 
     from fraudmart.operators import facts, rules, scd2, watermarks
     from fraudmart.plans.literal_sql import literal_report
-    from fraudmart.plans.queries import report_context
+    from fraudmart.operators.context import transaction_context
     from fraudmart.schemas import WATERMARKS, DimSpec
     from fraudmart.sources import extract
     from fraudmart.sources import fixtures as fx
 
     d = SF_DIR
 
-    def report(history):
-        return lambda: rules.fraud_events(report_context(spark, d, history), fx.blacklist(spark, d))
+    def report(history, broadcast_rows=1_000_000):
+        def job():
+            ctx = transaction_context(
+                fx.clients_hist(spark, d), fx.accounts_hist(spark, d), fx.cards_hist(spark, d),
+                fx.transactions(spark, d), fx.terminals_hist(spark, d), fx.REPORT_RUN_DATE,
+                history=history, broadcast_rows=broadcast_rows)
+            return rules.fraud_events(ctx, fx.blacklist(spark, d), broadcast_rows=broadcast_rows)
+        return job
 
     def report_literal():
         return literal_report(spark, fx.clients_hist(spark, d), fx.accounts_hist(spark, d),
@@ -106,12 +122,39 @@ def jobs(spark):
         "b3_extract_watermark_all": extract_day(dt.date(1000, 1, 1)),
         "b4_append_by_id_and_time": append(("trans_id", "trans_date")),
         "b4_append_by_time": append(("trans_date",)),
+        # the 100 TB regime, where nothing is small enough to broadcast: same
+        # report, every join a shuffle join (compare shuffle_mb)
+        "b1_report_one_pass_all_no_broadcast": (report("all", broadcast_rows=0), NO_BROADCAST),
+        "b1_report_literal_sql_no_broadcast": (report_literal, NO_BROADCAST),
     }
 
 
-def run(build) -> float:
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+COMPARISON_ONLY = ("b1_report_literal_sql", "b1_report_literal_sql_no_broadcast",
+                   "b1_report_one_pass_all_no_broadcast")
+
+
+def run(spark, name, build) -> float:
+    build, conf = build if isinstance(build, tuple) else (build, {})
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return _timed(spark, name, build)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _timed(spark, name, build) -> float:
     times = []
     for i in range(REPEAT + 1):
+        last = i == REPEAT
+        spark.sparkContext.setJobGroup(f"{name}#last" if last else f"{name}#{i}", name)
         t0 = time.perf_counter()
         build().write.format("noop").mode("overwrite").save()
         if i:  # first run is the warm-up
@@ -119,22 +162,53 @@ def run(build) -> float:
     return statistics.median(times)
 
 
+def shuffle_mb(event_dir: str) -> dict[str, float]:
+    """Shuffle bytes written per job group, from the event log."""
+    stage_group, written = {}, {}
+    for path in glob.glob(os.path.join(event_dir, "**", "*"), recursive=True):
+        if not os.path.isfile(path):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in ev.get("Stage IDs", []):
+                        stage_group[sid] = group
+                elif kind == "SparkListenerTaskEnd":
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    sid = ev.get("Stage ID")
+                    written[sid] = written.get(sid, 0) + m.get("Shuffle Bytes Written", 0)
+    out: dict[str, float] = {}
+    for sid, b in written.items():
+        g = stage_group.get(sid)
+        if g and g.endswith("#last"):
+            k = g[: -len("#last")]
+            out[k] = out.get(k, 0) + b
+    return {k: round(v / 2**20, 3) for k, v in sorted(out.items())}
+
+
 def main():
-    spark = session()
+    event_dir = tempfile.mkdtemp(prefix="fraudmart-bench-events-")
+    spark = session(event_dir)
     only = set(sys.argv[1:])
     out = {}
     for name, build in jobs(spark).items():
         if only and name not in only:
             continue
-        out[name] = round(run(build), 3)
+        out[name] = round(run(spark, name, build), 3)
         print(f"{name}: {out[name]}s", file=sys.stderr)
+    spark.stop()   # flushes the event log
+    shuffled = shuffle_mb(event_dir)
     m = re.search(r"sf([0-9.]+)", SF_DIR)
-    headline = [k for k in out if k != "b1_report_literal_sql"]
+    headline = [k for k in out if k not in COMPARISON_ONLY]
     print(json.dumps({
         "metric": "mart_jobs_total_median",
         "value": round(sum(out[k] for k in headline), 3),
         "unit": "sec",
         "queries": out,
+        "shuffle_mb": shuffled,
         "sf": float(m.group(1)) if m else None,
         "cpus": CPUS,
         "repeat": REPEAT,

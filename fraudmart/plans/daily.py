@@ -74,6 +74,7 @@ class Options:
     null_update: str = "coalesce"
     blacklist_keep: str = "first"
     report_include_type: bool = False
+    overlap_days: int = 0                      # re-read a few days behind the watermark (Q5)
     drop_separator: dict = field(default_factory=lambda: {
         DROP_TERMINALS: ",", DROP_BLACKLIST: ",", DROP_TRANSACTIONS: ";"})
 
@@ -108,11 +109,12 @@ def read_table(store: Store, table: str, schema: T.StructType, manifest: Manifes
     return store.read(table, schema, manifest, partition_fields=DATE_PARTITIONS.get(table, ()))
 
 
-def _relational_stage(src: DataFrame, name: str, ctrl: DataFrame):
+def _relational_stage(src: DataFrame, name: str, ctrl: DataFrame, overlap_days: int = 0):
     df = extract.rename(src, RENAMES[name])
     df = df.withColumns({k: clean_key(k) for k in PADDED_KEYS.get(name, ())})
     wc, wu = extract.read_watermark(ctrl, name)
-    return extract.incremental_extract(df, wc, wu), extract.key_snapshot(df, DIMENSIONS[name].key)
+    return (extract.incremental_extract(df, wc, wu, overlap_days=overlap_days),
+            extract.key_snapshot(df, DIMENSIONS[name].key))
 
 
 def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.date,
@@ -152,7 +154,7 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     for name in ("cards", "accounts", "clients"):
         src = getattr(sources, name)
         if src is not None:
-            extracted, keys[name] = _relational_stage(src, name, ctrl)
+            extracted, keys[name] = _relational_stage(src, name, ctrl, opt.overlap_days)
             # K2: the batch is written once and read back, so SCD2 and the
             # watermark see the same rows even if the live source moves on
             part = store.write(f"stage_{name}", run_id, extracted)

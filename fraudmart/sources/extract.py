@@ -46,8 +46,10 @@ def incremental_extract(src: DataFrame, create_wm: _dt.date, update_wm: _dt.date
     """Rows created or updated strictly after the watermarks (a NULL date
     never qualifies). ``overlap_days`` re-reads a few days back, which is safe
     because the SCD2 and fact appends ignore unchanged rows."""
-    wc = create_wm - _dt.timedelta(days=overlap_days)
-    wu = update_wm - _dt.timedelta(days=overlap_days)
+    def back(wm: _dt.date) -> _dt.date:
+        return wm if wm <= EPOCH_DATE else wm - _dt.timedelta(days=overlap_days)
+
+    wc, wu = back(create_wm), back(update_wm)
     return src.where((F.col(create_col) > F.lit(wc)) | (F.col(update_col) > F.lit(wu)))
 
 

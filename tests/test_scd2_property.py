@@ -97,3 +97,25 @@ def test_step_operators_agree_with_apply(spark):
     t_chg = {r.k for r in touched.where("change IN ('changed', 'restored')").collect()}
     assert t_new == new
     assert t_chg == changed
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_full_snapshots_as_of_reproduces_each_day(spark, seed):
+    """Full snapshot once per day: the live open rows equal the last snapshot,
+    and the live rows valid on day d equal snapshot d."""
+    from pyspark.sql import functions as F
+
+    hist_rows, days = [], random_days(seed)
+    for run, snap in days:
+        h = spark.createDataFrame(hist_rows, H_SCHEMA)
+        s = spark.createDataFrame(snap, S_SCHEMA)
+        hist_rows = [list(r) for r in
+                     scd2.scd2_apply(h, s, SPEC, run, keys=s.select("k")).collect()]
+    h = spark.createDataFrame(hist_rows, H_SCHEMA)
+    live_open = h.where((F.col("effective_to") == F.lit(OPEN_DATE)) & (F.col("deleted_flg") == "N"))
+    assert as_rows(live_open.select("k", "a", "b").collect()) == \
+        as_rows([r[:3] for r in days[-1][1]])
+    for run, snap in days:
+        valid = h.where((F.col("effective_from") <= F.lit(run)) & (F.col("effective_to") >= F.lit(run))
+                        & (F.col("deleted_flg") == "N"))
+        assert as_rows(valid.select("k", "a", "b").collect()) == as_rows([r[:3] for r in snap]), run
