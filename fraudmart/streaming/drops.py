@@ -71,24 +71,29 @@ def fact_appender(spark: SparkSession, fact_root: str, kind: str,
     fact_path = f"{fact_root.rstrip('/')}/fact"
 
     def load_fact(exclude_batch: int) -> DataFrame:
-        read_schema = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
+        read_schema = _fact_read_schema(kind)
         try:
             df = spark.read.schema(read_schema).parquet(fact_path)
         except Exception as e:  # noqa: BLE001 - no batch written yet
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                 return spark.createDataFrame([], schema)
             raise
-        return df.where(F.col("batch_id") != exclude_batch).select(*schema.fieldNames())
+        keep = [c for c in read_schema.fieldNames() if c != "batch_id"]
+        return df.where(F.col("batch_id") != exclude_batch).select(*keep)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = batch
         good = drops.good(parsed).select(*schema.fieldNames())
         existing = load_fact(batch_id)
         if kind == DROP_TRANSACTIONS:
-            new = facts.append_transactions(good, existing, dedupe_on)
+            # trans_dt partitions: the batch's time range prunes the fact read
+            new = (facts.append_transactions(good, existing, dedupe_on)
+                   .withColumn("trans_dt", F.to_date("trans_date")))
+            new.write.mode("overwrite").partitionBy("trans_dt").parquet(
+                f"{fact_path}/batch_id={batch_id}")
         else:
-            new = facts.append_blacklist(good, existing)
-        new.write.mode("overwrite").parquet(f"{fact_path}/batch_id={batch_id}")
+            new = facts.append_blacklist(good, existing.select(*schema.fieldNames()))
+            new.write.mode("overwrite").parquet(f"{fact_path}/batch_id={batch_id}")
         bad = drops.quarantine(parsed).select(F.to_json(F.struct("*")).alias("row"))
         bad.write.mode("overwrite").parquet(
             f"{fact_root.rstrip('/')}/quarantine/batch_id={batch_id}")
@@ -109,7 +114,12 @@ def ingest_available(spark: SparkSession, landing: str, kind: str, fact_root: st
     return q
 
 
+def _fact_read_schema(kind: str) -> T.StructType:
+    extra = [T.StructField("batch_id", T.LongType())]
+    if kind == DROP_TRANSACTIONS:
+        extra.append(T.StructField("trans_dt", T.DateType()))
+    return T.StructType(list(FACT_SCHEMA[kind].fields) + extra)
+
+
 def read_fact(spark: SparkSession, fact_root: str, kind: str) -> DataFrame:
-    schema = FACT_SCHEMA[kind]
-    read_schema = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(read_schema).parquet(f"{fact_root.rstrip('/')}/fact")
+    return spark.read.schema(_fact_read_schema(kind)).parquet(f"{fact_root.rstrip('/')}/fact")
