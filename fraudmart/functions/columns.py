@@ -98,9 +98,5 @@ def day_index(ts: str | Column) -> Column:
     return F.unix_date(F.to_date(col(ts)))
 
 
-def any_of(conds: Iterable[Column]) -> Column:
-    return reduce(lambda x, y: x | y, conds)
-
-
 def all_of(conds: Iterable[Column]) -> Column:
     return reduce(lambda x, y: x & y, conds)

@@ -32,7 +32,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.functions.columns import day_before, differs, is_deleted, is_live, is_open
+from fraudmart.functions.columns import day_before, differs, is_live, is_open
 from fraudmart.schemas import DELETED_FLAG, LIVE_FLAG, OPEN_DATE, DimSpec
 
 MISSING_SNAPSHOT_POLICIES = ("skip", "delete")
@@ -225,18 +225,7 @@ def quarantine_keys(stage: DataFrame, spec: DimSpec) -> DataFrame:
     return stage.where(F.col(spec.key).isNull())
 
 
-def empty_history(spark, spec: DimSpec, attr_types: dict | None = None) -> DataFrame:
-    if spec.schema is not None and attr_types is None:
-        return spark.createDataFrame([], spec.schema)
-    from pyspark.sql import types as T
-    fields = [T.StructField(c, attr_types[c], True) for c in spec.columns]
-    fields += [T.StructField("effective_from", T.DateType()), T.StructField("effective_to", T.DateType()),
-               T.StructField("deleted_flg", T.StringType())]
-    return spark.createDataFrame([], T.StructType(fields))
-
-
 __all__ = [
     "scd2_new", "scd2_changed", "scd2_resurrected", "scd2_closed", "scd2_tombstones",
-    "scd2_close_deleted", "scd2_touched", "scd2_apply", "quarantine_keys", "empty_history",
-    "is_deleted",
+    "scd2_close_deleted", "scd2_touched", "scd2_apply", "quarantine_keys",
 ]

@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fraudmart.schemas import AMOUNT_GUESS_REJECTS
+
 PARTITION = ("passport", "fio", "phone", "card_num")
 ORDER = ("trans_date", "trans_id", "te_effective_from", "terminal_city", "amt", "oper_result",
          "oper_type")
@@ -42,7 +44,7 @@ def card_window(*extra_partition: str):
     return Window.partitionBy(*PARTITION, *extra_partition).orderBy(*_order())
 
 
-def neighbour_columns(w, lags: int = 3) -> dict[str, Column]:
+def neighbour_columns(w, lags: int = AMOUNT_GUESS_REJECTS) -> dict[str, Column]:
     cols = {
         "terminal_city_lead": F.lead("terminal_city", 1).over(w),
         "trans_date_lead": F.lead("trans_date", 1).over(w),
@@ -64,7 +66,8 @@ LAG_COLUMNS = ("oper_result", "amt", "trans_date")
 LEAD_COLUMNS = ("terminal_city", "trans_date")
 
 
-def card_sequence(ctx: DataFrame, lags: int = 3, bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
+                  bucket_seconds: int = DAY_SECONDS) -> DataFrame:
     """The context plus lead(city, date), lag 1–3 of result and amount and
     lag 3 of the date — exact, with a hot card split by day.
 

@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.schemas import EPOCH_DATE, LIVE_FLAG, OPEN_DATE  # noqa: F401  (re-exported)
+from fraudmart.schemas import EPOCH_DATE, LIVE_FLAG, OPEN_DATE, TXN_TIME_FORMAT  # noqa: F401
 
 # Fixed dates of the fixtures.
 HISTORY_START = _dt.date(2023, 1, 1)
@@ -195,7 +195,7 @@ def transactions_drop_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(
         F.when(e % 7 == 0, F.concat(F.lit("00"), F.col("trans_id")))
          .otherwise(F.col("trans_id")).alias("transaction_id"),
-        F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
+        F.date_format("trans_date", TXN_TIME_FORMAT).alias("transaction_date"),
         F.when(e % 50 == 0, F.lit("n/a")).otherwise(amount).alias("amount"),
         F.col("card_num"), F.col("oper_type"), F.col("oper_result"), F.col("terminal"),
     )
