@@ -264,3 +264,56 @@ def test_declared_length_goes_to_quarantine(spark):
     parsed = drops.parse_transactions(raw)
     assert [r.trans_id for r in drops.good(parsed).collect()] == ["1"]
     assert [r._error for r in drops.quarantine(parsed).collect()] == ["length:terminal"]
+
+
+def test_dedupe_by_time_keeps_null_ids_and_drops_same_second(spark):
+    from fraudmart.operators import facts
+    t = lambda s: ts(s)
+    fact = spark.createDataFrame([("1", t("2024-01-10 10:00:00"), "K1", "P", Decimal("1"), "S", "T1")],
+                                 TRANSACTIONS)
+    stage = spark.createDataFrame(
+        [("2", t("2024-01-10 10:00:00"), "K2", "P", Decimal("1"), "S", "T1"),   # same second
+         (None, t("2024-01-10 10:00:00"), "K3", "P", Decimal("1"), "S", "T1"),  # NULL id
+         ("1", t("2024-01-10 10:00:00"), "K1", "P", Decimal("1"), "S", "T1"),   # re-delivery
+         ("4", t("2024-01-10 11:00:00"), "K1", "P", Decimal("1"), "S", "T1")], TRANSACTIONS)
+    by_time = {r.card_num for r in facts.append_transactions(stage, fact, ("trans_date",)).collect()}
+    assert by_time == {"K3", "K1"} and \
+        [r.trans_id for r in facts.append_transactions(stage, fact, ("trans_date",))
+         .where("card_num = 'K1'").collect()] == ["4"]
+    by_id = {r.trans_id for r in facts.append_transactions(stage, fact).collect()}
+    assert by_id == {"2", None, "4"}
+
+
+def test_changed_row_with_null_update_date(spark):
+    spec = DimSpec("c", "k", ("a",))          # new_from create_dt, change_from update_dt
+    h = spark.createDataFrame([("1", "x", D0, OPEN_DATE, "N")],
+                              "k string, a string, effective_from date, effective_to date, "
+                              "deleted_flg string")
+    s = spark.createDataFrame([("1", "y", DAY, None)],
+                              "k string, a string, create_dt date, update_dt date")
+    default = rows(scd2.scd2_apply(h, s, spec, DAY))
+    assert default == [("1", "x", D0, dt.date(2024, 1, 9), "N"), ("1", "y", DAY, OPEN_DATE, "N")]
+    raw = rows(scd2.scd2_apply(h, s, spec, DAY, null_update="raw"))
+    assert ("1", "y", None, OPEN_DATE, "N") in raw and ("1", "x", D0, None, "N") in raw
+
+
+def test_report_dedupe_ignores_type_unless_asked(spark):
+    schema = ("event_dt timestamp_ntz, passport string, fio string, phone string, "
+              "event_type string, report_dt date")
+    old = spark.createDataFrame([(ts("2024-01-10 10:00:00"), "P1", "F", "+7", "1", RUN)], schema)
+    new = spark.createDataFrame([(ts("2024-01-10 10:00:00"), "P1", "F", "+7", "2", RUN)], schema)
+    assert report.append_report(new, old, RUN).count() == 0
+    assert report.append_report(new, old, RUN, include_type=True).count() == 1
+    next_day = old.withColumn("report_dt", F.lit(dt.date(2024, 1, 31)))
+    assert report.append_report(new, next_day, RUN).count() == 1
+
+
+def test_blacklist_keep_first_or_earliest(spark):
+    from fraudmart.operators import facts
+    fact = spark.createDataFrame([("P1", dt.date(2024, 1, 10))], BLACKLIST)
+    stage = spark.createDataFrame([("P1", dt.date(2024, 1, 5)), ("P2", dt.date(2024, 1, 7)),
+                                   ("P2", dt.date(2024, 1, 8))], BLACKLIST)
+    assert rows(facts.append_blacklist(stage, fact)) == \
+        [("P2", dt.date(2024, 1, 7)), ("P2", dt.date(2024, 1, 8))]
+    assert rows(facts.append_blacklist(stage, fact, keep="earliest")) == \
+        [("P1", dt.date(2024, 1, 5)), ("P2", dt.date(2024, 1, 7)), ("P2", dt.date(2024, 1, 8))]
