@@ -59,12 +59,40 @@ def unseen_files(spark: SparkSession, landing: str, kind: str,
     return [r.path for r in files.orderBy("modificationTime", "file_name").collect()]
 
 
+FORMATS = {".parquet": "parquet", ".json": "json", ".jsonl": "json"}   # anything else: text
+
+
+def drop_format(path: str) -> str:
+    name = path.rsplit("/", 1)[-1].lower()
+    return next((f for ext, f in FORMATS.items() if name.endswith(ext)), "csv")
+
+
 def _read_text(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
-    """Header-named string columns plus the source file name and order."""
-    df = (spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
-          .csv(paths))
-    return df.withColumns({"_file": F.col("_metadata.file_name"),
-                           "_file_time": F.col("_metadata.file_modification_time")})
+    """Named string columns plus the source file name and order.
+
+    Text drops (CSV, any extension) take column names from the header; Parquet
+    and JSON drops keep their own names and every value is read as text, so
+    all formats go through the same parsers (and the same quarantine)."""
+    by_format: dict[str, list[str]] = {}
+    for p in paths:
+        by_format.setdefault(drop_format(p), []).append(p)
+    frames = []
+    for fmt, ps in sorted(by_format.items()):
+        if fmt == "csv":
+            df = (spark.read.option("header", True).option("sep", sep)
+                  .option("inferSchema", False).csv(ps))
+        elif fmt == "json":
+            df = spark.read.option("primitivesAsString", True).json(ps)
+        else:
+            df = spark.read.parquet(*ps)
+        df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns],
+                       F.col("_metadata.file_name").alias("_file"),
+                       F.col("_metadata.file_modification_time").alias("_file_time"))
+        frames.append(df)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
 
 
 def _empty_with_error(spark: SparkSession, schema: T.StructType) -> DataFrame:

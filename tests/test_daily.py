@@ -134,3 +134,22 @@ def test_crash_before_commit_keeps_previous_state(spark, setup, monkeypatch):
     with pytest.raises(ValueError):
         daily.run_daily(spark, root, src, DAY2, run_id="2")  # a published run is never rewritten
     assert os.path.isdir(os.path.join(root, "_manifests", "run_id=2"))
+
+
+def test_drops_in_parquet_and_json(spark, tmp_path):
+    from fraudmart.sources import drops
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    text = txn_drop(spark, "2024-01-01", "2024-01-04")
+    typed = drops.good(drops.parse_transactions(text))
+    # a typed parquet drop (numbers and times as such) and a JSON drop
+    (typed.withColumnsRenamed({"trans_id": "transaction_id", "trans_date": "transaction_date",
+                               "amt": "amount"})
+     .toPandas().to_parquet(landing / "transactions_03012024.parquet", coerce_timestamps="us"))
+    text.toPandas().to_json(landing / "transactions_02012024.json", orient="records", lines=True)
+    paths = drops.unseen_files(spark, str(landing), "transactions")
+    assert sorted(drops.drop_format(p) for p in paths) == ["json", "parquet"]
+    got = drops.read_transactions(spark, paths)
+    assert drops.good(got).count() == 2 * typed.count()
+    assert drops.quarantine(got).count() == text.where("amount = 'n/a'").count()
+    assert drops.good(got).select("trans_id", "trans_date", "amt").distinct().count() == typed.count()
