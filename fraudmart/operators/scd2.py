@@ -162,7 +162,7 @@ def scd2_touched(hist: DataFrame, stage: DataFrame, spec: DimSpec, run_date: _dt
     for p in parts[1:]:
         u = u.unionByName(p)
     g = u.groupBy(key).agg(F.max("s").alias("s"), F.max("h").alias("h"),
-                           F.max("seen").alias("seen"))
+                           F.max("seen").alias("seen"), F.count("h").alias("n_open"))
 
     has_s, has_h = F.col("s").isNotNull(), F.col("h").isNotNull()
     s_attrs = [F.col(f"s.{a}") for a in attrs]
@@ -198,8 +198,13 @@ def scd2_touched(hist: DataFrame, stage: DataFrame, spec: DimSpec, run_date: _dt
         # tombstone
         F.when(delete, row(cur_attrs, F.lit(run_date), F.lit(OPEN_DATE), F.lit(DELETED_FLAG))),
     )
-    out = (g.select(key, change.alias("change"), F.explode(rows).alias("v"))
-           .where(F.col("v").isNotNull()))
+    # one open version per key is the invariant this function keeps; input
+    # that breaks it stops the job instead of losing the extra versions
+    invariant = F.assert_true(F.col("n_open") <= 1,
+                              F.concat(F.lit(f"{spec.name}: several open versions of key "),
+                                       F.col(key).cast("string")))
+    out = (g.select(key, change.alias("change"), F.explode(rows).alias("v"), "n_open")
+           .where(F.col("v").isNotNull() & invariant.isNull()))
     return out.select(key, *[F.col(f"v.{a}").alias(a) for a in attrs],
                       "v.effective_from", "v.effective_to", "v.deleted_flg", "change")
 

@@ -317,3 +317,9 @@ def test_blacklist_keep_first_or_earliest(spark):
         [("P2", dt.date(2024, 1, 7)), ("P2", dt.date(2024, 1, 8))]
     assert rows(facts.append_blacklist(stage, fact, keep="earliest")) == \
         [("P1", dt.date(2024, 1, 5)), ("P2", dt.date(2024, 1, 7)), ("P2", dt.date(2024, 1, 8))]
+
+
+def test_broken_open_invariant_fails_loudly(spark):
+    h = hist(spark, [("1", "x", "y", D0, OPEN_DATE, "N"), ("1", "z", "y", D0, OPEN_DATE, "N")])
+    with pytest.raises(Exception, match="several open versions"):
+        scd2.scd2_apply(h, stage(spark, [("1", "q", "y")]), SPEC, DAY).collect()
