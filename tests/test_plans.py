@@ -91,3 +91,18 @@ def test_hot_card_is_spread_over_day_partitions(spark):
     assert spread > 10
     whole = as_rows(sequence.card_sequence_whole(ctx).collect())
     assert as_rows(sequence.card_sequence(ctx).collect()) == whole
+
+
+def test_broadcast_only_within_the_checked_bound(spark):
+    from fraudmart.plans.sizing import checked_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(1000).withColumnRenamed("id", "k")
+        small = spark.range(5).withColumnRenamed("id", "k")
+        assert "BroadcastHashJoin" in plan(big.join(checked_broadcast(small, 10), "k"))
+        over = plan(big.join(checked_broadcast(small, 3), "k"))
+        assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
