@@ -186,12 +186,10 @@ def _blacklist_read(spark, d):
 
 # --- the whole daily run ------------------------------------------------------------
 
-def _daily_run(spark, d):
-    """One run on an empty store under the session's checkpoint folder; the
-    result is the published fraud report of the run."""
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
     import uuid
 
-    from fraudmart.plans import daily
     from fraudmart.plans.sizing import checkpoint_dir
 
     base = checkpoint_dir(spark)
@@ -199,7 +197,30 @@ def _daily_run(spark, d):
         import tempfile
         base = tempfile.mkdtemp(prefix="fraudmart-")
         spark.sparkContext.setCheckpointDir(base)
-    root = f"{base.rstrip('/')}/daily-run-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _stream_ingest(spark, d):
+    """§2.10: the transactions drop written by Spark as several files, then
+    ingested once with ``availableNow``; the result is the fact it built."""
+    from fraudmart.schemas import DROP_TRANSACTIONS, TRANSACTIONS, TXN_SEPARATOR
+    from fraudmart.streaming import drops as sdrops
+
+    root = _scratch(spark, "stream-ingest")
+    (fx.transactions_drop_text(spark, d).write.option("header", True)
+     .option("sep", TXN_SEPARATOR).csv(f"{root}/landing"))
+    sdrops.ingest_available(spark, f"{root}/landing", DROP_TRANSACTIONS, f"{root}/out",
+                            f"{root}/checkpoint", name_filter="*.csv")
+    return sdrops.read_fact(spark, f"{root}/out", DROP_TRANSACTIONS).select(
+        *TRANSACTIONS.fieldNames())
+
+
+def _daily_run(spark, d):
+    """One run on an empty store under the session's checkpoint folder; the
+    result is the published fraud report of the run."""
+    from fraudmart.plans import daily
+
+    root = _scratch(spark, "daily-run")
     created = fx.REPORT_RUN_DATE - _dt.timedelta(days=16)
     src = daily.Sources(
         cards=fx.relational_source(fx.cards(spark, d), created, {"account_num": "account"}),
@@ -215,6 +236,7 @@ def _daily_run(spark, d):
 def registry() -> dict[str, Query]:
     return {
         "daily_run": _daily_run,
+        "stream_ingest_transactions": _stream_ingest,
         "extract_incremental": _extract(_dt.date(2001, 1, 1)),
         "extract_incremental_late": _extract(LATE_WM),
         "extract_keys": _extract_keys,

@@ -45,13 +45,16 @@ FACT_SCHEMA = {DROP_TRANSACTIONS: TRANSACTIONS, DROP_BLACKLIST: BLACKLIST}
 
 def read_drop_stream(spark: SparkSession, landing: str, kind: str, sep: str | None = None,
                      archive_dir: str | None = None,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parsed rows (with ``_error``) of every new ``*<kind>*`` file."""
+                     max_files_per_trigger: int | None = None,
+                     name_filter: str | None = "kind") -> DataFrame:
+    """Parsed rows (with ``_error``) of every new ``*<kind>*`` file
+    (``name_filter=None``: every file of a folder dedicated to one kind)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in DROP_COLUMNS[kind]])
     r = (spark.readStream.format("csv").schema(schema)
          .option("header", True).option("enforceSchema", False)
-         .option("sep", sep or (TXN_SEPARATOR if kind == DROP_TRANSACTIONS else ","))
-         .option("pathGlobFilter", f"*{kind}*"))
+         .option("sep", sep or (TXN_SEPARATOR if kind == DROP_TRANSACTIONS else ",")))
+    if name_filter:
+        r = r.option("pathGlobFilter", f"*{kind}*" if name_filter == "kind" else name_filter)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:
@@ -103,9 +106,10 @@ def fact_appender(spark: SparkSession, fact_root: str, kind: str,
 
 def ingest_available(spark: SparkSession, landing: str, kind: str, fact_root: str,
                      checkpoint: str, archive_dir: str | None = None,
-                     dedupe_on: tuple[str, ...] = ("trans_id", "trans_date")) -> StreamingQuery:
+                     dedupe_on: tuple[str, ...] = ("trans_id", "trans_date"),
+                     name_filter: str | None = "kind") -> StreamingQuery:
     """Process every drop that has arrived, then stop (``availableNow``)."""
-    q = (read_drop_stream(spark, landing, kind, archive_dir=archive_dir)
+    q = (read_drop_stream(spark, landing, kind, archive_dir=archive_dir, name_filter=name_filter)
          .writeStream.foreachBatch(fact_appender(spark, fact_root, kind, dedupe_on))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
