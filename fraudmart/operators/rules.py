@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import all_of, within
-from fraudmart.operators.sequence import rule_frame
+from fraudmart.operators.sequence import collapse_copies, rule_frame
 from fraudmart.plans.sizing import checked_broadcast
 from fraudmart.schemas import (
     AMOUNT_GUESS_LIMIT, DEPOSIT, EVENT_AMOUNT_GUESS, EVENT_CONTRACT, EVENT_PASSPORT,
@@ -58,8 +58,12 @@ def contract_condition() -> Column:
 
 def amount_guess_condition(limit: str = AMOUNT_GUESS_LIMIT) -> Column:
     """Rule 4: three rejects then a success, amounts strictly falling, first
-    to last within ``limit`` (inclusive)."""
+    to last within ``limit`` (inclusive). On a frame of collapsed copies the
+    two previous operations must be single: a repeat would make two of the
+    lagged amounts equal."""
+    single = [F.coalesce(F.col(c), F.lit(1)) == 1 for c in ("copies_lag_1", "copies_lag_2")]
     return all_of([
+        *single,
         F.col("oper_result_lag_3") == REJECT,
         F.col("oper_result_lag_2") == REJECT,
         F.col("oper_result_lag_1") == REJECT,
@@ -115,14 +119,23 @@ def rule_amount_guessing(ctx: DataFrame, within_limit: str = AMOUNT_GUESS_LIMIT)
 def fraud_events(ctx: DataFrame, blacklist: DataFrame,
                  two_cities_limit: str = TWO_CITIES_LIMIT,
                  amount_guess_limit: str = AMOUNT_GUESS_LIMIT,
-                 broadcast_rows: int = 1_000_000) -> DataFrame:
+                 broadcast_rows: int = 1_000_000, copies: str = "keep") -> DataFrame:
     """All four rules, bag union (an operation can raise several types).
 
     One frame and one bitmask of verdicts per operation (rule 3 marks a
     candidate). Both consumers — the per-operation explode and the rule-3
     aggregate — read that same column, so their plans below it are identical
     and the context join and the card/day shuffle run once (the second
-    consumer reuses the exchange)."""
+    consumer reuses the exchange).
+
+    ``copies='collapse'`` is for input where one operation may be repeated
+    very many times: rules 1 and 2 (one event per operation, repeats
+    included) are read from the context directly, rules 3 and 4 from a frame
+    over collapsed copies. It costs a second pass over the context, so it is
+    not the default."""
+    if copies == "collapse":
+        return _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
+                                       broadcast_rows)
     frame = rule_frame(ctx, lead_reach=two_cities_limit, lag_reach=amount_guess_limit)
     flagged = with_blacklist(frame, blacklist, broadcast_rows)
 
@@ -149,3 +162,19 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
                   .select("event_dt", "passport", "fio", "phone",
                           F.lit(EVENT_TWO_CITIES).alias("event_type"), "report_dt"))
     return per_operation.unionByName(two_cities)
+
+
+def _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
+                            broadcast_rows) -> DataFrame:
+    flagged = with_blacklist(ctx, blacklist, broadcast_rows)
+    types = F.array(F.when(passport_condition(), F.lit(EVENT_PASSPORT)),
+                    F.when(contract_condition(), F.lit(EVENT_CONTRACT)))
+    per_operation = (flagged.select(F.col("trans_date").alias("event_dt"), "passport", "fio",
+                                    "phone", F.explode(types).alias("event_type"), "report_dt")
+                     .where(F.col("event_type").isNotNull()))
+    frame = rule_frame(collapse_copies(ctx), lead_reach=two_cities_limit,
+                       lag_reach=amount_guess_limit)
+    # a collapsed row raises rule 4 at most once: only its first copy has
+    # the three previous operations behind it
+    guess = _events(frame.where(amount_guess_condition(amount_guess_limit)), EVENT_AMOUNT_GUESS)
+    return per_operation.unionByName(two_cities_events(frame)).unionByName(guess)

@@ -136,6 +136,18 @@ def _seconds(limit: str) -> int:
     return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
 
 
+WINDOW_INPUTS = (*PARTITION, *[c for c in ORDER if c not in PARTITION], "report_dt")
+
+
+def collapse_copies(ctx: DataFrame) -> DataFrame:
+    """Rows that agree on every window input, as one row with ``copies``.
+
+    A group of identical operations (a batch delivered with repeats) would
+    otherwise sit in one window partition; the count is combined map-side,
+    so such a group reaches the shuffle as one row per map task."""
+    return ctx.groupBy(*WINDOW_INPUTS).agg(F.count(F.lit(1)).alias("copies"))
+
+
 def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20 minutes",
                bucket_seconds: int = DAY_SECONDS) -> DataFrame:
     """Context rows with the neighbours rules 3 and 4 need, computed per
@@ -147,7 +159,14 @@ def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20
     smallest and largest next city. Rule 3 pairs every operation with every
     row sharing its card and time, so an operation qualifies when its own city
     differs from either bound — no pairs are formed.
+
+    ``ctx`` may carry a ``copies`` column (see ``collapse_copies``): a row
+    then stands for that many identical operations in a row. Their next
+    operation is the copy itself (same city, no time apart), and
+    ``copies_lag_1/2`` let rule 4 see repeats among the previous operations.
     """
+    if "copies" not in ctx.columns:
+        ctx = ctx.withColumn("copies", F.lit(1))
     lead_s, lag_s = _seconds(lead_reach), _seconds(lag_reach)
     if max(lead_s, lag_s) > bucket_seconds:
         raise ValueError("a rule reach longer than the bucket needs a wider bucket")
@@ -173,14 +192,18 @@ def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20
               # one shuffle: a hot card is split by its buckets
               .repartition("card_num", "bucket"))
     w = card_window("bucket")
-    framed = spread.withColumns(neighbour_columns(w))
+    framed = spread.withColumns({**neighbour_columns(w),
+                                 "copies_lag_1": F.lag("copies", 1).over(w),
+                                 "copies_lag_2": F.lag("copies", 2).over(w)})
     ties = Window.partitionBy("card_num", "bucket", "trans_date")
     near_next = F.when(
         (F.col("trans_date_lead") - F.col("trans_date")) <= F.expr(f"INTERVAL '{lead_s}' SECOND"),
         F.col("terminal_city_lead"))
+    # a repeated operation is followed by its own copy: its city is a next city too
+    own_copy = F.when(F.col("copies") >= 2, F.col("terminal_city"))
     framed = framed.withColumns({
-        "lead_city_min": F.min(near_next).over(ties),
-        "lead_city_max": F.max(near_next).over(ties),
+        "lead_city_min": F.min(F.least(near_next, own_copy)).over(ties),
+        "lead_city_max": F.max(F.greatest(near_next, own_copy)).over(ties),
     })
     return (framed.where(F.col("bucket") == F.col("home_bucket"))
             .drop("bucket", "home_bucket"))

@@ -24,10 +24,12 @@ from fraudmart.sources import fixtures as fx
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def report_context(spark: SparkSession, sf_dir: str, history: str = "all") -> DataFrame:
+def report_context(spark: SparkSession, sf_dir: str, history: str = "all",
+                   with_copies: bool = False) -> DataFrame:
+    txns = (fx.transactions_with_copies if with_copies else fx.transactions)(spark, sf_dir)
     return transaction_context(
         fx.clients_hist(spark, sf_dir), fx.accounts_hist(spark, sf_dir),
-        fx.cards_hist(spark, sf_dir), fx.transactions(spark, sf_dir),
+        fx.cards_hist(spark, sf_dir), txns,
         fx.terminals_hist(spark, sf_dir), fx.REPORT_RUN_DATE, history=history)
 
 
@@ -55,9 +57,9 @@ def _rule_amount(history):
     return lambda spark, d: rules.rule_amount_guessing(report_context(spark, d, history))
 
 
-def _fraud_events(history):
-    return lambda spark, d: rules.fraud_events(report_context(spark, d, history),
-                                               fx.blacklist(spark, d))
+def _fraud_events(history, with_copies=False, copies="keep"):
+    return lambda spark, d: rules.fraud_events(report_context(spark, d, history, with_copies),
+                                               fx.blacklist(spark, d), copies=copies)
 
 
 # --- SCD2 days ------------------------------------------------------------------
@@ -279,4 +281,6 @@ def registry() -> dict[str, Query]:
         "rule_amount_guessing_as_of": _rule_amount("as_of"),
         "fraud_events": _fraud_events("all"),
         "fraud_events_as_of": _fraud_events("as_of"),
+        "fraud_events_repeated_ops": _fraud_events("all", with_copies=True),
+        "fraud_events_repeated_ops_collapsed": _fraud_events("all", True, "collapse"),
     }

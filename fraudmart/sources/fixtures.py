@@ -164,6 +164,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def transactions_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions with every tenth operation delivered three times."""
+    t = transactions(spark, sf_dir)
+    repeated = t.where(F.col("trans_id").cast("bigint") % 10 == 0)
+    return t.unionByName(repeated).unionByName(repeated)
+
+
 def transactions_loaded(spark, sf_dir):
     """Fact rows already loaded before the batch (event_id even)."""
     return transactions(spark, sf_dir).where(F.col("trans_id").cast("bigint") % 2 == 0)
