@@ -39,7 +39,9 @@ def blacklist_first_entry(blacklist: DataFrame) -> DataFrame:
 
 def with_blacklist(ctx: DataFrame, blacklist: DataFrame,
                    broadcast_rows: int = 1_000_000) -> DataFrame:
-    first = checked_broadcast(blacklist_first_entry(blacklist), broadcast_rows)
+    # one row per passport: never more rows than the blacklist itself
+    first = checked_broadcast(blacklist_first_entry(blacklist), broadcast_rows,
+                              bounded_by=blacklist)
     return (ctx.join(first, ctx.passport == first.passport_num, "left")
             .drop("passport_num"))
 

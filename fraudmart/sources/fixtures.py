@@ -8,6 +8,7 @@ factor; nothing is generated on the driver.
 from __future__ import annotations
 
 import datetime as _dt
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,17 @@ def scd2_load_date(day: int) -> _dt.date:
     return SCD2_DAY1 + _dt.timedelta(days=day - 1)
 
 
+_READS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table. The test tables are immutable, so a session reuses
+    its read of each file (listing and footer are read once)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    reads = _READS.setdefault(spark, {})
+    if path not in reads:
+        reads[path] = spark.read.parquet(path)
+    return reads[path]
 
 
 def _days(base: _dt.date, offset: Column) -> Column:
