@@ -133,8 +133,9 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
     ``copies='collapse'`` is for input where one operation may be repeated
     very many times: rules 1 and 2 (one event per operation, repeats
     included) are read from the context directly, rules 3 and 4 from a frame
-    over collapsed copies. It costs a second pass over the context, so it is
-    not the default."""
+    over collapsed copies. It costs a second pass over the context (written
+    once to the checkpoint folder when the session has one), so it is not
+    the default."""
     if copies == "collapse":
         return _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
                                        broadcast_rows)
@@ -168,6 +169,10 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
 
 def _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
                             broadcast_rows) -> DataFrame:
+    # both consumers read the context once written to the shared checkpoint
+    # folder (when the session names one), not the join chain twice
+    if ctx.sparkSession.sparkContext.getCheckpointDir():
+        ctx = ctx.checkpoint(eager=True)
     flagged = with_blacklist(ctx, blacklist, broadcast_rows)
     types = F.array(F.when(passport_condition(), F.lit(EVENT_PASSPORT)),
                     F.when(contract_condition(), F.lit(EVENT_CONTRACT)))

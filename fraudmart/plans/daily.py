@@ -75,6 +75,7 @@ class Options:
     blacklist_keep: str = "first"
     report_include_type: bool = False
     overlap_days: int = 0                      # re-read a few days behind the watermark (Q5)
+    report_copies: str = "keep"                # 'collapse' for batches with many repeats
     drop_separator: dict = field(default_factory=lambda: {
         DROP_TERMINALS: ",", DROP_BLACKLIST: ",", DROP_TRANSACTIONS: ";"})
 
@@ -205,7 +206,8 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     ctx = transaction_context(dims["clients"], dims["accounts"], dims["cards"],
                               read_table(store, "fact_transactions", TRANSACTIONS, now),
                               dims["terminals"], run_date, history=opt.history)
-    events = rules.fraud_events(ctx, read_table(store, "fact_passport_blacklist", BLACKLIST, now))
+    events = rules.fraud_events(ctx, read_table(store, "fact_passport_blacklist", BLACKLIST, now),
+                                copies=opt.report_copies)
     existing = read_table(store, "fraud_report", FRAUD_REPORT, m)
     new_rows = report.append_report(events, existing, run_date, opt.report_include_type)
     parts.setdefault("fraud_report", []).append(

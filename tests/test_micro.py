@@ -323,3 +323,25 @@ def test_broken_open_invariant_fails_loudly(spark):
     h = hist(spark, [("1", "x", "y", D0, OPEN_DATE, "N"), ("1", "z", "y", D0, OPEN_DATE, "N")])
     with pytest.raises(Exception, match="several open versions"):
         scd2.scd2_apply(h, stage(spark, [("1", "q", "y")]), SPEC, DAY).collect()
+
+
+@pytest.mark.parametrize("txns,expected", [
+    # the success repeated: one rule-4 event (only its first copy has three rejects behind it)
+    (guess("2024-01-10 10:15:00") + [("3", "2024-01-10 10:15:00", "PAYMENT", 10, "SUCCESS", "T1")],
+     {"4": 1}),
+    # a reject repeated: two equal amounts in the run, no rule-4 event
+    (guess("2024-01-10 10:15:00") + [("1", "2024-01-10 10:05:00", "PAYMENT", 30, "REJECT", "T1")],
+     {}),
+    # a repeated operation, then two at the same later second in two cities
+    ([("1", "2024-01-10 10:00:00", "PAYMENT", 5, "SUCCESS", "T1"),
+      ("1", "2024-01-10 10:00:00", "PAYMENT", 5, "SUCCESS", "T1"),
+      ("2", "2024-01-10 10:30:00", "PAYMENT", 5, "SUCCESS", "T1"),
+      ("3", "2024-01-10 10:30:00", "PAYMENT", 5, "SUCCESS", "T2")], {"3": 1}),
+])
+def test_collapsed_copies_give_the_same_events(spark, txns, expected):
+    ctx, bl = world(spark, txns, passport_valid_to=dt.date(2024, 1, 9))
+    keep = sorted(tuple(r) for r in rules.fraud_events(ctx, bl).collect())
+    collapsed = sorted(tuple(r) for r in rules.fraud_events(ctx, bl, copies="collapse").collect())
+    assert collapsed == keep
+    assert sum(r[4] == "1" for r in keep) == len(txns)       # rule 1: one event per operation
+    assert {t: sum(r[4] == t for r in keep) for t in ("3", "4")} == {"3": 0, "4": 0, **expected}
