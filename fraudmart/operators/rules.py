@@ -8,10 +8,13 @@ which is an aggregate per client.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import all_of, within
+from fraudmart.operators.sequence import _seconds as _reach_seconds
 from fraudmart.operators.sequence import collapse_copies, rule_frame
 from fraudmart.plans.sizing import checked_broadcast
 from fraudmart.schemas import (
@@ -121,7 +124,8 @@ def rule_amount_guessing(ctx: DataFrame, within_limit: str = AMOUNT_GUESS_LIMIT)
 def fraud_events(ctx: DataFrame, blacklist: DataFrame,
                  two_cities_limit: str = TWO_CITIES_LIMIT,
                  amount_guess_limit: str = AMOUNT_GUESS_LIMIT,
-                 broadcast_rows: int = 1_000_000, copies: str = "keep") -> DataFrame:
+                 broadcast_rows: int = 1_000_000, copies: str = "keep",
+                 since: _dt.datetime | None = None) -> DataFrame:
     """All four rules, bag union (an operation can raise several types).
 
     One frame and one bitmask of verdicts per operation (rule 3 marks a
@@ -135,7 +139,20 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
     included) are read from the context directly, rules 3 and 4 from a frame
     over collapsed copies. It costs a second pass over the context (written
     once to the checkpoint folder when the session has one), so it is not
-    the default."""
+    the default.
+
+    ``since``: only events at or after that time — exactly the full result
+    filtered on ``event_dt``, but reading operations from ``since`` minus the
+    rule-4 reach only (a lagged operation further back is outside the time
+    limit anyway; rule 3 looks forward). The filter reaches the fact scan, so
+    a daily report reads the recent days instead of all history."""
+    if since is not None:
+        since = _dt.datetime.combine(since, _dt.time()) if not isinstance(since, _dt.datetime) \
+            else since
+        start = since - _dt.timedelta(seconds=_reach_seconds(amount_guess_limit))
+        events = fraud_events(ctx.where(F.col("trans_date") >= F.lit(start)), blacklist,
+                              two_cities_limit, amount_guess_limit, broadcast_rows, copies)
+        return events.where(F.col("event_dt") >= F.lit(since))
     if copies == "collapse":
         return _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
                                        broadcast_rows)

@@ -57,9 +57,12 @@ def _rule_amount(history):
     return lambda spark, d: rules.rule_amount_guessing(report_context(spark, d, history))
 
 
-def _fraud_events(history, with_copies=False, copies="keep"):
+def _fraud_events(history, with_copies=False, copies="keep", since=None):
     return lambda spark, d: rules.fraud_events(report_context(spark, d, history, with_copies),
-                                               fx.blacklist(spark, d), copies=copies)
+                                               fx.blacklist(spark, d), copies=copies, since=since)
+
+
+SINCE = _dt.datetime(2024, 1, 20, 0, 10)   # inside a day's burst of operations
 
 
 # --- SCD2 days ------------------------------------------------------------------
@@ -283,4 +286,5 @@ def registry() -> dict[str, Query]:
         "fraud_events_as_of": _fraud_events("as_of"),
         "fraud_events_repeated_ops": _fraud_events("all", with_copies=True),
         "fraud_events_repeated_ops_collapsed": _fraud_events("all", True, "collapse"),
+        "fraud_events_since": _fraud_events("all", since=SINCE),
     }

@@ -153,3 +153,19 @@ def test_drops_in_parquet_and_json(spark, tmp_path):
     assert drops.good(got).count() == 2 * typed.count()
     assert drops.quarantine(got).count() == text.where("amount = 'n/a'").count()
     assert drops.good(got).select("trans_id", "trans_date", "amt").distinct().count() == typed.count()
+
+
+def test_report_since_matches_the_full_report(spark, setup):
+    base, landing = setup
+    cl, ac, ca = sources(spark, DAY1)
+    src = daily.Sources(ca, ac, cl, str(landing))
+    since = dt.date(2024, 1, 10)
+    full_root, part_root = str(base / "full"), str(base / "since")
+    daily.run_daily(spark, full_root, src, DAY1, run_id="1")
+    daily.run_daily(spark, part_root, src, DAY1, run_id="1",
+                    options=daily.Options(report_since=since))
+    full = daily.read_state(spark, full_root)["fraud_report"]
+    part = daily.read_state(spark, part_root)["fraud_report"]
+    expected = full.where(F.col("event_dt") >= F.lit(dt.datetime(2024, 1, 10)))
+    assert sorted(map(tuple, part.collect())) == sorted(map(tuple, expected.collect()))
+    assert part.count() > 0

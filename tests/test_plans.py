@@ -106,3 +106,14 @@ def test_broadcast_only_within_the_checked_bound(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_since_mode_equals_filtered_full_report(spark):
+    import datetime as dt
+    ctx = report_context(spark, SF["0.01"])
+    full = rules.fraud_events(ctx, fx.blacklist(spark, SF["0.01"]))
+    for since in (dt.datetime(2024, 1, 15, 0, 5), dt.datetime(2024, 1, 22), dt.date(2024, 1, 29)):
+        got = rules.fraud_events(ctx, fx.blacklist(spark, SF["0.01"]), since=since)
+        cut = since if isinstance(since, dt.datetime) else dt.datetime.combine(since, dt.time())
+        assert as_rows(got.collect()) == as_rows(full.where(F.col("event_dt") >= F.lit(cut))
+                                                 .collect()), since
