@@ -85,6 +85,13 @@ def clean_key(c: str | Column) -> Column:
     return F.rtrim(col(c))
 
 
+def ntz_lit(value) -> Column:
+    """A zone-less timestamp literal. ``F.lit(datetime)`` would be a
+    session-zoned TIMESTAMP and compare against TIMESTAMP_NTZ columns through
+    the session time zone; text → TIMESTAMP_NTZ involves no zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def round_to_second(c: str | Column) -> Column:
     """TIMESTAMP(0) semantics: round half up to the nearest whole second."""
     s = col(c) + F.expr("INTERVAL '0.5' SECOND")

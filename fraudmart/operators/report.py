@@ -18,7 +18,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.functions.columns import round_to_second
+from fraudmart.functions.columns import ntz_lit, round_to_second
 
 REPORT_COLUMNS = ("event_dt", "passport", "fio", "phone", "event_type", "report_dt")
 
@@ -40,6 +40,8 @@ def append_report(events: DataFrame, report: DataFrame, run_date: _dt.date,
 
 
 def events_since(events: DataFrame, since: _dt.datetime | _dt.date) -> DataFrame:
-    """Optional: keep only events at or after ``since`` (applied after the
-    rules, so the windows still see the full history)."""
-    return events.where(F.col("event_dt") >= F.lit(since))
+    """Keep only events at or after ``since`` (see also ``fraud_events(since=)``,
+    which also narrows what is read)."""
+    if not isinstance(since, _dt.datetime):
+        since = _dt.datetime.combine(since, _dt.time())
+    return events.where(F.col("event_dt") >= ntz_lit(since))

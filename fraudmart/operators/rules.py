@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.functions.columns import all_of, within
+from fraudmart.functions.columns import all_of, ntz_lit, within
 from fraudmart.operators.sequence import _seconds as _reach_seconds
 from fraudmart.operators.sequence import collapse_copies, rule_frame
 from fraudmart.plans.sizing import checked_broadcast
@@ -150,9 +150,9 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
         since = _dt.datetime.combine(since, _dt.time()) if not isinstance(since, _dt.datetime) \
             else since
         start = since - _dt.timedelta(seconds=_reach_seconds(amount_guess_limit))
-        events = fraud_events(ctx.where(F.col("trans_date") >= F.lit(start)), blacklist,
+        events = fraud_events(ctx.where(F.col("trans_date") >= ntz_lit(start)), blacklist,
                               two_cities_limit, amount_guess_limit, broadcast_rows, copies)
-        return events.where(F.col("event_dt") >= F.lit(since))
+        return events.where(F.col("event_dt") >= ntz_lit(since))
     if copies == "collapse":
         return _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
                                        broadcast_rows)
