@@ -117,3 +117,14 @@ def test_since_mode_equals_filtered_full_report(spark):
         cut = since if isinstance(since, dt.datetime) else dt.datetime.combine(since, dt.time())
         assert as_rows(got.collect()) == as_rows(full.where(F.col("event_dt") >= F.lit(cut))
                                                  .collect()), since
+
+
+def test_literal_sql_baseline_gives_the_same_events(spark):
+    from fraudmart.plans.literal_sql import literal_report
+    d = SF["0.01"]
+    one_pass = rules.fraud_events(report_context(spark, d), fx.blacklist(spark, d))
+    literal = literal_report(spark, fx.clients_hist(spark, d), fx.accounts_hist(spark, d),
+                             fx.cards_hist(spark, d), fx.transactions(spark, d),
+                             fx.terminals_hist(spark, d), fx.blacklist(spark, d),
+                             fx.REPORT_RUN_DATE)
+    assert as_rows(literal.collect()) == as_rows(one_pass.collect())
