@@ -60,3 +60,15 @@ def test_watermark_moves_back_unless_monotone(spark):
     assert str(parity.max_create_dt) == "2001-07-30"
     assert str(mono.max_create_dt) == "2001-08-01"
     assert str(parity.max_update_dt) == "2002-07-08"
+
+
+def test_rule_counts_at_bench_scale(spark):
+    d = SF["0.1"]
+    for name, expected in (("fraud_events", {"1": 48960, "2": 22437, "3": 1500, "4": 18}),
+                           ("fraud_events_as_of", {"1": 39249, "2": 18011, "3": 1500, "4": 33})):
+        ev = Q.registry()[name](spark, d)
+        got = {r.event_type: r.n
+               for r in ev.groupBy("event_type").agg(F.count("*").alias("n")).collect()}
+        assert got == expected, name
+    assert Q.registry()["fact_transactions_append_by_time"](spark, d).count() == 5153
+    assert Q.registry()["extract_incremental"](spark, d).count() == 22453
