@@ -205,19 +205,23 @@ def _scratch(spark, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _stream_ingest(spark, d):
-    """§2.10: the transactions drop written by Spark as several files, then
-    ingested once with ``availableNow``; the result is the fact it built."""
-    from fraudmart.schemas import DROP_TRANSACTIONS, TRANSACTIONS, TXN_SEPARATOR
-    from fraudmart.streaming import drops as sdrops
-
-    root = _scratch(spark, "stream-ingest")
-    (fx.transactions_drop_text(spark, d).write.option("header", True)
-     .option("sep", TXN_SEPARATOR).csv(f"{root}/landing"))
-    sdrops.ingest_available(spark, f"{root}/landing", DROP_TRANSACTIONS, f"{root}/out",
-                            f"{root}/checkpoint", name_filter="*.csv")
-    return sdrops.read_fact(spark, f"{root}/out", DROP_TRANSACTIONS).select(
-        *TRANSACTIONS.fieldNames())
+def _stream_ingest(kind: str):
+    """§2.10: a drop written by Spark as several files, then ingested once
+    with ``availableNow``; the result is the fact it built."""
+    def q(spark, d):
+        from fraudmart.schemas import DROP_TRANSACTIONS, TXN_SEPARATOR
+        from fraudmart.streaming import drops as sdrops
+
+        text = (fx.transactions_drop_text if kind == DROP_TRANSACTIONS
+                else fx.blacklist_drop_text)(spark, d)
+        sep = TXN_SEPARATOR if kind == DROP_TRANSACTIONS else ","
+        root = _scratch(spark, f"stream-{kind}")
+        text.write.option("header", True).option("sep", sep).csv(f"{root}/landing")
+        sdrops.ingest_available(spark, f"{root}/landing", kind, f"{root}/out",
+                                f"{root}/checkpoint", name_filter="*.csv")
+        return sdrops.read_fact(spark, f"{root}/out", kind).select(
+            *sdrops.FACT_SCHEMA[kind].fieldNames())
+    return q
 
 
 def _daily_run(spark, d):
@@ -241,7 +245,8 @@ def _daily_run(spark, d):
 def registry() -> dict[str, Query]:
     return {
         "daily_run": _daily_run,
-        "stream_ingest_transactions": _stream_ingest,
+        "stream_ingest_transactions": _stream_ingest("transactions"),
+        "stream_ingest_blacklist": _stream_ingest("passport_blacklist"),
         "extract_incremental": _extract(_dt.date(2001, 1, 1)),
         "extract_incremental_late": _extract(LATE_WM),
         "extract_keys": _extract_keys,
