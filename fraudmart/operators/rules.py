@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import all_of, ntz_lit, within
-from fraudmart.operators.sequence import _seconds as _reach_seconds
-from fraudmart.operators.sequence import collapse_copies, rule_frame
+from fraudmart.operators.sequence import collapse_copies, reach_seconds, rule_frame
 from fraudmart.plans.sizing import checked_broadcast
 from fraudmart.schemas import (
     AMOUNT_GUESS_LIMIT, DEPOSIT, EVENT_AMOUNT_GUESS, EVENT_CONTRACT, EVENT_PASSPORT,
@@ -149,7 +148,7 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
     if since is not None:
         since = _dt.datetime.combine(since, _dt.time()) if not isinstance(since, _dt.datetime) \
             else since
-        start = since - _dt.timedelta(seconds=_reach_seconds(amount_guess_limit))
+        start = since - _dt.timedelta(seconds=reach_seconds(amount_guess_limit))
         events = fraud_events(ctx.where(F.col("trans_date") >= ntz_lit(start)), blacklist,
                               two_cities_limit, amount_guess_limit, broadcast_rows, copies)
         return events.where(F.col("event_dt") >= ntz_lit(since))

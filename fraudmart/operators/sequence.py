@@ -130,7 +130,8 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
     return j.select(*ctx.columns, *[v.alias(n) for n, v in cols.items()])
 
 
-def _seconds(limit: str) -> int:
+def reach_seconds(limit: str) -> int:
+    """"1 hour" / "20 minutes" → seconds."""
     amount, unit = limit.split()
     unit = unit.lower().rstrip("s")
     return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
@@ -167,7 +168,7 @@ def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20
     """
     if "copies" not in ctx.columns:
         ctx = ctx.withColumn("copies", F.lit(1))
-    lead_s, lag_s = _seconds(lead_reach), _seconds(lag_reach)
+    lead_s, lag_s = reach_seconds(lead_reach), reach_seconds(lag_reach)
     if max(lead_s, lag_s) > bucket_seconds:
         raise ValueError("a rule reach longer than the bucket needs a wider bucket")
     per_day = DAY_SECONDS // bucket_seconds
