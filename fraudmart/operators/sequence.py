@@ -131,7 +131,7 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
 
 
 def reach_seconds(limit: str) -> int:
-    """"1 hour" / "20 minutes" → seconds."""
+    """Seconds in a limit such as '1 hour' or '20 minutes'."""
     amount, unit = limit.split()
     unit = unit.lower().rstrip("s")
     return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
