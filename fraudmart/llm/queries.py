@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fraudmart.llm import chat, decontam, exact_dedup
+from fraudmart.llm import (chat, decontam, exact_dedup, near_dedup, substring_dedup,
+                           suffix_dedup)
 from fraudmart.llm.shared import table
 
 
+def op4_near_dedup(spark, sf_dir):
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op5_chat_formatting(spark, sf_dir):
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
@@ -17,6 +22,17 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op7_substring_dedup(spark, sf_dir):
+    r = substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
+
+
+def op9_suffix_dedup(spark, sf_dir):
+    r = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans",
+                    "kept_sha256")
+
+
 def op10_decontamination(spark, sf_dir):
     return decontam.contaminated(table(spark, sf_dir, "documents"),
                                  table(spark, sf_dir, "benchmark"))
@@ -24,8 +40,11 @@ def op10_decontamination(spark, sf_dir):
 
 def registry():
     return {
+        "op4_near_dedup": op4_near_dedup,
         "op5_chat_formatting": op5_chat_formatting,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_substring_dedup": op7_substring_dedup,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_decontamination": op10_decontamination,
     }
 
