@@ -243,6 +243,8 @@ def near_groups(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K, share: int
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row_key")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group, all columns."""
-    return without(docs, near_groups(docs).where(~F.col("kept")).select("row_key"))
+def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, share: int = SHARE) -> DataFrame:
+    """``docs`` with one document of each group, all columns. Rows that repeat both id and
+    text are one document; rows of a group of NULL ids have no least id and all stay."""
+    gone = near_groups(docs, n, share=share).where(~F.col("kept")).select("row_key")
+    return without(docs, gone, once=True)

@@ -5,11 +5,34 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fraudmart.llm import (chat, decontam, exact_dedup, near_dedup, substring_dedup,
-                           suffix_dedup)
+from fraudmart.llm import (chat, decontam, exact_dedup, language_id, lm_scoring, near_dedup,
+                           sentencepiece_codec, substring_dedup, suffix_dedup, token_counts)
 from fraudmart.llm.shared import table
 
 
+def op1_language_id(spark, sf_dir):
+    """Documents: text, declared language, source as host."""
+    r = language_id.identify_documents(table(spark, sf_dir, "documents"))
+    return r.select("doc_id", "lang", "confidence", "kept", "declared", "text_lang")
+
+
+def language_id_pages(spark, sf_dir):
+    """Raw pages: text, markup language, address suffix, domain and host."""
+    docs = language_id.document_rows(table(spark, sf_dir, "documents"))
+    model = language_id.train_text_model(docs.select(F.col("declared").alias("lang"), "text"))
+    r = language_id.identify(language_id.page_rows(table(spark, sf_dir, "pages")), model)
+    return r.select(F.col("id").alias("page_id"), "lang", "confidence", "kept", "declared",
+                    "text_lang")
+
+
+def op2_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op4_near_dedup(spark, sf_dir):
     return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -27,6 +50,10 @@ def op7_substring_dedup(spark, sf_dir):
     return r.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
 
 
+def op8_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_dedup(spark, sf_dir):
     r = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
     return r.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans",
@@ -40,10 +67,15 @@ def op10_decontamination(spark, sf_dir):
 
 def registry():
     return {
+        "op1_language_id": op1_language_id,
+        "language_id_pages": language_id_pages,
+        "op2_lm_scoring": op2_lm_scoring,
+        "op3_token_counts": op3_token_counts,
         "op4_near_dedup": op4_near_dedup,
         "op5_chat_formatting": op5_chat_formatting,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_sentencepiece": op8_sentencepiece,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_decontamination": op10_decontamination,
     }

@@ -53,13 +53,17 @@ def documents_view(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", once: bool = False) -> DataFrame:
     """``docs`` without the rows whose ``row_key`` is in ``dropped`` (one
-    column ``row_key``); all columns stay as they are."""
+    column ``row_key``); all columns stay as they are. ``once``: of rows that
+    repeat both id and text one stays."""
     name = "row_key"
     taken = {c.lower() for c in docs.columns}
     while name in taken:
         name = f"_{name}"
     keys = dropped.select(F.col("row_key").alias(name)).distinct()
     keyed = docs.withColumn(name, row_key(F.col(id_col).cast("long"), F.col(text_col)))
-    return keyed.join(keys, name, "left_anti").select(*docs.columns)
+    kept = keyed.join(keys, name, "left_anti")
+    if once:  # the join has dealt rows out by this key already
+        kept = kept.dropDuplicates([name])
+    return kept.select(*docs.columns)
