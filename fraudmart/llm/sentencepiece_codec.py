@@ -93,11 +93,8 @@ class Codec:
     def learn(self, segments) -> None:
         """Encodes segments not seen before, as one batch, by both libraries."""
         cache = self.cache
-        new = [s for s in dict.fromkeys(segments) if s not in cache]
-        held = cache.held
-        cache.room(new)
-        if cache.held < held:
-            new = list(dict.fromkeys(segments))
+        new, emptied = cache.missing(segments)
+        if emptied:
             self.differing.clear()
         got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         want = self.check.encode(new, num_threads=1) if new else []

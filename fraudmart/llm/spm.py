@@ -160,10 +160,16 @@ class Cache(dict):
         super().__init__()
         self.limit, self.held = limit, 0
 
-    def room(self, segments) -> None:
-        """Makes room for the segments of the next texts."""
-        size = sum(map(len, segments)) + 8 * len(segments)
-        if self.held + size > self.limit:
+    def missing(self, segments) -> tuple[list[str], bool]:
+        """The distinct segments to compute, in order; was the cache emptied for them?"""
+        distinct = dict.fromkeys(segments)
+        new = [s for s in distinct if s not in self]
+        size = sum(map(len, new)) + 8 * len(new)
+        emptied = bool(new) and self.held + size > self.limit
+        if emptied:
             self.clear()
+            new = list(distinct)
             self.held = 0
+            size = sum(map(len, new)) + 8 * len(new)
         self.held += size
+        return new, emptied

@@ -93,14 +93,8 @@ class Counter:
     def count(self, text: str) -> tuple[int, float]:
         segments = self.cut(spm.normalized(self.model, text))
         cache = self.cache
-        new = {s for s in segments if s not in cache}
-        if new:
-            held = cache.held
-            cache.room(new)
-            if cache.held < held:  # emptied: all segments of this text are new again
-                new = set(segments)
-            for s in new:
-                cache[s] = self.viterbi(s)
+        for s in cache.missing(segments)[0]:
+            cache[s] = self.viterbi(s)
         tokens, total = 0, 0.0
         for s in segments:
             t, v = cache[s]

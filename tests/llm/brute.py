@@ -77,3 +77,32 @@ def suffix(rows, length):
         spans = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
         out.append((d, len(u), sum(gone), spans, sha(bytes(b for b, g in zip(u, gone) if not g))))
     return out
+
+
+def scores(rows, folds=7, fold=2):
+    """{doc_id: (held_out, n_tokens, n_known, train_tokens, base_score)}"""
+    import math
+    from zlib import crc32
+
+    toks = {d: [*words(t, True), b""] for d, t in rows}
+    held = {d: crc32(str(d).encode()) % folds == fold for d, _ in rows}
+    count = Counter(w for d, t in toks.items() if not held[d] for w in t)
+    n, v = sum(count.values()), len(count)
+    return {d: (held[d], len(t), sum(count[w] > 0 for w in t), n,
+                sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t)) for d, t in toks.items()}
+
+
+def shingle_words(text, n=5):
+    import re
+    w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+    return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+
+
+def leaks(docs, items, threshold=.8):
+    out = []
+    sets = [(i, shingle_words(t)) for i, t in items]
+    for d, t in docs:
+        have = shingle_words(t)
+        out += [(d, i, len(s & have), len(s)) for i, s in sets
+                if s and len(s & have) >= threshold * len(s) - 1e-9]
+    return out
