@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.shared import row_key, without, written
+from fraudmart.llm.shared import in_tasks, row_key, without, written
 
 BUCKETS = 1 << 16
 EFFECTIVE = 60.0
@@ -81,7 +81,7 @@ def trigram_table(train: DataFrame) -> DataFrame:
                     yield from out()
         yield from out()
 
-    return (train.select("lang", "text").mapInArrow(run, "lang string, bucket long, n long")
+    return (train.select("lang", "text").transform(in_tasks, run, "lang string, bucket long, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
 
 
@@ -136,7 +136,7 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
                        pa.array(ll, pa.list_(pa.float64()))],
                     names=[*names[:-1], "letters", "ll"])
 
-    return rows.select(*names).mapInArrow(
+    return rows.select(*names).transform(in_tasks,
         run, "id long, row_key long, declared string, suffix string, domain string, "
              "host string, letters long, ll array<double>")
 

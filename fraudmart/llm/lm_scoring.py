@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.shared import documents_view, written
+from fraudmart.llm.shared import documents_view, in_tasks, written
 
 FOLDS, HELD_OUT = 7, 2
 HEAD_CLASSES, TAIL_CLASSES = 72, 54
@@ -85,7 +85,7 @@ def token_table(docs: DataFrame, flush: int = 400_000) -> DataFrame:
         if seen:
             yield out()
 
-    return (docs.select("text").mapInArrow(run, "token string, c long")
+    return (docs.select("text").transform(in_tasks, run, "token string, c long")
             .groupBy("token").agg(F.sum("c").alias("c")))
 
 
@@ -156,7 +156,7 @@ def class_trigrams(docs: DataFrame, key: tuple) -> DataFrame:
             if codes:
                 yield _counted(codes)
 
-    return (docs.select("text").mapInArrow(run, "code long, n long")
+    return (docs.select("text").transform(in_tasks, run, "code long, n long")
             .groupBy("code").agg(F.sum("n").alias("n")))
 
 
@@ -304,7 +304,7 @@ def score(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT, head: int =
     model = LogBilinear().fit(code[order], grams.column("n").to_numpy()[order], steps)
     sizes = class_sizes(counts, known)
 
-    scored = written(d.select("doc_id", "held_out", "text").mapInArrow(
+    scored = written(d.select("doc_id", "held_out", "text").transform(in_tasks,
         _scorer(key, model, sizes),
         "doc_id long, held_out boolean, n_tokens long, known long, logs double, model double, "
         "rare array<string>, times array<long>").withColumn("row", F.monotonically_increasing_id()),

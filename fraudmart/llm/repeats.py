@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.llm import hashing as H
-from fraudmart.llm.shared import documents_view, row_key, written
+from fraudmart.llm.shared import documents_view, in_tasks, row_key, written
 
 #: units of a text as numpy values, their number, and the digest of all that is kept
 Units = Callable[[list[bytes]], list[np.ndarray]]
@@ -75,7 +75,7 @@ def survey(docs: DataFrame, w: Windows, digest) -> DataFrame:
     """Per row ``doc_id, row_key, n_units, whole_sha256`` and the owners' hashes, run by run."""
     d = documents_view(docs).select(
         "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
-    return d.mapInArrow(_surveyor(w, digest), SURVEY)
+    return d.transform(in_tasks, _surveyor(w, digest), SURVEY)
 
 
 def suspects(docs: DataFrame, surveyed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.llm import spm
-from fraudmart.llm.shared import documents_view
+from fraudmart.llm.shared import documents_view, in_tasks
 from fraudmart.llm.token_counts import read_model
 
 
@@ -157,7 +157,7 @@ def encode(docs: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame:
                      pa.array([g[2] for g in got], pa.int64())],
                     names=["doc_id", "n_tokens", "ids", "round_trip", "n_differing"])
 
-    return documents_view(docs).mapInArrow(
+    return documents_view(docs).transform(in_tasks,
         run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean, n_differing long")
 
 
@@ -173,5 +173,5 @@ def decode(encoded: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())],
                                              names=["doc_id", "text"])
 
-    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").transform(in_tasks,
         run, "doc_id long, text string")

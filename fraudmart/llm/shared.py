@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the package's sources to the executors, once per application, so that
+    tasks can import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if app in _SHIPPED or not os.path.isdir(root):  # not a folder: came as --py-files already
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="llm-sources-"), f"fraudmart-{uuid.uuid4().hex}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def in_tasks(df: DataFrame, run, schema: str) -> DataFrame:
+    """``run`` over Arrow batches of each partition (``df.transform(in_tasks, run, schema)``)."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a folder of our own only where
     the session names none (one machine, as in tests)."""

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from fraudmart.llm import hashing as H
 from fraudmart.llm.repeats import Windows, chosen, covered, outcome, survey, suspects
-from fraudmart.llm.shared import written
+from fraudmart.llm.shared import in_tasks, written
 
 WINDOW = 35
 GRAM = 8
@@ -89,14 +89,14 @@ def repeated_words(docs: DataFrame, width: int = WINDOW, gram: int = GRAM) -> Da
     w = Windows(width, gram, H.word_hashes)
     surveyed = written(survey(docs, w, _digest), "substring-survey")
     classes, texts = suspects(docs, surveyed)
-    rows = texts.select("cid", "runs", "text").mapInArrow(
+    rows = texts.select("cid", "runs", "text").transform(in_tasks,
         _window_rows(w), "h1 long, h2 int, cid long, pos int")
     # min() is the place itself where the count is one
     unique = (rows.groupBy("h1", "h2")
               .agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid"), F.min("pos").alias("pos"))
               .where(F.col("n") == 1).groupBy("cid").agg(F.collect_list("pos").alias("unique")))
     judged = written(texts.join(unique, "cid", "left").select("cid", "runs", "text", "unique")
-                     .mapInArrow(_judge(w), "cid long, n_removed long, n_spans long, "
+                     .transform(in_tasks, _judge(w), "cid long, n_removed long, n_spans long, "
                                             "kept_sha256 string, kept_text string"),
                      "substring-judged")
     return outcome(surveyed, classes, judged.drop("kept_text"), width,

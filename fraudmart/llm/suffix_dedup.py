@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from fraudmart.llm import hashing as H
 from fraudmart.llm.repeats import Windows, chosen, covered, outcome, survey, suspects
-from fraudmart.llm.shared import written
+from fraudmart.llm.shared import in_tasks, written
 
 LENGTH = 400
 GRAM = 64
@@ -299,17 +299,17 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT, batch: int = BATCH) -> DataF
     surveyed = written(survey(docs, w, lambda d: sha256(d).hexdigest()), "suffix-survey")
     classes, texts = suspects(docs, surveyed)
     rows = texts.select("cid", "runs", "counts", "text")
-    segments = rows.mapInArrow(_segment_rows(w, hot),
+    segments = rows.transform(in_tasks, _segment_rows(w, hot),
                                "owner long, segment binary, copies long, cid long, pos long")
     cold = (segments.repartition("owner").sortWithinPartitions("owner")
-            .mapInArrow(_sorter(w.width, batch), "cid long, pos long"))
-    counted = rows.where(F.exists("counts", lambda n: n > hot)).mapInArrow(
+            .transform(in_tasks, _sorter(w.width, batch), "cid long, pos long"))
+    counted = rows.where(F.exists("counts", lambda n: n > hot)).transform(in_tasks,
         _hot_rows(w, hot), "h1 long, h2 int, cid long, pos long")
     warm = (counted.groupBy("h1", "h2")
             .agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid"), F.min("pos").alias("pos"))
             .where(F.col("n") == 1).select("cid", "pos"))
     unique = cold.union(warm).groupBy("cid").agg(F.collect_list("pos").alias("unique"))
     judged = written(texts.join(unique, "cid", "left").select("cid", "runs", "text", "unique")
-                     .mapInArrow(_judge(w), "cid long, n_removed long, n_spans long, "
+                     .transform(in_tasks, _judge(w), "cid long, n_removed long, n_spans long, "
                                             "kept_sha256 string, kept binary"), "suffix-judged")
     return outcome(surveyed, classes, judged.drop("kept"), w.width, sha256(b"").hexdigest(), True)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.llm import spm
-from fraudmart.llm.shared import documents_view, row_key
+from fraudmart.llm.shared import documents_view, in_tasks, row_key
 
 UNKNOWN_PENALTY = 10.0
 
@@ -129,4 +129,4 @@ def token_counts(docs: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFr
 
     d = documents_view(docs).select(
         "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
-    return d.mapInArrow(run, "doc_id long, n_tokens long, best_score double, row_key long")
+    return d.transform(in_tasks, run, "doc_id long, n_tokens long, best_score double, row_key long")
