@@ -12,7 +12,7 @@ from typing import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fraudmart.schemas import DELETED_FLAG, LIVE_FLAG, OPEN_DATE
+from fraudmart.schemas import LIVE_FLAG, OPEN_DATE, TXN_TIME_PATTERN
 
 
 def col(c: str | Column) -> Column:
@@ -33,10 +33,6 @@ def is_open(prefix: str = "") -> Column:
     return F.col(f"{prefix}effective_to") == F.lit(OPEN_DATE)
 
 
-def is_deleted(prefix: str = "") -> Column:
-    return F.col(f"{prefix}deleted_flg") == F.lit(DELETED_FLAG)
-
-
 def is_live(prefix: str = "") -> Column:
     return F.col(f"{prefix}deleted_flg") == F.lit(LIVE_FLAG)
 
@@ -68,8 +64,10 @@ def parse_amount(c: str | Column) -> Column:
 
 
 def parse_timestamp(c: str | Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text → zone-less timestamp; unparsable → NULL."""
-    return _try_cast(F.trim(col(c)), "timestamp_ntz")
+    """``yyyy-MM-dd HH:mm:ss`` text (a fraction may follow, as typed files have it)
+    → zone-less timestamp; anything else, a partial date too → NULL."""
+    text = F.trim(col(c))
+    return F.when(text.rlike(TXN_TIME_PATTERN), _try_cast(text, "timestamp_ntz"))
 
 
 def parse_date(c: str | Column) -> Column:
@@ -100,10 +98,5 @@ def round_to_second(c: str | Column) -> Column:
                                 F.second(s))
 
 
-def day_index(ts: str | Column) -> Column:
-    """Days since 1970-01-01 of a timestamp's date (NULL stays NULL)."""
-    return F.unix_date(F.to_date(col(ts)))
-
-
 def all_of(conds: Iterable[Column]) -> Column:
     return reduce(lambda x, y: x & y, conds)

@@ -27,12 +27,6 @@ def init_watermarks(spark: SparkSession, sources=DEFAULT_SOURCES) -> DataFrame:
     return spark.createDataFrame(rows, WATERMARKS)
 
 
-def ensure_watermarks(ctrl: DataFrame | None, spark: SparkSession,
-                      sources=DEFAULT_SOURCES) -> DataFrame:
-    """Create the control table only when it does not exist yet."""
-    return ctrl if ctrl is not None else init_watermarks(spark, sources)
-
-
 def advance_watermark(ctrl: DataFrame, batch: DataFrame, table_name: str,
                       create_col: str | None = "create_dt", update_col: str = "update_dt",
                       monotone: bool = True) -> DataFrame:

@@ -2,11 +2,12 @@
 
 Order (as the source system, with the archive step folded into the commit):
 stage → key snapshots → SCD2 (new, changed, deleted) → facts → watermarks →
-report → ledger of consumed files → manifest (the commit). Relational
-batches are staged (written once, read back), so every later step of the run
-sees the same extract even when the source is a live database.
+report → ledger of consumed files → manifest (the commit). Relational batches,
+their key snapshots and parsed drops are staged (written once, read back), so
+every later step of the run sees the same rows even when the source is a live
+database, and a drop is parsed once.
 
-Every step is a lazy DataFrame; the only values that reach the driver are
+Between these tables every step is a lazy DataFrame; the only values that reach the driver are
 the watermarks (one row per source), the list of unseen drop file names and
 the manifest's list of part directories. Each table is written once per run
 into its own new directory and read back from there by later steps, which
@@ -47,6 +48,12 @@ DATE_PARTITIONS = {
 }
 
 
+#: What became of each kind of drop in a run
+RUN_STATUS = T.StructType([
+    T.StructField("kind", T.StringType()), T.StructField("n_files", T.IntegerType()),
+    T.StructField("status", T.StringType()), T.StructField("run_id", T.StringType())])
+
+
 @dataclass
 class Sources:
     """Inputs of one run. Relational sources are DataFrames with the source
@@ -76,6 +83,7 @@ class Options:
     report_include_type: bool = False
     overlap_days: int = 0                      # re-read a few days behind the watermark (Q5)
     report_copies: str = "keep"                # 'collapse' for batches with many repeats
+    report_bucket_seconds: int = 86_400        # how finely a hot card is split (divides a day)
     report_since: _dt.date | None = None       # None: every event of all history (source system)
     drop_separator: dict = field(default_factory=lambda: {
         DROP_TERMINALS: ",", DROP_BLACKLIST: ",", DROP_TRANSACTIONS: ";"})
@@ -134,9 +142,18 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     ctrl = (read_table(store, "watermarks", WATERMARKS, m) if "watermarks" in m.parts
             else watermarks.init_watermarks(spark))
     ledger = read_table(store, "file_ledger", drops.LEDGER, m) if "file_ledger" in m.parts else None
-    files = {k: (drops.unseen_files(spark, sources.landing, k, ledger) if sources.landing else [])
-             for k in drops.KINDS}
+    handed = {DROP_TERMINALS: sources.terminals_drop, DROP_BLACKLIST: sources.blacklist_drop,
+              DROP_TRANSACTIONS: sources.transactions_drop}
+    # a kind that is handed in is not read from the landing folder: its files stay unseen
+    files = {k: (drops.unseen_files(spark, sources.landing, k, ledger)
+                 if sources.landing and handed[k] is None else []) for k in drops.KINDS}
     sep = opt.drop_separator
+
+    def staged(name: str, df: DataFrame) -> DataFrame:
+        """K2: written once and read back from this run's own folder."""
+        part = store.write(f"stage_{name}", run_id, df)
+        parts[f"stage_{name}"] = [part]
+        return store.read(f"stage_{name}", df.schema, m, parts=[part])
     term = (drops.parse_terminals(sources.terminals_drop, run_date)
             if sources.terminals_drop is not None else
             drops.read_terminals(spark, files[DROP_TERMINALS], run_date, sep[DROP_TERMINALS]))
@@ -146,22 +163,21 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     tx_raw = (drops.parse_transactions(sources.transactions_drop)
               if sources.transactions_drop is not None else
               drops.read_transactions(spark, files[DROP_TRANSACTIONS]))
+    bl_raw, tx_raw = staged("passport_blacklist", bl_raw), staged("transactions", tx_raw)
 
     stage: dict[str, DataFrame | None] = {}
     keys: dict[str, DataFrame | None] = {}
     if term is not None:
+        term = staged("terminals", term)
         stage["terminals"] = (drops.with_file_order(drops.good(term))
                               if "_file_time" in term.columns else drops.good(term))
-        keys["terminals"] = stage["terminals"].select("terminal_id")  # same read as the stage
+        keys["terminals"] = drops.terminal_keys(term)
     for name in ("cards", "accounts", "clients"):
         src = getattr(sources, name)
         if src is not None:
-            extracted, keys[name] = _relational_stage(src, name, ctrl, opt.overlap_days)
-            # K2: the batch is written once and read back, so SCD2 and the
-            # watermark see the same rows even if the live source moves on
-            part = store.write(f"stage_{name}", run_id, extracted)
-            parts[f"stage_{name}"] = [part]
-            stage[name] = store.read(f"stage_{name}", extracted.schema, m, parts=[part])
+            extracted, snapshot = _relational_stage(src, name, ctrl, opt.overlap_days)
+            stage[name] = staged(name, extracted)
+            keys[name] = staged(f"{name}_keys", snapshot)
 
     # --- SCD2 per dimension: one shuffle each, write open + newly closed ----
     for name, spec in DIMENSIONS.items():
@@ -171,8 +187,10 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
         if st is None:
             dates = {c: F.lit(None).cast("date") for c in (spec.new_from, spec.change_from)}
             st = hist.limit(0).select(*spec.columns).withColumns(dates)
-        touched = scd2.scd2_touched(hist, st, spec, run_date, keys.get(name),
-                                    opt.missing_snapshot, opt.null_update)
+        # only the terminal drop can be "missing as empty"; databases are read or not
+        missing = opt.missing_snapshot if name == "terminals" else "skip"
+        touched = scd2.scd2_touched(hist, st, spec, run_date, keys.get(name), missing,
+                                    opt.null_update)
         out = touched.drop("change").withColumn(
             "slice", F.when(is_open(), F.lit("open")).otherwise(F.lit("closed")))
         parts.setdefault(table, []).append(
@@ -189,7 +207,9 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     tx_new = facts.append_transactions(drops.good(tx_raw).select(*TRANSACTIONS.fieldNames()),
                                        tx_fact, opt.txn_dedupe)
     parts.setdefault("fact_transactions", []).append(store.write(
-        "fact_transactions", run_id, tx_new.withColumn("trans_dt", F.to_date("trans_date")),
+        "fact_transactions", run_id,
+        # one day's rows meet in few files; AQE splits a day that is too large for one task
+        tx_new.withColumn("trans_dt", F.to_date("trans_date")).hint("rebalance", "trans_dt"),
         partition_by=["trans_dt"]))
 
     # --- watermarks (M1; terminals: update only, never read back — M2) -------
@@ -211,7 +231,8 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
                               txns.drop("trans_dt"), dims["terminals"], run_date,
                               history=opt.history)
     events = rules.fraud_events(ctx, read_table(store, "fact_passport_blacklist", BLACKLIST, now),
-                                copies=opt.report_copies, since=opt.report_since)
+                                copies=opt.report_copies, since=opt.report_since,
+                                bucket_seconds=opt.report_bucket_seconds)
     existing = read_table(store, "fraud_report", FRAUD_REPORT, m)
     new_rows = report.append_report(events, existing, run_date, opt.report_include_type)
     parts.setdefault("fraud_report", []).append(
@@ -229,6 +250,10 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
         if stage.get(name) is not None:
             bad.append(scd2.quarantine_keys(stage[name], DIMENSIONS[name]).select(
                 F.lit(name).alias("kind"), F.to_json(F.struct("*")).alias("row")))
+    for name, st in stage.items():                  # Q19: rows that lost to another of their key
+        if st is not None:
+            bad.append(scd2.duplicate_stage_rows(st, DIMENSIONS[name]).select(
+                F.lit(f"{name}:duplicate_key").alias("kind"), F.to_json(F.struct("*")).alias("row")))
     quarantined = bad[0]
     for b in bad[1:]:
         quarantined = quarantined.unionByName(b)
@@ -236,7 +261,11 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
     consumed = [(p.rsplit("/", 1)[-1], k, run_id) for k, ps in files.items() for p in ps]
     parts.setdefault("file_ledger", []).append(
         store.write("file_ledger", run_id, spark.createDataFrame(consumed, drops.LEDGER)))
-    store.publish(run_id, parts)
+    status = [(k, len(files[k]), "handed in" if handed[k] is not None else
+               "read" if files[k] else "missing", run_id) for k in drops.KINDS]
+    parts.setdefault("run_status", []).append(
+        store.write("run_status", run_id, spark.createDataFrame(status, RUN_STATUS)))
+    store.publish(run_id, parts, expected=m.run_id)
     return RunResult(run_id, parts, files)
 
 
@@ -250,4 +279,5 @@ def read_state(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     out["fraud_report"] = read_table(store, "fraud_report", FRAUD_REPORT, m)
     out["watermarks"] = read_table(store, "watermarks", WATERMARKS, m)
     out["file_ledger"] = read_table(store, "file_ledger", drops.LEDGER, m)
+    out["run_status"] = read_table(store, "run_status", RUN_STATUS, m)
     return out

@@ -6,7 +6,7 @@ Layout under ``root`` (any Hadoop-compatible shared path)::
     _manifests/run_id=<run>/part-*.json one row per live part of every table
 
 A run writes only *new* directories (never overwrites a path it reads), then
-writes its manifest last. Readers take the newest manifest, so a run is
+writes its manifest last. Readers take the newest manifest (found by its name), so a run is
 visible as a whole or not at all, a crashed run leaves the previous state
 served, and re-running the same ``run_id`` simply rewrites its own parts.
 
@@ -26,12 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MANIFESTS = "_manifests"
-# One row per live part; the run id is the directory's partition value.
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("table", T.StringType()),
-    T.StructField("part", T.StringType()),
-    T.StructField("run_id", T.StringType()),
-])
 
 
 @dataclass
@@ -39,9 +33,6 @@ class Manifest:
     run_id: str | None
     parts: dict[str, list[str]] = field(default_factory=dict)
 
-    def tables(self) -> list[str]:
-        return sorted(self.parts)
-
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -49,9 +40,13 @@ class Store:
         self.root = root.rstrip("/")
 
     # --- manifests -------------------------------------------------------------
-    def _manifest_rows(self) -> DataFrame | None:
+    def _newest_run(self) -> str | None:
+        """Newest published run id, from file names only (``_SUCCESS`` marks a
+        manifest that was written whole); no manifest is read for it."""
         try:
-            return self.spark.read.schema(MANIFEST_SCHEMA).json(f"{self.root}/{MANIFESTS}")
+            names = (self.spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+                     .option("recursiveFileLookup", True).load(f"{self.root}/{MANIFESTS}"))
+            return names.agg(F.max(F.regexp_extract("path", r"run_id=([^/]+)/", 1))).first()[0]
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
                 return None
@@ -60,19 +55,22 @@ class Store:
     def latest(self) -> Manifest:
         """The newest published manifest (its rows are a bounded list of
         part directories, the only store metadata read on the driver)."""
-        rows = self._manifest_rows()
-        if rows is None:
-            return Manifest(None)
-        last = rows.agg(F.max("run_id")).first()[0]
+        last = self._newest_run()
         if last is None:
             return Manifest(None)
+        rows = self.spark.read.schema("table string, part string").json(
+            f"{self.root}/{MANIFESTS}/run_id={last}")
         parts: dict[str, list[str]] = {}
-        for r in rows.where(F.col("run_id") == last).select("table", "part").collect():
+        for r in rows.collect():
             parts.setdefault(r.table, []).append(r.part)
         return Manifest(last, {t: sorted(p) for t, p in parts.items()})
 
-    def publish(self, run_id: str, parts: dict[str, list[str]]) -> None:
-        """Write the manifest of ``run_id`` — the commit point of the run."""
+    def publish(self, run_id: str, parts: dict[str, list[str]],
+                expected: str | None = None) -> None:
+        """Write the manifest of ``run_id`` — the commit point of the run. Refused when
+        another run was published since ``expected``, the state that this one read."""
+        if self._newest_run() != expected:
+            raise RuntimeError(f"another run was published after {expected!r}; run again")
         rows = [(t, p) for t, ps in sorted(parts.items()) for p in ps]
         (self.spark.createDataFrame(rows, "table string, part string").coalesce(1)
          .write.mode("overwrite").json(f"{self.root}/{MANIFESTS}/run_id={run_id}"))

@@ -36,6 +36,7 @@ AMOUNT_GUESS_LIMIT = "20 minutes"
 AMOUNT_GUESS_REJECTS = 3
 # Timestamp format of the transactions drop; field separator; decimal comma.
 TXN_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TXN_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 TXN_SEPARATOR = ";"
 # Declared text lengths of the target tables (VARCHAR(n) / CHAR(n)); a longer
 # value would be rejected by the target, so the row goes to quarantine.
@@ -83,7 +84,6 @@ FRAUD_REPORT = _struct(
     ("report_dt", D),
 )
 # Raw drops: every column arrives as text and is typed by the parsers.
-TERMINALS_DROP_COLUMNS = ("terminal_id", "terminal_type", "terminal_city", "terminal_address")
 BLACKLIST_DROP_COLUMNS = ("date", "passport")
 TRANSACTIONS_DROP_COLUMNS = (
     "transaction_id", "transaction_date", "amount", "card_num", "oper_type", "oper_result",

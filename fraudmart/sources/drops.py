@@ -7,9 +7,10 @@ transactions) read as DataFrames.
 * A file whose name is already in the ledger is skipped (S10) — for all three
   kinds, not just terminals.
 * A missing drop gives an empty, correctly typed DataFrame (S11).
-* Columns are taken by header name, in any order, and everything is read as
-  text first: ids keep leading zeros, a decimal comma parses, and a row whose
-  value does not parse is routed to quarantine instead of failing the job.
+* Columns are taken by each file's own header, in any order, and everything is
+  read as text first: ids keep leading zeros, a decimal comma parses, and a row
+  whose value does not parse, or with more or fewer fields than its header, is
+  routed to quarantine instead of failing the job.
 """
 
 from __future__ import annotations
@@ -59,6 +60,8 @@ def unseen_files(spark: SparkSession, landing: str, kind: str,
     return [r.path for r in files.orderBy("modificationTime", "file_name").collect()]
 
 
+#: the whole line of a text row whose number of fields is not its header's
+MALFORMED = "_malformed"
 FORMATS = {".parquet": "parquet", ".json": "json", ".jsonl": "json"}   # anything else: text
 
 
@@ -67,20 +70,27 @@ def drop_format(path: str) -> str:
     return next((f for ext, f in FORMATS.items() if name.endswith(ext)), "csv")
 
 
-def _read_text(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
+def _read_text(spark: SparkSession, paths: list[str], sep: str) -> DataFrame | None:
     """Named string columns plus the source file name and order.
 
-    Text drops (CSV, any extension) take column names from the header; Parquet
-    and JSON drops keep their own names and every value is read as text, so
-    all formats go through the same parsers (and the same quarantine)."""
-    by_format: dict[str, list[str]] = {}
+    Text drops (CSV, any extension) take column names from their own header:
+    files are read together only where their headers are equal. Parquet and
+    JSON drops keep their own names and every value is read as text, so all
+    formats go through the same parsers (and the same quarantine)."""
+    groups: dict[tuple, list[str]] = {}
     for p in paths:
-        by_format.setdefault(drop_format(p), []).append(p)
+        fmt = drop_format(p)
+        header = csv_header(spark, p, sep) if fmt == "csv" else ()
+        groups.setdefault((fmt, header), []).append(p)
     frames = []
-    for fmt, ps in sorted(by_format.items()):
+    for (fmt, header), ps in sorted(groups.items()):
         if fmt == "csv":
-            df = (spark.read.option("header", True).option("sep", sep)
-                  .option("inferSchema", False).csv(ps))
+            if not header:      # an empty file has no header and no rows
+                continue
+            schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, MALFORMED)])
+            df = (spark.read.schema(schema).option("header", True).option("sep", sep)
+                  .option("enforceSchema", False).option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", MALFORMED).csv(ps))
         elif fmt == "json":
             df = spark.read.option("primitivesAsString", True).json(ps)
         else:
@@ -89,12 +99,20 @@ def _read_text(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
                        F.col("_metadata.file_name").alias("_file"),
                        F.col("_metadata.file_modification_time").alias("_file_time"))
         frames.append(df)
+    if not frames:
+        return None
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
 
+def csv_header(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
+    """Column names of one text drop (reads its first line)."""
+    first = spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
+    return tuple(first.csv(path).columns)
+
+
 def _empty_with_error(spark: SparkSession, schema: T.StructType) -> DataFrame:
     # a new StructType: StructType.add would change the shared schema constant
     fields = list(schema.fields) + [T.StructField("_error", T.StringType())]
@@ -114,6 +132,14 @@ def _too_long(cols: dict[str, Column]) -> Column:
     return err
 
 
+def _malformed(raw: DataFrame) -> Column:
+    return F.col(MALFORMED).isNotNull() if MALFORMED in raw.columns else F.lit(False)
+
+
+def _kept_columns(raw: DataFrame) -> list[str]:
+    return [c for c in ("_file", "_file_time", MALFORMED) if c in raw.columns]
+
+
 def parse_transactions(raw: DataFrame) -> DataFrame:
     """Drop columns (any order, all text) → fact columns; ``_error`` names the
     first field that did not parse (NULL for a clean row)."""
@@ -122,10 +148,10 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
     text = {"trans_id": F.trim("transaction_id"), "card_num": clean_key(F.trim("card_num")),
             "oper_type": F.trim("oper_type"), "oper_result": F.trim("oper_result"),
             "terminal": F.trim("terminal")}
-    err = (_too_long(text)
+    err = (F.when(_malformed(raw), F.lit("fields")).otherwise(_too_long(text)
            .when(F.col("amount").isNotNull() & amt.isNull(), F.lit("amount"))
-           .when(F.col("transaction_date").isNotNull() & ts.isNull(), F.lit("transaction_date")))
-    extra = [c for c in ("_file", "_file_time") if c in raw.columns]
+           .when(F.col("transaction_date").isNotNull() & ts.isNull(), F.lit("transaction_date"))))
+    extra = _kept_columns(raw)
     return raw.select(
         text["trans_id"].alias("trans_id"), ts.alias("trans_date"),
         text["card_num"].alias("card_num"), text["oper_type"].alias("oper_type"),
@@ -139,19 +165,21 @@ def parse_blacklist(raw: DataFrame) -> DataFrame:
     """``date``, ``passport`` (by name) → ``passport_num``, ``entry_dt``."""
     d = parse_date("date")
     passport = F.trim("passport")
-    err = (_too_long({"passport_num": passport})
-           .when(F.col("date").isNotNull() & d.isNull(), F.lit("date")))
-    extra = [c for c in ("_file", "_file_time") if c in raw.columns]
+    err = (F.when(_malformed(raw), F.lit("fields"))
+           .otherwise(_too_long({"passport_num": passport})
+                      .when(F.col("date").isNotNull() & d.isNull(), F.lit("date"))))
+    extra = _kept_columns(raw)
     return raw.select(passport.alias("passport_num"), d.alias("entry_dt"),
                       err.alias("_error"), *extra)
 
 
 def parse_terminals(raw: DataFrame, load_date: _dt.date) -> DataFrame:
     """Terminal snapshot; the load date becomes ``update_dt``."""
-    extra = [c for c in ("_file", "_file_time") if c in raw.columns]
+    extra = _kept_columns(raw)
     text = {c: F.trim(c) for c in ("terminal_id", "terminal_type", "terminal_city",
                                    "terminal_address")}
-    err = _too_long(text).when(text["terminal_id"].isNull(), F.lit("terminal_id"))
+    err = (F.when(_malformed(raw), F.lit("fields"))
+           .otherwise(_too_long(text).when(text["terminal_id"].isNull(), F.lit("terminal_id"))))
     return raw.select(
         *[v.alias(k) for k, v in text.items()],
         F.lit(load_date).alias("update_dt"),
@@ -159,8 +187,14 @@ def parse_terminals(raw: DataFrame, load_date: _dt.date) -> DataFrame:
     )
 
 
+def terminal_keys(parsed: DataFrame) -> DataFrame:
+    """The key snapshot: every terminal that the file names, whatever its other
+    columns hold. A row in quarantine still says that its terminal exists."""
+    return parsed.where(F.col("terminal_id").isNotNull()).select("terminal_id").distinct()
+
+
 def good(df: DataFrame) -> DataFrame:
-    return df.where(F.col("_error").isNull()).drop("_error")
+    return df.where(F.col("_error").isNull()).drop("_error", MALFORMED)
 
 
 def quarantine(df: DataFrame) -> DataFrame:
@@ -170,24 +204,21 @@ def quarantine(df: DataFrame) -> DataFrame:
 # --- readers -------------------------------------------------------------------
 
 def read_transactions(spark: SparkSession, paths: list[str]) -> DataFrame:
-    if not paths:
-        return _empty_with_error(spark, TRANSACTIONS)
-    return parse_transactions(_read_text(spark, paths, TXN_SEPARATOR))
+    raw = _read_text(spark, paths, TXN_SEPARATOR)
+    return _empty_with_error(spark, TRANSACTIONS) if raw is None else parse_transactions(raw)
 
 
 def read_blacklist(spark: SparkSession, paths: list[str], sep: str = ",") -> DataFrame:
-    if not paths:
-        return _empty_with_error(spark, BLACKLIST)
-    return parse_blacklist(_read_text(spark, paths, sep))
+    raw = _read_text(spark, paths, sep)
+    return _empty_with_error(spark, BLACKLIST) if raw is None else parse_blacklist(raw)
 
 
 def read_terminals(spark: SparkSession, paths: list[str], load_date: _dt.date,
                    sep: str = ",") -> DataFrame | None:
     """Full terminal snapshot, or None when no file arrived (so deletion
     detection can tell "no snapshot" from "empty snapshot")."""
-    if not paths:
-        return None
-    return parse_terminals(_read_text(spark, paths, sep), load_date)
+    raw = _read_text(spark, paths, sep)
+    return None if raw is None else parse_terminals(raw, load_date)
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
