@@ -20,9 +20,9 @@ Two forms are provided:
 
 Stage input: key, attributes, and the columns named by the ``DimSpec``
 (``create_dt``/``update_dt`` or, for full snapshots, ``update_dt`` = load
-date). An optional ``_seq`` column orders duplicate stage keys (the highest
-wins); without it, ties fall back to the largest attribute tuple, which is
-still deterministic.
+date). Of duplicate stage keys the row with the highest ``_seq`` (an optional
+column), then the latest update, then the latest creation wins; full ties fall
+back to the largest attribute tuple. ``duplicate_stage_rows`` lists the others.
 """
 
 from __future__ import annotations
@@ -123,6 +123,22 @@ def scd2_close_deleted(hist: DataFrame, keys: DataFrame, spec: DimSpec,
         day_before(F.lit(run_date)), F.col("deleted_flg")))
 
 
+def _precedence(stage: DataFrame, spec: DimSpec) -> list[Column]:
+    """What decides between rows of one stage key, the greatest first (NULL is least)."""
+    seq = F.col("_seq") if "_seq" in stage.columns else F.lit(0)
+    return [seq.alias("seq"), F.col(spec.change_from).alias("updated"),
+            F.col(spec.new_from).alias("created")]
+
+
+def duplicate_stage_rows(stage: DataFrame, spec: DimSpec) -> DataFrame:
+    """Stage rows that lose to another row of their key (equal rows are no loss)."""
+    ranked = stage.where(F.col(spec.key).isNotNull()).withColumn(
+        "_rank", F.struct(*_precedence(stage, spec), *[F.col(a) for a in spec.attrs]))
+    best = ranked.groupBy(spec.key).agg(F.max("_rank").alias("_best"))
+    return (ranked.join(best, spec.key).where(~F.col("_rank").eqNullSafe(F.col("_best")))
+            .drop("_rank", "_best"))
+
+
 # --- the whole day in one shuffle ---------------------------------------------
 
 def scd2_touched(hist: DataFrame, stage: DataFrame, spec: DimSpec, run_date: _dt.date,
@@ -133,13 +149,12 @@ def scd2_touched(hist: DataFrame, stage: DataFrame, spec: DimSpec, run_date: _dt
     unchanged|new|changed|restored|deleted (for run statistics).
 
     Stage rows with a NULL key are ignored here (see ``quarantine_keys``);
-    duplicate stage keys collapse to one (highest ``_seq``, then attributes).
+    duplicate stage keys collapse to one (see the module's text).
     """
     if missing_snapshot not in MISSING_SNAPSHOT_POLICIES:
         raise ValueError(f"missing_snapshot must be one of {MISSING_SNAPSHOT_POLICIES}")
     key, attrs = spec.key, list(spec.attrs)
-    seq = F.col("_seq") if "_seq" in stage.columns else F.lit(0)
-    s_struct = F.struct(seq.alias("seq"), *[F.col(a) for a in attrs],
+    s_struct = F.struct(*_precedence(stage, spec), *[F.col(a) for a in attrs],
                         F.col(spec.new_from).alias("nf"),
                         _change_from(spec, null_update).alias("cf"))
     h_struct = F.struct(*[F.col(a) for a in attrs], F.col("effective_from").alias("hf"),
@@ -232,5 +247,5 @@ def quarantine_keys(stage: DataFrame, spec: DimSpec) -> DataFrame:
 
 __all__ = [
     "scd2_new", "scd2_changed", "scd2_resurrected", "scd2_closed", "scd2_tombstones",
-    "scd2_close_deleted", "scd2_touched", "scd2_apply", "quarantine_keys",
+    "scd2_close_deleted", "scd2_touched", "scd2_apply", "quarantine_keys", "duplicate_stage_rows",
 ]

@@ -23,10 +23,11 @@ def ts(s):
 
 
 def world(spark, txns, passport_valid_to=dt.date(2030, 1, 1), account_valid_to=dt.date(2030, 1, 1),
-          blacklist=(), terminals=(("T1", "MOSCOW"), ("T2", "KAZAN"), ("T3", "MOSCOW"))):
+          blacklist=(), terminals=(("T1", "MOSCOW"), ("T2", "KAZAN"), ("T3", "MOSCOW")),
+          patronymic="Ivanovich"):
     """One client/account/card and the given transactions
     (id, time, oper_type, amount, result, terminal)."""
-    cl = spark.createDataFrame([("C1", "Ivanov", "Ivan", "Ivanovich", dt.date(1980, 1, 1), "P1",
+    cl = spark.createDataFrame([("C1", "Ivanov", "Ivan", patronymic, dt.date(1980, 1, 1), "P1",
                                  passport_valid_to, "+7900", D0, OPEN_DATE, "N")], CLIENTS_HIST)
     ac = spark.createDataFrame([("A1", account_valid_to, "C1", D0, OPEN_DATE, "N")], ACCOUNTS_HIST)
     ca = spark.createDataFrame([("K1", "A1", D0, OPEN_DATE, "N")], CARDS_HIST)
@@ -132,6 +133,20 @@ def test_fraud_events_one_operation_several_types(spark):
 def test_null_patronymic_makes_fio_null(spark):
     ctx, _ = world(spark, [("1", "2024-01-11 10:00:00", "PAYMENT", 5, "SUCCESS", "T1")])
     assert ctx.first().fio == "Ivanov Ivan Ivanovich"
+    ctx, _ = world(spark, [("1", "2024-01-11 10:00:00", "PAYMENT", 5, "SUCCESS", "T1")],
+                   patronymic=None)
+    assert ctx.first().fio is None
+
+
+def test_latest_update_wins_between_rows_of_one_stage_key(spark):
+    h = spark.createDataFrame([], "k string, a string, b string, effective_from date, "
+                                  "effective_to date, deleted_flg string")
+    rows = [("k", "Z-old", "x", dt.date(2024, 1, 2)), ("k", "A-new", "x", dt.date(2024, 1, 9)),
+            ("k", "A-new", "x", dt.date(2024, 1, 9))]
+    s = spark.createDataFrame(rows, "k string, a string, b string, update_dt date")
+    got = scd2.scd2_apply(h, s, SPEC, dt.date(2024, 1, 10)).collect()
+    assert [(r.a, r.effective_from) for r in got] == [("A-new", dt.date(2024, 1, 9))]
+    assert [r.a for r in scd2.duplicate_stage_rows(s, SPEC).collect()] == ["Z-old"]
 
 
 # --- SCD2 ------------------------------------------------------------------------
