@@ -21,15 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import full_name
-from fraudmart.plans.sizing import checked_broadcast
-
-CONTEXT_COLUMNS = (
-    "trans_date", "passport", "fio", "phone", "report_dt", "passport_valid_to", "client_id",
-    "card_num", "ac_valid_to", "trans_id", "oper_type", "amt", "oper_result", "terminal_id",
-    "terminal_city",
-)
-# Tie-break helper carried for a reproducible window order.
-ORDER_HELPERS = ("te_effective_from",)
 
 HISTORY_MODES = ("all", "as_of")
 
@@ -68,7 +59,7 @@ def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
 
 def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
                         transactions: DataFrame, terminals: DataFrame, run_date: _dt.date,
-                        history: str = "all", broadcast_rows: int = 1_000_000) -> DataFrame:
+                        history: str = "all") -> DataFrame:
     """Join every transaction to its card owner and terminal.
 
     ``history='all'`` joins every version of every dimension, as the source
@@ -88,12 +79,12 @@ def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFram
     day = F.to_date("trans_date")
     if history == "all":
         ctx = tr.join(owners, "card_num")
-        ctx = ctx.join(checked_broadcast(te, broadcast_rows),
+        ctx = ctx.join(te,
                        F.col("terminal") == F.col("terminal_id"), "left")
     else:
         ctx = tr.join(owners, (tr.card_num == owners.card_num)
                       & day.between(owners.own_from, owners.own_to)).drop(owners.card_num)
-        ctx = ctx.join(checked_broadcast(te, broadcast_rows),
+        ctx = ctx.join(te,
                        (F.col("terminal") == F.col("terminal_id"))
                        & day.between(F.col("te_effective_from"), F.col("te_to")), "left")
     return ctx.select(

@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import all_of, ntz_lit, within
-from fraudmart.operators.sequence import collapse_copies, reach_seconds, rule_frame
-from fraudmart.plans.sizing import checked_broadcast
+from fraudmart.operators.sequence import DAY_SECONDS, collapse_copies, reach_seconds, rule_frame
 from fraudmart.schemas import (
     AMOUNT_GUESS_LIMIT, DEPOSIT, EVENT_AMOUNT_GUESS, EVENT_CONTRACT, EVENT_PASSPORT,
     EVENT_TWO_CITIES, REJECT, SUCCESS, TWO_CITIES_LIMIT,
@@ -39,11 +38,9 @@ def blacklist_first_entry(blacklist: DataFrame) -> DataFrame:
             .groupBy("passport_num").agg(F.min("entry_dt").alias("first_entry")))
 
 
-def with_blacklist(ctx: DataFrame, blacklist: DataFrame,
-                   broadcast_rows: int = 1_000_000) -> DataFrame:
-    # one row per passport: never more rows than the blacklist itself
-    first = checked_broadcast(blacklist_first_entry(blacklist), broadcast_rows,
-                              bounded_by=blacklist)
+def with_blacklist(ctx: DataFrame, blacklist: DataFrame) -> DataFrame:
+    """Adds ``first_entry``; one row per passport, so no row is repeated."""
+    first = blacklist_first_entry(blacklist)
     return (ctx.join(first, ctx.passport == first.passport_num, "left")
             .drop("passport_num"))
 
@@ -92,9 +89,8 @@ def _events(df: DataFrame, event_type: str) -> DataFrame:
                      F.lit(event_type).alias("event_type"), "report_dt")
 
 
-def rule_passport(ctx: DataFrame, blacklist: DataFrame, broadcast_rows: int = 1_000_000):
-    return _events(with_blacklist(ctx, blacklist, broadcast_rows).where(passport_condition()),
-                   EVENT_PASSPORT)
+def rule_passport(ctx: DataFrame, blacklist: DataFrame) -> DataFrame:
+    return _events(with_blacklist(ctx, blacklist).where(passport_condition()), EVENT_PASSPORT)
 
 
 def rule_contract_expired(ctx: DataFrame) -> DataFrame:
@@ -111,34 +107,36 @@ def two_cities_events(frame: DataFrame) -> DataFrame:
                     F.lit(EVENT_TWO_CITIES).alias("event_type"), "report_dt"))
 
 
-def rule_two_cities(ctx: DataFrame, within_limit: str = TWO_CITIES_LIMIT) -> DataFrame:
-    return two_cities_events(rule_frame(ctx, lead_reach=within_limit))
+def rule_two_cities(ctx: DataFrame, within_limit: str = TWO_CITIES_LIMIT,
+                    bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+    return two_cities_events(rule_frame(ctx, lead_reach=within_limit, bucket_seconds=bucket_seconds))
 
 
-def rule_amount_guessing(ctx: DataFrame, within_limit: str = AMOUNT_GUESS_LIMIT) -> DataFrame:
-    frame = rule_frame(ctx, lag_reach=within_limit)
+def rule_amount_guessing(ctx: DataFrame, within_limit: str = AMOUNT_GUESS_LIMIT,
+                         bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+    frame = rule_frame(ctx, lag_reach=within_limit, bucket_seconds=bucket_seconds)
     return _events(frame.where(amount_guess_condition(within_limit)), EVENT_AMOUNT_GUESS)
 
 
 def fraud_events(ctx: DataFrame, blacklist: DataFrame,
                  two_cities_limit: str = TWO_CITIES_LIMIT,
                  amount_guess_limit: str = AMOUNT_GUESS_LIMIT,
-                 broadcast_rows: int = 1_000_000, copies: str = "keep",
-                 since: _dt.datetime | None = None) -> DataFrame:
+                 copies: str = "keep", since: _dt.datetime | None = None,
+                 bucket_seconds: int = DAY_SECONDS) -> DataFrame:
     """All four rules, bag union (an operation can raise several types).
 
     One frame and one bitmask of verdicts per operation (rule 3 marks a
-    candidate). Both consumers — the per-operation explode and the rule-3
-    aggregate — read that same column, so their plans below it are identical
-    and the context join and the card/day shuffle run once (the second
-    consumer reuses the exchange).
+    candidate). The few operations with a verdict are dealt out once, by owner
+    and day; both consumers — the per-operation explode and the rule-3
+    aggregate — read that exchange, so all below it, windows included, runs once.
 
     ``copies='collapse'`` is for input where one operation may be repeated
     very many times: rules 1 and 2 (one event per operation, repeats
     included) are read from the context directly, rules 3 and 4 from a frame
-    over collapsed copies. It costs a second pass over the context (written
-    once to the checkpoint folder when the session has one), so it is not
-    the default.
+    over collapsed copies. It costs a second pass over the context, so it is
+    not the default; a caller with a long context writes it out first.
+
+    ``bucket_seconds`` (a divisor of the day) sets how finely a hot card is split.
 
     ``since``: only events at or after that time — exactly the full result
     filtered on ``event_dt``, but reading operations from ``since`` minus the
@@ -150,13 +148,15 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
             else since
         start = since - _dt.timedelta(seconds=reach_seconds(amount_guess_limit))
         events = fraud_events(ctx.where(F.col("trans_date") >= ntz_lit(start)), blacklist,
-                              two_cities_limit, amount_guess_limit, broadcast_rows, copies)
+                              two_cities_limit, amount_guess_limit, copies,
+                              bucket_seconds=bucket_seconds)
         return events.where(F.col("event_dt") >= ntz_lit(since))
     if copies == "collapse":
         return _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
-                                       broadcast_rows)
-    frame = rule_frame(ctx, lead_reach=two_cities_limit, lag_reach=amount_guess_limit)
-    flagged = with_blacklist(frame, blacklist, broadcast_rows)
+                                       bucket_seconds)
+    frame = rule_frame(ctx, lead_reach=two_cities_limit, lag_reach=amount_guess_limit,
+                       bucket_seconds=bucket_seconds)
+    flagged = with_blacklist(frame, blacklist)
 
     def bit(cond, value):
         return F.when(cond, F.lit(value)).otherwise(F.lit(0))
@@ -164,8 +164,9 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
     # one int column carries all four verdicts of an operation
     flags = (bit(passport_condition(), 1) + bit(contract_condition(), 2)
              + bit(amount_guess_condition(amount_guess_limit), 4) + bit(two_cities_condition(), 8))
-    typed = flagged.select("trans_date", "passport", "fio", "phone", "report_dt",
-                           flags.alias("flags")).where(F.col("flags") != 0)
+    typed = (flagged.select("trans_date", "passport", "fio", "phone", "report_dt",
+                            flags.alias("flags")).where(F.col("flags") != 0)
+             .repartition("passport", "fio", "phone", _trans_day()))
 
     def has(value):
         return F.col("flags").bitwiseAND(value) != 0
@@ -175,28 +176,26 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
     per_operation = (typed.select(F.col("trans_date").alias("event_dt"), "passport", "fio",
                                   "phone", F.explode(types).alias("event_type"), "report_dt")
                      .where(F.col("event_type").isNotNull()))
-    two_cities = (typed.where(has(8))
-                  .groupBy("passport", "fio", "phone")
-                  .agg(F.max("trans_date").alias("event_dt"), F.max("report_dt").alias("report_dt"))
+    # no filter on the way: it would move below the exchange and make it another one
+    two_cities = (typed.groupBy("passport", "fio", "phone")
+                  .agg(F.max(F.when(has(8), F.col("trans_date"))).alias("event_dt"),
+                       F.max("report_dt").alias("report_dt"))
+                  .where(F.col("event_dt").isNotNull())
                   .select("event_dt", "passport", "fio", "phone",
                           F.lit(EVENT_TWO_CITIES).alias("event_type"), "report_dt"))
     return per_operation.unionByName(two_cities)
 
 
 def _fraud_events_collapsed(ctx, blacklist, two_cities_limit, amount_guess_limit,
-                            broadcast_rows) -> DataFrame:
-    # both consumers read the context once written to the shared checkpoint
-    # folder (when the session names one), not the join chain twice
-    if ctx.sparkSession.sparkContext.getCheckpointDir():
-        ctx = ctx.checkpoint(eager=True)
-    flagged = with_blacklist(ctx, blacklist, broadcast_rows)
+                            bucket_seconds) -> DataFrame:
+    flagged = with_blacklist(ctx, blacklist)
     types = F.array(F.when(passport_condition(), F.lit(EVENT_PASSPORT)),
                     F.when(contract_condition(), F.lit(EVENT_CONTRACT)))
     per_operation = (flagged.select(F.col("trans_date").alias("event_dt"), "passport", "fio",
                                     "phone", F.explode(types).alias("event_type"), "report_dt")
                      .where(F.col("event_type").isNotNull()))
     frame = rule_frame(collapse_copies(ctx), lead_reach=two_cities_limit,
-                       lag_reach=amount_guess_limit)
+                       lag_reach=amount_guess_limit, bucket_seconds=bucket_seconds)
     # a collapsed row raises rule 4 at most once: only its first copy has
     # the three previous operations behind it
     guess = _events(frame.where(amount_guess_condition(amount_guess_limit)), EVENT_AMOUNT_GUESS)

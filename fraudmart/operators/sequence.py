@@ -57,6 +57,12 @@ def neighbour_columns(w, lags: int = AMOUNT_GUESS_REJECTS) -> dict[str, Column]:
     return cols
 
 
+def _buckets_per_day(bucket_seconds: int) -> int:
+    if bucket_seconds <= 0 or DAY_SECONDS % bucket_seconds:
+        raise ValueError("bucket_seconds must divide a day")
+    return DAY_SECONDS // bucket_seconds
+
+
 def card_sequence_whole(ctx: DataFrame) -> DataFrame:
     """W0 over the whole card partition (one task per card)."""
     return ctx.withColumns(neighbour_columns(card_window()))
@@ -78,11 +84,10 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
     3. A window over the summaries (one row per card-day) gives each day the
        tail of the previous ``lags`` days and the head of the next day; a
        neighbour that falls outside the day is taken from there.
-    4. The summaries are joined back on (owner+card, day); the row side is
-       already partitioned that way, so only the small side moves.
+    4. The summaries are joined back on (owner+card, day).
     """
     grp = F.struct(*[F.col(c) for c in PARTITION])       # NULL fio stays one group
-    per_day = DAY_SECONDS // bucket_seconds
+    per_day = _buckets_per_day(bucket_seconds)
     sec_of_day = F.hour("trans_date") * 3600 + F.minute("trans_date") * 60 + F.second("trans_date")
     day = F.coalesce(F.unix_date(F.to_date("trans_date")).cast("bigint") * per_day
                      + F.floor(sec_of_day / bucket_seconds), F.lit(NULL_DAY).cast("bigint"))
@@ -169,25 +174,24 @@ def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20
     if "copies" not in ctx.columns:
         ctx = ctx.withColumn("copies", F.lit(1))
     lead_s, lag_s = reach_seconds(lead_reach), reach_seconds(lag_reach)
-    if max(lead_s, lag_s) > bucket_seconds:
-        raise ValueError("a rule reach longer than the bucket needs a wider bucket")
-    per_day = DAY_SECONDS // bucket_seconds
+    per_day = _buckets_per_day(bucket_seconds)
     sec_of_day = F.hour("trans_date") * 3600 + F.minute("trans_date") * 60 + F.second("trans_date")
     in_bucket = sec_of_day % bucket_seconds
-    home = F.coalesce(
-        F.unix_date(F.to_date("trans_date")).cast("bigint") * per_day
-        + F.floor(sec_of_day / bucket_seconds),
-        F.lit(NULL_DAY).cast("bigint"))
-    # home bucket, plus the neighbour bucket a row is halo for (NULL when not);
+    home = (F.unix_date(F.to_date("trans_date")).cast("bigint") * per_day
+            + F.floor(sec_of_day / bucket_seconds))
+    # home bucket, plus the neighbour buckets a row is halo for (NULL when not);
     # a plain explode + null filter stays in generated code (no lambda)
     buckets = F.array(
         F.col("home_bucket"),
-        # tail of this bucket: lag context for the next one
-        F.when(in_bucket >= bucket_seconds - lag_s, F.col("home_bucket") + 1),
-        # head of this bucket: lead context for the previous one
-        F.when(in_bucket <= lead_s, F.col("home_bucket") - 1),
+        # within the lag reach of a later bucket's start
+        *[F.when(in_bucket >= j * bucket_seconds - lag_s, F.col("home_bucket") + j)
+          for j in range(1, -(-lag_s // bucket_seconds) + 1)],
+        # within the lead reach of an earlier bucket's end
+        *[F.when(in_bucket + (j - 1) * bucket_seconds <= lead_s, F.col("home_bucket") - j)
+          for j in range(1, lead_s // bucket_seconds + 2)],
     )
-    spread = (ctx.withColumn("home_bucket", home)
+    # an operation without a time has no neighbours and no rule can select it
+    spread = (ctx.where(F.col("trans_date").isNotNull()).withColumn("home_bucket", home)
               .withColumn("bucket", F.explode(buckets))
               .where(F.col("bucket").isNotNull())
               # one shuffle: a hot card is split by its buckets

@@ -192,16 +192,18 @@ def _blacklist_read(spark, d):
 # --- the whole daily run ------------------------------------------------------------
 
 def _scratch(spark, name: str) -> str:
-    """A fresh folder under the session's shared checkpoint folder."""
+    """A fresh folder under the shared folder that ``spark.checkpoint.dir`` names. A
+    session on one machine may leave it unset; a cluster must name it."""
     import uuid
 
     from fraudmart.plans.sizing import checkpoint_dir
 
     base = checkpoint_dir(spark)
-    if not base:  # only outside a cluster (tests, local checks): no folder was configured
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
         base = tempfile.mkdtemp(prefix="fraudmart-")
-        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -284,10 +286,13 @@ def registry() -> dict[str, Query]:
         "rule_passport": _rule_passport,
         "rule_contract_expired": _rule_contract,
         "rule_two_cities": _rule_two_cities("1 hour"),
+        "rule_two_cities_2days": _rule_two_cities("2 days"),
         "rule_two_cities_1min": _rule_two_cities("1 minute"),
         "rule_amount_guessing": _rule_amount("all"),
         "rule_amount_guessing_as_of": _rule_amount("as_of"),
         "fraud_events": _fraud_events("all"),
+        "fraud_events_hour_buckets": lambda spark, d: rules.fraud_events(
+            report_context(spark, d), fx.blacklist(spark, d), bucket_seconds=3600),
         "fraud_events_as_of": _fraud_events("as_of"),
         "fraud_events_repeated_ops": _fraud_events("all", with_copies=True),
         "fraud_events_repeated_ops_collapsed": _fraud_events("all", True, "collapse"),

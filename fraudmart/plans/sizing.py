@@ -1,26 +1,8 @@
-"""Size checks before broadcasting and session-level settings helpers."""
+"""Session-level settings."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-def checked_broadcast(df: DataFrame, max_rows: int,
-                      bounded_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it stays cheap for large inputs. ``bounded_by`` may name an
-    input that has at least as many rows as ``df`` (e.g. the table an
-    aggregate is computed from); counting it proves the bound without running
-    the aggregation. Above the bound the frame is returned unchanged and the
-    planner / AQE choose a shuffle join from run-time sizes.
-    """
-    if max_rows <= 0:
-        return df
-    n = (bounded_by if bounded_by is not None else df).limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+from pyspark.sql import SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:

@@ -54,8 +54,7 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     scratch = tempfile.mkdtemp(prefix="plans-")
 
-    report = rules.fraud_events(report_context(spark, d), fx.blacklist(spark, d),
-                                broadcast_rows=0)
+    report = rules.fraud_events(report_context(spark, d), fx.blacklist(spark, d))
     report.collect()  # final adaptive plan, with reuse resolved
     stage = fx.scd2_day(spark, d, 2)
     hist_path = f"{scratch}/h1"
