@@ -17,7 +17,7 @@ import datetime as _dt
 from fraudmart.operators import facts, report, rules, scd2, watermarks
 from fraudmart.operators.context import transaction_context
 from fraudmart.operators.sequence import card_sequence
-from fraudmart.schemas import WATERMARKS, DimSpec
+from fraudmart.schemas import DIMENSIONS, TRANSACTIONS, TXN_SEPARATOR, WATERMARKS, DimSpec
 from fraudmart.sources import drops, extract
 from fraudmart.sources import fixtures as fx
 
@@ -122,6 +122,31 @@ def _scd2_apply(day, last_snapshot=True, missing="skip", open_only=False):
     return q
 
 
+def _scd2_dimension(name: str, day: int, null_update: str = "coalesce"):
+    """History of a relational dimension after its days with create and update dates."""
+    def q(spark, d):
+        spec = DIMENSIONS[name]
+        hist = spark.createDataFrame([], spec.schema)
+        for n in range(1, day + 1):
+            stage, keys, load = fx.dimension_day(spark, d, name, n)
+            hist = scd2.scd2_apply(hist, stage, spec, load, keys, null_update=null_update)
+        return hist
+    return q
+
+
+def _duplicate_stage(spark, d):
+    """Three deliveries of every third supplier in one batch: the latest update wins."""
+    stage = fx.scd2_day(spark, d, 1)
+    again = stage.where(F.col("k") % 3 == 0)
+    older = again.withColumns({"b": F.lit("zzz"), "update_dt": F.date_sub("update_dt", 5)})
+    newer = again.withColumns({"b": F.lit("AAA"), "update_dt": F.date_add("update_dt", 5)})
+    batch = stage.unionByName(older).unionByName(newer)
+    empty = stage.limit(0).select("k", "a", "b", F.col("update_dt").alias("effective_from"),
+                                  F.col("update_dt").alias("effective_to"),
+                                  F.lit("N").alias("deleted_flg"))
+    return batch, scd2.scd2_apply(empty, batch, FIXTURE_DIM, fx.scd2_load_date(1))
+
+
 # --- report append ----------------------------------------------------------------
 
 def _report_append(existing: str, report_dt: _dt.date = fx.REPORT_RUN_DATE):
@@ -189,6 +214,36 @@ def _blacklist_read(spark, d):
     return drops.good(drops.parse_blacklist(fx.blacklist_drop_text(spark, d)))
 
 
+def _drop_files(kind: str):
+    """A drop delivered as two sets of files with their columns in different orders,
+    written and read back by the batch reader."""
+    def q(spark, d):
+        if kind == "transactions":
+            text, sep, key = fx.transactions_drop_text(spark, d), TXN_SEPARATOR, "transaction_id"
+        else:
+            text, sep, key = fx.blacklist_drop_text(spark, d), ",", "passport"
+        half = F.crc32(F.col(key).cast("binary")) % 2 == 0
+        root = _scratch(spark, f"drop-{kind}")
+        for i, (rows, cols) in enumerate(((text.where(half), text.columns),
+                                          (text.where(~half), text.columns[::-1]))):
+            (rows.select(*cols).write.option("header", True).option("sep", sep)
+             .csv(f"{root}/{kind}_{i}"))
+        paths = [f"{root}/{kind}_{i}" for i in (0, 1)]
+        got = (drops.read_transactions(spark, paths) if kind == "transactions"
+               else drops.read_blacklist(spark, paths))
+        return drops.good(got).drop("_file", "_file_time")
+    return q
+
+
+def _drop_terminal_keys(spark, d):
+    """Every fifth terminal arrives with a city that is too long: its row goes to
+    quarantine, its key stays in the snapshot."""
+    n = F.regexp_extract("terminal_id", r"(\\d+)", 1).cast("int")
+    text = fx.terminals_snapshot(spark, d, 1).withColumn(
+        "terminal_city", F.when(n % 5 == 0, F.repeat(F.lit("x"), 40)).otherwise(F.col("terminal_city")))
+    return drops.terminal_keys(drops.parse_terminals(text, fx.REPORT_RUN_DATE))
+
+
 # --- the whole daily run ------------------------------------------------------------
 
 def _scratch(spark, name: str) -> str:
@@ -244,9 +299,65 @@ def _daily_run(spark, d):
     return daily.read_state(spark, root)["fraud_report"]
 
 
+DAY1, DAY2 = _dt.date(2024, 1, 16), _dt.date(2024, 1, 31)
+_TWO_DAYS: dict[tuple[str, str], str] = {}
+
+
+def two_day_store(spark, d) -> str:
+    """Two daily runs on one store (kept per application and input): on day 2 every fifth
+    client has a new phone, terminals moved, T1 is gone, and the transactions drop
+    delivers some of day 1 again."""
+    from fraudmart.plans import daily
+
+    key = (spark.sparkContext.applicationId, d)
+    if key in _TWO_DAYS:
+        return _TWO_DAYS[key]
+    root = _scratch(spark, "daily-two")
+    text = fx.transactions_drop_text(spark, d)
+    cut = {1: F.col("transaction_date") < "2024-01-16", 2: F.col("transaction_date") >= "2024-01-10"}
+    for n, day in ((1, DAY1), (2, DAY2)):
+        c = F.regexp_extract("client_id", r"(\d+)", 1).cast("bigint")
+        changed = (c % 5 == 0) & F.lit(n == 2)
+        clients = fx.clients(spark, d).withColumns({
+            "phone": F.when(changed, F.concat("phone", F.lit("0"))).otherwise(F.col("phone")),
+            "create_dt": F.lit(DAY1), "update_dt": F.when(changed, F.lit(DAY2))})
+        src = daily.Sources(
+            cards=fx.relational_source(fx.cards(spark, d), DAY1, {"account_num": "account"}),
+            accounts=fx.relational_source(fx.accounts(spark, d), DAY1, {"account_num": "account"}),
+            clients=clients, terminals_drop=fx.terminals_snapshot(spark, d, n),
+            blacklist_drop=fx.blacklist_drop_text(spark, d) if n == 1 else None,
+            transactions_drop=text.where(cut[n]))
+        daily.run_daily(spark, root, src, day, run_id=f"{n:08d}")
+    _TWO_DAYS[key] = root
+    return root
+
+
+def _two_days(table: str, *columns: str):
+    def q(spark, d):
+        from fraudmart.plans import daily
+
+        df = daily.read_state(spark, two_day_store(spark, d))[table]
+        return df.select(*columns) if columns else df
+    return q
+
+
 def registry() -> dict[str, Query]:
     return {
         "daily_run": _daily_run,
+        "daily_run_day2_report": _two_days("fraud_report"),
+        "daily_run_day2_facts": _two_days("fact_transactions", *TRANSACTIONS.fieldNames()),
+        "daily_run_day2_clients": _two_days("clients_hist"),
+        "daily_run_day2_terminals": _two_days("terminals_hist"),
+        "daily_run_day2_watermarks": _two_days("watermarks"),
+        "drop_transactions_files": _drop_files("transactions"),
+        "drop_blacklist_files": _drop_files("passport_blacklist"),
+        "drop_terminal_keys": _drop_terminal_keys,
+        **{f"scd2_{n}_day{k}": _scd2_dimension(n, k)
+           for n in ("cards", "accounts", "clients") for k in (2, 3)},
+        "scd2_clients_day2_raw": _scd2_dimension("clients", 2, "raw"),
+        "scd2_duplicate_stage": lambda spark, d: _duplicate_stage(spark, d)[1],
+        "scd2_duplicate_losers": lambda spark, d: scd2.duplicate_stage_rows(
+            _duplicate_stage(spark, d)[0], FIXTURE_DIM).select("k", "a", "b", "update_dt"),
         "stream_ingest_transactions": _stream_ingest("transactions"),
         "stream_ingest_blacklist": _stream_ingest("passport_blacklist"),
         "extract_incremental": _extract(_dt.date(2001, 1, 1)),

@@ -13,7 +13,7 @@ import weakref
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.schemas import EPOCH_DATE, LIVE_FLAG, OPEN_DATE, TXN_TIME_FORMAT  # noqa: F401
+from fraudmart.schemas import DIMENSIONS, EPOCH_DATE, LIVE_FLAG, OPEN_DATE, TXN_TIME_FORMAT  # noqa: F401
 
 # Fixed dates of the fixtures.
 HISTORY_START = _dt.date(2023, 1, 1)
@@ -278,3 +278,47 @@ def relational_source(df: DataFrame, created: _dt.date, renames: dict[str, str])
     every row created on ``created`` and never updated."""
     return df.withColumnsRenamed(renames).withColumns(
         {"create_dt": F.lit(created), "update_dt": F.lit(None).cast("date")})
+
+
+# --- dimension days with create and update dates ----------------------------------
+
+#: the attribute that changes, per dimension
+CHANGING = {"cards": "account_num", "accounts": "client", "clients": "phone"}
+
+
+def dimension_day(spark: SparkSession, sf_dir: str, name: str, day: int):
+    """(incremental stage, key snapshot, load date) of a relational dimension, c = customer
+    number. Day 1: c%11<>3 arrive. Day 2: c%10=0 are gone; of the others c%7=1 change (c%14=1
+    by a new create_dt without update_dt) and c%11=3 are new. Day 3: c%10=0 are back."""
+    load = _dt.date(2024, 1, day)
+    key, attr = DIMENSIONS[name].key, CHANGING[name]
+    c = F.regexp_extract(key, r"(\d+)$", 1).cast("bigint") % 1_000_000
+    base = {"cards": cards, "accounts": accounts, "clients": clients}[name](spark, sf_dir).withColumn(
+        "_c", c)
+    c = F.col("_c")
+    first, late = F.lit(_dt.date(2024, 1, 1)), F.lit(load)
+    none = F.lit(None).cast("date")
+    if day == 1:
+        present, arrives = c % 11 != 3, c % 11 != 3
+        created, updated, changed = first, none, F.lit(False)
+    elif day == 2:
+        present = c % 10 != 0
+        changed = present & (c % 7 == 1) & (c % 11 != 3)
+        arrives = present & (changed | (c % 11 == 3))
+        created = F.when(changed & (c % 14 != 1), first).otherwise(late)
+        updated = F.when(changed & (c % 14 != 1), late)
+    else:
+        present, arrives, changed = F.lit(True), c % 10 == 0, F.lit(False)
+        created, updated = first, late
+    stage = base.where(arrives).withColumns({
+        attr: F.when(changed, F.concat(attr, F.lit("x"))).otherwise(F.col(attr)),
+        "create_dt": created, "update_dt": updated}).drop("_c")
+    return stage, base.where(present).select(key), load
+
+
+def terminals_snapshot(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """The terminals drop of the daily runs: first versions; on day 2 the open ones without T1."""
+    t = terminals_hist(spark, sf_dir)
+    rows = (t.where(F.col("effective_from") == F.lit(HISTORY_START)) if day == 1 else
+            t.where((F.col("effective_to") == F.lit(OPEN_DATE)) & (F.col("terminal_id") != "T1")))
+    return rows.select("terminal_id", "terminal_type", "terminal_city", "terminal_address")
