@@ -96,23 +96,12 @@ class RunResult:
     files: dict[str, list[str]]
 
 
-def _run_of(part: str) -> str:
-    return part.split("/")[0].split("=", 1)[1]
-
-
 def read_dimension(store: Store, name: str, manifest: Manifest) -> DataFrame:
-    """Closed slices of every run plus the open slice of the newest run."""
-    table = f"{name}_hist"
-    parts = manifest.parts.get(table, [])
-    spec = DIMENSIONS[name]
-    df = store.read(table, spec.schema, manifest, parts,
-                    partition_fields=(T.StructField("run_id", T.StringType()),
-                                      T.StructField("slice", T.StringType())))
-    if not parts:
-        return df.drop("run_id", "slice")
-    newest = max(_run_of(p) for p in parts)
-    return (df.where((F.col("slice") == "closed") | (F.col("run_id") == newest))
-            .drop("run_id", "slice"))
+    """The closed slices of every run and the open slice of the newest, as listed."""
+    return store.read(f"{name}_hist", DIMENSIONS[name].schema, manifest,
+                      partition_fields=(T.StructField("run_id", T.StringType()),
+                                        T.StructField("slice", T.StringType()))
+                      ).drop("run_id", "slice")
 
 
 def read_table(store: Store, table: str, schema: T.StructType, manifest: Manifest) -> DataFrame:
@@ -193,9 +182,11 @@ def run_daily(spark: SparkSession, root: str, sources: Sources, run_date: _dt.da
                                     opt.null_update)
         out = touched.drop("change").withColumn(
             "slice", F.when(is_open(), F.lit("open")).otherwise(F.lit("closed")))
-        parts.setdefault(table, []).append(
-            store.write(table, run_id, out.select(*spec.history_columns, "slice"),
-                        partition_by=["slice"]))
+        part = store.write(table, run_id, out.select(*spec.history_columns, "slice"),
+                           partition_by=["slice"])
+        # the open slice was rewritten: those of earlier runs are superseded
+        parts[table] = [p for p in parts.get(table, []) if not p.endswith("/slice=open")] + [
+            f"{part}/slice={s}" for s in store.subfolders(table, part, "slice")]
 
     # --- facts ----------------------------------------------------------------
     bl_fact = read_table(store, "fact_passport_blacklist", BLACKLIST, m)

@@ -12,7 +12,8 @@ served, and re-running the same ``run_id`` simply rewrites its own parts.
 
 Dimensions are split into ``slice=closed`` parts (append-only: the versions a
 run closed) and one ``slice=open`` part (the current versions, rewritten by
-each run), so a day's write is proportional to the open slice. Facts and the
+each run), so a day's write is proportional to the open slice; a manifest lists
+the newest open part only. Facts and the
 report are appended as one part per run, partitioned by date inside it
 (``trans_dt`` / ``report_dt``) for pruning.
 """
@@ -111,3 +112,11 @@ class Store:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.table_path(table)}/{part}")
         return part
+
+    def subfolders(self, table: str, part: str, key: str) -> list[str]:
+        """Values of partition column ``key`` that a part of ``table`` has files for
+        (from file names; nothing is read)."""
+        files = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                 .option("recursiveFileLookup", True).load(f"{self.table_path(table)}/{part}"))
+        found = files.select(F.regexp_extract("path", f"/{key}=([^/]+)/", 1).alias("v")).distinct()
+        return sorted(r.v for r in found.collect() if r.v)

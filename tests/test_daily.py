@@ -183,6 +183,20 @@ def test_drops_with_columns_in_another_order(spark, tmp_path):
         ("P1", "2024-01-01"), ("P2", "2024-01-02")]
 
 
+def test_superseded_open_slices_are_not_listed(spark, setup, tmp_path):
+    _, landing = setup
+    cl, ac, ca = sources(spark, DAY1)
+    root = str(tmp_path / "store")
+    for i in range(3):
+        r = daily.run_daily(spark, root, daily.Sources(ca, ac, cl, str(landing)),
+                            DAY1 + dt.timedelta(days=i), str(i))
+        for name in ("cards", "accounts", "clients", "terminals"):
+            listed = r.parts[f"{name}_hist"]
+            assert listed == [f"run_id={i}/slice=open"], listed  # nothing changed: nothing closed
+    state = daily.read_state(spark, root)
+    assert state["clients_hist"].count() == fx.table(spark, D, "customer").count()
+
+
 def test_crash_before_commit_keeps_previous_state(spark, setup, monkeypatch):
     base, landing = setup
     root = str(base / "crash")
