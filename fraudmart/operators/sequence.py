@@ -3,8 +3,9 @@
 The source system computes ``LEAD``/``LAG`` over
 ``PARTITION BY passport, fio, phone, card_num ORDER BY trans_date``. Ties on
 ``trans_date`` make that order non-deterministic, so the order here is made
-total with ``trans_id``, the terminal version and the remaining window inputs
-(NULLs last, as the source database sorts them).
+total with ``trans_id``, the terminal version, the remaining window inputs and
+what tells the owner's versions apart (NULLs last, as the source database sorts
+them); rows that still tie are equal in every column.
 
 Two forms:
 
@@ -31,7 +32,7 @@ from fraudmart.schemas import AMOUNT_GUESS_REJECTS
 
 PARTITION = ("passport", "fio", "phone", "card_num")
 ORDER = ("trans_date", "trans_id", "te_effective_from", "terminal_city", "amt", "oper_result",
-         "oper_type")
+         "oper_type", "passport_valid_to", "ac_valid_to")
 DAY_SECONDS = 86_400
 NULL_DAY = 2**31 - 1  # bucket of rows without a trans_date: sorts after every real day
 

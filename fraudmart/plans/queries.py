@@ -62,6 +62,19 @@ def _fraud_events(history, with_copies=False, copies="keep", since=None):
                                                fx.blacklist(spark, d), copies=copies, since=since)
 
 
+def midnight_context(spark: SparkSession, sf_dir: str, history: str = "all") -> DataFrame:
+    """Owners with several versions, operations on both sides of midnight."""
+    return transaction_context(
+        fx.clients_versions(spark, sf_dir), fx.accounts_versions(spark, sf_dir),
+        fx.cards_versions(spark, sf_dir), fx.transactions_midnight(spark, sf_dir),
+        fx.terminals_hist(spark, sf_dir), fx.REPORT_RUN_DATE, history=history)
+
+
+def _midnight_events(history: str = "all", **options):
+    return lambda spark, d: rules.fraud_events(midnight_context(spark, d, history),
+                                               fx.blacklist(spark, d), **options)
+
+
 SINCE = _dt.datetime(2024, 1, 20, 0, 10)   # inside a day's burst of operations
 
 
@@ -402,6 +415,11 @@ def registry() -> dict[str, Query]:
         "rule_amount_guessing": _rule_amount("all"),
         "rule_amount_guessing_as_of": _rule_amount("as_of"),
         "fraud_events": _fraud_events("all"),
+        "context_owner_versions": midnight_context,
+        "context_owner_versions_as_of": lambda spark, d: midnight_context(spark, d, "as_of"),
+        "txn_lead_lag_midnight": lambda spark, d: card_sequence(midnight_context(spark, d)),
+        "fraud_events_midnight": _midnight_events(),
+        "fraud_events_midnight_as_of": _midnight_events("as_of", bucket_seconds=7200),
         "fraud_events_hour_buckets": lambda spark, d: rules.fraud_events(
             report_context(spark, d), fx.blacklist(spark, d), bucket_seconds=3600),
         "fraud_events_as_of": _fraud_events("as_of"),

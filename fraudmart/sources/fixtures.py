@@ -322,3 +322,36 @@ def terminals_snapshot(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
     rows = (t.where(F.col("effective_from") == F.lit(HISTORY_START)) if day == 1 else
             t.where((F.col("effective_to") == F.lit(OPEN_DATE)) & (F.col("terminal_id") != "T1")))
     return rows.select("terminal_id", "terminal_type", "terminal_city", "terminal_address")
+
+
+# --- hard paths: owners with several versions, operations around midnight ------------
+
+def _second_version(hist: DataFrame, every: int, start: _dt.date, changes: dict) -> DataFrame:
+    """Every ``every``-th key gets a second version from ``start`` with ``changes``."""
+    key = hist.columns[0]
+    again = F.regexp_extract(key, r"(\d+)$", 1).cast("bigint") % 1_000_000 % every == 0
+    first = hist.withColumn("effective_to", F.when(
+        again, F.lit(start - _dt.timedelta(days=1))).otherwise(F.col("effective_to")))
+    second = hist.where(again).withColumns({**changes, "effective_from": F.lit(start)})
+    return first.unionByName(second)
+
+
+def clients_versions(spark, sf_dir):
+    return _second_version(clients_hist(spark, sf_dir), 4, _dt.date(2024, 1, 15), {
+        "phone": F.concat("phone", F.lit("9")),
+        "passport_valid_to": F.date_add("passport_valid_to", 30)})
+
+
+def accounts_versions(spark, sf_dir):
+    return _second_version(accounts_hist(spark, sf_dir), 6, _dt.date(2024, 1, 10),
+                           {"valid_to": F.date_add("valid_to", 20)})
+
+
+def cards_versions(spark, sf_dir):
+    return _second_version(cards_hist(spark, sf_dir), 9, _dt.date(2024, 1, 20), {})
+
+
+def transactions_midnight(spark, sf_dir):
+    """The operations, each day's half hour moved to 23:45 - 00:15."""
+    return transactions(spark, sf_dir).withColumn(
+        "trans_date", F.col("trans_date") + F.expr("INTERVAL '23:45' HOUR TO MINUTE"))
