@@ -79,13 +79,13 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
     lag 3 of the date — exact, with a hot card split by day.
 
     1. Rows are windowed per (owner+card, day): in-day lead/lag, row number.
-    2. Each day keeps a boundary summary — its last ``lags`` rows and its
-       first row — (at most lags+1 rows per day, aggregated where the rows
-       already are, no shuffle).
-    3. A window over the summaries (one row per card-day) gives each day the
-       tail of the previous ``lags`` days and the head of the next day; a
-       neighbour that falls outside the day is taken from there.
-    4. The summaries are joined back on (owner+card, day).
+    2. All neighbours of a row that is neither among the first nor the last ``lags``
+       rows of its day lie in that day: it is done.
+    3. The other rows (at most 2 * ``lags`` per day) are windowed per owner+card. A
+       neighbour that falls outside the day is the next or a previous one among them,
+       since those that would stand between are among them too.
+
+    Both kinds of rows read one exchange, so the context is computed and dealt out once.
     """
     grp = F.struct(*[F.col(c) for c in PARTITION])       # NULL fio stays one group
     per_day = _buckets_per_day(bucket_seconds)
@@ -101,39 +101,35 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
         **{f"_lead_{c}": F.lead(c, 1).over(w) for c in LEAD_COLUMNS},
         **{f"_lag{k}_{c}": F.lag(c, k).over(w) for c in LAG_COLUMNS for k in range(1, lags + 1)},
     })
-    tail = F.struct(F.col("_rn").alias("rn"), *[F.col(c) for c in LAG_COLUMNS])
-    head = F.struct(*[F.col(c) for c in LEAD_COLUMNS])
-    summary = (inner.where((F.col("_rn") == 1) | (F.col("_rn") > F.col("_cnt") - lags))
-               .groupBy("_grp", "_day")
-               .agg(F.sort_array(F.collect_list(
-                        F.when(F.col("_rn") > F.col("_cnt") - lags, tail))).alias("_tail"),
-                    F.max(F.when(F.col("_rn") == 1, head)).alias("_head")))
-    days = Window.partitionBy("_grp").orderBy("_day")
-    before = F.concat(*[F.coalesce(F.lag("_tail", k).over(days), F.array().cast(
-        summary.schema["_tail"].dataType)) for k in range(lags, 0, -1)])
-    edges = summary.select("_grp", "_day", before.alias("_before"),
-                           F.lead("_head", 1).over(days).alias("_after"))
-    j = inner.join(edges, ["_grp", "_day"], "left")
-    out = {}
-    for k in range(1, lags + 1):
-        # k rows back from row rn of the day = (k - rn + 1)-th from the end of
-        # the rows before the day (negative index; NULL when there are fewer)
-        from_before = F.try_element_at("_before", F.least(F.col("_rn") - k - 1, F.lit(-1)))
-        for c in LAG_COLUMNS:
-            out[(c, k)] = F.when(F.col("_rn") > k, F.col(f"_lag{k}_{c}")) \
-                .otherwise(from_before.getField(c))
-    cols = {
-        "terminal_city_lead": F.when(F.col("_rn") < F.col("_cnt"), F.col("_lead_terminal_city"))
-                               .otherwise(F.col("_after.terminal_city")),
-        "trans_date_lead": F.when(F.col("_rn") < F.col("_cnt"), F.col("_lead_trans_date"))
-                            .otherwise(F.col("_after.trans_date")),
-    }
-    for k in range(lags, 0, -1):
-        cols[f"oper_result_lag_{k}"] = out[("oper_result", k)]
-    for k in range(lags, 0, -1):
-        cols[f"amt_lag_{k}"] = out[("amt", k)]
-    cols[f"trans_date_lag_{lags}"] = out[("trans_date", lags)]
-    return j.select(*ctx.columns, *[v.alias(n) for n, v in cols.items()])
+    edge = (F.col("_rn") <= lags) | (F.col("_rn") > F.col("_cnt") - lags)
+
+    def result(df: DataFrame, around) -> DataFrame:
+        """The neighbour columns; ``around(column, k)`` is the value k rows back (-1: next)
+        of a row whose neighbour is outside its day."""
+        cols = {}
+        for c in LEAD_COLUMNS:
+            own = F.col(f"_lead_{c}")
+            cols[f"{c}_lead"] = own if around is None else F.when(
+                F.col("_rn") < F.col("_cnt"), own).otherwise(around(c, -1))
+        for k in range(lags, 0, -1):
+            for c in LAG_COLUMNS:
+                if c != "trans_date" or k == lags:
+                    own = F.col(f"_lag{k}_{c}")
+                    cols[f"{c}_lag_{k}"] = own if around is None else F.when(
+                        F.col("_rn") > k, own).otherwise(around(c, k))
+        return df.withColumns(cols).select(*ctx.columns, *_neighbour_names(lags))
+
+    edges = Window.partitionBy("_grp").orderBy(*_order())
+    inside = result(inner.where(~edge), None)
+    outside = result(inner.where(edge), lambda c, k: F.lag(c, k).over(edges))
+    return inside.unionByName(outside)
+
+
+def _neighbour_names(lags: int) -> list[str]:
+    back = range(lags, 0, -1)
+    return [*[f"{c}_lead" for c in LEAD_COLUMNS],
+            *[f"{c}_lag_{k}" for c in ("oper_result", "amt") for k in back],
+            f"trans_date_lag_{lags}"]
 
 
 def reach_seconds(limit: str) -> int:

@@ -113,6 +113,12 @@ def test_report_windows_run_once(spark):
     assert "ReusedExchange" in ran
 
 
+def test_lead_lag_deals_the_context_out_once(spark):
+    text = final_plan(sequence.card_sequence(report_context(spark, SF["0.01"])))
+    ran = text.split("\n+- == Initial Plan ==")[0]
+    assert len(re.findall(r"- Exchange hashpartitioning\(_grp#\d+, _day#", ran)) == 1, ran
+
+
 def test_building_the_report_runs_no_job(spark):
     sc = spark.sparkContext
     ctx, bl = report_context(spark, D), fx.blacklist(spark, D)
