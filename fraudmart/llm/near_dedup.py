@@ -17,7 +17,9 @@ what links reach.
    members do the same again with their *full* sets, where the bound is exact.
 4. Each list is linked as a star first (members with the member that has the
    fewest rarer values). Then only pairs of different groups remain; they are
-   all tried. So a large group costs its size, not its square, and no link
+   all tried that can be linked: at the first value that two sets share, the
+   rarer values of either are missing in the other, so their number bounds the
+   similarity. So a large group costs its size, not its square, and no link
    between different groups is left out.
 5. A candidate must pass the estimate from the union sketch (five sigma below
    the threshold), then the exact comparison of the full sets.
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 
 from fraudmart.llm.components import components
 from fraudmart.llm.hashing import shingles, word_hashes
-from fraudmart.llm.shared import documents_view, row_key, without, written
+from fraudmart.llm.shared import documents_view, in_tasks, row_key, without, written
 
 SHINGLE_WORDS = 3
 SHARE = 85
@@ -75,7 +77,7 @@ def sketches(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K) -> DataFrame:
     """``doc_id, row_key, n_shingles, set_key, sketch`` per document."""
     d = documents_view(docs).select(
         "doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
-    return d.mapInArrow(_sketcher(n, k), "doc_id long, row_key long, n_shingles long, "
+    return d.transform(in_tasks, _sketcher(n, k), "doc_id long, row_key long, n_shingles long, "
                                          "set_key binary, sketch array<long>")
 
 
@@ -110,8 +112,9 @@ def prefix_length(n: Column, k: int | None, share: int = SHARE) -> Column:
 
 
 def postings(values: DataFrame, k: int | None, share: int = SHARE) -> DataFrame:
-    """(cid, n, v) rows -> ``v, cid, n, rank``: each class in the lists of its rarest
-    values. Values that one class alone has make no list but count as its rarest."""
+    """(cid, n, v) rows -> ``v, cid, n, rank, whole``: each class in the lists of its rarest
+    values; ``rank``: how many of its values are rarer; ``whole``: do the values hold all of
+    the set? Values that one class alone has make no list but count as its rarest."""
     df = values.groupBy("v").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
     shared = values.join(df, "v")
     held = F.least("n", F.lit(k)) if k is not None else F.col("n")
@@ -122,34 +125,49 @@ def postings(values: DataFrame, k: int | None, share: int = SHARE) -> DataFrame:
     return (ordered.where(take > 0)
             .select("cid", "n", alone.alias("alone"), F.posexplode(
                 F.slice("vs", F.lit(1), F.greatest(take, F.lit(1)))).alias("i", "x"))
-            .select(F.col("x.v").alias("v"), "cid", "n", (F.col("alone") + F.col("i")).alias("rank")))
+            .select(F.col("x.v").alias("v"), "cid", "n", (F.col("alone") + F.col("i")).alias("rank"),
+                    (F.col("n") <= k if k is not None else F.lit(True)).alias("whole")))
 
 
-def _may_link(n: str, m: str, share: int) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * share
+def _may_link(a, b, share: int) -> Column:
+    """Can two members of a list be linked, if its value is the first that they share?
+    A link needs (100 + share) * |both| >= share * (n + m), and what ranks before the
+    list's value is in one of them only."""
+    n, m = a["n"], b["n"]
+    least = (n + m) * share
+    ranked = (((n - a["rank"]) * (100 + share) >= least)
+              & ((m - b["rank"]) * (100 + share) >= least))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * share) & (
+        ~(a["whole"] & b["whole"]) | ranked)
 
 
 def star_pairs(lists: DataFrame, share: int = SHARE) -> DataFrame:
     """``a, b`` (a > b): every member of a list with the list's centre."""
     centre = (lists.groupBy("v")
-              .agg(F.min(F.struct("rank", "cid", "n")).alias("c"), F.count(F.lit(1)).alias("m"))
-              .where(F.col("m") > 1)
-              .select("v", F.col("c.cid").alias("c"), F.col("c.n").alias("cn")))
-    return (lists.join(centre, "v").where((F.col("cid") != F.col("c")) & _may_link("n", "cn", share))
-            .select(F.greatest("cid", "c").alias("a"), F.least("cid", "c").alias("b")).distinct())
+              .agg(F.min(F.struct("rank", "cid", "n", "whole")).alias("c"),
+                   F.count(F.lit(1)).alias("m"))
+              .where(F.col("m") > 1).select("v", "c"))
+    c = {k: F.col(f"c.{k}") for k in ("rank", "cid", "n", "whole")}
+    x = {k: F.col(k) for k in c}
+    return (lists.join(centre, "v").where((x["cid"] != c["cid"]) & _may_link(x, c, share))
+            .select(F.greatest(x["cid"], c["cid"]).alias("a"),
+                    F.least(x["cid"], c["cid"]).alias("b")).distinct())
 
 
 def rest_pairs(lists: DataFrame, roots: DataFrame, share: int = SHARE) -> DataFrame:
     """``a, b``: members of one list that the stars left in different groups."""
+    cols = ("v", "cid", "n", "rank", "whole")
     g = (lists.join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
-         .select("v", "cid", "n", F.coalesce("root", "cid").alias("root")))
+         .select(*cols, F.coalesce("root", "cid").alias("root")))
     split = (g.groupBy("v").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("v"))
     g = g.join(split, "v", "left_semi")
-    o = g.select("v", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    return (g.join(o, (g.v == o.v) & (g.cid > o.b) & (g.root != o.other)
-                   & (F.least(g.n, o.m) * 100 >= F.greatest(g.n, o.m) * share))
-            .select(F.col("cid").alias("a"), "b").distinct())
+    o = g.toDF(*[f"o_{c}" for c in (*cols, "root")])
+    x = {k: F.col(k) for k in cols}
+    y = {k: F.col(f"o_{k}") for k in cols}
+    return (g.join(o, (x["v"] == y["v"]) & (x["cid"] > y["cid"])
+                   & (F.col("root") != F.col("o_root")) & _may_link(x, y, share))
+            .select(F.col("cid").alias("a"), F.col("o_cid").alias("b")).distinct())
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, k: int = K, share: int = SHARE) -> DataFrame:
@@ -185,7 +203,7 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int = SHINGLE_WORDS,
     p = (pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
          .join(texts.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
          .select("a", "b", "ta", "tb"))
-    return p.mapInArrow(_verifier(n, share), "a long, b long")
+    return p.transform(in_tasks, _verifier(n, share), "a long, b long")
 
 
 def class_links(classes: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K,
@@ -206,7 +224,7 @@ def class_links(classes: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS, k:
                     "near-texts")
 
     members = sized.where(F.col("m") > long).select("cid").distinct()
-    full = texts.join(members, "cid", "left_semi").mapInArrow(
+    full = texts.join(members, "cid", "left_semi").transform(in_tasks,
         _full_sets(n), "cid long, n long, v long")
     long_lists = written(postings(full, None, share), "near-long")
     both = short.unionByName(long_lists)
