@@ -37,10 +37,11 @@ from fraudmart.llm.repeats import Windows, chosen, covered, outcome, survey, sus
 from fraudmart.llm.shared import in_tasks, written
 
 LENGTH = 400
-GRAM = 64
-HOT = 2000
+GRAM = 128
+#: a minimizer's segments are sorted in one task up to so many (under 4 MB of text)
+HOT = 5000
 #: bytes of segments that one task sorts at a time (whole minimizers, so a batch may
-#: exceed it by one minimizer: at most HOT distinct segments)
+#: exceed it by one minimizer)
 BATCH = 1 << 20
 
 
@@ -48,29 +49,28 @@ BATCH = 1 << 20
 
 def _direct_order(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     """``at`` ordered by the first ``depth`` bytes from there (more are not compared):
-    eight bytes at a time, and only suffixes that are still equal go on."""
-    padded = np.concatenate([text, np.zeros(depth + 8, dtype=text.dtype)])
-    words = np.zeros(len(text) + depth, dtype=np.uint64)
+    by eight bytes at a time while most suffixes differ there, then the groups that
+    are still equal by all their bytes."""
+    head = 24
+    padded = np.concatenate([text, np.zeros(head + 8, dtype=text.dtype)])
+    words = np.zeros(len(text) + head, dtype=np.uint64)
     for j in range(8):
         words = (words << H.U(8)) | padded[j:j + len(words)].astype(np.uint64)
-    order = np.argsort(words[at], kind="stable")
-    out = at[order]
-    key = words[out]
-    new = np.append(True, key[1:] != key[:-1]) if len(out) else np.empty(0, bool)
-    group = np.cumsum(new)
-    for offset in range(8, depth, 8):
-        alone = np.append(new[1:], True) & new
-        tied = np.flatnonzero(~alone)
-        if not len(tied):
-            break
-        k = words[out[tied] + offset]
-        o = np.lexsort((k, group[tied]))
-        out[tied] = out[tied][o]
-        k = k[o]
-        g = group[tied]
-        new = np.ones(len(out), dtype=bool)
-        new[tied] = np.append(True, (k[1:] != k[:-1]) | (g[1:] != g[:-1]))
-        group = np.cumsum(new)
+    out = at[np.lexsort([words[at + o] for o in range(head - 8, -1, -8)])]
+    if len(out) < 2:
+        return out
+    same = np.ones(len(out) - 1, dtype=bool)
+    for o in range(0, head, 8):
+        key = words[out + o]
+        same &= key[1:] == key[:-1]
+    step = np.diff(np.concatenate([[False], same, [False]]).astype(np.int8))
+    data = text.tobytes()
+
+    def rest(i: int) -> bytes:
+        return data[i + head:i + depth]
+
+    for lo, hi in zip(np.flatnonzero(step == 1).tolist(), np.flatnonzero(step == -1).tolist()):
+        out[lo:hi + 1] = sorted(out[lo:hi + 1].tolist(), key=rest)
     return out
 
 
@@ -209,29 +209,48 @@ def _segment_rows(w: Windows, hot: int):
 
 
 def _hot_rows(w: Windows, hot: int):
+    """Windows of hot minimizers, equal ones of one batch counted already."""
     def run(batches):
         for b in batches:
-            for at in range(0, b.num_rows, 64):
-                part = b.slice(at, 64)
-                out = [[np.empty(0, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int64)],
-                       [np.empty(0, np.int64)]]
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                found = []
                 for cid, runs, counts, text in zip(*(part.column(i).to_pylist() for i in range(4))):
                     todo = [r for r, n in zip(runs, counts) if n > hot]
                     if not todo:
                         continue
                     values = w.units([text.encode()])[0]
-                    for a, e, _, _ in chosen(w, values, todo):
-                        part_of = values[a:e - 1 + w.width]
-                        h1 = H.windows(part_of, w.width, H.BASES[0])
-                        h2 = H.windows(part_of, w.width, H.BASES[1]) >> H.U(32)
-                        for x, y in zip(out, (h1.view(np.int64), h2.astype(np.uint32).view(np.int32),
-                                              np.full(e - a, cid), np.arange(a, e))):
-                            x.append(y)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out],
-                                                 names=["h1", "h2", "cid", "pos"])
+                    for lo, hi in joined([(a, e) for a, e, _, _ in chosen(w, values, todo)]):
+                        piece = values[lo:hi - 1 + w.width]
+                        found.append((H.windows(piece, w.width, H.BASES[0]),
+                                      H.windows(piece, w.width, H.BASES[1]) >> H.U(32),
+                                      np.full(hi - lo, cid, dtype=np.int64), np.arange(lo, hi)))
+                if not found:
+                    continue
+                h1, h2, cids, pos = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((h2, h1))
+                h1, h2 = h1[order], h2[order]
+                first = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
+                n = np.diff(np.append(first, len(h1)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h1[first].view(np.int64)),
+                     pa.array(h2[first].astype(np.uint32).view(np.int32)),
+                     pa.array(n, pa.int64()), pa.array(cids[order][first]),
+                     pa.array(pos[order][first], pa.int64())], names=["h1", "h2", "n", "cid", "pos"])
     return run
 
 
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Adjacent spans as one."""
+    out: list[tuple[int, int]] = []
+    for a, e in spans:
+        if out and out[-1][1] == a:
+            out[-1] = (out[-1][0], e)
+        else:
+            out.append((a, e))
+    return out
+
+
 def _sorter(length: int, batch: int):
     def flush(rows):
         merged: dict[bytes, list[int]] = {}
@@ -304,9 +323,9 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT, batch: int = BATCH) -> DataF
     cold = (segments.repartition("owner").sortWithinPartitions("owner")
             .transform(in_tasks, _sorter(w.width, batch), "cid long, pos long"))
     counted = rows.where(F.exists("counts", lambda n: n > hot)).transform(in_tasks,
-        _hot_rows(w, hot), "h1 long, h2 int, cid long, pos long")
+        _hot_rows(w, hot), "h1 long, h2 int, n long, cid long, pos long")
     warm = (counted.groupBy("h1", "h2")
-            .agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid"), F.min("pos").alias("pos"))
+            .agg(F.sum("n").alias("n"), F.min("cid").alias("cid"), F.min("pos").alias("pos"))
             .where(F.col("n") == 1).select("cid", "pos"))
     unique = cold.union(warm).groupBy("cid").agg(F.collect_list("pos").alias("unique"))
     judged = written(texts.join(unique, "cid", "left").select("cid", "runs", "text", "unique")
