@@ -79,31 +79,34 @@ def survey(docs: DataFrame, w: Windows, digest) -> DataFrame:
 
 
 def suspects(docs: DataFrame, surveyed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes ``cid, whole_sha256, copies`` and, of those with a run whose owner
-    occurs again, ``cid, runs, counts, text`` (``runs``: their indices; ``counts``: how
-    often each owner occurs)."""
+    """Classes ``cid, whole_sha256, copies`` and, of those with an owner that occurs
+    again, ``cid, owners, counts, text`` (``owners``: the distinct ones; ``counts``: how
+    often each occurs in all classes). A text that repeats one owner many times, as
+    periodic text does, is one row of the join."""
     g = (surveyed.groupBy("whole_sha256", "n_units")
          .agg(F.count(F.lit(1)).alias("copies"), F.min("row_key").alias("rep_key"),
               F.first("owners").alias("owners")))
     classes = written(g.withColumn("cid", F.monotonically_increasing_id()), "repeat-classes")
-    marks = classes.select("cid", F.posexplode("owners").alias("run", "owner"))
-    again = (marks.groupBy("owner").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
-    runs = (marks.join(again, "owner").groupBy("cid")
-            .agg(F.sort_array(F.collect_list(F.struct("run", "n"))).alias("r"))
-            .select("cid", F.col("r.run").alias("runs"), F.col("r.n").alias("counts")))
-    wanted = classes.select("cid", "rep_key").join(runs, "cid")
+    again = (classes.select(F.explode("owners").alias("owner")).groupBy("owner")
+             .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    held = classes.select("cid", F.explode(F.array_distinct("owners")).alias("owner"))
+    found = (held.join(again, "owner").groupBy("cid")
+             .agg(F.collect_list(F.struct("owner", "n")).alias("o"))
+             .select("cid", F.col("o.owner").alias("owners"), F.col("o.n").alias("counts")))
+    wanted = classes.select("cid", "rep_key").join(found, "cid")
     d = documents_view(docs)
     keyed = d.select(row_key(F.col("doc_id"), F.col("text")).alias("rep_key"),
                      F.coalesce("text", F.lit("")).alias("text"))
     texts = keyed.join(wanted, "rep_key").dropDuplicates(["cid"]).select(
-        "cid", "runs", "counts", "text")
+        "cid", "owners", "counts", "text")
     return classes.drop("owners"), written(texts, "repeat-texts")
 
 
-def chosen(w: Windows, values: np.ndarray, runs) -> list[tuple[int, int, int, int]]:
-    """The named runs of a text: (first window, end, owner position, owner hash)."""
-    first, end, owner, h = w.runs(values)
-    return [(int(first[r]), int(end[r]), int(owner[r]), int(h[r])) for r in runs]
+def chosen(w: Windows, values: np.ndarray, owners) -> list[tuple[int, int, int]]:
+    """The runs of a text that the named owners have: (first window, end, owner hash)."""
+    first, end, _, h = w.runs(values)
+    at = np.flatnonzero(np.isin(h.view(np.int64), np.array(owners, dtype=np.int64)))
+    return list(zip(first[at].tolist(), end[at].tolist(), h[at].tolist()))
 
 
 def covered(n: int, spans: list[tuple[int, int]], unique: np.ndarray, width: int) -> np.ndarray:

@@ -46,10 +46,10 @@ def _window_rows(w: Windows):
                 cids = part.column(0).to_pylist()
                 data = [t.encode() for t in part.column(2).to_pylist()]
                 h1s, h2s, cs, ps = [], [], [], []
-                for cid, words, runs in zip(cids, w.units(data), part.column(1).to_pylist()):
+                for cid, words, owners in zip(cids, w.units(data), part.column(1).to_pylist()):
                     h1 = H.windows(words, w.width, H.BASES[0])
                     h2 = H.windows(H.mix(words), w.width, H.BASES[1])
-                    pos = np.concatenate([np.arange(a, e) for a, e, _, _ in chosen(w, words, runs)])
+                    pos = np.concatenate([np.arange(a, e) for a, e, _ in chosen(w, words, owners)])
                     h1s.append(h1[pos]), h2s.append((h2[pos] >> H.U(32)).astype(np.uint32))
                     cs.append(np.full(len(pos), cid)), ps.append(pos.astype(np.int32))
                 if cs:
@@ -68,10 +68,10 @@ def _judge(w: Windows):
                 part = b.slice(at, 256)
                 data = [t.encode() for t in part.column(2).to_pylist()]
                 rows = []
-                for cid, runs, text, words, unique in zip(
+                for cid, owners, text, words, unique in zip(
                         part.column(0).to_pylist(), part.column(1).to_pylist(), data,
                         w.units(data), part.column(3).to_pylist()):
-                    gone = covered(len(words), [r[:2] for r in chosen(w, words, runs)],
+                    gone = covered(len(words), [r[:2] for r in chosen(w, words, owners)],
                                    np.array(unique or [], dtype=np.int64), w.width)
                     tokens = np.array(text.split(), dtype=object)
                     kept = b" ".join(tokens[~gone].tolist())
@@ -89,15 +89,15 @@ def repeated_words(docs: DataFrame, width: int = WINDOW, gram: int = GRAM) -> Da
     w = Windows(width, gram, H.word_hashes)
     surveyed = written(survey(docs, w, _digest), "substring-survey")
     classes, texts = suspects(docs, surveyed)
-    rows = texts.select("cid", "runs", "text").transform(in_tasks,
-        _window_rows(w), "h1 long, h2 int, cid long, pos int")
+    rows = in_tasks(texts.select("cid", "owners", "text"), _window_rows(w),
+                    "h1 long, h2 int, cid long, pos int")
     # min() is the place itself where the count is one
     unique = (rows.groupBy("h1", "h2")
               .agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("cid"), F.min("pos").alias("pos"))
               .where(F.col("n") == 1).groupBy("cid").agg(F.collect_list("pos").alias("unique")))
-    judged = written(texts.join(unique, "cid", "left").select("cid", "runs", "text", "unique")
-                     .transform(in_tasks, _judge(w), "cid long, n_removed long, n_spans long, "
-                                            "kept_sha256 string, kept_text string"),
+    todo = texts.join(unique, "cid", "left").select("cid", "owners", "text", "unique")
+    judged = written(in_tasks(todo, _judge(w), "cid long, n_removed long, n_spans long, "
+                                               "kept_sha256 string, kept_text string"),
                      "substring-judged")
     return outcome(surveyed, classes, judged.drop("kept_text"), width,
                    sha256(b"").hexdigest(), True)

@@ -190,10 +190,10 @@ def _segment_rows(w: Windows, hot: int):
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 held: dict[tuple[int, bytes], list[int]] = {}
-                for cid, runs, counts, text in zip(*(part.column(i).to_pylist() for i in range(4))):
+                for cid, owners, counts, text in zip(*(part.column(i).to_pylist() for i in range(4))):
                     data = text.encode()
-                    todo = [r for r, n in zip(runs, counts) if n <= hot]
-                    for a, e, _, h in chosen(w, w.units([data])[0], todo) if todo else ():
+                    todo = [o for o, n in zip(owners, counts) if n <= hot]
+                    for a, e, h in chosen(w, w.units([data])[0], todo) if todo else ():
                         key = (h, data[a:e - 1 + w.width])
                         if key in held:
                             held[key][0] += 1
@@ -215,12 +215,12 @@ def _hot_rows(w: Windows, hot: int):
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 found = []
-                for cid, runs, counts, text in zip(*(part.column(i).to_pylist() for i in range(4))):
-                    todo = [r for r, n in zip(runs, counts) if n > hot]
+                for cid, owners, counts, text in zip(*(part.column(i).to_pylist() for i in range(4))):
+                    todo = [o for o, n in zip(owners, counts) if n > hot]
                     if not todo:
                         continue
                     values = w.units([text.encode()])[0]
-                    for lo, hi in joined([(a, e) for a, e, _, _ in chosen(w, values, todo)]):
+                    for lo, hi in joined([(a, e) for a, e, _ in chosen(w, values, todo)]):
                         piece = values[lo:hi - 1 + w.width]
                         found.append((H.windows(piece, w.width, H.BASES[0]),
                                       H.windows(piece, w.width, H.BASES[1]) >> H.U(32),
@@ -296,10 +296,10 @@ def _judge(w: Windows):
     def run(batches):
         for b in batches:
             rows = []
-            for cid, runs, text, unique in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for cid, owners, text, unique in zip(*(b.column(i).to_pylist() for i in range(4))):
                 data = text.encode()
                 values = w.units([data])[0]
-                gone = covered(len(data), [r[:2] for r in chosen(w, values, runs)],
+                gone = covered(len(data), [r[:2] for r in chosen(w, values, owners)],
                                np.array(unique or [], dtype=np.int64), w.width)
                 kept = np.frombuffer(data, dtype=np.uint8)[~gone].tobytes()
                 spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
@@ -317,18 +317,18 @@ def repeated_bytes(docs: DataFrame, hot: int = HOT, batch: int = BATCH) -> DataF
     w = _byte_windows()
     surveyed = written(survey(docs, w, lambda d: sha256(d).hexdigest()), "suffix-survey")
     classes, texts = suspects(docs, surveyed)
-    rows = texts.select("cid", "runs", "counts", "text")
-    segments = rows.transform(in_tasks, _segment_rows(w, hot),
-                               "owner long, segment binary, copies long, cid long, pos long")
+    rows = texts.select("cid", "owners", "counts", "text")
+    segments = in_tasks(rows, _segment_rows(w, hot),
+                        "owner long, segment binary, copies long, cid long, pos long")
     cold = (segments.repartition("owner").sortWithinPartitions("owner")
             .transform(in_tasks, _sorter(w.width, batch), "cid long, pos long"))
-    counted = rows.where(F.exists("counts", lambda n: n > hot)).transform(in_tasks,
-        _hot_rows(w, hot), "h1 long, h2 int, n long, cid long, pos long")
+    counted = in_tasks(rows.where(F.exists("counts", lambda n: n > hot)), _hot_rows(w, hot),
+                       "h1 long, h2 int, n long, cid long, pos long")
     warm = (counted.groupBy("h1", "h2")
             .agg(F.sum("n").alias("n"), F.min("cid").alias("cid"), F.min("pos").alias("pos"))
             .where(F.col("n") == 1).select("cid", "pos"))
     unique = cold.union(warm).groupBy("cid").agg(F.collect_list("pos").alias("unique"))
-    judged = written(texts.join(unique, "cid", "left").select("cid", "runs", "text", "unique")
-                     .transform(in_tasks, _judge(w), "cid long, n_removed long, n_spans long, "
-                                            "kept_sha256 string, kept binary"), "suffix-judged")
+    todo = texts.join(unique, "cid", "left").select("cid", "owners", "text", "unique")
+    judged = written(in_tasks(todo, _judge(w), "cid long, n_removed long, n_spans long, "
+                                               "kept_sha256 string, kept binary"), "suffix-judged")
     return outcome(surveyed, classes, judged.drop("kept"), w.width, sha256(b"").hexdigest(), True)
