@@ -72,7 +72,7 @@ def trigram_table(train: DataFrame) -> DataFrame:
                      pa.array(s[at], pa.int64())], names=["lang", "bucket", "n"])
             sums.clear()
 
-        for b in batches:
+        for b in (p.slice(at, 512) for p in batches for at in range(0, p.num_rows, 512)):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 s = sums.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
                 for t in trigrams(text or ""):

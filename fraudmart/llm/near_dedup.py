@@ -50,6 +50,8 @@ SHARE = 85
 K = 64
 LONG = 64
 SIGMAS = 5
+#: rows of a batch that a task hashes at a time
+ROWS = 256
 
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -58,9 +60,15 @@ def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     return [np.unique(shingles(w, n)) for w in word_hashes(data)]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _sketcher(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _pieces(batches):
             sets = shingle_sets(b.column(2).to_pylist(), n)
             keys = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             sketch = [s[:k].view(np.int64) for s in sets]
@@ -83,16 +91,14 @@ def sketches(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K) -> DataFrame:
 
 def _full_sets(n: int):
     def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):  # a row per shingle: small pieces
-                part = b.slice(at, 256)
-                sets = shingle_sets(part.column(1).to_pylist(), n)
-                sizes = [len(s) for s in sets]
-                cid = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cid, pa.int64()), pa.array(np.repeat(sizes, sizes), pa.int64()),
-                     pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))],
-                    names=["cid", "n", "v"])
+        for part in _pieces(batches):
+            sets = shingle_sets(part.column(1).to_pylist(), n)
+            sizes = [len(s) for s in sets]
+            cid = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cid, pa.int64()), pa.array(np.repeat(sizes, sizes), pa.int64()),
+                 pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))],
+                names=["cid", "n", "v"])
     return run
 
 
@@ -185,7 +191,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, k: int = K, share: int = SHA
 
 def _verifier(n: int, share: int):
     def run(batches):
-        for b in batches:
+        for b in _pieces(batches):
             left = shingle_sets(b.column(2).to_pylist(), n)
             right = shingle_sets(b.column(3).to_pylist(), n)
             ok = []

@@ -128,14 +128,16 @@ def codec(data: bytes) -> Codec:
 
 def _pieces(batch, size: int = 1 << 20):
     """Rows of a batch in runs of about ``size`` characters."""
-    texts, held, at = batch.column(1).to_pylist(), 0, 0
-    for i, t in enumerate(texts):
-        held += len(t or "")
+    texts, held, at = [], 0, 0
+    column = batch.column(1)
+    for i in range(batch.num_rows):
+        texts.append(column[i].as_py())
+        held += len(texts[-1] or "")
         if held >= size:
-            yield at, texts[at:i + 1]
-            held, at = 0, i + 1
-    if at < len(texts):
-        yield at, texts[at:]
+            yield at, texts
+            texts, held, at = [], 0, i + 1
+    if texts:
+        yield at, texts
 
 
 def encode(docs: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame:

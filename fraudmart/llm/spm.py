@@ -156,7 +156,7 @@ class Cache(dict):
     """Results by segment; emptied before it outgrows ``limit`` characters, so a
     task's memory does not grow with its vocabulary."""
 
-    def __init__(self, limit: int = 4_000_000):
+    def __init__(self, limit: int = 2_000_000):
         super().__init__()
         self.limit, self.held = limit, 0
 
