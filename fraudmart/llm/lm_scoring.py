@@ -4,19 +4,24 @@ Tokens are the words of a text (lower-case A-Z, runs of bytes other than ASCII
 white space) and one end. Training documents give
 
 * the count of every token (all of them, unbounded vocabulary, kept in Spark);
-* counts of class trigrams. The ``HEAD_CLASSES`` most frequent words are classes
-  of their own; all others fall into ``TAIL_CLASSES`` classes by the hash of
-  their last two bytes; the end and the start are classes. So the table has at
-  most ``CLASSES`` cubed rows whatever the corpus, covers all of it, and is all
-  that training needs.
-
-The model predicts a class from two preceding ones: vectors of the context
-classes, one matrix per position, the scalar product with the target's vector,
-and a bias. Numpy trains it with noise-contrastive estimation (noise: class
-frequencies); batched matrix products over all contexts give logits, and a
-softmax normalises them. A token's probability is that of its class times its
-add-one share in the class, where each class reserves a share for words that
-training did not have: probabilities of all words sum to one.
+* counts of class trigrams, from which the driver trains a first model. The
+  ``HEAD_CLASSES`` most frequent words are classes of their own; all others fall
+  into ``TAIL_CLASSES`` classes by the hash of their last two bytes; the end and
+  the start are classes;
+* every occurrence of a token with the two before it: tasks train the model of
+  words on all of them, once, so training grows with the corpus.
+
+The model of words has a vector for each word that travels with the tasks (see
+below), as context and as target; rarer words share the context vector of their
+class. A target is predicted in three steps: its class, its group of at most
+``GROUP`` words (or the rarer words) in the class, the word in the group. Each
+step is the scalar product of the context (two vectors, one matrix per position)
+with a vector, and a bias; it is trained by noise-contrastive estimation (noise:
+frequencies) and normalised by a softmax. The first model gives the start; the
+tasks of a round train copies, whose rows are averaged in Spark by how often each
+was trained. A rarer word has its add-one share of its class's rarer words, of
+which a share is reserved for words that training did not have: probabilities of
+all words sum to one.
 
 Counts of the most frequent words (at most ``HEAD_WORDS``, chosen by a threshold
 on counts) travel with the tasks; rarer words are joined with their counts in
@@ -31,13 +36,16 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
 import math
+import os
 from collections import Counter
 from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +59,11 @@ END, START = CLASSES - 2, CLASSES - 1
 END_TOKEN = ""
 HEAD_WORDS = 200_000
 DIMENSIONS, STEPS, BATCH, NOISE, SEED = 24, 1500, 1024, 20, 7
+#: words of a group; rounds over disjoint parts of the training rows; tokens that a task
+#: trains on in all rounds; noise words that the contexts of a batch share; learning rate
+GROUP, ROUNDS, TASK_TOKENS, SHARED, RATE = 64, 2, 16_000_000, 32, .1
+#: tokens that a task holds at a time
+WINDOW = 1 << 16
 
 
 def held_out(doc_id: Column, folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
@@ -254,33 +267,297 @@ def class_sizes(counts: DataFrame, known: Classes) -> np.ndarray:
     return np.log10(np.maximum(z, 1))
 
 
-def _scorer(key: tuple, model: LogBilinear, sizes: np.ndarray):
+class Tree:
+    """The shipped words past the head classes by class and group; the last group of each
+    class stands for its rarer words. Rows of words lie together by group, groups by class."""
+
+    def __init__(self, known: Classes, sizes: np.ndarray):
+        n = known.end
+        tail = np.arange(min(HEAD_CLASSES, n), n)
+        cls = known.of[tail] - HEAD_CLASSES
+        order = np.argsort(cls, kind="stable")
+        tail, cls = tail[order], cls[order]
+        first = np.searchsorted(cls, np.arange(TAIL_CLASSES + 1))
+        self.first_group = np.concatenate([[0], np.cumsum(-(-np.diff(first) // GROUP) + 1)])
+        group = self.first_group[cls] + (np.arange(len(cls)) - first[cls]) // GROUP
+        groups = int(self.first_group[-1])
+        self.rest = self.first_group[1:] - 1
+        self.row = np.full(n + 1, -1)
+        self.row[tail] = np.arange(len(tail))
+        self.group = np.full(n + 1, -1)
+        self.group[tail] = group
+        self.first_word = np.searchsorted(group, np.arange(groups + 1))
+        self.word_mass = known.count[tail] + 1.0
+        self.group_mass = np.bincount(group, self.word_mass, minlength=groups)
+        held = np.bincount(cls, self.word_mass, minlength=TAIL_CLASSES)
+        z = 10 ** sizes[HEAD_CLASSES:HEAD_CLASSES + TAIL_CLASSES]
+        self.group_mass[self.rest] = np.maximum(np.round(z - held), 1)
+        # rows of the parameters: contexts, groups, words, classes, two matrices
+        self.n, self.units = n, n + TAIL_CLASSES + 2
+        self.groups_at = self.units
+        self.words_at = self.groups_at + groups
+        self.classes_at = self.words_at + len(tail)
+        self.matrices_at = self.classes_at + CLASSES
+
+    def start(self, known: Classes, model: LogBilinear) -> np.ndarray:
+        """Parameters (vector, bias) that give the first model with add-one shares."""
+        d = model.r.shape[1]
+        p = np.zeros((self.matrices_at + 2 * d, d + 1), dtype=np.float32)
+        p[:self.n, :d] = model.r[known.of[:self.n]]
+        p[self.n:self.units, :d] = model.r[HEAD_CLASSES:]
+        p[self.groups_at:self.words_at, d] = np.log(self.group_mass / self.group_mass.sum())
+        p[self.words_at:self.classes_at, d] = np.log(self.word_mass / self.word_mass.sum())
+        p[self.classes_at:self.matrices_at, :d] = model.q
+        p[self.classes_at:self.matrices_at, d] = model.bias
+        p[self.matrices_at:, :d] = model.c.reshape(2 * d, d)
+        return p
+
+    def rows(self, known: Classes, texts: list[list[str]]):
+        """Of all tokens of tokenised texts: contexts a and b, class, group and word row
+        (-1: none); the number of tokens of each text; per text head indices and rarer words."""
+        got = [known.classes(t) for t in texts]
+        cls, at = (np.concatenate([g[i] for g in got]) for i in (0, 1))
+        size = np.array([len(g[0]) for g in got])
+        unit = np.where((at >= 0) & (at < self.n), at, self.n + cls - HEAD_CLASSES)
+        starts = np.cumsum(size) - size
+        a, b = np.empty_like(unit), np.empty_like(unit)
+        b[1:], a[2:] = unit[:-1], unit[:-2]
+        none = self.units - 1
+        b[starts], a[starts] = none, none
+        a[(starts + 1)[size > 1]] = none
+        rare = at < 0
+        group = self.group[at]
+        group[rare] = self.rest[cls[rare] - HEAD_CLASSES]
+        row = np.where(rare, -1, self.row[at])
+        return a, b, cls, group, row, size, got
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    x *= np.float32(.5)
+    np.tanh(x, out=x)
+    x += 1
+    x *= np.float32(.5)
+    return x
+
+
+@lru_cache(maxsize=1)
+def one_thread() -> None:
+    """Tasks share their machine: matrix products of this process stay on one core (where
+    numpy brings its own OpenBLAS; elsewhere the caller's settings hold)."""
+    folder = os.path.join(os.path.dirname(os.path.dirname(np.__file__)), "numpy.libs")
+    for name in os.listdir(folder) if os.path.isdir(folder) else ():
+        if "openblas" in name:
+            put = getattr(ctypes.CDLL(os.path.join(folder, name)),
+                          "scipy_openblas_set_num_threads64_", None)
+            if put:
+                put(1)
+
+
+class Training:
+    """One task's copy of the parameters."""
+
+    def __init__(self, tree: Tree, start: np.ndarray, seed: int, rate: float = RATE):
+        self.tree, self.p, self.rate = tree, start.copy(), rate
+        self.seen = np.ones(len(start), dtype=np.float32)
+        self.times = np.zeros(len(start), dtype=np.int64)
+        self.rnd = np.random.default_rng(seed)
+        classes = start[tree.classes_at:tree.matrices_at, -1].astype(np.float64)
+        share = np.exp(classes - classes.max())
+        self.noise = (NOISE * share / share.sum()).astype(np.float32)
+        self.offset = np.log(self.noise)
+        self.mass = {at: (np.log(NOISE * m / m.sum()).astype(np.float32), np.cumsum(m / m.sum()))
+                     for at, m in ((tree.groups_at, tree.group_mass), (tree.words_at, tree.word_mass))
+                     if len(m)}
+
+    def _add(self, rows: np.ndarray, g: np.ndarray) -> None:
+        order = np.argsort(rows, kind="stable")
+        s = rows[order]
+        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        rows = s[first]
+        self._step(rows, np.add.reduceat(g[order], first, axis=0))
+        self.times[rows] += np.diff(np.append(first, len(s)))
+
+    def _step(self, rows, g: np.ndarray) -> None:
+        acc = self.seen[rows] + np.einsum("ij,ij->i", g, g) / g.shape[1]
+        self.seen[rows] = acc
+        g *= (self.rate / np.sqrt(acc))[:, None]
+        self.p[rows] += g
+
+    def _told(self, h: np.ndarray, at: int, target: np.ndarray) -> np.ndarray:
+        """Targets told from noise that the batch shares: the gradients of the contexts."""
+        offset, upto = self.mass[at]
+        noise = np.searchsorted(upto, self.rnd.random(SHARED)).clip(max=len(upto) - 1)
+        qt, qn = self.p[at + target], self.p[at + noise]
+        real = (1 - _sigmoid(np.einsum("ij,ij->i", h, qt) - offset[target]))[:, None]
+        false = _sigmoid(h @ qn.T - offset[noise])
+        false *= -np.float32(NOISE / SHARED)
+        self._add(np.concatenate([at + target, at + noise]),
+                  np.concatenate([real * h, false.T @ h]))
+        qt *= real
+        qt += false @ qn
+        return qt
+
+    def batch(self, a, b, cls, group, row) -> None:
+        """A vector's last entry is its bias; that of a context is one."""
+        t, d = self.tree, self.p.shape[1] - 1
+        c = np.zeros((2, d + 1, d + 1), dtype=np.float32)
+        c[:, :d] = self.p[t.matrices_at:].reshape(2, d, d + 1)
+        ra, rb = self.p[a], self.p[b]
+        h = ra @ c[0]
+        h += rb @ c[1]
+        h[:, d] = 1
+        q = self.p[t.classes_at:t.matrices_at]
+        at = np.arange(len(cls))
+        g = _sigmoid(h @ q.T - self.offset)
+        real = 1 - g[at, cls]
+        g *= -self.noise
+        g[at, cls] += real
+        gh, gq = g @ q, g.T @ h
+        for start, target in ((t.groups_at, group), (t.words_at, row)):
+            some = np.flatnonzero(target >= 0)
+            if len(some):
+                gh[some] += self._told(h[some], start, target[some])
+        gh[:, d] = 0
+        gc = np.concatenate([ra[:, :d].T @ gh, rb[:, :d].T @ gh])
+        self._add(np.concatenate([a, b]), np.concatenate([gh @ c[0].T, gh @ c[1].T]))
+        self._step(slice(t.classes_at, t.matrices_at), gq)
+        self._step(slice(t.matrices_at, None), gc)
+        self.times[t.classes_at:] += len(cls)
+
+    def window(self, rows) -> None:
+        order = self.rnd.permutation(len(rows[0]))
+        for at in range(0, len(order), BATCH):
+            self.batch(*[x[order[at:at + BATCH]] for x in rows])
+
+
+def _windows(texts, size: int = WINDOW):
+    """Tokenised texts in runs of about ``size`` tokens."""
+    held, n = [], 0
+    for t in texts:
+        held.append(tokens(t))
+        n += len(held[-1]) + 1
+        if n >= size:
+            yield held
+            held, n = [], 0
+    if held:
+        yield held
+
+
+def train_words(train: DataFrame, key: tuple, tree: Tree, start: np.ndarray, n: int,
+                rounds: int = ROUNDS) -> tuple[np.ndarray, int]:
+    """Parameters after all training rows, and how many tokens they were trained on.
+
+    Rounds train on disjoint parts of the rows; the tasks' rows are averaged in Spark."""
+    p, trained, d = start, 0, start.shape[1]
+    tasks = max(1, -(-n // TASK_TOKENS))
+    names = [f"v{i}" for i in range(d)]
+    for k in range(rounds):
+        def run(batches, p=p, k=k):
+            one_thread()
+            known, task = _classes(key), None
+            texts = (x.as_py() for b in batches for x in b.column(0))
+            for held in _windows(texts):
+                if task is None:
+                    task = Training(tree, p, SEED + k * 1_000_003 + TaskContext.get().partitionId(),
+                                    RATE / (k + 1))
+                task.window(tree.rows(known, held)[:5])
+            if task is not None:
+                for at in range(0, len(p), 20_000):
+                    rows = at + np.flatnonzero(task.times[at:at + 20_000])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rows, pa.int64()), pa.array(task.times[rows], pa.int64()),
+                         *[pa.array(x, pa.float32()) for x in task.p[rows].T]],
+                        names=["row", "n", *names])
+
+        part = train.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text")
+        moved = (part.coalesce(tasks).transform(
+                     in_tasks, run, "row long, n long, " + ", ".join(f"{x} float" for x in names))
+                 .groupBy("row").agg(F.sum("n").alias("n"), *[
+                     (F.sum(F.col("n") * F.col(x)) / F.sum("n")).cast("float").alias(x)
+                     for x in names]).toArrow())
+        if moved.num_rows:
+            rows = moved.column("row").to_numpy()
+            p = p.copy()
+            p[rows] = np.stack([moved.column(x).to_numpy() for x in names], axis=1)
+            trained += int(moved.column("n").to_numpy()[rows == tree.classes_at].sum())
+    return p, trained
+
+
+class Scores:
+    """Normalised log probabilities (base 10) of tokens; rarer words: of all of their class."""
+
+    def __init__(self, tree: Tree, p: np.ndarray):
+        self.tree, self.p, d = tree, p, p.shape[1] - 1
+        c = p[tree.matrices_at:].reshape(2, d, d + 1)
+        self.left, self.right = p[:tree.units, :d] @ c[0], p[:tree.units, :d] @ c[1]
+        self.left[:, d], self.right[:, d] = 1, 0
+        self.q = p[tree.classes_at:tree.matrices_at].copy()
+        self.q[START] = 0
+        self.q[START, d] = -1e30  # the start never follows
+
+    @staticmethod
+    def _of(h, q, target):
+        s = h @ q.T
+        picked = s[np.arange(len(s)), target]
+        with np.errstate(over="ignore"):
+            e = np.exp(s).sum(axis=1)
+        if not (np.isfinite(e) & (e > 1e-30)).all():
+            top = s.max(axis=1)
+            return picked - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
+        return picked - np.log(e)
+
+    def __call__(self, a, b, cls, group, row) -> np.ndarray:
+        t = self.tree
+        h = self.left[a] + self.right[b]
+        out = np.empty(len(a))
+        for at in range(0, len(a), 2048):
+            x = slice(at, at + 2048)
+            out[x] = self._of(h[x], self.q, cls[x])
+        # the same of groups in their class, and of words in their group
+        for base, first, which, target in (
+                (t.groups_at, t.first_group, cls - HEAD_CLASSES, group),
+                (t.words_at, t.first_word, group, row)):
+            some = np.flatnonzero(target >= 0)
+            some = some[np.argsort(which[some], kind="stable")]
+            sets, starts = np.unique(which[some], return_index=True)
+            hs, at = h[some], target[some]
+            lp = np.empty(len(some))
+            for k, lo, hi in zip(sets.tolist(), starts.tolist(), [*starts[1:].tolist(), len(some)]):
+                lp[lo:hi] = self._of(hs[lo:hi], self.p[base + first[k]:base + first[k + 1]],
+                                     at[lo:hi] - first[k])
+            out[some] += lp
+        return out / math.log(10)
+
+
+def _scorer(key: tuple, tree: Tree, p: np.ndarray):
     state: dict = {}
 
     def run(batches):
+        one_thread()
+        known = _classes(key)
         if not state:
-            state["table"] = model.log_probs() / math.log(10)
-        table, known = state["table"], _classes(key)
-        weight = np.log10(known.count + 1.0)
+            state["scores"] = Scores(tree, p)
+        scores, weight = state["scores"], np.log10(known.count + 1.0)
+        rest = np.log10(tree.group_mass[tree.rest])
+        trained = len(known.count) > 1 or known.count[-1]
+        types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+                 pa.list_(pa.string()), pa.list_(pa.int64()))
         for b in batches:
-            rows = []
-            for t in b.column(2).to_pylist():
-                cls, at, rare = known.classes(tokens(t))
-                head = at[at >= 0]
-                lp = table[contexts(cls), cls].sum()
-                tail = cls[(cls >= HEAD_CLASSES) & (cls < END)]
-                seen = Counter(rare)
-                # the shares of one-word classes and of the end are 1
-                share = weight[head][(known.of[head] >= HEAD_CLASSES) & (known.of[head] < END)].sum()
-                rows.append((len(cls), len(head) if len(known.count) > 1 or known.count[-1] else 0,
-                             float(weight[head].sum()), float(lp + share - sizes[tail].sum()),
-                             list(seen), list(seen.values())))
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.string()), pa.list_(pa.int64()))
-            if rows:
+            done = 0
+            for held in _windows(x.as_py() for x in b.column(2)):
+                *token, size, got = tree.rows(known, held)
+                lp = np.add.reduceat(scores(*token), np.cumsum(size) - size)
+                rows = []
+                for x, (cls, at, rare) in zip(lp, got):
+                    head, seen = at[at >= 0], Counter(rare)
+                    rows.append((len(cls), len(head) if trained else 0, float(weight[head].sum()),
+                                 float(x - rest[cls[at < 0] - HEAD_CLASSES].sum()),
+                                 list(seen), list(seen.values())))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), b.column(1), *[pa.array(c, t) for c, t in zip(zip(*rows), types)]],
+                    [b.column(0).slice(done, len(rows)), b.column(1).slice(done, len(rows)),
+                     *[pa.array(c, t) for c, t in zip(zip(*rows), types)]],
                     names=["doc_id", "held_out", "n_tokens", "known", "logs", "model", "rare", "times"])
+                done += len(rows)
     return run
 
 
@@ -302,10 +579,11 @@ def score(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT, head: int =
     code = grams.column("code").to_numpy()
     order = np.argsort(code)
     model = LogBilinear().fit(code[order], grams.column("n").to_numpy()[order], steps)
-    sizes = class_sizes(counts, known)
+    tree = Tree(known, class_sizes(counts, known))
+    p, _ = train_words(train, key, tree, tree.start(known, model), n)
 
     scored = written(d.select("doc_id", "held_out", "text").transform(in_tasks,
-        _scorer(key, model, sizes),
+        _scorer(key, tree, p),
         "doc_id long, held_out boolean, n_tokens long, known long, logs double, model double, "
         "rare array<string>, times array<long>").withColumn("row", F.monotonically_increasing_id()),
         "lm-scored")

@@ -134,6 +134,45 @@ def test_word_probabilities_sum_to_one(spark, texts):
         assert math.isclose(s + (1 / z[k] if k >= lm_scoring.HEAD_CLASSES else 0), 1, rel_tol=1e-9)
 
 
+def test_words_past_the_head_classes_have_contexts_of_their_own(spark):
+    """Pairs of words of one tail class that always follow each other."""
+    pairs = [(f"p{i:03d}xx", f"q{i:03d}yy") for i in range(100)]
+    rnd = random.Random(5)
+    rows = [(d, " ".join(w for _ in range(200) for w in rnd.choice(pairs))) for d in range(600)]
+    right, wrong = f"{pairs[90][0]} {pairs[90][1]}", f"{pairs[90][0]} {pairs[60][1]}"
+    held = [d for d in range(10_000, 10_100) if lm_scoring.crc32(str(d).encode()) % 7 == 2][:2]
+    rows += [(held[0], right), (held[1], wrong)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.score(frame, steps=50).collect()}
+    assert got[held[0]] > got[held[1]] + .3
+
+
+def test_training_takes_every_token_and_stays_normalised(spark, texts):
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    counts = lm_scoring.token_table(frame)
+    words = lm_scoring.head_words(counts, 2000)
+    key = (tuple(words), tuple(words.values()), len(texts))
+    known = lm_scoring.Classes(words, len(texts))
+    tree = lm_scoring.Tree(known, lm_scoring.class_sizes(counts, known))
+    start = tree.start(known, lm_scoring.LogBilinear())
+    n = sum(r.c for r in counts.collect())
+    p, trained = lm_scoring.train_words(frame, key, tree, start, n)
+    assert trained == n
+    moved = np.abs(p - start)[:, :-1].max(axis=1) > 0
+    assert moved[tree.words_at:tree.classes_at].mean() > .9 and moved[:tree.n].mean() > .9
+    # all targets after one context: head classes and the end, words, rarer words of each class
+    cls = [*range(lm_scoring.HEAD_CLASSES), lm_scoring.END]
+    targets = [(c, -1, -1) for c in cls]
+    targets += [(int(known.of[i]), int(tree.group[i]), int(tree.row[i]))
+                for i in range(lm_scoring.HEAD_CLASSES, tree.n)]
+    targets += [(lm_scoring.HEAD_CLASSES + k, int(g), -1) for k, g in enumerate(tree.rest)]
+    c, g, r = np.array(targets).T
+    scores = lm_scoring.Scores(tree, p)
+    for a, b in ((3, 500), (tree.units - 1, tree.units - 1), (1500, tree.n)):
+        lp = scores(np.full(len(c), a), np.full(len(c), b), c, g, r)
+        assert math.isclose((10 ** lp).sum(), 1, rel_tol=1e-4)
+
+
 def test_lm_edge_cases(spark):
     rows = [(1, None), (2, ""), (None, "A b"), (3, "a\x0bB\x1fc"), (3, "a\x0bB\x1fc")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
