@@ -17,9 +17,14 @@ declaration or a mixed host only weighs as much as it agrees with the texts. A
 host's share of rows does not matter: sums are pre-aggregated, and what is
 joined back is one small row per value.
 
-A document is rejected (``kept`` false) when it has no letters, when its best
-language's probability is under ``LEAST_CONFIDENCE``, or when that language is
-not among ``accepted`` (default: all languages of the training table).
+A document is rejected (``kept`` false) when it has no letters, when its text fits
+none of the languages, when its best language's probability is under
+``LEAST_CONFIDENCE``, or when that language is not among ``accepted`` (default: all
+languages of the training table). Fit is absolute: the share of the text's letter
+trigrams that are likelier in its best language than among uniform bytes must reach
+``LEAST_FIT`` of the same share of that language's training texts, less a slack for
+short texts. Languages of two rows or more are classes like any other; all are mixed with
+the same share of the pooled texts, so what no language has favours none.
 
 Defined results: NULL or empty text has no text evidence and is rejected;
 missing declaration, suffix or host is no evidence (the prior is then that of
@@ -40,8 +45,12 @@ from fraudmart.llm.shared import in_tasks, row_key, without, written
 BUCKETS = 1 << 16
 EFFECTIVE = 60.0
 LEAST_CONFIDENCE = 0.5
-#: rows that a language needs in the training table
-LEAST_ROWS = 5
+#: rows that a language needs in the training table: a text that alone declares its
+#: language has no other to be compared with
+LEAST_ROWS = 2
+#: weight of the pooled texts in each language
+POOLED = .1
+LEAST_FIT = .5
 PRIOR_WEIGHT = 20.0
 CHUNK = 1 << 20
 
@@ -54,6 +63,15 @@ def trigrams(text: str):
         yield ((x[:-2] | x[1:-1] << 8 | x[2:] << 16) * np.uint32(2654435761)) >> np.uint32(16)
 
 
+def lettered_trigrams(text: str):
+    """Which trigrams consist of letters and spaces, in the chunks of ``trigrams``."""
+    a = np.frombuffer(text.lower().encode(), dtype=np.uint8)
+    for at in range(0, max(len(a) - 2, 0), CHUNK):
+        x = a[at:at + CHUNK + 2]
+        x = ((x >= 97) & (x <= 122)) | (x >= 128) | (x == 32)
+        yield x[:-2] & x[1:-1] & x[2:]
+
+
 def _letters(text: str) -> int:
     a = np.frombuffer(text.lower().encode(), dtype=np.uint8)
     return int(np.count_nonzero(((a >= 97) & (a <= 122)) | (a >= 128)))
@@ -90,14 +108,26 @@ class TextModel:
 
     def __init__(self, langs: list[str], table: np.ndarray):
         self.langs = langs
-        self.logp = np.log((table + .5) / (table + .5).sum(axis=0, keepdims=True))
-
-    def evidence(self, text: str) -> np.ndarray:
+        own = table / np.maximum(table.sum(axis=0, keepdims=True), 1)
+        pool = table.sum(axis=1, keepdims=True) + .5
+        self.logp = np.log((1 - POOLED) * own + POOLED * pool / pool.sum())
+        #: is a trigram likelier than among uniform bytes?
+        self.likely = (table + .5) * BUCKETS > (table + .5).sum(axis=0, keepdims=True)
+        self.least = LEAST_FIT * (own * self.likely).sum(axis=0)
+
+    def evidence(self, text: str) -> tuple[np.ndarray, bool]:
+        """Log likelihoods, and whether the text fits the best language (texts without a
+        trigram of letters have no say)."""
         total, n = np.zeros(len(self.langs)), 0
-        for t in trigrams(text):
+        likely, letters = np.zeros(len(self.langs)), 0
+        for t, lettered in zip(trigrams(text), lettered_trigrams(text)):
             total += self.logp[t].sum(axis=0)
             n += len(t)
-        return total * (min(n, EFFECTIVE) / n) if n else total
+            likely += np.count_nonzero(self.likely[t[lettered]], axis=0)
+            letters += np.count_nonzero(lettered)
+        best = int(total.argmax()) if len(total) else 0
+        fits = not letters or likely[best] / letters >= self.least[best] - .5 / letters ** .5
+        return total * (min(n, EFFECTIVE) / n) if n else total, bool(fits)
 
 
 def train_text_model(train: DataFrame, least_rows: int = LEAST_ROWS) -> TextModel:
@@ -121,7 +151,8 @@ def _code(lang: Column) -> Column:
 
 
 def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
-    """``id, row_key, letters, declared, suffix, domain, host, ll`` of rows with a ``text``."""
+    """``id, row_key, letters, declared, suffix, domain, host, fits, ll`` of rows with a
+    ``text``."""
     names = ["id", "row_key", "declared", "suffix", "domain", "host", "text"]
 
     def run(batches):
@@ -133,12 +164,13 @@ def text_evidence(rows: DataFrame, model: TextModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(6)]
                     + [pa.array([_letters(t) for t in texts], pa.int64()),
-                       pa.array(ll, pa.list_(pa.float64()))],
-                    names=[*names[:-1], "letters", "ll"])
+                       pa.array([x[1] for x in ll], pa.bool_()),
+                       pa.array([x[0] for x in ll], pa.list_(pa.float64()))],
+                    names=[*names[:-1], "letters", "fits", "ll"])
 
     return rows.select(*names).transform(in_tasks,
         run, "id long, row_key long, declared string, suffix string, domain string, "
-             "host string, letters long, ll array<double>")
+             "host string, letters long, fits boolean, ll array<double>")
 
 
 def _softmax(logs: Column) -> Column:
@@ -185,7 +217,7 @@ def identify(rows: DataFrame, model: TextModel, accepted: list[str] | None = Non
                             F.lit(False).alias("kept"), "declared",
                             F.lit(None).cast("string").alias("text_lang"), "row_key")
     ev = written(text_evidence(clean, model), "langid-evidence")
-    seen = ev.where(F.col("letters") > 0).withColumn("post", _softmax(F.col("ll")))
+    seen = ev.where((F.col("letters") > 0) & F.col("fits")).withColumn("post", _softmax(F.col("ll")))
 
     # priors: corpus, then suffix, domain and host, each smoothed towards the level above
     hosts = written(_sums(seen, ["suffix", "domain", "host"], n), "langid-hosts")
@@ -227,7 +259,7 @@ def identify(rows: DataFrame, model: TextModel, accepted: list[str] | None = Non
         return F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
 
     out = out.withColumn("p", _softmax(logs)).withColumn("lang", best(F.col("p")))
-    sure = (F.col("letters") > 0) & (F.array_max("p") >= LEAST_CONFIDENCE)
+    sure = (F.col("letters") > 0) & F.col("fits") & (F.array_max("p") >= LEAST_CONFIDENCE)
     if accepted is not None:
         sure = sure & F.col("lang").isin(list(accepted))
     return out.select("id", "lang", F.array_max("p").alias("confidence"), sure.alias("kept"),

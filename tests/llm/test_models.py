@@ -1,5 +1,6 @@
 """Language ID, LM scoring, token counts and the SentencePiece codec."""
 
+import base64
 import math
 import random
 
@@ -67,6 +68,29 @@ def test_evidence_other_than_text_decides_short_texts(spark):
     assert (got[10_000], got[10_001], got[10_002]) == ("fr", "en", "fr")
 
 
+def test_noise_and_languages_that_were_not_trained_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    rnd = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    odd = ["".join(rnd.choice(letters) for _ in range(400)),
+           " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(60)),
+           base64.b64encode(rnd.randbytes(300)).decode(),
+           "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом",
+           "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+           "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel",
+           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni"]
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs]
+    extra = [(10 ** 6 + i, t, None, None) for i, t in enumerate(odd)]
+    got = language_id.identify_documents(_frame(spark, rows + extra)).collect()
+    assert [r.doc_id for r in got if not r.kept] and {r.doc_id for r in got if not r.kept} == {
+        d for d, *_ in extra}
+    # two rows make a language of their own, and take nothing from the others
+    few = [(2 * 10 ** 6 + i, t, "hu", None) for i, t in enumerate([odd[5], odd[5] + " " + odd[5][:40]])]
+    got = {r.doc_id: r for r in language_id.identify_documents(_frame(spark, rows + few)).collect()}
+    assert all(got[d].lang == "hu" and got[d].kept for d, *_ in few)
+    assert sum(got[d].lang == lang for d, _, lang, _ in rows) >= .99 * len(rows)
+
+
 def test_language_edge_cases(spark):
     rows = [(1, None, "en", "s"), (2, "", None, None), (3, "123 !!", "en", "s"),
             (None, "the of and to in is", "en", "s"), (4, "the of", "zz", None)]
