@@ -244,9 +244,10 @@ def class_links(classes: DataFrame, docs: DataFrame, n: int = SHINGLE_WORDS, k:
     return components(first.union(rest), "near")
 
 
-def near_groups(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K, share: int = SHARE,
-                long: int = LONG) -> DataFrame:
-    """Per document ``doc_id, n_shingles, component_id, kept, row_key``."""
+def _grouped(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K, share: int = SHARE,
+             long: int = LONG) -> DataFrame:
+    """Per document ``doc_id, n_shingles, component_id, row_key, root`` (NULL: linked with
+    nothing for want of shingles)."""
     sk = written(sketches(docs, n, k), "near-sketches")
     g = (sk.where(F.col("n_shingles") > 0).groupBy("set_key")
          .agg(F.min("row_key").alias("rep_key"), F.first("n_shingles").alias("n_shingles"),
@@ -257,18 +258,27 @@ def near_groups(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K, share: int
              .join(roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
              .select("set_key", "least_id", F.coalesce("root", "cid").alias("root")))
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_set = named.join(least, "root").select("set_key", "component_id")
+    by_set = named.join(least, "root").select("set_key", "component_id", "root")
     linked = sk.where(F.col("n_shingles") > 0).drop("sketch").join(by_set, "set_key")
     alone = sk.where(F.col("n_shingles") == 0).drop("sketch").withColumn(
-        "component_id", F.col("doc_id"))
-    out = linked.select("doc_id", "n_shingles", "component_id", "row_key").unionByName(
-        alone.select("doc_id", "n_shingles", "component_id", "row_key"))
-    return out.select("doc_id", "n_shingles", "component_id",
+        "component_id", F.col("doc_id")).withColumn("root", F.lit(None).cast("long"))
+    names = ("doc_id", "n_shingles", "component_id", "row_key", "root")
+    return linked.select(*names).unionByName(alone.select(*names))
+
+
+def near_groups(docs: DataFrame, n: int = SHINGLE_WORDS, k: int = K, share: int = SHARE,
+                long: int = LONG) -> DataFrame:
+    """Per document ``doc_id, n_shingles, component_id, kept, row_key``."""
+    return _grouped(docs, n, k, share, long).select(
+                      "doc_id", "n_shingles", "component_id",
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "row_key")
 
 
 def keep_one(docs: DataFrame, n: int = SHINGLE_WORDS, share: int = SHARE) -> DataFrame:
-    """``docs`` with one document of each group, all columns. Rows that repeat both id and
-    text are one document; rows of a group of NULL ids have no least id and all stay."""
-    gone = near_groups(docs, n, share=share).where(~F.col("kept")).select("row_key")
-    return without(docs, gone, once=True)
+    """``docs`` with one document of each group, all columns: that of the least id (NULL
+    last), then of the least row key. Rows that repeat both id and text are one document."""
+    linked = written(_grouped(docs, n, share=share).where(F.col("root").isNotNull()).select(
+        "doc_id", "row_key", "root"), "near-linked")
+    stay = linked.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("x")).select("x.row_key")
+    return without(docs, linked.select("row_key").join(stay, "row_key", "left_anti"), once=True)

@@ -133,3 +133,15 @@ def test_empty_tables_and_repeated_rows(spark):
 
 
 
+
+
+def test_one_document_of_a_group_stays_whatever_its_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base, f"x{i}"]) for i in range(3)]
+    other = [" ".join([*(f"v{i}" for i in range(60)), f"y{i}"]) for i in range(3)]
+    rows = [(None, t) for t in texts] + [(7, t) for t in other] + [(8, other[0]), (None, other[1])]
+    rows += [(None, ""), (9, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    left = near_dedup.keep_one(frame, n=5, share=80).collect()
+    assert sorted([r.doc_id for r in left], key=str) == [7, 9, None, None]
+    assert sum(r.text in texts for r in left) == 1
