@@ -21,8 +21,9 @@ Main path is DataFrame expressions only. Defined results:
 
 * NULL or empty texts, and texts under five words, have no shingle: such items
   match nothing and such documents leak nothing.
-* Repeated document rows with the same id count as one document (its shingles
-  are the union); repeated item ids likewise. NULL ids are ids like any other.
+* The report (``contaminated``) is by id: repeated document rows with the same id
+  count as one document (its shingles are the union); repeated item ids likewise.
+  NULL ids are ids like any other. ``clean`` looks at each row by itself.
 * Empty tables give an empty result; extra columns are ignored.
 """
 
@@ -31,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.shared import written
+from fraudmart.llm.shared import row_key, without, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -110,9 +111,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
           n: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` without the documents that leak an item, all columns."""
-    name = "leaked_id"
-    while name in {c.lower() for c in docs.columns}:
-        name = f"_{name}"
-    ids = contaminated(docs, benchmark, threshold, n).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(name)), "left_anti")
+    """``docs`` without the rows whose text leaks an item, whatever other rows have their
+    id; all columns."""
+    rows = docs.select(row_key(F.col("doc_id").cast("long"), F.col("text")).alias("doc_id"), "text")
+    leaks = contaminated(rows, benchmark, threshold, n)
+    return without(docs, leaks.select(F.col("doc_id").alias("row_key")))

@@ -174,3 +174,14 @@ def test_stages_keep_the_columns_of_documents(spark):
             out = stage(spark, frame, SMALL)
             assert out.columns == docs.columns, name
             out.count()
+
+
+def test_clean_looks_at_rows_not_ids(spark):
+    item = " ".join(f"w{i}" for i in range(12))
+    half = item.split()
+    rows = [(None, item), (None, "plain text that leaks nothing at all"), (5, " ".join(half[:8])),
+            (5, " ".join(half[4:])), (6, item + " more"), (6, "another plain text of six words")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = {tuple(r) for r in decontam.clean(frame, bench).collect()}
+    assert left == {rows[1], rows[2], rows[3], rows[5]}
