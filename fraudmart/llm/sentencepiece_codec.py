@@ -5,11 +5,11 @@ The model's protobuf is parsed (``spm``) and rebuilt as a tokenizer: normaliser
 merges in score order (merging models), and byte fallback. Segments of a batch
 that were not seen before are encoded in one multithreaded call.
 
-Parity: each new segment is also encoded by the ``sentencepiece`` library. Where
-the two differ its ids are used, and the document's ``n_differing`` counts the
-segments concerned, so results are always those of the reference library.
-Decoding goes through the pieces' bytes; ``round_trip`` tells whether a
-document's ids decode to its normalised text.
+Parity: each new segment is also encoded by the ``sentencepiece`` library. The ids
+are always those of the rebuilt tokenizer; the document's ``n_differing`` counts
+the segments where that library's differ. Decoding is the rebuilt tokenizer's
+decoder too; ``round_trip`` tells whether all segments of a document decode to
+themselves, which makes its normalised text (a segment ends with a whole character).
 
 Defined results: NULL and empty texts have no ids and decode to the empty text;
 texts of any length are encoded whole; repeated rows give repeated results;
@@ -82,13 +82,9 @@ class Codec:
         self.cut = spm.segmenter(self.model)
         self.cache = spm.Cache()
         self.differing: set[str] = set()
-        raw = [p.replace(spm.SPACE, " ").encode() for p in self.model.pieces]
-        for b, i in self.model.byte_ids().items():
-            raw[i] = bytes([b])
-        for i, k in enumerate(self.model.kinds):
-            if k == spm.CONTROL:
-                raw[i] = b""
-        self.raw = raw
+        #: segments that do not decode to themselves
+        self.lost: set[str] = set()
+        self.control = {i for i, k in enumerate(self.model.kinds) if k == spm.CONTROL}
 
     def learn(self, segments) -> None:
         """Encodes segments not seen before, as one batch, by both libraries."""
@@ -96,28 +92,32 @@ class Codec:
         new, emptied = cache.missing(segments)
         if emptied:
             self.differing.clear()
+            self.lost.clear()
         got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         want = self.check.encode(new, num_threads=1) if new else []
-        for s, g, ids in zip(new, got, want):
+        back = self.tokenizer.decode_batch([g.ids for g in got], skip_special_tokens=False)
+        for s, g, ids, text in zip(new, got, want, back):
             if g.ids != ids:
                 self.differing.add(s)
-            cache[s] = np.array(ids, dtype=np.int32).tobytes()
+            if text != s.replace(spm.SPACE, " "):
+                self.lost.add(s)
+            cache[s] = np.array(g.ids, dtype=np.int32).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, int]]:
         """Per text: ids, does it decode to the normalised text, differing segments."""
         norm = [spm.normalized(self.model, t) if t else "" for t in texts]
         cut = [self.cut(t) for t in norm]
         self.learn(s for segments in cut for s in segments)
-        get, raw, out = self.cache.__getitem__, self.raw, []
-        for text, segments in zip(norm, cut):
+        get, out = self.cache.__getitem__, []
+        for segments in cut:
             ids = np.frombuffer(b"".join(map(get, segments)), dtype=np.int32)
-            back = b"".join([raw[i] for i in ids.tolist()])
             bad = sum(map(self.differing.__contains__, segments)) if self.differing else 0
-            out.append((ids, back == text.replace(spm.SPACE, " ").encode(), bad))
+            out.append((ids, not self.lost or self.lost.isdisjoint(segments), bad))
         return out
 
     def decode(self, ids: list[int]) -> str:
-        text = b"".join([self.raw[i] for i in ids]).decode(errors="replace")
+        text = self.tokenizer.decode([i for i in ids if i not in self.control],
+                                     skip_special_tokens=False)
         return text[1:] if self.model.add_dummy_prefix and text[:1] == " " else text
 
 

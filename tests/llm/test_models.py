@@ -302,6 +302,21 @@ def test_codec_equals_the_library_on_whole_texts(spark, texts, data):
             assert c.decode(ids) == t
 
 
+def test_ids_are_those_of_the_rebuilt_tokenizer(data):
+    """Where the libraries differ, the difference is counted and not put in its place."""
+    c = sentencepiece_codec.Codec(data)
+    want = c.encode(["some words here"])[0][0].tolist()
+
+    class Other:
+        def encode(self, segments, num_threads=1):
+            return [[0] for _ in segments]
+
+    d = sentencepiece_codec.Codec(data)
+    d.check = Other()
+    ids, back, bad = d.encode(["some words here"])[0]
+    assert ids.tolist() == want and back and bad > 0
+
+
 def test_decode_reverses_encode(spark):
     rows = [(i, t) for i, t in enumerate(ODD) if t is None or spm.SPACE not in t]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
