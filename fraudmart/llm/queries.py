@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fraudmart.llm import (chat, decontam, exact_dedup, language_id, lm_scoring, near_dedup,
-                           sentencepiece_codec, substring_dedup, suffix_dedup, token_counts)
+from fraudmart.llm import (chat, decontam, exact_dedup, html_text, language_id, lexical_search,
+                           lm_scoring, near_dedup, sentencepiece_codec, spelling,
+                           substring_dedup, suffix_dedup, token_counts)
 from fraudmart.llm.shared import table
 
 
@@ -65,6 +66,19 @@ def op10_decontamination(spark, sf_dir):
                                  table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.document_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_html_extraction(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 def registry():
     return {
         "op1_language_id": op1_language_id,
@@ -78,6 +92,9 @@ def registry():
         "op8_sentencepiece": op8_sentencepiece,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_decontamination": op10_decontamination,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_html_extraction": op12_html_extraction,
+        "op13_lexical_search": op13_lexical_search,
     }
 
 
@@ -125,8 +142,82 @@ FROM shared JOIN size USING (item_id)
 WHERE n_shared >= 0.8 * item_size - 1e-9
 """
 
+OP11_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+coded AS (
+  SELECT run, k, list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                                lambda c: unicode(c)::BIGINT) AS points FROM runs),
+bytes AS (
+  SELECT run, k, flatten(list_transform(points, lambda u:
+      CASE WHEN u < 128 THEN [u] ELSE [192 + (u >> 6), 128 + (u & 63)] END)) AS b FROM coded),
+hashed AS (
+  SELECT run, k, xor(list_reduce(list_prepend(4294967295, b), lambda c, x:
+      xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM bytes, crc),
+words AS (
+  SELECT CASE WHEN h % 31 = 0
+              THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, k FROM hashed),
+vocab AS (SELECT word, sum(k)::BIGINT AS n FROM words WHERE length(word) >= 7
+          GROUP BY word HAVING sum(k) >= 2),
+skips AS (SELECT word, n, substr(word, 1, i) AS a, substr(word, i + 2) AS b
+          FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocab)),
+near AS (
+  SELECT s.word, o.word AS other, o.n FROM skips s JOIN skips o USING (a, b) WHERE s.word <> o.word
+  UNION SELECT s.word, v.word, v.n FROM skips s JOIN vocab v ON v.word = s.a || s.b
+  UNION SELECT v.word, s.word, s.n FROM skips s JOIN vocab v ON v.word = s.a || s.b),
+best AS (SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near,
+                row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS place FROM near),
+forms AS (SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near,
+                 CASE WHEN b.n >= 10 * v.n THEN b.other END AS form,
+                 CASE WHEN b.n >= 10 * v.n THEN b.n END AS form_n
+          FROM vocab v LEFT JOIN best b ON b.word = v.word AND b.place = 1),
+chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.root FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM forms f JOIN ends e USING (word)
+"""
+
+OP13_SQL = r"""
+WITH td AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+ti AS (
+  SELECT DISTINCT item_id, text,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+items AS (SELECT item_id, text, unnest(terms) AS term FROM ti),
+size AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM td WHERE len(terms) > 0),
+tf AS (SELECT doc_id, r, n, term, count(*) AS tf
+       FROM (SELECT doc_id, r, len(terms)::BIGINT AS n, unnest(terms) AS term FROM td)
+       GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+      FROM tf, size GROUP BY term, n_docs),
+scored AS (
+  SELECT item_id, text, doc_id, r, sum(w * ((1000000000 * tf)
+         // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM items JOIN tf USING (term) JOIN w USING (term), size GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id, text
+                                        ORDER BY score DESC, doc_id NULLS LAST) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 SQL = {
     "op5_chat_formatting": OP5_SQL,
     "op6_exact_dedup": OP6_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op13_lexical_search": OP13_SQL,
 }

@@ -106,3 +106,49 @@ def leaks(docs, items, threshold=.8):
         out += [(d, i, len(s & have), len(s)) for i, s in sets
                 if s and len(s & have) >= threshold * len(s) - 1e-9]
     return out
+
+
+def variants(vocab):
+    """{word: (form, root, n, n_near, form_n)} by trying every edit of every word."""
+    letters = sorted({c for w in vocab for c in w})
+    near = {}
+    for w in vocab:
+        found = set()
+        for i in range(len(w) + 1 if len(w) < 100 else 1):
+            found |= {w[:i] + c + w[i:] for c in letters}
+            if i < len(w):
+                found |= {w[:i] + c + w[i + 1:] for c in letters} | {w[:i] + w[i + 1:]}
+        near[w] = sorted((found & vocab.keys()) - {w}, key=lambda o: (-vocab[o], o))
+    form = {w: o[0] for w, o in near.items() if o and vocab[o[0]] >= 10 * vocab[w]}
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n, len(near[w]), vocab[form[w]] if w in form else None)
+            for w, n in vocab.items()}
+
+
+def search(docs, items, top):
+    """[(item_id, rank, doc_id, score)] by scoring every document for every item."""
+    import math
+    import re
+    term = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    split = lambda t: term.findall((t or "").translate(lower))
+    found = [(d, w) for d, w in ((d, split(t)) for d, t in docs) if w]
+    n_docs, total = len(found), sum(len(w) for _, w in found)
+    df = Counter(t for _, w in found for t in set(w))
+    out = []
+    for item, text in {(i, t): None for i, t in items}:
+        scored = []
+        for d, w in found:
+            tf, m = Counter(w), 75 + (25 * len(w) * n_docs) // total
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                    * ((1000000000 * tf[t]) // (1000 * tf[t] + 12 * m)) for t in split(text) if tf[t])
+            if s > 0:
+                scored.append((-s, d is None, d or 0, d))
+        scored.sort(key=lambda x: x[:3])
+        out += [(item, k + 1, d, -s) for k, (s, _, _, d) in enumerate(scored[:top])]
+    return out
