@@ -44,14 +44,6 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
-def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Rabin-Karp hashes of values[start:end]: from prefix sums of values * base**i."""
-    up, down = powers(base, len(values) + 1)
-    acc = np.zeros(len(values) + 1, dtype=U)
-    np.cumsum(values * up[:len(values)], out=acc[1:])
-    return (acc[ends] - acc[starts]) * down[starts]
-
-
 def windows(values: np.ndarray, width: int, base: int) -> np.ndarray:
     """Rabin-Karp hashes of every run of ``width`` values (polynomials modulo 2**64)."""
     n = len(values) - width + 1
@@ -77,9 +69,14 @@ def _block_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = word_spans(data)
     if not len(starts):
         return np.empty(0, dtype=U), starts
-    letters = np.frombuffer(data, dtype=np.uint8).astype(U) + U(1)
-    h = spans(letters, starts, ends, BASES[0])
-    return mix(h ^ ((ends - starts).astype(U) << U(48))), starts
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(first[-1] + sizes[-1]) - np.repeat(first, sizes)
+    letters = np.frombuffer(data, dtype=np.uint8)[place + np.repeat(starts, sizes)]
+    # a random-looking value for each (place, byte); no algebra links words of equal sums, as
+    # it does for polynomials modulo 2**64, where long periodic words meet for every base
+    values = mix((place.astype(U) << U(8) | letters) + U(BASES[0]))
+    return mix(np.add.reduceat(values, first) ^ (sizes.astype(U) << U(48))), starts
 
 
 def _cuts(data: bytes) -> list[bytes]:

@@ -189,15 +189,37 @@ def estimated(pairs: DataFrame, classes: DataFrame, k: int = K, share: int = SHA
                    .otherwise(F.col("both") >= least)).select("a", "b")
 
 
+def same_shingles(left: bytes, right: bytes, n: int) -> tuple[int, int, int]:
+    """Sizes of two texts' shingle sets and of what they share, by the words themselves."""
+    ids: dict[bytes, int] = {}
+    texts = [np.array([ids.setdefault(w, len(ids)) for w in t.lower().split()], dtype=np.int64)
+             for t in (left, right)]
+    width = [min(n, len(w)) for w in texts]
+    rows = [len(w) - k + 1 if k else 0 for w, k in zip(texts, width)]
+    # rows of equal words get one number: word by word, renumbered so that nothing overflows
+    codes = np.repeat(width, rows).astype(np.int64)
+    for j in range(max(width)):
+        nth = np.concatenate([w[j:j + r] if j < k else np.zeros(r, np.int64)
+                              for w, k, r in zip(texts, width, rows)])
+        codes = np.unique(codes * (len(ids) + 1) + nth, return_inverse=True)[1]
+    a, b = np.unique(codes[:rows[0]]), np.unique(codes[rows[0]:])
+    return len(a), len(b), len(np.intersect1d(a, b, assume_unique=True))
+
+
 def _verifier(n: int, share: int):
     def run(batches):
         for b in _pieces(batches):
             left = shingle_sets(b.column(2).to_pylist(), n)
             right = shingle_sets(b.column(3).to_pylist(), n)
             ok = []
-            for x, y in zip(left, right):
+            for i, (x, y) in enumerate(zip(left, right)):
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= share * (len(x) + len(y) - both))
+                linked = 100 * both >= share * (len(x) + len(y) - both)
+                if linked:  # a link is confirmed on words, not on their hashes
+                    x, y, both = same_shingles(b.column(2)[i].as_py().encode(),
+                                               b.column(3)[i].as_py().encode(), n)
+                    linked = 100 * both >= share * (x + y - both)
+                ok.append(linked)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(
                 pa.array(ok, pa.bool_()))
     return run

@@ -145,3 +145,34 @@ def test_one_document_of_a_group_stays_whatever_its_ids(spark):
     left = near_dedup.keep_one(frame, n=5, share=80).collect()
     assert sorted([r.doc_id for r in left], key=str) == [7, 9, None, None]
     assert sum(r.text in texts for r in left) == 1
+
+
+def _twins(size=2048):
+    """Two different words that every polynomial modulo 2**64 takes for one (Thue-Morse)."""
+    bits = [bin(i).count("1") % 2 for i in range(size)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+
+
+def test_words_of_equal_polynomials_stay_apart(spark):
+    a, b = _twins()
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, a), (2, b), (3, f"{a} {rest}"), (4, f"{b} {rest}")]
+    df = _frame(spark, rows)
+    near = {r["doc_id"]: r["component_id"] for r in near_dedup.near_groups(df).collect()}
+    assert near == {d: c for d, (_, c) in brute.near_groups(rows).items()}
+    assert near[1] == 1 and near[2] == 2
+    gone = {r["doc_id"]: r["n_removed"] for r in repeated_words(df).collect()}
+    assert gone == {1: 0, 2: 0, 3: 0, 4: 0}
+
+
+def test_links_are_confirmed_on_words():
+    assert near_dedup.same_shingles(b"a b c d", b"B C d e", 3) == (2, 2, 1)
+    assert near_dedup.same_shingles(b"a b", b"a b c", 3) == (1, 1, 0)
+    assert near_dedup.same_shingles(b"x " * 50, b"x x x", 3) == (1, 1, 1)
+    rnd = random.Random(2)
+    for n in (1, 3, 5):
+        x, y = ([rnd.choice("abc") for _ in range(rnd.randint(1, 60))] for _ in range(2))
+        sets = [{tuple(w[i:i + min(n, len(w))]) for i in range(len(w) - min(n, len(w)) + 1)}
+                for w in (x, y)]
+        assert near_dedup.same_shingles(" ".join(x).encode(), " ".join(y).encode(), n) == (
+            len(sets[0]), len(sets[1]), len(sets[0] & sets[1]))
