@@ -9,8 +9,12 @@ terminal keeps the row for rules 1, 2 and 4).
 
 Plan shape at scale: the three owner dimensions (cards, accounts, clients)
 are joined among themselves first, so the fact is shuffled once on
-``card_num``; the terminal dimension is broadcast only behind a row-count
-check, otherwise AQE picks the join at run time.
+``card_num``; the planner's sizes and AQE choose the join with the terminals.
+A card or terminal with a large share of all operations is dealt over many
+tasks where the caller names the hot keys (``spread.hot_keys``).
+
+As of a day, versions are found per distinct (key, day) instead of joined by
+range (``asof``): a key's many versions never multiply its operations.
 """
 
 from __future__ import annotations
@@ -21,8 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import full_name
+from fraudmart.operators.asof import as_of_join, in_force
+from fraudmart.operators.spread import Hot, spread_join
 
 HISTORY_MODES = ("all", "as_of")
+VERSION_JOINS = ("sorted", "range")
+OWNER = ("passport", "fio", "phone", "passport_valid_to", "client_id", "ac_valid_to")
 
 
 def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
@@ -57,18 +65,58 @@ def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
                     "ac_valid_to", own_from.alias("own_from"), own_to.alias("own_to")))
 
 
+def owners_on_days(pairs: DataFrame, clients: DataFrame, accounts: DataFrame,
+                   cards: DataFrame) -> DataFrame:
+    """``card_num, _on`` and the owner in force on that day (pairs without one are left out):
+    card, then account, then client, each as of the day."""
+    span = ("effective_from", "effective_to")
+    at = in_force(pairs, cards, "card_num", "_on", *span, ["account_num"])
+    at = at.where("found").drop("found")
+    ac = accounts.select("account_num", "client", F.col("valid_to").alias("ac_valid_to"), *span)
+    at = in_force(at, ac, "account_num", "_on", *span, ["client", "ac_valid_to"])
+    at = at.where("found").drop("found", "account_num")
+    cl = clients.select(
+        F.col("client_id").alias("client"), "client_id", F.col("passport_num").alias("passport"),
+        full_name("last_name", "first_name", "patronymic").alias("fio"), "phone",
+        "passport_valid_to", *span)
+    at = in_force(at, cl, "client", "_on", *span, ["client_id", "passport", "fio", "phone",
+                                                   "passport_valid_to"])
+    return at.where("found").select("card_num", "_on", *OWNER)
+
+
+def _as_of(tr: DataFrame, clients: DataFrame, accounts: DataFrame, cards: DataFrame,
+           te: DataFrame, hot_card: Hot | None, hot_terminal: Hot | None) -> DataFrame:
+    dated = tr.withColumn("_on", F.to_date("trans_date"))
+    pairs = (dated.where(F.col("card_num").isNotNull() & F.col("_on").isNotNull())
+             .select("card_num", "_on").distinct())
+    owners = owners_on_days(pairs, clients, accounts, cards)
+    ctx = spread_join(dated, owners, ["card_num", "_on"], "inner", hot_card).drop("_on")
+    te = te.withColumn("terminal", F.col("terminal_id"))
+    return as_of_join(ctx, te, "terminal", F.to_date("trans_date"), "te_effective_from", "te_to",
+                      ["terminal_id", "terminal_city", "te_effective_from"], "left",
+                      hot=hot_terminal)
+
+
 def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
                         transactions: DataFrame, terminals: DataFrame, run_date: _dt.date,
-                        history: str = "all") -> DataFrame:
+                        history: str = "all", version_join: str = "sorted",
+                        hot_card: Hot | None = None, hot_terminal: Hot | None = None) -> DataFrame:
     """Join every transaction to its card owner and terminal.
 
     ``history='all'`` joins every version of every dimension, as the source
     system does (a terminal with two versions doubles its transactions);
-    ``history='as_of'`` joins only the versions valid on the transaction date.
+    ``history='as_of'`` joins only the versions valid on the transaction date:
+    ``version_join='sorted'`` finds them per key and day and asks that versions of
+    a key do not overlap, ``'range'`` compares every version of the key, which
+    also serves histories that do overlap.
+
+    ``hot_card``, ``hot_terminal`` (``spread.hot_keys`` of ``card_num`` and
+    ``terminal``): values whose operations are dealt over many tasks.
     """
     if history not in HISTORY_MODES:
         raise ValueError(f"history must be one of {HISTORY_MODES}")
-    owners = card_owners(clients, accounts, cards, history)
+    if version_join not in VERSION_JOINS:
+        raise ValueError(f"version_join must be one of {VERSION_JOINS}")
     tr = transactions.select("trans_id", "trans_date", "card_num", "oper_type", "amt",
                              "oper_result", "terminal")
     te = terminals.select(
@@ -78,10 +126,13 @@ def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFram
     )
     day = F.to_date("trans_date")
     if history == "all":
-        ctx = tr.join(owners, "card_num")
-        ctx = ctx.join(te,
-                       F.col("terminal") == F.col("terminal_id"), "left")
+        ctx = spread_join(tr, card_owners(clients, accounts, cards), ["card_num"], "inner", hot_card)
+        te = te.withColumn("terminal", F.col("terminal_id"))
+        ctx = spread_join(ctx, te, ["terminal"], "left", hot_terminal)
+    elif version_join == "sorted":
+        ctx = _as_of(tr, clients, accounts, cards, te, hot_card, hot_terminal)
     else:
+        owners = card_owners(clients, accounts, cards, history)
         ctx = tr.join(owners, (tr.card_num == owners.card_num)
                       & day.between(owners.own_from, owners.own_to)).drop(owners.card_num)
         ctx = ctx.join(te,

@@ -3,10 +3,11 @@
 Both are ``left_anti`` joins of the stage batch against the loaded fact.
 Duplicates *inside* one batch are all kept, as in the source system.
 
-For transactions the fact side is first narrowed to the batch's time range
-(``min``/``max`` of the batch as scalar subqueries): when the fact is
-partitioned by ``trans_dt`` this prunes whole partitions, so the anti-join
-reads only the days the batch touches rather than the whole fact.
+For transactions the fact side is first narrowed to the batch's time range and
+to the set of its days (one scalar subquery over the batch; a set of dates is
+bounded by the calendar). When the fact is partitioned by ``trans_dt`` the set
+prunes partitions at run time, so the anti-join reads the days that the batch
+holds: one late row from three years ago costs one more day, not three years.
 """
 
 from __future__ import annotations
@@ -35,14 +36,16 @@ def append_blacklist(stage: DataFrame, fact: DataFrame, keep: str = "first") ->
             .drop("_first"))
 
 
-def _batch_range(stage: DataFrame, fact: DataFrame, col: str) -> DataFrame:
-    bounds = stage.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
-    lo, hi = bounds.getField("lo"), bounds.getField("hi")
-    pruned = fact.where((F.col(col) >= lo) & (F.col(col) <= hi))
-    if "trans_dt" in fact.columns:
-        pruned = pruned.where((F.col("trans_dt") >= F.to_date(lo))
-                              & (F.col("trans_dt") <= F.to_date(hi)))
-    return pruned
+def loaded_days(stage: DataFrame, fact: DataFrame, col: str = "trans_date",
+                day_col: str = "trans_dt") -> DataFrame:
+    """The rows of ``fact`` that a row of ``stage`` could repeat: from the batch's days,
+    between its first and last time. Reads only those ``day_col`` partitions."""
+    batch = stage.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"),
+                               F.collect_set(F.to_date(col)).alias("days"))).scalar()
+    near = fact.where((F.col(col) >= batch.getField("lo")) & (F.col(col) <= batch.getField("hi")))
+    if day_col in fact.columns:
+        near = near.where(F.array_contains(batch.getField("days"), F.col(day_col)))
+    return near
 
 
 def append_transactions(stage: DataFrame, fact: DataFrame,
@@ -57,7 +60,7 @@ def append_transactions(stage: DataFrame, fact: DataFrame,
     dedupe_on = tuple(dedupe_on)
     if dedupe_on not in DEDUPE_MODES:
         raise ValueError(f"dedupe_on must be one of {DEDUPE_MODES}")
-    loaded = _batch_range(stage, fact, "trans_date")
+    loaded = loaded_days(stage, fact)
     if dedupe_on == ("trans_id", "trans_date"):
         return stage.join(loaded.select("trans_id", "trans_date"), ["trans_id", "trans_date"],
                           "left_anti")

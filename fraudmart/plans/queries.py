@@ -17,6 +17,8 @@ import datetime as _dt
 from fraudmart.operators import facts, report, rules, scd2, watermarks
 from fraudmart.operators.context import transaction_context
 from fraudmart.operators.sequence import card_sequence
+from fraudmart.plans import change_queries
+from fraudmart.plans.sizing import scratch
 from fraudmart.schemas import DIMENSIONS, TRANSACTIONS, TXN_SEPARATOR, WATERMARKS, DimSpec
 from fraudmart.sources import drops, extract
 from fraudmart.sources import fixtures as fx
@@ -236,7 +238,7 @@ def _drop_files(kind: str):
         else:
             text, sep, key = fx.blacklist_drop_text(spark, d), ",", "passport"
         half = F.crc32(F.col(key).cast("binary")) % 2 == 0
-        root = _scratch(spark, f"drop-{kind}")
+        root = scratch(spark, f"drop-{kind}")
         for i, (rows, cols) in enumerate(((text.where(half), text.columns),
                                           (text.where(~half), text.columns[::-1]))):
             (rows.select(*cols).write.option("header", True).option("sep", sep)
@@ -259,22 +261,6 @@ def _drop_terminal_keys(spark, d):
 
 # --- the whole daily run ------------------------------------------------------------
 
-def _scratch(spark, name: str) -> str:
-    """A fresh folder under the shared folder that ``spark.checkpoint.dir`` names. A
-    session on one machine may leave it unset; a cluster must name it."""
-    import uuid
-
-    from fraudmart.plans.sizing import checkpoint_dir
-
-    base = checkpoint_dir(spark)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-        base = tempfile.mkdtemp(prefix="fraudmart-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _stream_ingest(kind: str):
     """§2.10: a drop written by Spark as several files, then ingested once
     with ``availableNow``; the result is the fact it built."""
@@ -285,7 +271,7 @@ def _stream_ingest(kind: str):
         text = (fx.transactions_drop_text if kind == DROP_TRANSACTIONS
                 else fx.blacklist_drop_text)(spark, d)
         sep = TXN_SEPARATOR if kind == DROP_TRANSACTIONS else ","
-        root = _scratch(spark, f"stream-{kind}")
+        root = scratch(spark, f"stream-{kind}")
         text.write.option("header", True).option("sep", sep).csv(f"{root}/landing")
         sdrops.ingest_available(spark, f"{root}/landing", kind, f"{root}/out",
                                 f"{root}/checkpoint", name_filter="*.csv")
@@ -299,7 +285,7 @@ def _daily_run(spark, d):
     result is the published fraud report of the run."""
     from fraudmart.plans import daily
 
-    root = _scratch(spark, "daily-run")
+    root = scratch(spark, "daily-run")
     created = fx.REPORT_RUN_DATE - _dt.timedelta(days=16)
     src = daily.Sources(
         cards=fx.relational_source(fx.cards(spark, d), created, {"account_num": "account"}),
@@ -325,7 +311,7 @@ def two_day_store(spark, d) -> str:
     key = (spark.sparkContext.applicationId, d)
     if key in _TWO_DAYS:
         return _TWO_DAYS[key]
-    root = _scratch(spark, "daily-two")
+    root = scratch(spark, "daily-two")
     text = fx.transactions_drop_text(spark, d)
     cut = {1: F.col("transaction_date") < "2024-01-16", 2: F.col("transaction_date") >= "2024-01-10"}
     for n, day in ((1, DAY1), (2, DAY2)):
@@ -355,7 +341,7 @@ def _two_days(table: str, *columns: str):
 
 
 def registry() -> dict[str, Query]:
-    return {
+    return change_queries.registry() | {
         "daily_run": _daily_run,
         "daily_run_day2_report": _two_days("fraud_report"),
         "daily_run_day2_facts": _two_days("fact_transactions", *TRANSACTIONS.fieldNames()),

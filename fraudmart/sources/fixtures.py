@@ -355,3 +355,62 @@ def transactions_midnight(spark, sf_dir):
     """The operations, each day's half hour moved to 23:45 - 00:15."""
     return transactions(spark, sf_dir).withColumn(
         "trans_date", F.col("trans_date") + F.expr("INTERVAL '23:45' HOUR TO MINUTE"))
+
+
+# --- many versions, late changes, hot keys ------------------------------------------
+
+def terminals_daily(spark: SparkSession, sf_dir: str, days: int = 30) -> DataFrame:
+    """A version of each terminal for every day of January 2024, n = its number: valid on
+    that day only, in a city that moves daily; none on days with (n + day) % 5 = 0, and the
+    last day's stays open."""
+    n = F.regexp_extract("terminal_id", r"(\d+)", 1).cast("int")
+    first = terminals_hist(spark, sf_dir).where(F.col("effective_from") == F.lit(HISTORY_START))
+    daily = first.withColumn("_day", F.explode(F.sequence(F.lit(1), F.lit(days))))
+    start = _days(_dt.date(2024, 1, 1), F.col("_day") - 1)
+    return (daily.where((n + F.col("_day")) % 5 != 0).withColumns({
+        "terminal_city": F.concat(F.lit("CITY_"), _s((n + F.col("_day")) % 25)),
+        "effective_from": start,
+        "effective_to": F.when(F.col("_day") == days, F.lit(OPEN_DATE)).otherwise(start)})
+        .drop("_day"))
+
+
+def clients_many_versions(spark: SparkSession, sf_dir: str, versions: int = 10) -> DataFrame:
+    """Ten versions of each client, three days each, with their own phone; none where
+    (c + version) % 6 = 0."""
+    c = F.regexp_extract("client_id", r"(\d+)", 1).cast("bigint")
+    v = F.col("_v")
+    each = clients_hist(spark, sf_dir).withColumn("_v", F.explode(F.sequence(F.lit(0), F.lit(versions - 1))))
+    return (each.where((c + v) % 6 != 0).withColumns({
+        "phone": F.concat("phone", F.lit("-"), _s(v)),
+        "effective_from": _days(_dt.date(2024, 1, 1), v * 3),
+        "effective_to": _days(_dt.date(2024, 1, 3), v * 3)}).drop("_v"))
+
+
+def late_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery that comes in late: clients with c % 9 = 4 had another phone from before
+    their first delivery on, those with c % 9 = 5 from the second day on."""
+    c = F.regexp_extract("client_id", r"(\d+)$", 1).cast("bigint") % 1_000_000
+    old = c % 9 == 4
+    return clients(spark, sf_dir).where(old | (c % 9 == 5)).withColumns({
+        "phone": F.concat("phone", F.lit("y")),
+        "create_dt": F.lit(_dt.date(2023, 12, 20)),
+        "update_dt": F.when(old, F.lit(_dt.date(2023, 12, 20))).otherwise(F.lit(_dt.date(2024, 1, 2)))})
+
+
+def transactions_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the operations on one card, another third at one terminal."""
+    e = F.col("trans_id").cast("bigint")
+    return transactions(spark, sf_dir).withColumns({
+        "card_num": F.when(e % 3 == 0, F.lit("1000001")).otherwise(F.col("card_num")),
+        "terminal": F.when(e % 3 == 1, F.lit("T1")).otherwise(F.col("terminal"))})
+
+
+def orders_visible(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
+    """What a source shows at three extracts: rows with k % 3 = 0 from the first, 1 from the
+    second, 2 from the third on, dated up to that extract's day."""
+    last = F.greatest("create_dt", F.coalesce("update_dt", "create_dt"))
+    return orders_source(spark, sf_dir).where(
+        (F.col("k") % 3 < step) & (last <= F.lit(EXTRACT_DAYS[step - 1])))
+
+
+EXTRACT_DAYS = (_dt.date(2001, 6, 1), _dt.date(2001, 9, 1), _dt.date(2002, 1, 1))
