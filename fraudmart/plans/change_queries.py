@@ -97,8 +97,22 @@ def hot_context(spark, d, share: float = 0.05) -> DataFrame:
         hot_terminal=spread.hot_keys(t, "terminal", share))
 
 
+def streamed_terminals(spark, d) -> DataFrame:
+    """Two terminal snapshots, each a file of a day, streamed into history."""
+    from fraudmart.streaming import terminals
+
+    root = scratch(spark, "stream-terminals")
+    for n, day in ((1, "16012024"), (2, "31012024")):
+        (fx.terminals_snapshot(spark, d, n).repartition(1).write.option("header", True)
+         .csv(f"{root}/landing/terminals_{day}"))
+    terminals.ingest_snapshots(spark, f"{root}/landing/*", f"{root}/out", f"{root}/checkpoint",
+                               name_filter="*.csv")
+    return terminals.history_after(spark, f"{root}/out")
+
+
 def registry():
     return {
+        "stream_terminals_history": streamed_terminals,
         "fact_transactions_append_days": fact_append_days,
         "context_many_versions_as_of": many_versions("sorted"),
         "scd2_late_changes": late_history,

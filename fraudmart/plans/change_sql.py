@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fraudmart.plans.oracle_sql import (
     ACCOUNTS, BLACKLIST, CARDS, CLIENTS, CTX_COLS, MIDNIGHT, OPEN, ORDERS_SRC, TERMINALS,
-    TRANSACTIONS, TXN_COLS, operations, scd2_through, with_fixtures,
+    TRANSACTIONS, TXN_COLS, TXN_TEXT, operations, scd2_through, two_day_queries, with_fixtures,
 )
 
 
@@ -77,8 +77,57 @@ b3 AS (SELECT d.* FROM dated d, m2 WHERE k % 3 < 3 AND last <= DATE '2002-01-01'
        AND k NOT IN (SELECT k FROM b2))"""
 
 
+def figures_sql() -> str:
+    """Day 2 of the two daily runs, counted from the fixtures."""
+    moved = "SELECT terminal_id FROM terminals_all WHERE effective_from = DATE '2024-01-15'"
+    last = f"SELECT terminal_id FROM terminals_all WHERE effective_to = {OPEN}"
+    fifth = "SELECT * FROM clients_old WHERE CAST(substr(client_id, 2) AS BIGINT) % 5 = 0"
+    again = "SELECT * FROM parsed WHERE transaction_date >= '2024-01-10'"
+    rows = [
+        ("cards", "read", "0"), ("accounts", "read", "0"), ("clients", "read", f"FROM ({fifth})"),
+        ("terminals", "read", f"FROM ({last}) WHERE terminal_id <> 'T1'"),
+        ("terminals", "quarantined", "0"),
+        ("passport_blacklist", "read", "0"), ("passport_blacklist", "quarantined", "0"),
+        ("transactions", "read", f"FROM ({again})"),
+        ("transactions", "quarantined", f"FROM ({again}) WHERE _error IS NOT NULL"),
+        *[("clients_hist", k, f"FROM ({fifth})" if k == "changed" else "0")
+          for k in ("new", "changed", "restored", "deleted")],
+        *[("terminals_hist", k, {"changed": f"FROM ({moved}) WHERE terminal_id <> 'T1'",
+                                 "deleted": "1"}.get(k, "0"))
+          for k in ("new", "changed", "restored", "deleted")],
+        ("fact_passport_blacklist", "new", "0"),
+        ("fact_transactions", "new",
+         "FROM parsed WHERE _error IS NULL AND transaction_date >= '2024-01-16'"),
+        ("fraud_report", "new", f"FROM ({REPORT_DAY2})"),
+    ]
+    ctes = [TERMINALS.replace("terminals_hist AS (", "terminals_all AS ("),
+            CLIENTS.replace("clients_hist AS (", "clients_old AS ("), TRANSACTIONS,
+            TXN_TEXT.replace("SELECT trim(transaction_id)", "SELECT transaction_date, trim(transaction_id)")]
+    return _with(ctes, "\nUNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{f}' AS figure, "
+        + (f"CAST({n} AS BIGINT) AS value" if n.isdigit() else f"(SELECT count(*) {n}) AS value")
+        for t, f, n in rows))
+
+
+REPORT_DAY2 = (two_day_queries()["daily_run_day2_report"] + ") WHERE (report_dt = DATE '2024-01-31'")
+
+
 def change_queries() -> dict[str, str]:
     q = {}
+    days = two_day_queries()
+    q["daily_run_day2_figures"] = figures_sql()
+    q["daily_run_files_facts"] = days["daily_run_day2_facts"]
+    q["daily_run_files_terminals"] = days["daily_run_day2_terminals"]
+    q["stream_terminals_history"] = days["daily_run_day2_terminals"]
+    q["daily_run_files_blacklist"] = with_fixtures(["blacklist"]) + "\nSELECT * FROM blacklist"
+    q["daily_run_files_drops"] = """
+SELECT * FROM (VALUES
+  ('terminals', '00000001', 'read', 'terminals_1.csv'),
+  ('passport_blacklist', '00000001', 'read', 'passport_blacklist_1.csv'),
+  ('transactions', '00000001', 'read', 'transactions_1.csv'),
+  ('terminals', '00000002', 'read', 'terminals_2.csv'),
+  ('passport_blacklist', '00000002', 'missing', NULL),
+  ('transactions', '00000002', 'read', 'transactions_2.csv')) AS t(kind, run_id, status, "drop")"""
     q["fact_transactions_append_days"] = with_fixtures(["transactions"]) + f"""
 SELECT {TXN_COLS} FROM transactions b
 WHERE (CAST(trans_date AS DATE) = DATE '2024-01-28'

@@ -299,19 +299,20 @@ def _daily_run(spark, d):
 
 
 DAY1, DAY2 = _dt.date(2024, 1, 16), _dt.date(2024, 1, 31)
-_TWO_DAYS: dict[tuple[str, str], str] = {}
+_TWO_DAYS: dict[tuple[str, str, bool], str] = {}
 
 
-def two_day_store(spark, d) -> str:
+def two_day_store(spark, d, as_files: bool = False) -> str:
     """Two daily runs on one store (kept per application and input): on day 2 every fifth
     client has a new phone, terminals moved, T1 is gone, and the transactions drop
-    delivers some of day 1 again."""
+    delivers some of day 1 again. ``as_files``: the drops lie in a landing folder, where on
+    day 2 those of day 1 lie too; no blacklist comes on day 2."""
     from fraudmart.plans import daily
 
-    key = (spark.sparkContext.applicationId, d)
+    key = (spark.sparkContext.applicationId, d, as_files)
     if key in _TWO_DAYS:
         return _TWO_DAYS[key]
-    root = scratch(spark, "daily-two")
+    root = scratch(spark, "daily-files" if as_files else "daily-two")
     text = fx.transactions_drop_text(spark, d)
     cut = {1: F.col("transaction_date") < "2024-01-16", 2: F.col("transaction_date") >= "2024-01-10"}
     for n, day in ((1, DAY1), (2, DAY2)):
@@ -320,26 +321,55 @@ def two_day_store(spark, d) -> str:
         clients = fx.clients(spark, d).withColumns({
             "phone": F.when(changed, F.concat("phone", F.lit("0"))).otherwise(F.col("phone")),
             "create_dt": F.lit(DAY1), "update_dt": F.when(changed, F.lit(DAY2))})
+        handed = {"terminals": fx.terminals_snapshot(spark, d, n),
+                  "passport_blacklist": fx.blacklist_drop_text(spark, d) if n == 1 else None,
+                  "transactions": text.where(cut[n])}
         src = daily.Sources(
             cards=fx.relational_source(fx.cards(spark, d), DAY1, {"account_num": "account"}),
             accounts=fx.relational_source(fx.accounts(spark, d), DAY1, {"account_num": "account"}),
-            clients=clients, terminals_drop=fx.terminals_snapshot(spark, d, n),
-            blacklist_drop=fx.blacklist_drop_text(spark, d) if n == 1 else None,
-            transactions_drop=text.where(cut[n]))
+            clients=clients)
+        if as_files:
+            src.landing = f"{root}/landing"
+            for kind, rows in handed.items():
+                if rows is not None:
+                    (rows.write.option("header", True)
+                     .option("sep", TXN_SEPARATOR if kind == "transactions" else ",")
+                     .csv(f"{src.landing}/{kind}_{n}.csv"))
+        else:
+            src.terminals_drop, src.blacklist_drop = handed["terminals"], handed["passport_blacklist"]
+            src.transactions_drop = handed["transactions"]
         daily.run_daily(spark, root, src, day, run_id=f"{n:08d}")
     _TWO_DAYS[key] = root
     return root
 
 
-def _two_days(table: str, *columns: str):
+def _two_days(table: str, *columns: str, as_files: bool = False):
     def q(spark, d):
         from fraudmart.plans import daily
 
-        df = daily.read_state(spark, two_day_store(spark, d))[table]
+        df = daily.read_state(spark, two_day_store(spark, d, as_files))[table]
         return df.select(*columns) if columns else df
     return q
 
 
+def _files_read(spark, d):
+    """Which drops each run read, by the ledger and the run's status."""
+    from fraudmart.plans import daily
+
+    state = daily.read_state(spark, two_day_store(spark, d, as_files=True))
+    drop = F.regexp_extract("file_name", r"^([^/]+)/", 1)
+    read = state["file_ledger"].select("kind", "run_id", drop.alias("drop")).distinct()
+    return state["run_status"].select("kind", "run_id", "status").join(read, ["kind", "run_id"], "left")
+
+
+def _run_figures(spark, d):
+    """What the second run of two did, as counted while its tables were written."""
+    from fraudmart.plans import daily
+
+    figures = daily.read_state(spark, two_day_store(spark, d))["run_figures"]
+    return figures.where("run_id = '00000002'").select("table", "figure", "value")
+
+
 def registry() -> dict[str, Query]:
     return change_queries.registry() | {
         "daily_run": _daily_run,
@@ -348,6 +378,12 @@ def registry() -> dict[str, Query]:
         "daily_run_day2_clients": _two_days("clients_hist"),
         "daily_run_day2_terminals": _two_days("terminals_hist"),
         "daily_run_day2_watermarks": _two_days("watermarks"),
+        "daily_run_day2_figures": _run_figures,
+        "daily_run_files_drops": _files_read,
+        "daily_run_files_facts": _two_days("fact_transactions", *TRANSACTIONS.fieldNames(),
+                                           as_files=True),
+        "daily_run_files_blacklist": _two_days("fact_passport_blacklist", as_files=True),
+        "daily_run_files_terminals": _two_days("terminals_hist", as_files=True),
         "drop_transactions_files": _drop_files("transactions"),
         "drop_blacklist_files": _drop_files("passport_blacklist"),
         "drop_terminal_keys": _drop_terminal_keys,

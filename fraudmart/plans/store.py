@@ -11,9 +11,9 @@ visible as a whole or not at all, a crashed run leaves the previous state
 served, and re-running the same ``run_id`` simply rewrites its own parts.
 
 Dimensions are split into ``slice=closed`` parts (append-only: the versions a
-run closed) and one ``slice=open`` part (the current versions, rewritten by
-each run), so a day's write is proportional to the open slice; a manifest lists
-the newest open part only. Facts and the
+run closed) and ``slice=open`` parts, one per key bucket (the current versions;
+a run rewrites the buckets that change), so a day's write is proportional to the
+change; a manifest lists the newest open part of each bucket. Facts and the
 report are appended as one part per run, partitioned by date inside it
 (``trans_dt`` / ``report_dt``) for pruning.
 """
@@ -69,7 +69,8 @@ class Store:
     def publish(self, run_id: str, parts: dict[str, list[str]],
                 expected: str | None = None) -> None:
         """Write the manifest of ``run_id`` — the commit point of the run. Refused when
-        another run was published since ``expected``, the state that this one read."""
+        another run is seen to have been published since ``expected``, the state that this one
+        read. (Look and write are two steps: runs on one store must not overlap.)"""
         if self._newest_run() != expected:
             raise RuntimeError(f"another run was published after {expected!r}; run again")
         rows = [(t, p) for t, ps in sorted(parts.items()) for p in ps]
@@ -112,11 +113,3 @@ class Store:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.table_path(table)}/{part}")
         return part
-
-    def subfolders(self, table: str, part: str, key: str) -> list[str]:
-        """Values of partition column ``key`` that a part of ``table`` has files for
-        (from file names; nothing is read)."""
-        files = (self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .option("recursiveFileLookup", True).load(f"{self.table_path(table)}/{part}"))
-        found = files.select(F.regexp_extract("path", f"/{key}=([^/]+)/", 1).alias("v")).distinct()
-        return sorted(r.v for r in found.collect() if r.v)

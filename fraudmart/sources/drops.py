@@ -1,8 +1,8 @@
 """Daily file drops (terminal snapshot, passport blacklist,
 transactions) read as DataFrames.
 
-* Discovery is by file-name substring inside one landing folder (S9); the
-  listing itself is a Spark ``binaryFile`` scan of metadata only (the content
+* Discovery is by file-name substring inside one landing folder (S9; a folder
+  of part files counts as a drop of that name); the listing itself is a Spark ``binaryFile`` scan of metadata only (the content
   column is pruned).
 * A file whose name is already in the ledger is skipped (S10) — for all three
   kinds, not just terminals.
@@ -15,7 +15,10 @@ transactions) read as DataFrames.
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,18 +37,29 @@ LEDGER = T.StructType([
 ])
 
 
+def _plain(path: str) -> str:
+    """A path without its scheme, as both the caller and Spark's listing would spell it."""
+    path = re.sub(r"^[a-zA-Z0-9]+:/+", "/", path)
+    return (path if path.startswith("/") else os.path.abspath(path)).rstrip("/")
+
+
+def drop_name(landing: str, path: str) -> str:
+    """What the ledger calls a drop: its path below the landing folder."""
+    return _plain(path)[len(_plain(landing)) + 1:]
+
+
 def list_drops(spark: SparkSession, landing: str, kind: str) -> DataFrame:
-    """Files in ``landing`` whose name contains ``kind`` (path, name, time)."""
+    """Files in ``landing`` whose name contains ``kind`` (path, name, time). A drop may also be
+    a folder of that name with part files, as Spark writes it."""
     try:
-        files = (spark.read.format("binaryFile")
-                 .option("pathGlobFilter", f"*{kind}*")
-                 .load(landing))
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing))
     except Exception as e:  # noqa: BLE001 - an absent folder or no match is an empty drop
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], "path string, file_name string, modificationTime timestamp")
         raise
-    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                        "modificationTime")
+    below = F.substr(F.regexp_replace("path", "^[a-zA-Z0-9]+:/+", "/"), F.lit(len(_plain(landing)) + 2))
+    return (files.select("path", below.alias("file_name"), "modificationTime")
+            .where(F.element_at(F.split("file_name", "/"), 1).contains(kind)))
 
 
 def unseen_files(spark: SparkSession, landing: str, kind: str,
@@ -79,14 +93,13 @@ def _read_text(spark: SparkSession, paths: list[str], sep: str) -> DataFrame | N
     formats go through the same parsers (and the same quarantine)."""
     groups: dict[tuple, list[str]] = {}
     for p in paths:
-        fmt = drop_format(p)
-        header = csv_header(spark, p, sep) if fmt == "csv" else ()
-        groups.setdefault((fmt, header), []).append(p)
+        if drop_format(p) != "csv":
+            groups.setdefault((drop_format(p), ()), []).append(p)
+    for p, header in csv_headers(spark, [p for p in paths if drop_format(p) == "csv"], sep).items():
+        groups.setdefault(("csv", header), []).append(p)
     frames = []
     for (fmt, header), ps in sorted(groups.items()):
         if fmt == "csv":
-            if not header:      # an empty file has no header and no rows
-                continue
             schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, MALFORMED)])
             df = (spark.read.schema(schema).option("header", True).option("sep", sep)
                   .option("enforceSchema", False).option("mode", "PERMISSIVE")
@@ -107,10 +120,18 @@ def _read_text(spark: SparkSession, paths: list[str], sep: str) -> DataFrame | N
     return out
 
 
-def csv_header(spark: SparkSession, path: str, sep: str) -> tuple[str, ...]:
-    """Column names of one text drop (reads its first line)."""
-    first = spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
-    return tuple(first.csv(path).columns)
+def csv_headers(spark: SparkSession, paths: list[str], sep: str) -> dict[str, tuple[str, ...]]:
+    """Column names of every text file under ``paths``, in one job whatever their number: a
+    file's first block is read by one task in order, so the first of its lines that the task
+    meets is the header. A file without lines has none and is left out."""
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        "value")
+    first = lines.where(F.col("at") == 0).groupBy("path").agg(F.first("value").alias("header"))
+    return {r.path: tuple(next(csv.reader([r.header.lstrip("\ufeff")], delimiter=sep), ()))
+            for r in sorted(first.collect())}
 
 
 def _empty_with_error(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -173,8 +194,9 @@ def parse_blacklist(raw: DataFrame) -> DataFrame:
                       err.alias("_error"), *extra)
 
 
-def parse_terminals(raw: DataFrame, load_date: _dt.date) -> DataFrame:
+def parse_terminals(raw: DataFrame, load_date: _dt.date | Column) -> DataFrame:
     """Terminal snapshot; the load date becomes ``update_dt``."""
+    loaded = load_date if isinstance(load_date, Column) else F.lit(load_date)
     extra = _kept_columns(raw)
     text = {c: F.trim(c) for c in ("terminal_id", "terminal_type", "terminal_city",
                                    "terminal_address")}
@@ -182,7 +204,7 @@ def parse_terminals(raw: DataFrame, load_date: _dt.date) -> DataFrame:
            .otherwise(_too_long(text).when(text["terminal_id"].isNull(), F.lit("terminal_id"))))
     return raw.select(
         *[v.alias(k) for k, v in text.items()],
-        F.lit(load_date).alias("update_dt"),
+        loaded.alias("update_dt"),
         err.alias("_error"), *extra,
     )
 

@@ -32,6 +32,11 @@ def read_watermark(ctrl: DataFrame, table_name: str,
     return (first.c, first.u) if first is not None else (EPOCH_DATE, EPOCH_DATE)
 
 
+def read_watermarks(ctrl: DataFrame) -> dict[str, tuple[_dt.date, _dt.date]]:
+    """(create, update) marks of every source, in one job (one row per source)."""
+    return {r.table_name: (r.create_wm, r.update_wm) for r in watermark_values(ctrl).collect()}
+
+
 def watermark_values(ctrl: DataFrame) -> DataFrame:
     """The control table as the extract reads it (NULL → 1000-01-01)."""
     return ctrl.select(

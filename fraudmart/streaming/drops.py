@@ -85,7 +85,11 @@ def fact_appender(spark: SparkSession, fact_root: str, kind: str,
         return df.where(F.col("batch_id") != exclude_batch).select(*keep)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch
+        # written once under the batch's id: its days, the anti-join and the quarantine all
+        # read this, so a drop is parsed once; a batch that runs again overwrites it
+        path = f"{fact_root.rstrip('/')}/parsed/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        parsed = spark.read.schema(batch.schema).parquet(path)
         good = drops.good(parsed).select(*schema.fieldNames())
         existing = load_fact(batch_id)
         if kind == DROP_TRANSACTIONS:

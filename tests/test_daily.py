@@ -183,18 +183,103 @@ def test_drops_with_columns_in_another_order(spark, tmp_path):
         ("P1", "2024-01-01"), ("P2", "2024-01-02")]
 
 
-def test_superseded_open_slices_are_not_listed(spark, setup, tmp_path):
+def test_only_changed_buckets_are_written_again(spark, setup, tmp_path):
+    """Without a change a day writes no dimension at all; with one key changed it writes that
+    key's bucket and lists the others again."""
     _, landing = setup
     cl, ac, ca = sources(spark, DAY1)
     root = str(tmp_path / "store")
-    for i in range(3):
-        r = daily.run_daily(spark, root, daily.Sources(ca, ac, cl, str(landing)),
-                            DAY1 + dt.timedelta(days=i), str(i))
-        for name in ("cards", "accounts", "clients", "terminals"):
-            listed = r.parts[f"{name}_hist"]
-            assert listed == [f"run_id={i}/slice=open"], listed  # nothing changed: nothing closed
+    first = daily.run_daily(spark, root, daily.Sources(ca, ac, cl, str(landing)), DAY1, "0")
+    names = ("cards", "accounts", "clients", "terminals")
+    for name in names:
+        listed = first.parts[f"{name}_hist"]
+        assert listed and all(p.startswith("run_id=0/slice=open/of=16/bucket=") for p in listed)
+        assert len(listed) == len(set(listed)) <= 16
+    terminals = terminals_drop(spark, 1)
+    again = daily.run_daily(spark, root, daily.Sources(ca, ac, cl, terminals_drop=terminals),
+                            DAY1 + dt.timedelta(days=1), "1")
+    # a drop that is read from a file and the same drop handed in have the same digest
+    for name in names:
+        assert sorted(again.parts[f"{name}_hist"]) == sorted(first.parts[f"{name}_hist"])
+        assert not os.path.exists(f"{root}/{name}_hist/run_id=1")
+    one = cl.withColumns({"phone": F.when(F.col("client_id") == "C7", F.lit("+1")).otherwise(
+        F.col("phone")), "update_dt": F.when(F.col("client_id") == "C7", F.lit(DAY2))})
+    gone = terminals.where("terminal_id <> 'T3'")
+    last = daily.run_daily(spark, root, daily.Sources(ca, ac, one, terminals_drop=gone), DAY2, "2")
+    for name, changed in (("cards", 0), ("accounts", 0), ("clients", 1), ("terminals", 1)):
+        listed = last.parts[f"{name}_hist"]
+        opened = [p for p in listed if "slice=open" in p]
+        assert sum(p.startswith("run_id=2") for p in opened) == changed, name
+        assert len(opened) == len(first.parts[f"{name}_hist"])
+        assert [p for p in listed if "slice=closed" in p] == ["run_id=2/slice=closed"] * changed
     state = daily.read_state(spark, root)
-    assert state["clients_hist"].count() == fx.table(spark, D, "customer").count()
+    assert state["clients_hist"].count() == fx.table(spark, D, "customer").count() + 1
+    assert state["terminals_hist"].where("deleted_flg = 'Y'").count() == 1
+    figures = {(r.table, r.figure): r.value for r in state["run_figures"].collect()
+               if r.run_id == "2"}
+    assert figures["clients_hist", "changed"] == figures["terminals_hist", "deleted"] == 1
+    assert figures["clients", "read"] == 1 and ("cards_hist", "changed") not in figures
+
+
+def test_another_number_of_buckets_lays_the_slice_out_anew(spark, tmp_path):
+    root = str(tmp_path / "store")
+    cl, ac, ca = sources(spark, DAY1)
+    daily.run_daily(spark, root, daily.Sources(ca, ac, cl), DAY1, "0", daily.Options(open_buckets=4))
+    before = {k: sorted(map(str, v.collect())) for k, v in daily.read_state(spark, root).items()
+              if k.endswith("_hist")}
+    r = daily.run_daily(spark, root, daily.Sources(ca, ac, cl), DAY2, "1", daily.Options(open_buckets=3))
+    assert all("/of=3/" in p for p in r.parts["clients_hist"])
+    after = {k: sorted(map(str, v.collect())) for k, v in daily.read_state(spark, root).items()
+             if k.endswith("_hist")}
+    assert after == before
+
+
+def test_a_key_that_leaves_after_a_day_without_snapshot_is_found(spark, tmp_path):
+    """The digests of the last snapshot say nothing about keys that came in between."""
+    root = str(tmp_path / "store")
+    _, ac, _ = sources(spark, DAY1)
+    some = ac.where("account <> 'A9'")
+    daily.run_daily(spark, root, daily.Sources(accounts=some), DAY1, "0")
+    daily.run_daily(spark, root, daily.Sources(), DAY1 + dt.timedelta(days=1), "1")
+    late_one = ac.where("account = 'A9'").withColumn("create_dt", F.lit(DAY2))
+    # A9 is delivered while the snapshot of the same day has it; then it is gone
+    daily.run_daily(spark, root, daily.Sources(accounts=some.unionByName(late_one)), DAY2, "2")
+    daily.run_daily(spark, root, daily.Sources(accounts=some), DAY2 + dt.timedelta(days=1), "3")
+    gone = daily.read_state(spark, root)["accounts_hist"].where("deleted_flg = 'Y'").collect()
+    assert [r.account_num for r in gone] == ["A9"]
+
+
+def test_exact_marks_take_late_rows_of_the_marks_date(spark, tmp_path):
+    _, ac, _ = sources(spark, DAY1)
+    some = ac.where("account NOT IN ('A9', 'A8')")
+    for mode, n in (("strict", 0), ("exact", 2)):
+        root = str(tmp_path / mode)
+        opt = daily.Options(boundary=mode)
+        daily.run_daily(spark, root, daily.Sources(accounts=some), DAY1, "0", opt)
+        daily.run_daily(spark, root, daily.Sources(accounts=ac), DAY2, "1", opt)   # dated DAY1
+        state = daily.read_state(spark, root)
+        assert state["accounts_hist"].where("account_num IN ('A9', 'A8')").count() == n
+        read = {r.run_id: r.value for r in state["run_figures"].collect()
+                if (r.table, r.figure) == ("accounts", "read")}
+        assert read["1"] == n
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    from fraudmart.sources import drops
+    for i in range(12):
+        cols = ["date", "passport"] if i % 2 else ["passport", "date"]
+        row = {"date": "2024-01-01", "passport": f"P{i}"}
+        (tmp_path / f"passport_blacklist_{i}.csv").write_text(
+            ",".join(cols) + "\n" + ",".join(row[c] for c in cols) + "\n")
+    paths = drops.unseen_files(spark, str(tmp_path), "passport_blacklist")
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    try:
+        got = drops.read_blacklist(spark, paths)
+        assert len(sc.statusTracker().getJobIdsForGroup("headers")) <= 3   # AQE: a job a stage
+    finally:
+        sc.setJobGroup("tests", "")
+    assert sorted(r.passport_num for r in drops.good(got).collect()) == sorted(f"P{i}" for i in range(12))
 
 
 def test_crash_before_commit_keeps_previous_state(spark, setup, monkeypatch):

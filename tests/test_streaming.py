@@ -1,6 +1,7 @@
 """File-stream ingestion of the drops: exactly once per file name, dedupe
 against the fact, quarantine of bad rows."""
 
+import datetime as dt
 import os
 
 from pyspark.sql import functions as F
@@ -43,3 +44,34 @@ def test_available_now_ingestion(spark, tmp_path):
     bad = spark.read.parquet(str(out / "quarantine"))   # per file occurrence
     assert bad.count() == text.where("amount = 'n/a'").count() + \
         first.where("amount = 'n/a'").count()
+
+
+def test_a_replayed_snapshot_changes_nothing(spark, tmp_path):
+    """A batch that runs again replaces its own output: history stays what SCD2 over the
+    three snapshots gives."""
+    from fraudmart.operators import scd2
+    from fraudmart.schemas import TERMINALS
+    from fraudmart.sources import drops
+    from fraudmart.streaming import terminals as st
+    from tests.test_scd2_property import as_rows
+
+    landing, out, cp = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "cp")
+    landing.mkdir()
+    t = [fx.terminals_snapshot(spark, D, 1), fx.terminals_snapshot(spark, D, 2)]
+    t.append(t[0].where("terminal_id <> 'T2'"))
+    hist = spark.createDataFrame([], TERMINALS.schema)
+    for n, (rows, day) in enumerate(zip(t, (16, 20, 31))):
+        rows.toPandas().to_csv(landing / f"terminals_{day}012024.csv", index=False)
+        os.utime(landing / f"terminals_{day}012024.csv", (1_700_000_000 + n, 1_700_000_000 + n))
+        stage = drops.good(drops.parse_terminals(rows, dt.date(2024, 1, day)))
+        hist = scd2.scd2_apply(hist, stage, TERMINALS, dt.date(2024, 1, day), rows.select("terminal_id"))
+    st.ingest_snapshots(spark, str(landing), out, cp)
+    want = as_rows(hist.collect())
+    assert as_rows(st.history_after(spark, out).collect()) == want
+    for batch_id, (rows, day) in ((1, (t[1], 20)), (2, (t[2], 31))):   # run again, in order
+        again = rows.withColumn("_path", F.lit(f"/x/terminals_{day}012024.csv")).withColumn(
+            "_file_time", F.lit(dt.datetime(2024, 1, 1)))
+        st.snapshot_applier(spark, out)(again, batch_id)
+        assert as_rows(st.history_after(spark, out).collect()) == want
+    st.ingest_snapshots(spark, str(landing), out, cp)   # nothing new
+    assert as_rows(st.history_after(spark, out).collect()) == want
