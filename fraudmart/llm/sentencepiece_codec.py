@@ -18,7 +18,9 @@ empty table, empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,26 +91,33 @@ class Codec:
     def learn(self, segments) -> None:
         """Encodes segments not seen before, as one batch, by both libraries."""
         cache = self.cache
-        new, emptied = cache.missing(segments)
-        if emptied:
-            self.differing.clear()
-            self.lost.clear()
-        got = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        want = self.check.encode(new, num_threads=1) if new else []
-        back = self.tokenizer.decode_batch([g.ids for g in got], skip_special_tokens=False)
-        for s, g, ids, text in zip(new, got, want, back):
-            if g.ids != ids:
-                self.differing.add(s)
-            if text != s.replace(spm.SPACE, " "):
-                self.lost.add(s)
-            cache[s] = np.array(g.ids, dtype=np.int32).tobytes()
+        new, turned = cache.missing(segments)
+        if turned:
+            self.differing = {s for s in self.differing if s in cache}
+            self.lost = {s for s in self.lost if s in cache}
+        if not new:
+            return
+        got = [g.ids for g in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        want = self.check.encode(new, num_threads=1)
+        if got != want:
+            self.differing.update(s for s, a, b in zip(new, got, want) if a != b)
+        back = self.tokenizer.decode_batch(got, skip_special_tokens=False)
+        plain = [s.replace(spm.SPACE, " ") for s in new]
+        if back != plain:
+            self.lost.update(s for s, a, b in zip(new, back, plain) if a != b)
+        flat = array("i", chain.from_iterable(got)).tobytes()
+        ends = list(accumulate(map(len, got)))
+        young, at = cache.young, 0
+        for s, end in zip(new, ends):
+            young[s] = flat[at:4 * end]
+            at = 4 * end
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool, int]]:
         """Per text: ids, does it decode to the normalised text, differing segments."""
         norm = [spm.normalized(self.model, t) if t else "" for t in texts]
         cut = [self.cut(t) for t in norm]
         self.learn(s for segments in cut for s in segments)
-        get, out = self.cache.__getitem__, []
+        get, out = self.cache.young.__getitem__, []
         for segments in cut:
             ids = np.frombuffer(b"".join(map(get, segments)), dtype=np.int32)
             bad = sum(map(self.differing.__contains__, segments)) if self.differing else 0

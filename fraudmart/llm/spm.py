@@ -152,24 +152,38 @@ def segmenter(model: Model):
     return re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+").findall
 
 
-class Cache(dict):
-    """Results by segment; emptied before it outgrows ``limit`` characters, so a
-    task's memory does not grow with its vocabulary."""
+class Cache:
+    """Results by segment in two halves: when the younger one is full it takes the place of
+    the older one, from which segments that come again move over. So a task's memory stays
+    under ``limit`` characters and one call's segments, and what is frequent stays."""
 
-    def __init__(self, limit: int = 2_000_000):
-        super().__init__()
+    def __init__(self, limit: int = 10_000_000):
         self.limit, self.held = limit, 0
+        self.young: dict = {}
+        self.old: dict = {}
 
     def missing(self, segments) -> tuple[list[str], bool]:
-        """The distinct segments to compute, in order; was the cache emptied for them?"""
-        distinct = dict.fromkeys(segments)
-        new = [s for s in distinct if s not in self]
-        size = sum(map(len, new)) + 8 * len(new)
-        emptied = bool(new) and self.held + size > self.limit
-        if emptied:
-            self.clear()
-            new = list(distinct)
-            self.held = 0
-            size = sum(map(len, new)) + 8 * len(new)
-        self.held += size
-        return new, emptied
+        """The distinct segments to compute, in order (the others are in ``young`` then); were
+        some forgotten before?"""
+        turned = self.held > self.limit // 2
+        if turned:
+            self.old, self.young, self.held = self.young, {}, 0
+        young, old, new = self.young, self.old, []
+        for s in dict.fromkeys(segments):
+            if s in young:
+                continue
+            if s in old:
+                young[s] = old[s]
+            else:
+                new.append(s)
+            self.held += len(s) + 8
+        return new, turned
+
+    def __contains__(self, segment: str) -> bool:
+        return segment in self.young or segment in self.old
+
+    def __getitem__(self, segment: str):
+        return self.young[segment]
+
+    def __setitem__(self, segment: str, value) -> None:
+        self.young[segment] = value
