@@ -19,6 +19,8 @@ comparing the words of the shingles, not their hashes.
 
 Main path is DataFrame expressions only. Defined results:
 
+* A text of any length is compared whole (its words are one array, its shingles rows);
+  there are no ties: every leaked pair is returned.
 * NULL or empty texts, and texts under five words, have no shingle: such items
   match nothing and such documents leak nothing.
 * The report (``contaminated``) is by id: repeated document rows with the same id
@@ -36,6 +38,8 @@ from fraudmart.llm.shared import row_key, without, written
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
+#: tasks that share a shingle of very many documents
+SALTS = 32
 
 
 def words(text: Column) -> Column:
@@ -97,8 +101,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     near = d.alias("d").join(ids.alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")),
                              "left_semi")
-    # per candidate document: its shingles that any item has, then only the candidate pairs
-    have = _sets(near, "doc_id", "doc_id", n).join(items, "shingle")
+    # per candidate document: its shingles that any item has, then only the candidate pairs. A
+    # shingle that many documents share is dealt out by document; the items come with each salt
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    dealt = _sets(near, "doc_id", "doc_id", n).withColumn("salt", salt)
+    copied = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    have = dealt.join(copied, ["shingle", "salt"])
     shared = (have.groupBy("doc_id", "item_id", "item_size")
               .agg(F.count_distinct("shingle").alias("n_shared")))
     hit = shared.where(F.col("n_shared") >= F.lit(threshold) * F.col("item_size") - F.lit(1e-9))

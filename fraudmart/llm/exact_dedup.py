@@ -7,7 +7,8 @@ Main path is DataFrame expressions only. Defined results:
   any id, and a group of NULL ids only keeps its rows' NULL.
 * Rows that repeat both id and text are one document delivered twice: all of
   them count in ``group_size`` and carry the same answer; ``keep_rows`` lets
-  one of them through.
+  one of them through (where other columns differ, the one of least hash of these).
+* Texts of any length are hashed and compared whole.
 * An empty table gives an empty result; extra columns are ignored.
 """
 
@@ -72,4 +73,9 @@ def keep_rows(docs: DataFrame, hash_fn=content_hash) -> DataFrame:
         F.sha2(F.encode(text, "UTF-8"), 256).alias("text_sha256"),
         F.col("doc_id").cast("long").alias("keep_id")))
     kept = keyed.join(g, F.col(h).eqNullSafe(F.col(k)), "left_semi")
-    return kept.dropDuplicates([h]).select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    if not others:
+        return kept.dropDuplicates([h]).select(*docs.columns)
+    order = F.xxhash64(F.to_json(F.struct(*others)))
+    one = kept.groupBy(h).agg(F.min_by(F.struct(*docs.columns), order).alias("_row"))
+    return one.select("_row.*")

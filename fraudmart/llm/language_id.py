@@ -23,10 +23,14 @@ none of the languages, when its best language's probability is under
 languages of the training table). Fit is absolute: the share of the text's letter
 trigrams that are likelier in its best language than among uniform bytes must reach
 ``LEAST_FIT`` of the same share of that language's training texts, less a slack for
-short texts. Languages of two rows or more are classes like any other; all are mixed with
-the same share of the pooled texts, so what no language has favours none.
+short texts. The ``MOST_LANGS`` languages that most rows declare (of two rows at least)
+are classes; the rest, as raw pages declare thousands of odd tags, is one class, ``und``,
+so the table that travels with the tasks is bounded whatever is declared. All classes are
+mixed with the same share of the pooled texts, so what no language has favours none. A
+text in a language outside the table that is close to one in it can still fit that one.
 
 Defined results: NULL or empty text has no text evidence and is rejected;
+texts of any length are read whole, in chunks;
 missing declaration, suffix or host is no evidence (the prior is then that of
 the next level); ties go to the alphabetically first language; without any
 declared language in the training table nothing is identified and all rows are
@@ -48,6 +52,10 @@ LEAST_CONFIDENCE = 0.5
 #: rows that a language needs in the training table: a text that alone declares its
 #: language has no other to be compared with
 LEAST_ROWS = 2
+#: languages with a class of their own, by rows that declare them (ties: alphabetically); all
+#: others share the class REST
+MOST_LANGS = 48
+REST = "und"
 #: weight of the pooled texts in each language
 POOLED = .1
 LEAST_FIT = .5
@@ -130,11 +138,19 @@ class TextModel:
         return total * (min(n, EFFECTIVE) / n) if n else total, bool(fits)
 
 
-def train_text_model(train: DataFrame, least_rows: int = LEAST_ROWS) -> TextModel:
+def train_text_model(train: DataFrame, least_rows: int = LEAST_ROWS,
+                     most: int = MOST_LANGS) -> TextModel:
     """From rows ``lang, text``; NULL and blank languages are left out."""
     t = train.select(_code(F.col("lang")).alias("lang"), "text").where(F.col("lang") != "")
-    rows = t.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_rows)
-    langs = sorted(r.lang for r in rows.select("lang").collect())
+    rows = t.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    own = rows.where((F.col("n") >= least_rows) & (F.col("lang") != REST)).orderBy(
+        F.desc("n"), "lang").limit(most)
+    langs = sorted(r.lang for r in own.select("lang").collect())
+    rest = rows.where(~F.col("lang").isin(langs)).agg(F.sum("n")).first()[0] or 0
+    if rest >= least_rows:
+        langs.append(REST)
+        t = t.withColumn("lang", F.when(F.col("lang").isin(langs), F.col("lang")).otherwise(REST))
+        langs.sort()
     table = np.zeros((BUCKETS, len(langs)))
     if langs:
         got = trigram_table(t.where(F.col("lang").isin(langs))).toArrow()

@@ -106,11 +106,12 @@ convs AS (
   FROM turns GROUP BY conv_id),
 whole AS (SELECT body, n_turns, min(conv_id) AS conv_id, count(*) AS copies
           FROM convs GROUP BY body, n_turns)
-SELECT w.conv_id, 0::BIGINT AS chunk, w.copies, w.n_turns, 1::BIGINT AS first_turn,
-       w.n_turns AS chunk_turns,
-       list_aggregate(list_transform(w.body, lambda x: '<|im_start|>' || coalesce(x.r, '') || chr(10)
+SELECT w.conv_id, chunk, w.copies, w.n_turns, 4096 * chunk + 1 AS first_turn,
+       least(4096, w.n_turns - 4096 * chunk) AS chunk_turns,
+       list_aggregate(list_transform(w.body[4096 * chunk + 1:4096 * chunk + 4096],
+           lambda x: '<|im_start|>' || coalesce(x.r, '') || chr(10)
            || coalesce(x.t, '') || '<|im_end|>' || chr(10)), 'string_agg', '') AS rendered
-FROM whole w
+FROM (SELECT *, unnest(range((n_turns + 4095) // 4096)) AS chunk FROM whole) w
 WHERE NOT EXISTS (SELECT 1 FROM whole l WHERE l.n_turns > w.n_turns
                   AND l.body[1:w.n_turns] = w.body)
 """

@@ -48,10 +48,12 @@ def in_tasks(df: DataFrame, run, schema: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where
-    the session names none (one machine, as in tests)."""
+    """The cluster's ``spark.checkpoint.dir``. Only a session on one machine, as in tests,
+    may leave it unset and gets a folder of its own."""
     base = checkpoint_dir(spark)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="llm-checkpoints-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
