@@ -10,7 +10,8 @@ them); rows that still tie are equal in every column.
 Two forms:
 
 * ``card_sequence`` — the exact lead/lag columns over the whole card
-  partition (one window; a card is one task).
+  partition (windows per card and day; only the first and last rows of each day meet across
+  days, so no task holds a whole card).
 * ``rule_frame`` — what the rules need, split by card *and* day so a hot card
   is spread over many tasks. Rule 3 looks at the next operation only when it
   is at most 1 hour later, rule 4 at the three previous ones only when they

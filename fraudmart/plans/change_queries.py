@@ -9,7 +9,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.operators import digests, facts, late, scd2, spread
+from fraudmart.operators import digests, facts, late, maintained, scd2, sequence, spread
 from fraudmart.operators.context import transaction_context
 from fraudmart.plans.sizing import scratch
 from fraudmart.schemas import CLIENTS, TRANSACTIONS, DimSpec
@@ -110,8 +110,32 @@ def streamed_terminals(spark, d) -> DataFrame:
     return terminals.history_after(spark, f"{root}/out")
 
 
+def maintained_lead_lag(spark, d) -> DataFrame:
+    """Lead/lag after five batches of six days each; some operations of the first six days
+    come in with the third and the fifth batch."""
+    from fraudmart.plans.queries import report_context
+
+    ctx = report_context(spark, d)
+    e, day = F.col("trans_id").cast("bigint"), F.dayofmonth("trans_date")
+    period = F.least(F.floor((day - 1) / 6), F.lit(4)) + 1
+    batch = F.when((period == 1) & (e % 53 == 0), F.lit(3)).when(
+        (period == 1) & (e % 59 == 0), F.lit(5)).otherwise(period)
+    ctx = kept(ctx.withColumn("_batch", batch), "steps-input")
+    empty = maintained.named(sequence.card_sequence(ctx.drop("_batch").limit(0)), 0)
+    rows, tail = empty, empty
+    replaced = empty.select(*maintained.NAME)
+    for n in range(1, 6):
+        new = kept(maintained.named(ctx.where(F.col("_batch") == n).drop("_batch"), n), "steps-new")
+        step = maintained.advance(maintained.current(rows, replaced), tail, new, n)
+        rows = rows.unionByName(kept(step.rows, "steps-rows"))
+        replaced = replaced.unionByName(kept(step.replaced, "steps-replaced"))
+        tail = kept(step.tail, "steps-tail")
+    return maintained.current(rows, replaced).drop(*maintained.NAME)
+
+
 def registry():
     return {
+        "txn_lead_lag_maintained": maintained_lead_lag,
         "stream_terminals_history": streamed_terminals,
         "fact_transactions_append_days": fact_append_days,
         "context_many_versions_as_of": many_versions("sorted"),

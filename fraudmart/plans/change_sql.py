@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fraudmart.plans.oracle_sql import (
     ACCOUNTS, BLACKLIST, CARDS, CLIENTS, CTX_COLS, MIDNIGHT, OPEN, ORDERS_SRC, TERMINALS,
-    TRANSACTIONS, TXN_COLS, TXN_TEXT, operations, scd2_through, two_day_queries, with_fixtures,
+    TRANSACTIONS, TXN_COLS, TXN_TEXT, operations, oracle_queries, scd2_through, two_day_queries, with_fixtures,
 )
 
 
@@ -113,7 +113,7 @@ REPORT_DAY2 = (two_day_queries()["daily_run_day2_report"] + ") WHERE (report_dt
 
 
 def change_queries() -> dict[str, str]:
-    q = {}
+    q = {"txn_lead_lag_maintained": oracle_queries()["txn_lead_lag"]}
     days = two_day_queries()
     q["daily_run_day2_figures"] = figures_sql()
     q["daily_run_files_facts"] = days["daily_run_day2_facts"]

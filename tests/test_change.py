@@ -8,7 +8,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from fraudmart.operators import asof, digests, facts, late, scd2, spread
+from fraudmart.operators import (asof, digests, facts, late, maintained, scd2, sequence,
+                                 spread)
 from fraudmart.operators.context import transaction_context
 from fraudmart.plans import change_queries as cq
 from fraudmart.schemas import CLIENTS, OPEN_DATE, TERMINALS, DimSpec
@@ -315,3 +316,56 @@ def test_hot_context_equals_the_plain_one(spark):
             {}, {"hot_card": spread.hot_keys(t, "card_num", .05),
                  "hot_terminal": spread.hot_keys(t, "terminal", .05)})]
     assert as_rows(as_of[0].collect()) == as_rows(as_of[1].collect())
+
+
+# --- lead/lag day by day
+
+def _ops(spark, rows):
+    """(card, minute, amount) -> context rows."""
+    full = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m) if m is not None else None, "p", None,
+             "1", DAY, None, "c", card, None, f"{card}{m}{a}", "PAYMENT", a, "REJECT", "t",
+             "AB"[a % 2], None) for card, m, a in rows]
+    return spark.createDataFrame(full, "trans_date timestamp_ntz, passport string, fio string, "
+        "phone string, report_dt date, passport_valid_to date, client_id string, card_num string, "
+        "ac_valid_to date, trans_id string, oper_type string, amt int, oper_result string, "
+        "terminal_id string, terminal_city string, te_effective_from date")
+
+
+def test_maintained_sequence_equals_the_whole_one(spark):
+    rnd = random.Random(6)
+    empty = maintained.named(sequence.card_sequence(_ops(spark, []).limit(0)), 0)
+    steps, tail, replaced, all_rows = empty, empty, empty.select(*maintained.NAME), []
+    for n in range(1, 6):
+        low = 100 * n - (250 if n in (3, 5) else 0)   # batches 3 and 5 reach back
+        batch = [(rnd.choice("abc"), rnd.randint(low, 100 * n + 99), rnd.randint(1, 9))
+                 for _ in range(rnd.choice([1, 12, 40]))]
+        if n == 4:
+            batch.append(("a", None, 5))
+        all_rows += batch
+        new = cq.kept(maintained.named(_ops(spark, batch), n), "n")
+        step = maintained.advance(maintained.current(steps, replaced), tail, new, n)
+        steps = steps.unionByName(cq.kept(step.rows, "r"))
+        replaced = replaced.unionByName(cq.kept(step.replaced, "x"))
+        tail = cq.kept(step.tail, "t")
+        got = maintained.current(steps, replaced).drop(*maintained.NAME)
+        assert as_rows(got.collect()) == as_rows(
+            sequence.card_sequence_whole(_ops(spark, all_rows)).select(*got.columns).collect()), n
+        assert tail.groupBy("card_num").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_an_ordinary_day_reads_no_history(spark, tmp_path):
+    first = cq.kept(maintained.named(_ops(spark, [("a", i, 3) for i in range(9)]), 1), "n")
+    empty = maintained.named(sequence.card_sequence(_ops(spark, []).limit(0)), 0)
+    step = maintained.advance(empty, empty, first, 1)
+    tail = cq.kept(step.tail, "t")
+    path = tmp_path / "history"
+    step.rows.write.parquet(str(path))
+    history = spark.read.schema(step.rows.schema).parquet(str(path))
+    for f in [*path.glob("*.parquet"), *path.glob(".*.crc")]:
+        f.write_bytes(b"no parquet")   # reading it would fail
+    new = cq.kept(maintained.named(_ops(spark, [("a", 100, 4), ("b", 1, 4)]), 2), "n")
+    step = maintained.advance(history, tail, new, 2)
+    assert step.rows.count() == 3 and step.replaced.count() == 1   # two new rows, one next operation
+    late = cq.kept(maintained.named(_ops(spark, [("a", 5, 1)]), 3), "n")
+    with pytest.raises(Exception):
+        maintained.advance(history, cq.kept(step.tail, "t"), late, 3).rows.count()

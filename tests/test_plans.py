@@ -183,3 +183,16 @@ def test_since_mode_equals_filtered_full_report(spark):
         cut = since if isinstance(since, dt.datetime) else dt.datetime.combine(since, dt.time())
         assert as_rows(got.collect()) == as_rows(full.where(F.col("event_dt") >= F.lit(cut))
                                                  .collect()), since
+
+
+def test_the_statement_of_the_bench_returns_the_same_events(spark, monkeypatch):
+    import bench
+    monkeypatch.setattr(bench, "SF_DIR", D)
+    for name, rows in (("clients", fx.clients_hist), ("accounts", fx.accounts_hist),
+                       ("cards", fx.cards_hist), ("terminals", fx.terminals_hist),
+                       ("transactions", fx.transactions), ("blacklist", fx.blacklist)):
+        rows(spark, D).createOrReplaceTempView(f"bench_{name}")
+    events = rules.fraud_events(report_context(spark, D), fx.blacklist(spark, D))
+    cols = ["event_dt", "passport", "fio", "phone", "event_type"]
+    assert as_rows(spark.sql(bench.STATEMENT).select(*cols).collect()) == \
+        as_rows(events.select(*cols).collect())
