@@ -17,7 +17,7 @@ length.
 
 Defined results: NULL role or text renders as empty and differs from the empty
 string when prefixes are compared; turns are ordered by ``turn`` (NULL first),
-ties by role and text; a repeated row (all four columns equal) is one turn; all
+ties by role and text; texts of any length are hashed and rendered whole; a repeated row (all four columns equal) is one turn; all
 rows without ``conv_id`` are one conversation; empty table, empty result; extra
 columns are ignored.
 """
