@@ -79,7 +79,7 @@ def _block_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.add.reduceat(values, first) ^ (sizes.astype(U) << U(48))), starts
 
 
-def _cuts(data: bytes) -> list[bytes]:
+def cuts(data: bytes) -> list[bytes]:
     """A long text in blocks cut at white space."""
     out, at = [], 0
     table = _break_table()
@@ -116,7 +116,7 @@ def word_hashes(docs: list[bytes]) -> list[np.ndarray]:
     for d in docs:
         if len(d) > BLOCK:
             flush()
-            out.append(np.concatenate([_block_hashes(x)[0] for x in _cuts(d)]))
+            out.append(np.concatenate([_block_hashes(x)[0] for x in cuts(d)]))
             continue
         batch.append(d)
         size += len(d)

@@ -19,7 +19,9 @@ step is the scalar product of the context (two vectors, one matrix per position)
 with a vector, and a bias; it is trained by noise-contrastive estimation (noise:
 frequencies) and normalised by a softmax. The first model gives the start; the
 tasks of a round train copies, whose rows are averaged in Spark by how often each
-was trained. A rarer word has its add-one share of its class's rarer words, of
+was trained. Texts are split once, into a table of head indices that trigrams, training
+and scoring read; training rows are dealt to tasks, and ordered in them, by a hash of
+their text, so the scores belong to the rows and not to how they were partitioned. A rarer word has its add-one share of its class's rarer words, of
 which a share is reserved for words that training did not have: probabilities of
 all words sum to one.
 
@@ -31,7 +33,9 @@ Defined results: NULL text is empty: one token, the end; a NULL ``doc_id`` hashe
 as the empty string (training); ties between equally frequent words go to the
 smaller word; repeated rows are trained on and scored as often as they occur; an
 empty table, or one without training rows, trains on nothing (uniform classes);
-extra columns are ignored.
+a very long text is split in slices and scored as one window; extra columns are
+ignored. The first model sees ``STEPS * BATCH`` drawn trigrams at any size, as it only
+gives the start; the model of words trains on every token.
 """
 
 from __future__ import annotations
@@ -49,6 +53,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fraudmart.llm.hashing import BLOCK, cuts
 from fraudmart.llm.shared import documents_view, in_tasks, written
 
 FOLDS, HELD_OUT = 7, 2
@@ -62,20 +67,21 @@ DIMENSIONS, STEPS, BATCH, NOISE, SEED = 24, 1500, 1024, 20, 7
 #: words of a group; rounds over disjoint parts of the training rows; tokens that a task
 #: trains on in all rounds; noise words that the contexts of a batch share; learning rate
 GROUP, ROUNDS, TASK_TOKENS, SHARED, RATE = 64, 2, 16_000_000, 32, .1
-#: tokens that a task holds at a time
-WINDOW = 1 << 16
+#: tokens that a task trains on, and scores, at a time
+WINDOW, SCORE_WINDOW = 1 << 16, 1 << 17
 
 
 def held_out(doc_id: Column, folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-def tokens(text: str | None) -> list[str]:
-    return [w.decode() for w in (text or "").encode().lower().split()]
+def tokens(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()
 
 
-def tail_class(word: str) -> int:
-    return HEAD_CLASSES + crc32(word.encode()[-2:]) % TAIL_CLASSES
+def tail_class(word: str | bytes) -> int:
+    data = word.encode() if isinstance(word, str) else word
+    return HEAD_CLASSES + crc32(data[-2:]) % TAIL_CLASSES
 
 
 def token_table(docs: DataFrame, flush: int = 400_000) -> DataFrame:
@@ -85,13 +91,13 @@ def token_table(docs: DataFrame, flush: int = 400_000) -> DataFrame:
 
         def out():
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                names=["token", "c"])
+                [pa.array(list(seen), pa.binary()).cast(pa.string()),
+                 pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
 
         for b in batches:
             for t in b.column(0).to_pylist():
                 seen.update(tokens(t))
-                seen[END_TOKEN] += 1
+                seen[END_TOKEN.encode()] += 1
                 if len(seen) > flush:
                     yield out()
                     seen.clear()
@@ -130,22 +136,27 @@ class Classes:
 
     def __init__(self, head: dict[str, int], end_count: int):
         words = list(head)
-        self.index = {w: i for i, w in enumerate(words)}
+        self.index = {w.encode(): i for i, w in enumerate(words)}
         self.of = np.array([i if i < HEAD_CLASSES else tail_class(w)
                             for i, w in enumerate(words)] + [END], dtype=np.int64)
         self.count = np.array([head[w] for w in words] + [end_count], dtype=np.int64)
         self.end = len(words)
 
-    def classes(self, toks: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Classes of a text's tokens with the end, head indices (-1: a rarer word), rarer words."""
-        get = self.index.get
-        at = np.array([get(t, -1) for t in toks] + [self.end], dtype=np.int64)
-        cls = self.of[at]
-        rare = np.flatnonzero(at < 0)
-        words = [toks[i] for i in rare]
-        if words:
-            cls[rare] = [tail_class(w) for w in words]
-        return cls, at, words
+    def heads(self, text: str | None) -> tuple[np.ndarray, Counter]:
+        """Head indices of a text's tokens with the end (a rarer word: -1 - k in the k-th tail
+        class), and its rarer words."""
+        data, get = (text or "").encode(), self.index.get
+        parts, rarer = [], Counter()
+        for piece in [data] if len(data) <= BLOCK else cuts(data):
+            toks = piece.lower().split()
+            at = np.fromiter((get(t, -1) for t in toks), np.int32, len(toks))
+            rare = np.flatnonzero(at < 0)
+            if len(rare):
+                words = [toks[i] for i in rare.tolist()]
+                at[rare] = [HEAD_CLASSES - 1 - tail_class(w) for w in words]
+                rarer.update(words)
+            parts.append(at)
+        return np.concatenate([*parts, np.array([self.end], np.int32)]), rarer
 
 
 @lru_cache(maxsize=2)
@@ -154,33 +165,91 @@ def _classes(key: tuple) -> Classes:
     return Classes(dict(zip(words, counts)), end)
 
 
-def class_trigrams(docs: DataFrame, key: tuple) -> DataFrame:
-    """``code, n``: how often class w follows classes a, b (code = (a * K + b) * K + w)."""
+TOKEN_ROWS = ("doc_id long, held_out boolean, dealt_by long, at array<int>, rare array<string>, "
+              "times array<long>")
+
+
+def token_rows(docs: DataFrame, key: tuple) -> DataFrame:
+    """``docs`` (``doc_id, held_out, text``) as head indices, with the distinct rarer words of
+    each text and how often they occur: all that later steps read of a text."""
     def run(batches):
         known = _classes(key)
-        for b in batches:
-            codes = []
-            for t in b.column(0).to_pylist():
-                cls = known.classes(tokens(t))[0]
-                codes.append(trigram_codes(cls))
-                if sum(map(len, codes)) > 2_000_000:
-                    yield _counted(codes)
-                    codes = []
-            if codes:
-                yield _counted(codes)
-
-    return (docs.select("text").transform(in_tasks, run, "code long, n long")
-            .groupBy("code").agg(F.sum("n").alias("n")))
 
+        def out(b, lo, hi, ats, rares):
+            ends = pa.array(np.cumsum([0, *map(len, ats)]), pa.int32())
+            words = pa.array(np.cumsum([0, *map(len, rares)]), pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [*[b.column(i).slice(lo, hi - lo) for i in range(3)],
+                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ats))),
+                 pa.ListArray.from_arrays(words, pa.array(
+                     [w for c in rares for w in c], pa.binary()).cast(pa.string())),
+                 pa.ListArray.from_arrays(words, pa.array(
+                     [n for c in rares for n in c.values()], pa.int64()))],
+                names=["doc_id", "held_out", "dealt_by", "at", "rare", "times"])
 
-def contexts(cls: np.ndarray) -> np.ndarray:
-    """Of each token the two classes before it, as one number."""
-    padded = np.concatenate([[START, START], cls])
-    return padded[:-2] * CLASSES + padded[1:-1]
+        for b in batches:
+            texts, done, held, ats, rares = b.column(3), 0, 0, [], []
+            for i in range(b.num_rows):
+                at, rarer = known.heads(texts[i].as_py())
+                ats.append(at), rares.append(rarer)
+                held += len(at)
+                if held > SCORE_WINDOW:
+                    yield out(b, done, i + 1, ats, rares)
+                    done, held, ats, rares = i + 1, 0, [], []
+            if ats:
+                yield out(b, done, b.num_rows, ats, rares)
+
+    return docs.select("doc_id", "held_out", F.xxhash64("text").alias("dealt_by"), "text").transform(
+        in_tasks, run, TOKEN_ROWS)
+
+
+def classes_of(at: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Classes of head indices as ``Classes.heads`` gives them. ``of``: those of head words."""
+    return np.where(at < 0, HEAD_CLASSES - 1 - at, of[np.maximum(at, 0)])
+
+
+def windows(batch: pa.RecordBatch, column: int, size: int):
+    """Rows of a batch in runs of about ``size`` tokens: first row, end, tokens, sizes."""
+    lists = batch.column(column)
+    cut, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(cut, cut[lo] + size, side="right")) - 1)
+        yield lo, hi, flat[cut[lo]:cut[hi]], np.diff(cut[lo:hi + 1])
+        lo = hi
+
+
+def before(units: np.ndarray, size: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two units before each token of its text (``none``: there is none)."""
+    a, b = np.empty_like(units), np.empty_like(units)
+    b[1:], a[2:] = units[:-1], units[:-2]
+    starts = np.cumsum(size) - size
+    b[starts], a[starts] = none, none
+    a[(starts + 1)[size > 1]] = none
+    return a, b
+
+
+def class_trigrams(rows: DataFrame, known: Classes) -> DataFrame:
+    """``code, n`` of token rows: how often class w follows classes a, b
+    (code = (a * K + b) * K + w)."""
+    of = known.of
 
+    def run(batches):
+        codes, held = [], 0
+        for batch in batches:
+            for _, _, at, size in windows(batch, 0, SCORE_WINDOW):
+                cls = classes_of(at, of)
+                a, b = before(cls, size, START)
+                codes.append((a * CLASSES + b) * CLASSES + cls)
+                held += len(at)
+                if held > 2_000_000:
+                    yield _counted(codes)
+                    codes, held = [], 0
+        if codes:
+            yield _counted(codes)
 
-def trigram_codes(cls: np.ndarray) -> np.ndarray:
-    return contexts(cls) * CLASSES + cls
+    return (rows.select("at").transform(in_tasks, run, "code long, n long")
+            .groupBy("code").agg(F.sum("n").alias("n")))
 
 
 def _counted(codes) -> pa.RecordBatch:
@@ -253,7 +322,7 @@ class LogBilinear:
 def class_sizes(counts: DataFrame, known: Classes) -> np.ndarray:
     """log10 of each class's sum of (c + 1) over its training words, plus one for a new word.
     Classes of one word or of the end are certain of it."""
-    words = list(known.index)[:HEAD_CLASSES]
+    words = [w.decode() for w in list(known.index)[:HEAD_CLASSES]]
     rare = counts.where((F.col("token") != END_TOKEN) & ~F.col("token").isin(words)) if words else (
         counts.where(F.col("token") != END_TOKEN))
     data = F.encode("token", "UTF-8")
@@ -312,24 +381,15 @@ class Tree:
         p[self.matrices_at:, :d] = model.c.reshape(2 * d, d)
         return p
 
-    def rows(self, known: Classes, texts: list[list[str]]):
-        """Of all tokens of tokenised texts: contexts a and b, class, group and word row
-        (-1: none); the number of tokens of each text; per text head indices and rarer words."""
-        got = [known.classes(t) for t in texts]
-        cls, at = (np.concatenate([g[i] for g in got]) for i in (0, 1))
-        size = np.array([len(g[0]) for g in got])
-        unit = np.where((at >= 0) & (at < self.n), at, self.n + cls - HEAD_CLASSES)
-        starts = np.cumsum(size) - size
-        a, b = np.empty_like(unit), np.empty_like(unit)
-        b[1:], a[2:] = unit[:-1], unit[:-2]
-        none = self.units - 1
-        b[starts], a[starts] = none, none
-        a[(starts + 1)[size > 1]] = none
-        rare = at < 0
-        group = self.group[at]
+    def rows(self, of: np.ndarray, at: np.ndarray, size: np.ndarray):
+        """Of all tokens of a run of token rows: contexts a and b, class, group and word row
+        (-1: none). ``of``: classes of the head words."""
+        rare, head, cls = at < 0, np.maximum(at, 0), classes_of(at, of)
+        a, b = before(np.where((at >= 0) & (at < self.n), at, self.n + cls - HEAD_CLASSES), size,
+                      self.units - 1)
+        group = self.group[head]
         group[rare] = self.rest[cls[rare] - HEAD_CLASSES]
-        row = np.where(rare, -1, self.row[at])
-        return a, b, cls, group, row, size, got
+        return a, b, cls, group, np.where(rare, -1, self.row[head])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -383,19 +443,18 @@ class Training:
         g *= (self.rate / np.sqrt(acc))[:, None]
         self.p[rows] += g
 
-    def _told(self, h: np.ndarray, at: int, target: np.ndarray) -> np.ndarray:
-        """Targets told from noise that the batch shares: the gradients of the contexts."""
+    def _told(self, h: np.ndarray, at: int, target: np.ndarray):
+        """Targets told from noise that the batch shares: the gradients of the contexts, and
+        rows of parameters with theirs."""
         offset, upto = self.mass[at]
         noise = np.searchsorted(upto, self.rnd.random(SHARED)).clip(max=len(upto) - 1)
         qt, qn = self.p[at + target], self.p[at + noise]
         real = (1 - _sigmoid(np.einsum("ij,ij->i", h, qt) - offset[target]))[:, None]
         false = _sigmoid(h @ qn.T - offset[noise])
         false *= -np.float32(NOISE / SHARED)
-        self._add(np.concatenate([at + target, at + noise]),
-                  np.concatenate([real * h, false.T @ h]))
         qt *= real
         qt += false @ qn
-        return qt
+        return qt, np.concatenate([at + target, at + noise]), np.concatenate([real * h, false.T @ h])
 
     def batch(self, a, b, cls, group, row) -> None:
         """A vector's last entry is its bias; that of a context is one."""
@@ -413,13 +472,17 @@ class Training:
         g *= -self.noise
         g[at, cls] += real
         gh, gq = g @ q, g.T @ h
+        told = []
         for start, target in ((t.groups_at, group), (t.words_at, row)):
             some = np.flatnonzero(target >= 0)
             if len(some):
-                gh[some] += self._told(h[some], start, target[some])
+                g, *more = self._told(h[some], start, target[some])
+                gh[some] += g
+                told.append(more)
         gh[:, d] = 0
         gc = np.concatenate([ra[:, :d].T @ gh, rb[:, :d].T @ gh])
-        self._add(np.concatenate([a, b]), np.concatenate([gh @ c[0].T, gh @ c[1].T]))
+        told.append([np.concatenate([a, b]), np.concatenate([gh @ c[0].T, gh @ c[1].T])])
+        self._add(*(np.concatenate(x) for x in zip(*told)))
         self._step(slice(t.classes_at, t.matrices_at), gq)
         self._step(slice(t.matrices_at, None), gc)
         self.times[t.classes_at:] += len(cls)
@@ -430,55 +493,75 @@ class Training:
             self.batch(*[x[order[at:at + BATCH]] for x in rows])
 
 
-def _windows(texts, size: int = WINDOW):
-    """Tokenised texts in runs of about ``size`` tokens."""
-    held, n = [], 0
-    for t in texts:
-        held.append(tokens(t))
-        n += len(held[-1]) + 1
-        if n >= size:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def _vectors(rows: np.ndarray) -> pa.ListArray:
+    ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel(), pa.float32()))
 
 
-def train_words(train: DataFrame, key: tuple, tree: Tree, start: np.ndarray, n: int,
+def _matrix(vectors: pa.ListArray) -> np.ndarray:
+    return vectors.flatten().to_numpy().reshape(len(vectors), -1)
+
+
+def _averaged(batches):
+    """Copies of rows, sorted by row -> each row's average, weighted by ``n``."""
+    held = None   # row, n and weighted sum of the last row so far: the next batch may go on
+    for b in batches:
+        if not b.num_rows:
+            continue
+        row, n = b.column(0).to_numpy(), b.column(2).to_numpy()
+        v = _matrix(b.column(3)).astype(np.float64) * n[:, None]
+        if held is not None:
+            row, n, v = (np.concatenate(x) for x in zip(held, (row, n, v)))
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        row, n, v = row[first], np.add.reduceat(n, first), np.add.reduceat(v, first, axis=0)
+        held = row[-1:], n[-1:], v[-1:]
+        if len(row) > 1:
+            yield _average(row[:-1], n[:-1], v[:-1])
+    if held is not None:
+        yield _average(*held)
+
+
+def _average(row, n, v) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(row), pa.array(n), _vectors((v / n[:, None]).astype(np.float32))],
+        names=["row", "n", "v"])
+
+
+def train_words(train: DataFrame, known: Classes, tree: Tree, start: np.ndarray, n: int,
                 rounds: int = ROUNDS) -> tuple[np.ndarray, int]:
     """Parameters after all training rows, and how many tokens they were trained on.
 
     Rounds train on disjoint parts of the rows; the tasks' rows are averaged in Spark."""
-    p, trained, d = start, 0, start.shape[1]
+    p, trained, of = start, 0, known.of
     tasks = max(1, -(-n // TASK_TOKENS))
-    names = [f"v{i}" for i in range(d)]
     for k in range(rounds):
         def run(batches, p=p, k=k):
             one_thread()
-            known, task = _classes(key), None
-            texts = (x.as_py() for b in batches for x in b.column(0))
-            for held in _windows(texts):
-                if task is None:
-                    task = Training(tree, p, SEED + k * 1_000_003 + TaskContext.get().partitionId(),
-                                    RATE / (k + 1))
-                task.window(tree.rows(known, held)[:5])
+            task = None
+            for batch in batches:
+                for _, _, at, size in windows(batch, 1, WINDOW):
+                    if task is None:
+                        task = Training(tree, p, SEED + k * 1_000_003
+                                        + TaskContext.get().partitionId(), RATE / (k + 1))
+                    task.window(tree.rows(of, at, size))
             if task is not None:
+                me = TaskContext.get().partitionId()
                 for at in range(0, len(p), 20_000):
                     rows = at + np.flatnonzero(task.times[at:at + 20_000])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows, pa.int64()), pa.array(task.times[rows], pa.int64()),
-                         *[pa.array(x, pa.float32()) for x in task.p[rows].T]],
-                        names=["row", "n", *names])
-
-        part = train.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text")
-        moved = (part.coalesce(tasks).transform(
-                     in_tasks, run, "row long, n long, " + ", ".join(f"{x} float" for x in names))
-                 .groupBy("row").agg(F.sum("n").alias("n"), *[
-                     (F.sum(F.col("n") * F.col(x)) / F.sum("n")).cast("float").alias(x)
-                     for x in names]).toArrow())
+                        [pa.array(rows, pa.int64()), pa.array(np.full(len(rows), me), pa.int32()),
+                         pa.array(task.times[rows], pa.int64()), _vectors(task.p[rows])],
+                        names=["row", "task", "n", "v"])
+
+        part = train.where(F.pmod("dealt_by", F.lit(rounds)) == k).select("dealt_by", "at")
+        dealt = part.repartition(tasks, "dealt_by").sortWithinPartitions("dealt_by")
+        copies = dealt.transform(in_tasks, run, "row long, task int, n long, v array<float>")
+        moved = (copies.repartition("row").sortWithinPartitions("row", "task")
+                 .transform(in_tasks, _averaged, "row long, n long, v array<float>").toArrow())
         if moved.num_rows:
             rows = moved.column("row").to_numpy()
             p = p.copy()
-            p[rows] = np.stack([moved.column(x).to_numpy() for x in names], axis=1)
+            p[rows] = np.concatenate([_matrix(c) for c in moved.column("v").chunks])
             trained += int(moved.column("n").to_numpy()[rows == tree.classes_at].sum())
     return p, trained
 
@@ -496,23 +579,29 @@ class Scores:
         self.q[START, d] = -1e30  # the start never follows
 
     @staticmethod
-    def _of(h, q, target):
-        s = h @ q.T
-        picked = s[np.arange(len(s)), target]
+    def _total(s: np.ndarray) -> np.ndarray:
+        """Logarithm of the sum of the exponentials of each row."""
         with np.errstate(over="ignore"):
             e = np.exp(s).sum(axis=1)
         if not (np.isfinite(e) & (e > 1e-30)).all():
             top = s.max(axis=1)
-            return picked - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
-        return picked - np.log(e)
+            return top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+        return np.log(e)
+
+    def _of(self, h, q, target):
+        s = h @ q.T
+        return s[np.arange(len(s)), target] - self._total(s)
 
     def __call__(self, a, b, cls, group, row) -> np.ndarray:
         t = self.tree
-        h = self.left[a] + self.right[b]
-        out = np.empty(len(a))
-        for at in range(0, len(a), 2048):
-            x = slice(at, at + 2048)
-            out[x] = self._of(h[x], self.q, cls[x])
+        # the sum over the classes belongs to the context: once for each one of the window
+        pair, which = np.unique(a * t.units + b, return_inverse=True)
+        contexts = self.left[pair // t.units] + self.right[pair % t.units]
+        total = np.empty(len(pair))
+        for at in range(0, len(pair), 2048):
+            total[at:at + 2048] = self._total(contexts[at:at + 2048] @ self.q.T)
+        h = contexts[which]
+        out = np.einsum("ij,ij->i", h, self.q[cls]) - total[which]
         # the same of groups in their class, and of words in their group
         for base, first, which, target in (
                 (t.groups_at, t.first_group, cls - HEAD_CLASSES, group),
@@ -529,35 +618,31 @@ class Scores:
         return out / math.log(10)
 
 
-def _scorer(key: tuple, tree: Tree, p: np.ndarray):
+def _scorer(known: Classes, tree: Tree, p: np.ndarray):
+    """Token rows ``row, at, doc_id, held_out`` -> tokens, those with a head word, their log10 shares, score."""
     state: dict = {}
+    of, weight = known.of, np.log10(known.count + 1.0)
+    trained = len(known.count) > 1 or known.count[-1]
 
     def run(batches):
         one_thread()
-        known = _classes(key)
         if not state:
             state["scores"] = Scores(tree, p)
-        scores, weight = state["scores"], np.log10(known.count + 1.0)
+        scores = state["scores"]
         rest = np.log10(tree.group_mass[tree.rest])
-        trained = len(known.count) > 1 or known.count[-1]
-        types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                 pa.list_(pa.string()), pa.list_(pa.int64()))
-        for b in batches:
-            done = 0
-            for held in _windows(x.as_py() for x in b.column(2)):
-                *token, size, got = tree.rows(known, held)
-                lp = np.add.reduceat(scores(*token), np.cumsum(size) - size)
-                rows = []
-                for x, (cls, at, rare) in zip(lp, got):
-                    head, seen = at[at >= 0], Counter(rare)
-                    rows.append((len(cls), len(head) if trained else 0, float(weight[head].sum()),
-                                 float(x - rest[cls[at < 0] - HEAD_CLASSES].sum()),
-                                 list(seen), list(seen.values())))
+        for batch in batches:
+            for lo, hi, at, size in windows(batch, 1, SCORE_WINDOW):
+                token = tree.rows(of, at, size)
+                rare, starts = at < 0, np.cumsum(size) - size
+                model = scores(*token)
+                model[rare] -= rest[token[2][rare] - HEAD_CLASSES]
+                logs = np.where(rare, 0, weight[np.maximum(at, 0)])
+                head = np.add.reduceat(~rare, starts, dtype=np.int64) if trained else np.zeros_like(size)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(done, len(rows)), b.column(1).slice(done, len(rows)),
-                     *[pa.array(c, t) for c, t in zip(zip(*rows), types)]],
-                    names=["doc_id", "held_out", "n_tokens", "known", "logs", "model", "rare", "times"])
-                done += len(rows)
+                    [*[batch.column(i).slice(lo, hi - lo) for i in (0, 2, 3)],
+                     pa.array(size, pa.int64()), pa.array(head, pa.int64()),
+                     pa.array(np.add.reduceat(logs, starts)), pa.array(np.add.reduceat(model, starts))],
+                    names=["row", "doc_id", "held_out", "n_tokens", "known", "logs", "model"])
     return run
 
 
@@ -575,24 +660,25 @@ def score(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT, head: int =
     words = head_words(counts, head)
     key = (tuple(words), tuple(words.values()), ends)
     known = Classes(words, ends)
-    grams = class_trigrams(train, key).toArrow()
+    rows = written(token_rows(d, key).withColumn("row", F.monotonically_increasing_id()),
+                   "lm-tokens")
+    training = rows.where(~F.col("held_out"))
+    grams = class_trigrams(training, known).toArrow()
     code = grams.column("code").to_numpy()
     order = np.argsort(code)
     model = LogBilinear().fit(code[order], grams.column("n").to_numpy()[order], steps)
     tree = Tree(known, class_sizes(counts, known))
-    p, _ = train_words(train, key, tree, tree.start(known, model), n)
-
-    scored = written(d.select("doc_id", "held_out", "text").transform(in_tasks,
-        _scorer(key, tree, p),
-        "doc_id long, held_out boolean, n_tokens long, known long, logs double, model double, "
-        "rare array<string>, times array<long>").withColumn("row", F.monotonically_increasing_id()),
-        "lm-scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
+    p, _ = train_words(training, known, tree, tree.start(known, model), n)
+
+    scored = written(rows.select("row", "at", "doc_id", "held_out").transform(
+        in_tasks, _scorer(known, tree, p), "row long, doc_id long, held_out boolean, n_tokens long, "
+                                           "known long, logs double, model double"), "lm-scored")
+    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("token"), F.col("x.times").alias("times"))
     met = rare.join(counts, "token").groupBy("row").agg(
         F.sum("times").alias("found"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"))
     zero = F.lit(0.0)
-    return scored.drop("rare", "times").join(met, "row", "left").select(
+    return scored.join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("found", F.lit(0))).cast("long").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),

@@ -151,7 +151,7 @@ def test_word_probabilities_sum_to_one(spark, texts):
     share = {}
     for r in counts.collect():
         if r.token:
-            i = known.index[r.token]
+            i = known.index[r.token.encode()]
             k = int(known.of[i])
             share[k] = share.get(k, 0) + ((r.c + 1) / z[k] if k >= lm_scoring.HEAD_CLASSES else 1)
     for k, s in share.items():
@@ -180,7 +180,8 @@ def test_training_takes_every_token_and_stays_normalised(spark, texts):
     tree = lm_scoring.Tree(known, lm_scoring.class_sizes(counts, known))
     start = tree.start(known, lm_scoring.LogBilinear())
     n = sum(r.c for r in counts.collect())
-    p, trained = lm_scoring.train_words(frame, key, tree, start, n)
+    rows = lm_scoring.token_rows(frame.withColumn("held_out", lm_scoring.F.lit(False)), key)
+    p, trained = lm_scoring.train_words(rows, known, tree, start, n)
     assert trained == n
     moved = np.abs(p - start)[:, :-1].max(axis=1) > 0
     assert moved[tree.words_at:tree.classes_at].mean() > .9 and moved[:tree.n].mean() > .9
@@ -197,6 +198,70 @@ def test_training_takes_every_token_and_stays_normalised(spark, texts):
         assert math.isclose((10 ** lp).sum(), 1, rel_tol=1e-4)
 
 
+def test_scores_belong_to_the_rows_not_to_their_partitions(spark, texts):
+    frame = spark.createDataFrame(texts, "doc_id long, text string").select("text", "doc_id")
+    few, many = (sorted((r.doc_id, r.score) for r in lm_scoring.score(frame.repartition(n), steps=50)
+                        .collect()) for n in (1, 7))
+    assert [d for d, _ in few] == [d for d, _ in many]
+    # what differs is the rounding of single precision in products of other sizes
+    assert all(math.isclose(a, b, rel_tol=1e-5) for (_, a), (_, b) in zip(few, many))
+
+
+def test_scores_match_a_plain_second_computation(spark, texts, monkeypatch):
+    """Softmax by softmax, token by token, from the trained parameters."""
+    kept = {}
+
+    def train(rows, known, tree, start, n, **more):
+        got = original(rows, known, tree, start, n, **more)
+        kept.update(known=known, tree=tree, p=got[0].astype(float))
+        return got
+
+    original = lm_scoring.train_words
+    monkeypatch.setattr(lm_scoring, "train_words", train)
+    some = texts[:40]
+    frame = spark.createDataFrame(some, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_scoring.score(frame, head=400, steps=20).collect()}
+    counts = {}
+    for d, t in some:
+        if lm_scoring.crc32(str(d).encode()) % 7 != 2:
+            for w in brute.words(t, True):
+                counts[w] = counts.get(w, 0) + 1
+    t, p, known = kept["tree"], kept["p"], kept["known"]
+    d = p.shape[1] - 1
+    c = p[t.matrices_at:].reshape(2, d, d + 1)[:, :, :d]
+
+    def unit(w):
+        i = known.index.get(w)
+        return i if i is not None else t.n + lm_scoring.tail_class(w) - lm_scoring.HEAD_CLASSES
+
+    def log_share(h, rows, target):
+        s = p[rows, :d] @ h + p[rows, d]
+        return float(s[target] - s.max() - math.log(np.exp(s - s.max()).sum()))
+
+    for doc, text in some:
+        ws, total = brute.words(text, True), 0.0
+        prev = [t.units - 1, t.units - 1]
+        for w in [*ws, None]:
+            h = p[prev[0], :d] @ c[0] + p[prev[1], :d] @ c[1]
+            k = lm_scoring.END if w is None else (
+                int(known.of[known.index[w]]) if w in known.index else lm_scoring.tail_class(w))
+            classes = np.arange(t.classes_at, t.matrices_at - 1)   # without the start
+            total += log_share(h, classes, k)
+            if w is not None and k >= lm_scoring.HEAD_CLASSES:
+                i, j = known.index.get(w), k - lm_scoring.HEAD_CLASSES
+                group = int(t.rest[j] if i is None else t.group[i])
+                groups = np.arange(t.first_group[j], t.first_group[j + 1])
+                total += log_share(h, t.groups_at + groups, group - t.first_group[j])
+                if i is None:
+                    total += math.log((counts.get(w, 0) + 1) / t.group_mass[t.rest[j]])
+                else:
+                    words = np.arange(t.first_word[group], t.first_word[group + 1])
+                    total += log_share(h, t.words_at + words, int(t.row[i]) - t.first_word[group])
+            if w is not None:
+                prev = [prev[1], unit(w)]
+        assert math.isclose(got[doc], total / math.log(10), rel_tol=1e-4, abs_tol=1e-3)
+
+
 def test_lm_edge_cases(spark):
     rows = [(1, None), (2, ""), (None, "A b"), (3, "a\x0bB\x1fc"), (3, "a\x0bB\x1fc")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
