@@ -100,7 +100,8 @@ def _as_of(tr: DataFrame, clients: DataFrame, accounts: DataFrame, cards: DataFr
 def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
                         transactions: DataFrame, terminals: DataFrame, run_date: _dt.date,
                         history: str = "all", version_join: str = "sorted",
-                        hot_card: Hot | None = None, hot_terminal: Hot | None = None) -> DataFrame:
+                        hot_card: Hot | None = None, hot_terminal: Hot | None = None,
+                        carry: tuple[str, ...] = ()) -> DataFrame:
     """Join every transaction to its card owner and terminal.
 
     ``history='all'`` joins every version of every dimension, as the source
@@ -111,14 +112,15 @@ def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFram
     also serves histories that do overlap.
 
     ``hot_card``, ``hot_terminal`` (``spread.hot_keys`` of ``card_num`` and
-    ``terminal``): values whose operations are dealt over many tasks.
+    ``terminal``): values whose operations are dealt over many tasks. ``carry``: further
+    columns of the operations to keep.
     """
     if history not in HISTORY_MODES:
         raise ValueError(f"history must be one of {HISTORY_MODES}")
     if version_join not in VERSION_JOINS:
         raise ValueError(f"version_join must be one of {VERSION_JOINS}")
     tr = transactions.select("trans_id", "trans_date", "card_num", "oper_type", "amt",
-                             "oper_result", "terminal")
+                             "oper_result", "terminal", *carry)
     te = terminals.select(
         "terminal_id", "terminal_city",
         F.col("effective_from").alias("te_effective_from"),
@@ -141,5 +143,5 @@ def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFram
     return ctx.select(
         "trans_date", "passport", "fio", "phone", F.lit(run_date).alias("report_dt"),
         "passport_valid_to", "client_id", "card_num", "ac_valid_to", "trans_id", "oper_type",
-        "amt", "oper_result", "terminal_id", "terminal_city", "te_effective_from",
+        "amt", "oper_result", "terminal_id", "terminal_city", "te_effective_from", *carry,
     )

@@ -156,6 +156,12 @@ def fraud_events(ctx: DataFrame, blacklist: DataFrame,
                                        bucket_seconds)
     frame = rule_frame(ctx, lead_reach=two_cities_limit, lag_reach=amount_guess_limit,
                        bucket_seconds=bucket_seconds)
+    return events_of_frame(frame, blacklist, amount_guess_limit)
+
+
+def events_of_frame(frame: DataFrame, blacklist: DataFrame,
+                    amount_guess_limit: str = AMOUNT_GUESS_LIMIT) -> DataFrame:
+    """The four rules on a ``rule_frame`` (see ``fraud_events``)."""
     flagged = with_blacklist(frame, blacklist)
 
     def bit(cond, value):

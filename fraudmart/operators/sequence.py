@@ -169,9 +169,15 @@ def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20
     operation is the copy itself (same city, no time apart), and
     ``copies_lag_1/2`` let rule 4 see repeats among the previous operations.
     """
-    if "copies" not in ctx.columns:
-        ctx = ctx.withColumn("copies", F.lit(1))
     lead_s, lag_s = reach_seconds(lead_reach), reach_seconds(lag_reach)
+    # one shuffle: a hot card is split by its buckets
+    spread = halo_copies(ctx, lead_s, lag_s, bucket_seconds).repartition("card_num", "bucket")
+    return frame_of_buckets(spread, lead_s)
+
+
+def halo_copies(df: DataFrame, lead_s: int, lag_s: int, bucket_seconds: int) -> DataFrame:
+    """``df`` with each row in its ``home_bucket`` of ``trans_date`` and copied into every
+    other ``bucket`` whose rows have it within their reach."""
     per_day = _buckets_per_day(bucket_seconds)
     sec_of_day = F.hour("trans_date") * 3600 + F.minute("trans_date") * 60 + F.second("trans_date")
     in_bucket = sec_of_day % bucket_seconds
@@ -189,11 +195,15 @@ def rule_frame(ctx: DataFrame, lead_reach: str = "1 hour", lag_reach: str = "20
           for j in range(1, lead_s // bucket_seconds + 2)],
     )
     # an operation without a time has no neighbours and no rule can select it
-    spread = (ctx.where(F.col("trans_date").isNotNull()).withColumn("home_bucket", home)
-              .withColumn("bucket", F.explode(buckets))
-              .where(F.col("bucket").isNotNull())
-              # one shuffle: a hot card is split by its buckets
-              .repartition("card_num", "bucket"))
+    return (df.where(F.col("trans_date").isNotNull()).withColumn("home_bucket", home)
+            .withColumn("bucket", F.explode(buckets))
+            .where(F.col("bucket").isNotNull()))
+
+
+def frame_of_buckets(spread: DataFrame, lead_s: int) -> DataFrame:
+    """The neighbours within each (card, ``bucket``) of ``halo_copies``, for the rows at home there."""
+    if "copies" not in spread.columns:
+        spread = spread.withColumn("copies", F.lit(1))
     w = card_window("bucket")
     framed = spread.withColumns({**neighbour_columns(w),
                                  "copies_lag_1": F.lag("copies", 1).over(w),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fraudmart.operators import digests, facts, late, maintained, scd2, sequence, spread
 from fraudmart.operators.context import transaction_context
 from fraudmart.plans.sizing import scratch
-from fraudmart.schemas import CLIENTS, TRANSACTIONS, DimSpec
+from fraudmart.schemas import CLIENTS, TRANSACTIONS, TXN_SEPARATOR, TXN_TIME_FORMAT, DimSpec
 from fraudmart.sources import extract
 from fraudmart.sources import fixtures as fx
 
@@ -110,6 +110,44 @@ def streamed_terminals(spark, d) -> DataFrame:
     return terminals.history_after(spark, f"{root}/out")
 
 
+def spelled_drop(operations: DataFrame) -> DataFrame:
+    """Operations as a drop file spells them."""
+    return operations.select(
+        F.col("trans_id").alias("transaction_id"),
+        F.date_format("trans_date", TXN_TIME_FORMAT).alias("transaction_date"),
+        F.replace(F.col("amt").cast("string"), F.lit("."), F.lit(",")).alias("amount"),
+        "card_num", "oper_type", "oper_result", "terminal")
+
+
+def three_drops(spark, d) -> list[DataFrame]:
+    """The operations up to the 10th, the 12th and after; every seventh of the 9th and 10th
+    comes in late, with the third drop. The last operation, a month on and of a card that
+    nobody owns, moves the time past all others."""
+    t = fx.transactions(spark, d)
+    day, e = F.dayofmonth("trans_date"), F.col("trans_id").cast("bigint")
+    late_row = day.isin(9, 10) & (e % 7 == 0)
+    mark = t.orderBy(e).limit(1).withColumns({
+        "card_num": F.lit("0"), "trans_date": F.lit(_dt.datetime(2024, 3, 1)).cast("timestamp_ntz")})
+    return [t.where((day <= 10) & ~late_row), t.where(day.isin(11, 12)),
+            t.where((day > 12) | late_row | day.isNull()), mark]
+
+
+def streamed_events(spark, d) -> DataFrame:
+    """The four rules on a stream of drops, one of them late."""
+    from fraudmart.streaming import rules as srules
+
+    root = scratch(spark, "stream-events")
+    dims = {"clients": fx.clients_hist(spark, d), "accounts": fx.accounts_hist(spark, d),
+            "cards": fx.cards_hist(spark, d), "terminals": fx.terminals_hist(spark, d)}
+    for n, rows in enumerate(three_drops(spark, d), 1):
+        spelled_drop(rows).write.option("header", True).option("sep", TXN_SEPARATOR).csv(
+            f"{root}/landing/transactions_{n}")
+        srules.detect_available(spark, f"{root}/landing/*", f"{root}/out", f"{root}/checkpoint", dims,
+                                fx.blacklist(spark, d), fx.REPORT_RUN_DATE, delay="3 days",
+                                name_filter="*.csv")
+    return srules.events_so_far(spark, f"{root}/out")
+
+
 def maintained_lead_lag(spark, d) -> DataFrame:
     """Lead/lag after five batches of six days each; some operations of the first six days
     come in with the third and the fifth batch."""
@@ -137,6 +175,7 @@ def registry():
     return {
         "txn_lead_lag_maintained": maintained_lead_lag,
         "stream_terminals_history": streamed_terminals,
+        "stream_fraud_events": streamed_events,
         "fact_transactions_append_days": fact_append_days,
         "context_many_versions_as_of": many_versions("sorted"),
         "scd2_late_changes": late_history,

@@ -113,7 +113,8 @@ REPORT_DAY2 = (two_day_queries()["daily_run_day2_report"] + ") WHERE (report_dt
 
 
 def change_queries() -> dict[str, str]:
-    q = {"txn_lead_lag_maintained": oracle_queries()["txn_lead_lag"]}
+    q = {"txn_lead_lag_maintained": oracle_queries()["txn_lead_lag"],
+         "stream_fraud_events": oracle_queries()["fraud_events"]}
     days = two_day_queries()
     q["daily_run_day2_figures"] = figures_sql()
     q["daily_run_files_facts"] = days["daily_run_day2_facts"]

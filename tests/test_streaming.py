@@ -75,3 +75,45 @@ def test_a_replayed_snapshot_changes_nothing(spark, tmp_path):
         assert as_rows(st.history_after(spark, out).collect()) == want
     st.ingest_snapshots(spark, str(landing), out, cp)   # nothing new
     assert as_rows(st.history_after(spark, out).collect()) == want
+
+
+def test_rules_on_a_stream_give_the_batch_events(spark, tmp_path):
+    """Drops one after another, the third with late rows, give the events of the batch rules;
+    the state empties as time passes."""
+    from collections import Counter
+
+    from fraudmart.operators import rules
+    from fraudmart.operators.context import transaction_context
+    from fraudmart.plans.change_queries import spelled_drop, three_drops
+    from fraudmart.streaming import rules as srules
+
+    landing, out, cp = str(tmp_path / "landing"), str(tmp_path / "out"), str(tmp_path / "cp")
+    dims = {"clients": fx.clients_hist(spark, D), "accounts": fx.accounts_hist(spark, D),
+            "cards": fx.cards_hist(spark, D), "terminals": fx.terminals_hist(spark, D)}
+    blacklist = fx.blacklist(spark, D)
+    day = dt.timedelta(days=1)
+    drops_in, held, dropped = three_drops(spark, D), [], 0
+
+    def batch_events(operations):
+        ctx = transaction_context(dims["clients"], dims["accounts"], dims["cards"], operations,
+                                  dims["terminals"], fx.REPORT_RUN_DATE)
+        return Counter(rules.fraud_events(ctx, blacklist).collect())
+
+    for n, rows in enumerate(drops_in, 1):
+        spelled_drop(rows).write.option("header", True).option("sep", ";").csv(f"{landing}/t_{n}")
+        q = srules.detect_available(spark, f"{landing}/*", out, cp, dims, blacklist,
+                                    fx.REPORT_RUN_DATE, delay="3 days", name_filter="*.csv")
+        state = [p.stateOperators[0] for p in q.recentProgress if p.stateOperators]
+        held.append(state[-1].numRowsTotal)
+        dropped += sum(s.numRowsDroppedByWatermark for s in state)
+        if n == 2:   # what is closed is final: nothing of the last days, all of the first
+            got = Counter(srules.events_so_far(spark, out).where("event_type <> '3'").collect())
+            last = max(r.event_dt for r in got)
+            assert dt.datetime(2024, 1, 6) < last < dt.datetime(2024, 1, 13) - 3 * day
+            want = batch_events(drops_in[0].where("trans_date < '2024-01-07'"))
+            assert not Counter({r: k for r, k in want.items() if r.event_type != "3"}) - got
+    assert Counter(srules.events_so_far(spark, out).collect()) == batch_events(fx.transactions(spark, D))
+    assert dropped == 0 and held[-1] == 0 and all(held[:-1])
+    srules.detect_available(spark, f"{landing}/*", out, cp, dims, blacklist, fx.REPORT_RUN_DATE,
+                            delay="3 days", name_filter="*.csv")   # nothing new
+    assert Counter(srules.events_so_far(spark, out).collect()) == batch_events(fx.transactions(spark, D))
