@@ -9,7 +9,7 @@ terminal keeps the row for rules 1, 2 and 4).
 
 Plan shape at scale: the three owner dimensions (cards, accounts, clients)
 are joined among themselves first, so the fact is shuffled once on
-``card_num``; the planner's sizes and AQE choose the join with the terminals.
+``card_num`` and once on ``terminal`` (``spread.by_key``: no dimension goes through the driver).
 A card or terminal with a large share of all operations is dealt over many
 tasks where the caller names the hot keys (``spread.hot_keys``).
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import full_name
 from fraudmart.operators.asof import as_of_join, in_force
-from fraudmart.operators.spread import Hot, spread_join
+from fraudmart.operators.spread import Hot, by_key, spread_join
 
 HISTORY_MODES = ("all", "as_of")
 VERSION_JOINS = ("sorted", "range")
@@ -54,7 +54,7 @@ def card_owners(clients: DataFrame, accounts: DataFrame, cards: DataFrame,
         "card_num", "account_num",
         F.col("effective_from").alias("ca_from"), F.col("effective_to").alias("ca_to"),
     )
-    owners = ca.join(ac, "account_num").join(cl, F.col("client") == F.col("client_id"))
+    owners = ca.join(by_key(ac), "account_num").join(by_key(cl), F.col("client") == F.col("client_id"))
     if history == "all":
         return owners.select("card_num", "passport", "fio", "phone", "passport_valid_to",
                              "client_id", "ac_valid_to")
@@ -135,9 +135,9 @@ def transaction_context(clients: DataFrame, accounts: DataFrame, cards: DataFram
         ctx = _as_of(tr, clients, accounts, cards, te, hot_card, hot_terminal)
     else:
         owners = card_owners(clients, accounts, cards, history)
-        ctx = tr.join(owners, (tr.card_num == owners.card_num)
+        ctx = tr.join(by_key(owners), (tr.card_num == owners.card_num)
                       & day.between(owners.own_from, owners.own_to)).drop(owners.card_num)
-        ctx = ctx.join(te,
+        ctx = ctx.join(by_key(te),
                        (F.col("terminal") == F.col("terminal_id"))
                        & day.between(F.col("te_effective_from"), F.col("te_to")), "left")
     return ctx.select(

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fraudmart.operators.spread import by_key
+
 DEDUPE_MODES = (("trans_id", "trans_date"), ("trans_date",))
 
 
@@ -27,11 +29,11 @@ def append_blacklist(stage: DataFrame, fact: DataFrame, keep: str = "first") ->
     entry) starts on time.
     """
     if keep == "first":
-        return stage.join(fact.select("passport_num"), "passport_num", "left_anti")
+        return stage.join(by_key(fact.select("passport_num")), "passport_num", "left_anti")
     if keep != "earliest":
         raise ValueError("keep must be 'first' or 'earliest'")
     first = fact.groupBy("passport_num").agg(F.min("entry_dt").alias("_first"))
-    j = stage.join(first, "passport_num", "left")
+    j = stage.join(by_key(first), "passport_num", "left")
     return (j.where(F.col("_first").isNull() | (F.col("entry_dt") < F.col("_first")))
             .drop("_first"))
 
@@ -62,8 +64,8 @@ def append_transactions(stage: DataFrame, fact: DataFrame,
         raise ValueError(f"dedupe_on must be one of {DEDUPE_MODES}")
     loaded = loaded_days(stage, fact)
     if dedupe_on == ("trans_id", "trans_date"):
-        return stage.join(loaded.select("trans_id", "trans_date"), ["trans_id", "trans_date"],
-                          "left_anti")
+        return stage.join(by_key(loaded.select("trans_id", "trans_date")),
+                          ["trans_id", "trans_date"], "left_anti")
     tgt = loaded.select(F.col("trans_date").alias("_tgt_date")).distinct()
     cond = F.col("trans_id").isNotNull() & (F.col("trans_date") == F.col("_tgt_date"))
-    return stage.join(tgt, cond, "left_anti")
+    return stage.join(by_key(tgt), cond, "left_anti")

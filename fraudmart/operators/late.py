@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudmart.functions.columns import is_live, is_open
+from fraudmart.operators.spread import by_key
 from fraudmart.schemas import DELETED_FLAG, LIVE_FLAG, OPEN_DATE, DimSpec
 
 
@@ -88,8 +89,8 @@ def timeline(log: DataFrame, spec: DimSpec) -> DataFrame:
 def rebuilt(hist: DataFrame, log: DataFrame, touched: DataFrame, spec: DimSpec) -> DataFrame:
     """``hist`` with the keys of ``touched`` built again from ``log``."""
     keys = touched.select(spec.key).distinct()
-    again = timeline(log.join(keys, spec.key, "left_semi"), spec)
-    rest = hist.join(keys, spec.key, "left_anti").select(*spec.history_columns)
+    again = timeline(log.join(by_key(keys), spec.key, "left_semi"), spec)
+    rest = hist.join(by_key(keys), spec.key, "left_anti").select(*spec.history_columns)
     return rest.unionByName(again.select(*spec.history_columns))
 
 
@@ -104,7 +105,7 @@ def apply_late(hist: DataFrame, log: DataFrame, stage: DataFrame, spec: DimSpec,
     if keys is None:
         return after, new
     live = after.where(is_open() & is_live() & (F.col("effective_from") <= F.lit(run_date)))
-    missed = live.join(keys.select(spec.key), spec.key, "left_anti").select(
+    missed = live.join(by_key(keys.select(spec.key)), spec.key, "left_anti").select(
         *spec.columns, F.lit(run_date).alias("seen_from"), F.lit(run_date).alias("born"),
         F.lit(DELETED_FLAG).alias("deleted_flg"), F.lit(0).cast("long").alias("seq"))
     return rebuilt(after, whole.unionByName(missed), missed, spec), new.unionByName(missed)

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import ntz_lit, round_to_second
+from fraudmart.operators.spread import by_key
 
 REPORT_COLUMNS = ("event_dt", "passport", "fio", "phone", "event_type", "report_dt")
 
@@ -36,7 +37,7 @@ def append_report(events: DataFrame, report: DataFrame, run_date: _dt.date,
     on every run (source system behaviour)."""
     keys = ["passport", "report_dt", "event_dt"] + (["event_type"] if include_type else [])
     existing = report.where(F.col("report_dt") == F.lit(run_date)).select(*keys)
-    return report_rows(events).join(existing, keys, "left_anti")
+    return report_rows(events).join(by_key(existing), keys, "left_anti")
 
 
 def events_since(events: DataFrame, since: _dt.datetime | _dt.date) -> DataFrame:

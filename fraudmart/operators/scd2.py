@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.functions.columns import day_before, differs, is_live, is_open
+from fraudmart.operators.spread import by_key
 from fraudmart.schemas import DELETED_FLAG, LIVE_FLAG, OPEN_DATE, DimSpec
 
 MISSING_SNAPSHOT_POLICIES = ("skip", "delete")
@@ -60,7 +61,7 @@ def _version(spec: DimSpec, attrs: list[Column], start: Column, end: Column,
 
 def scd2_new(hist: DataFrame, stage: DataFrame, spec: DimSpec) -> DataFrame:
     """Stage rows whose key is nowhere in history → open 'N' versions."""
-    new = stage.join(hist.select(spec.key), spec.key, "left_anti")
+    new = stage.join(by_key(hist.select(spec.key)), spec.key, "left_anti")
     return new.select(*_version(spec, [F.col(c) for c in spec.columns], F.col(spec.new_from),
                                 F.lit(OPEN_DATE), F.lit(LIVE_FLAG)))
 
@@ -71,7 +72,7 @@ def _matched_open(hist: DataFrame, stage: DataFrame, spec: DimSpec) -> DataFrame
     h = hist.where(is_open()).select(
         spec.key, *[F.col(a).alias(f"h_{a}") for a in spec.attrs],
         F.col("effective_from").alias("h_from"), F.col("deleted_flg").alias("h_flag"))
-    j = stage.join(h, spec.key)
+    j = stage.join(by_key(h), spec.key)
     return j.where(differs(spec.attrs, [f"h_{a}" for a in spec.attrs])
                    | (F.col("h_flag") == DELETED_FLAG))
 
@@ -103,7 +104,7 @@ def scd2_closed(hist: DataFrame, stage: DataFrame, spec: DimSpec,
 
 def _gone(hist: DataFrame, keys: DataFrame, spec: DimSpec) -> DataFrame:
     live_open = hist.where(is_open() & is_live())
-    return live_open.join(keys.select(spec.key), spec.key, "left_anti")
+    return live_open.join(by_key(keys.select(spec.key)), spec.key, "left_anti")
 
 
 def scd2_tombstones(hist: DataFrame, keys: DataFrame, spec: DimSpec,
@@ -135,7 +136,7 @@ def duplicate_stage_rows(stage: DataFrame, spec: DimSpec) -> DataFrame:
     ranked = stage.where(F.col(spec.key).isNotNull()).withColumn(
         "_rank", F.struct(*_precedence(stage, spec), *[F.col(a) for a in spec.attrs]))
     best = ranked.groupBy(spec.key).agg(F.max("_rank").alias("_best"))
-    return (ranked.join(best, spec.key).where(~F.col("_rank").eqNullSafe(F.col("_best")))
+    return (ranked.join(by_key(best), spec.key).where(~F.col("_rank").eqNullSafe(F.col("_best")))
             .drop("_rank", "_best"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudmart.operators.spread import by_key
 from fraudmart.schemas import EPOCH_DATE
 
 
@@ -79,7 +80,7 @@ def boundary_extract(src: DataFrame, create_wm: _dt.date, update_wm: _dt.date, t
     The filter is pushed to the source; only rows of the marks' dates can meet ``taken``."""
     at_mark = ((F.col(create_col) >= F.lit(create_wm)) | (F.col(update_col) >= F.lit(update_wm)))
     rows = src.where(at_mark).withColumn("row_digest", row_digest(src))
-    return rows.join(taken.select("row_digest"), "row_digest", "left_anti").drop("row_digest")
+    return rows.join(by_key(taken.select("row_digest")), "row_digest", "left_anti").drop("row_digest")
 
 
 def taken_at_marks(batch: DataFrame, taken: DataFrame, create_wm: _dt.date, update_wm: _dt.date,

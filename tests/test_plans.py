@@ -7,7 +7,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from fraudmart.operators import facts, rules, scd2, sequence
+from fraudmart.operators import facts, report, rules, scd2, sequence
+from fraudmart.operators.context import transaction_context
+from fraudmart.plans.change_queries import kept
 from fraudmart.plans.queries import FIXTURE_DIM, report_context
 from fraudmart.sources import extract
 from fraudmart.sources import fixtures as fx
@@ -196,3 +198,42 @@ def test_the_statement_of_the_bench_returns_the_same_events(spark, monkeypatch):
     cols = ["event_dt", "passport", "fio", "phone", "event_type"]
     assert as_rows(spark.sql(bench.STATEMENT).select(*cols).collect()) == \
         as_rows(events.select(*cols).collect())
+
+
+def test_no_table_that_grows_goes_through_the_driver(spark):
+    """Files of a few kB are what the planner would broadcast; both sides are dealt out instead."""
+    day = dt.date(2024, 1, 2)
+    open_ = f"date'2023-01-01' effective_from, date'{fx.OPEN_DATE}' effective_to, 'N' deleted_flg"
+    rows = {
+        "clients": "string(id) client_id, 'l' last_name, 'f' first_name, 'p' patronymic, string(id) "
+                   "passport_num, date'2024-01-01' passport_valid_to, string(id) phone, " + open_,
+        "accounts": "string(id) account_num, date'2024-06-01' valid_to, string(id) client, " + open_,
+        "cards": "string(id) card_num, string(id) account_num, " + open_,
+        "terminals": "string(id) terminal_id, string(id % 3) terminal_city, " + open_,
+        "blacklist": "string(id) passport_num, date'2024-01-01' entry_dt",
+        "operations": "string(id) trans_id, timestamp_ntz'2024-01-02 00:00:00' trans_date, string(id % 9) "
+                      "card_num, 'PAYMENT' oper_type, 1.5 amt, 'REJECT' oper_result, string(id % 7) terminal",
+        "reported": "timestamp_ntz'2024-01-02 00:00:00' event_dt, string(id) passport, "
+                    f"date'{day}' report_dt",
+        "stage": "id k, int(id % 2) a, 'b' b, date'2024-01-02' create_dt, date'2024-01-02' update_dt",
+        "hist": "id k, 1 a, 'b' b, " + open_}
+    t = {n: kept(spark.range(12).selectExpr(*cols.split(", ")), f"grows-{n}") for n, cols in rows.items()}
+    plans = []
+    for how in ({}, {"history": "as_of"}, {"history": "as_of", "version_join": "range"}):
+        ctx = transaction_context(t["clients"], t["accounts"], t["cards"], t["operations"],
+                                  t["terminals"], day, **how)
+        events = rules.fraud_events(ctx, t["blacklist"])
+        plans.append(report.append_report(events, t["reported"], day))
+    assert [p.count() for p in plans] == [0, 0, 0]   # each event's passport is reported
+    # 12 by passport, and three cards with two operations at a time in two cities
+    assert rules.fraud_events(ctx, t["blacklist"]).count() == 15
+    plans += [facts.append_transactions(t["operations"], t["operations"], mode)
+              for mode in facts.DEDUPE_MODES]
+    plans += [facts.append_blacklist(t["blacklist"], t["blacklist"], k) for k in ("first", "earliest")]
+    plans += [scd2.scd2_new(t["hist"], t["stage"], FIXTURE_DIM),
+              scd2.scd2_changed(t["hist"], t["stage"], FIXTURE_DIM),
+              scd2.scd2_tombstones(t["hist"], t["stage"], FIXTURE_DIM, day),
+              scd2.duplicate_stage_rows(t["stage"], FIXTURE_DIM)]
+    for df in plans:
+        text = plan(df)
+        assert "SortMergeJoin" in text and "Broadcast" not in text, text
