@@ -10,9 +10,13 @@ rows whose neighbours changed are written in their new form. So an ordinary day
 the day and the tail, and history is looked at only for cards with late operations.
 
 ``advance`` returns what to append, which earlier forms it replaces, and the new tail;
-``current`` puts appended parts together. Nothing is updated in place. The tail has
+``current`` puts appended parts together. Nothing is updated in place. The batch's
+sequence is worked out once and written under ``spark.checkpoint.dir``; all three are
+read from there. The whole tail goes through it: rows of cards without operations come
+out as they were, which spares two joins with the batch's cards. The tail has
 three rows a card; its window keeps the last three per map task, so a card with a
-third of a day's operations is no hot task there.
+third of a day's operations is no hot task there. Rows that are equal in all that the
+sequence orders by stay in order of their names, from batch to batch.
 """
 
 from __future__ import annotations
@@ -23,12 +27,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudmart.operators.sequence import LEAD_COLUMNS, ORDER, PARTITION, card_sequence
+from fraudmart.operators.spread import by_key
+from fraudmart.plans.sizing import scratch
 from fraudmart.schemas import AMOUNT_GUESS_REJECTS
 
 LEADS = tuple(f"{c}_lead" for c in LEAD_COLUMNS)
 LAGS = tuple(f"{c}_lag_{k}" for c in ("oper_result", "amt")
              for k in range(AMOUNT_GUESS_REJECTS, 0, -1)) + (f"trans_date_lag_{AMOUNT_GUESS_REJECTS}",)
 NAME = ("row_name", "version")
+TIES = NAME[:1]
 
 
 @dataclass
@@ -51,61 +58,67 @@ def _card() -> Column:
     return F.struct(*[F.col(c) for c in PARTITION])
 
 
-def _of(rows: DataFrame, cards: DataFrame) -> DataFrame:
-    """The rows of some cards (NULLs are values here)."""
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _of(rows: DataFrame, cards: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of some cards (``left_anti``: of all others; NULLs are values here)."""
     c = cards.select(F.col("card").alias("_card"))
-    return rows.join(c, _card().eqNullSafe(F.col("_card")), "left_semi")
+    return rows.join(by_key(c), _card().eqNullSafe(F.col("_card")), how)
 
 
-def late_cards(tail: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``card`` of the batch, and of those that get an operation at or before their last one
-    (a row without a time comes last, so a card that has one gets only late operations)."""
-    cards = new.groupBy(_card().alias("card")).agg(F.min("trans_date").alias("first"))
-    ends = tail.groupBy(_card().alias("_card")).agg(
-        F.max("trans_date").alias("last"), F.max(F.col("trans_date").isNull()).alias("open"))
-    late = cards.join(ends, F.col("card").eqNullSafe(F.col("_card"))).where(
-        F.col("open") | (F.col("first") <= F.col("last")))
-    return cards.select("card"), late.select("card")
+def late_cards(tail: DataFrame, new: DataFrame) -> DataFrame:
+    """``card`` of those that get an operation of the batch at or before their last one (a row
+    without a time comes last, so a card that has one gets only late operations)."""
+    at, none = F.col("trans_date"), F.lit(None)
+    both = new.select(_card().alias("card"), at.alias("new"), F.lit(True).alias("comes"),
+                      none.cast(tail.schema["trans_date"].dataType).alias("old"),
+                      none.cast("boolean").alias("open")).unionByName(
+        tail.select(_card().alias("card"), none.cast(new.schema["trans_date"].dataType).alias("new"),
+                    none.cast("boolean").alias("comes"), at.alias("old"), at.isNull().alias("open")))
+    ends = both.groupBy("card").agg(F.min("new").alias("first"), F.max("old").alias("last"),
+                                    F.max("comes").alias("comes"), F.max("open").alias("open"))
+    return ends.where(F.col("comes") & (F.col("open") | (F.col("first") <= F.col("last")))).select("card")
 
 
-def advance(steps: DataFrame, tail: DataFrame, new: DataFrame, batch: int) -> Advance:
+def advance(steps: DataFrame, tail: DataFrame, new: DataFrame, batch: int,
+            replaced: DataFrame | None = None) -> Advance:
     """The state's change by a batch of ``named`` context rows. ``steps`` (as ``current`` gives
-    it) is read only where the batch has late cards; one small job finds out."""
+    it; with ``replaced`` all appended rows, of which only the late cards' are then put
+    together) is read only where the batch has late cards; one small job finds out."""
     ctx = [c for c in new.columns if c not in NAME]
-    cards, late = late_cards(tail, new)
+    late = _written(late_cards(tail, new), "steps-late")
     was = F.struct("version", *LEADS, *LAGS)
-    if late.isEmpty():
-        before = _of(tail, cards)
-        whole = F.lit(False)
-    else:
-        on_time = cards.join(late.select(F.col("card").alias("_card")),
-                             F.col("card").eqNullSafe(F.col("_card")), "left_anti")
-        before = _of(tail, on_time).withColumn("_whole", F.lit(False)).unionByName(
-            _of(steps, late).withColumn("_whole", F.lit(True)))
-        whole = F.col("_whole")
-    old = before.select(*ctx, "row_name", was.alias("_was"), whole.alias("_whole"))
+    before = tail.withColumn("_whole", F.lit(False))
+    if not late.isEmpty():
+        history = _of(steps, late)
+        history = history if replaced is None else current(history, replaced)
+        before = _of(before, late, "left_anti").unionByName(history.withColumn("_whole", F.lit(True)))
+    old = before.select(*ctx, "row_name", was.alias("_was"), "_whole")
     rows = old.unionByName(new.select(*ctx, "row_name"), allowMissingColumns=True)
-    seen = card_sequence(rows)
+    seen = card_sequence(rows, ties=TIES)
     # a tail's rows do not show all that is before them: they keep what they knew of it
     keeps = F.col("_was").isNotNull() & ~F.coalesce(F.col("_whole"), F.lit(False))
     seen = seen.withColumns({c: F.when(keeps, F.col(f"_was.{c}")).otherwise(F.col(c)) for c in LAGS})
     same = F.struct(*LEADS, *LAGS).eqNullSafe(F.struct(*[F.col(f"_was.{c}") for c in (*LEADS, *LAGS)]))
     changed = F.col("_was").isNull() | ~same
     version = F.when(changed, F.lit(batch).cast("long")).otherwise(F.col("_was.version"))
-    out = [*ctx, *LEADS, *LAGS, "row_name"]
-    fresh = seen.where(changed).select(*out, version.alias("version"))
-    replaced = seen.where(changed & F.col("_was").isNotNull()).select(
-        "row_name", F.col("_was.version").alias("version"))
+    out = [*ctx, *LEADS, *LAGS, *NAME]
+    seen = _written(seen.select(*out[:-1], version.alias("version"), changed.alias("_changed"),
+                                F.col("_was.version").alias("_old")), "steps-seen")
+    fresh = seen.where("_changed").select(*out)
+    superseded = seen.where(F.col("_changed") & F.col("_old").isNotNull()).select(
+        "row_name", F.col("_old").alias("version"))
     newest = Window.partitionBy(*PARTITION).orderBy(
-        *[F.col(c).desc_nulls_first() for c in ORDER])
-    ends = (seen.select(*out, version.alias("version"))
-            .withColumn("_n", F.row_number().over(newest))
+        *[F.col(c).desc_nulls_first() for c in (*ORDER, *TIES)])
+    ends = (seen.select(*out).withColumn("_n", F.row_number().over(newest))
             .where(F.col("_n") <= AMOUNT_GUESS_REJECTS).drop("_n"))
-    c = cards.select(F.col("card").alias("_card"))
-    others = tail.join(c, _card().eqNullSafe(F.col("_card")), "left_anti")
-    return Advance(fresh, replaced, others.select(*out, "version").unionByName(ends))
+    return Advance(fresh, superseded, ends)
 
 
 def current(rows: DataFrame, replaced: DataFrame) -> DataFrame:
     """The sequence from all appended rows and all replaced forms."""
-    return rows.join(replaced, list(NAME), "left_anti")
+    return rows.join(by_key(replaced), list(NAME), "left_anti")

@@ -38,8 +38,8 @@ DAY_SECONDS = 86_400
 NULL_DAY = 2**31 - 1  # bucket of rows without a trans_date: sorts after every real day
 
 
-def _order() -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in ORDER]
+def _order(ties: tuple[str, ...] = ()) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in (*ORDER, *ties)]
 
 
 def card_window(*extra_partition: str):
@@ -75,7 +75,7 @@ LEAD_COLUMNS = ("terminal_city", "trans_date")
 
 
 def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
-                  bucket_seconds: int = DAY_SECONDS) -> DataFrame:
+                  bucket_seconds: int = DAY_SECONDS, ties: tuple[str, ...] = ()) -> DataFrame:
     """The context plus lead(city, date), lag 1–3 of result and amount and
     lag 3 of the date — exact, with a hot card split by day.
 
@@ -86,15 +86,20 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
        neighbour that falls outside the day is the next or a previous one among them,
        since those that would stand between are among them too.
 
-    Both kinds of rows read one exchange, so the context is computed and dealt out once.
+    Both kinds of rows read one exchange, so the context is computed and dealt out once. The
+    owner's columns travel as the group alone, and what a row saw in its day only where the
+    day has rows between the first and the last (else those among them tell it all).
+
+    ``ties``: further columns that put rows in order which are equal in all of ``ORDER``.
     """
     grp = F.struct(*[F.col(c) for c in PARTITION])       # NULL fio stays one group
     per_day = _buckets_per_day(bucket_seconds)
     sec_of_day = F.hour("trans_date") * 3600 + F.minute("trans_date") * 60 + F.second("trans_date")
     day = F.coalesce(F.unix_date(F.to_date("trans_date")).cast("bigint") * per_day
                      + F.floor(sec_of_day / bucket_seconds), F.lit(NULL_DAY).cast("bigint"))
-    rows = ctx.withColumns({"_grp": grp, "_day": day}).repartition("_grp", "_day")
-    w = Window.partitionBy("_grp", "_day").orderBy(*_order())
+    rows = (ctx.select(*[c for c in ctx.columns if c not in PARTITION], grp.alias("_grp"),
+                       day.alias("_day")).repartition("_grp", "_day"))
+    w = Window.partitionBy("_grp", "_day").orderBy(*_order(ties))
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     inner = rows.withColumns({
         "_rn": F.row_number().over(w),
@@ -103,6 +108,7 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
         **{f"_lag{k}_{c}": F.lag(c, k).over(w) for c in LAG_COLUMNS for k in range(1, lags + 1)},
     })
     edge = (F.col("_rn") <= lags) | (F.col("_rn") > F.col("_cnt") - lags)
+    gaps = F.col("_cnt") > 2 * lags
 
     def result(df: DataFrame, around) -> DataFrame:
         """The neighbour columns; ``around(column, k)`` is the value k rows back (-1: next)
@@ -111,18 +117,22 @@ def card_sequence(ctx: DataFrame, lags: int = AMOUNT_GUESS_REJECTS,
         for c in LEAD_COLUMNS:
             own = F.col(f"_lead_{c}")
             cols[f"{c}_lead"] = own if around is None else F.when(
-                F.col("_rn") < F.col("_cnt"), own).otherwise(around(c, -1))
+                gaps & (F.col("_rn") < F.col("_cnt")), own).otherwise(around(c, -1))
         for k in range(lags, 0, -1):
             for c in LAG_COLUMNS:
                 if c != "trans_date" or k == lags:
                     own = F.col(f"_lag{k}_{c}")
                     cols[f"{c}_lag_{k}"] = own if around is None else F.when(
-                        F.col("_rn") > k, own).otherwise(around(c, k))
-        return df.withColumns(cols).select(*ctx.columns, *_neighbour_names(lags))
+                        gaps & (F.col("_rn") > k), own).otherwise(around(c, k))
+        return df.withColumns(cols).select(
+            *[F.col(f"_grp.{c}").alias(c) if c in PARTITION else c for c in ctx.columns],
+            *_neighbour_names(lags))
 
-    edges = Window.partitionBy("_grp").orderBy(*_order())
+    edges = Window.partitionBy("_grp").orderBy(*_order(ties))
     inside = result(inner.where(~edge), None)
-    outside = result(inner.where(edge), lambda c, k: F.lag(c, k).over(edges))
+    seen = [c for c in inner.columns if c.startswith(("_lead_", "_lag"))]
+    narrow = inner.where(edge).withColumns({c: F.when(gaps, F.col(c)) for c in seen})
+    outside = result(narrow, lambda c, k: F.lag(c, k).over(edges))
     return inside.unionByName(outside)
 
 

@@ -164,7 +164,7 @@ def maintained_lead_lag(spark, d) -> DataFrame:
     replaced = empty.select(*maintained.NAME)
     for n in range(1, 6):
         new = kept(maintained.named(ctx.where(F.col("_batch") == n).drop("_batch"), n), "steps-new")
-        step = maintained.advance(maintained.current(rows, replaced), tail, new, n)
+        step = maintained.advance(rows, tail, new, n, replaced)
         rows = rows.unionByName(kept(step.rows, "steps-rows"))
         replaced = replaced.unionByName(kept(step.replaced, "steps-replaced"))
         tail = kept(step.tail, "steps-tail")

@@ -4,8 +4,10 @@ changes, digests of key buckets, exact marks, hot keys."""
 import datetime as dt
 import random
 import re
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.operators import (asof, digests, facts, late, maintained, scd2, sequence,
@@ -353,6 +355,30 @@ def test_maintained_sequence_equals_the_whole_one(spark):
         assert tail.groupBy("card_num").count().agg(F.max("count")).first()[0] <= 3
 
 
+def test_a_batch_is_worked_out_once(spark):
+    """What is appended and replaced is read from one written sequence, and the appended rows
+    with what replaced them serve as history. Operations that are equal in every column, more
+    of them than the tail holds, keep their order over batches that another card's lie between."""
+    empty = maintained.named(sequence.card_sequence(_ops(spark, []).limit(0)), 0)
+    steps, tail, replaced, all_rows = empty, empty, empty.select(*maintained.NAME), []
+    same = _ops(spark, [("a", 5, 3)])
+    same = same.unionByName(same).unionByName(same)
+    same = same.unionByName(same).coalesce(1)
+    for n, new in enumerate((same, _ops(spark, [("b", 9, 1)]), _ops(spark, [("a", 100, 4), ("b", 9, 2)]),
+                             _ops(spark, [("a", 7, 8)])), 1):
+        all_rows.append(new)
+        new = cq.kept(maintained.named(new, n), "n")
+        step = maintained.advance(steps, tail, new, n, replaced)
+        for df in (step.rows, step.replaced):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        steps = steps.unionByName(cq.kept(step.rows, "r"))
+        replaced = replaced.unionByName(cq.kept(step.replaced, "x"))
+        tail = cq.kept(step.tail, "t")
+        got = maintained.current(steps, replaced).drop(*maintained.NAME)
+        whole = sequence.card_sequence_whole(reduce(DataFrame.unionByName, all_rows))
+        assert as_rows(got.collect()) == as_rows(whole.select(*got.columns).collect()), n
+
+
 def test_an_ordinary_day_reads_no_history(spark, tmp_path):
     first = cq.kept(maintained.named(_ops(spark, [("a", i, 3) for i in range(9)]), 1), "n")
     empty = maintained.named(sequence.card_sequence(_ops(spark, []).limit(0)), 0)
