@@ -3,6 +3,7 @@ folder, relational sources as DataFrames; ledger, crash and re-run."""
 
 import datetime as dt
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,7 +187,11 @@ def test_drops_with_columns_in_another_order(spark, tmp_path):
 def test_only_changed_buckets_are_written_again(spark, setup, tmp_path):
     """Without a change a day writes no dimension at all; with one key changed it writes that
     key's bucket and lists the others again."""
-    _, landing = setup
+    _, given = setup
+    landing = tmp_path / "landing"   # the first day's drops: another test adds the second day's
+    landing.mkdir()
+    for drop in given.glob("*_16012024.*"):
+        shutil.copy(drop, landing)
     cl, ac, ca = sources(spark, DAY1)
     root = str(tmp_path / "store")
     first = daily.run_daily(spark, root, daily.Sources(ca, ac, cl, str(landing)), DAY1, "0")
