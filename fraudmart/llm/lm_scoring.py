@@ -531,13 +531,16 @@ def train_words(train: DataFrame, known: Classes, tree: Tree, start: np.ndarray,
                 rounds: int = ROUNDS) -> tuple[np.ndarray, int]:
     """Parameters after all training rows, and how many tokens they were trained on.
 
-    Rounds train on disjoint parts of the rows; the tasks' rows are averaged in Spark."""
-    p, trained, of = start, 0, known.of
+    Rounds train on disjoint parts of the rows; the tasks' rows are averaged in Spark.
+    Parameters lie on the machines' disks while their round lasts, no longer."""
+    p, trained = start, 0
     tasks = max(1, -(-n // TASK_TOKENS))
     for k in range(rounds):
-        def run(batches, p=p, k=k):
+        shared = train.sparkSession.sparkContext.broadcast((known.of, tree, p))
+
+        def run(batches, shared=shared, k=k):
             one_thread()
-            task = None
+            task, (of, tree, p) = None, shared.value
             for batch in batches:
                 for _, _, at, size in windows(batch, 1, WINDOW):
                     if task is None:
@@ -558,6 +561,7 @@ def train_words(train: DataFrame, known: Classes, tree: Tree, start: np.ndarray,
         copies = dealt.transform(in_tasks, run, "row long, task int, n long, v array<float>")
         moved = (copies.repartition("row").sortWithinPartitions("row", "task")
                  .transform(in_tasks, _averaged, "row long, n long, v array<float>").toArrow())
+        shared.destroy()
         if moved.num_rows:
             rows = moved.column("row").to_numpy()
             p = p.copy()
@@ -618,17 +622,14 @@ class Scores:
         return out / math.log(10)
 
 
-def _scorer(known: Classes, tree: Tree, p: np.ndarray):
-    """Token rows ``row, at, doc_id, held_out`` -> tokens, those with a head word, their log10 shares, score."""
-    state: dict = {}
-    of, weight = known.of, np.log10(known.count + 1.0)
-    trained = len(known.count) > 1 or known.count[-1]
-
+def _scorer(shared):
+    """Token rows ``row, at, doc_id, held_out`` -> tokens, those with a head word, their log10
+    shares, score. ``shared``: a broadcast of the classes and counts of words, tree, parameters."""
     def run(batches):
         one_thread()
-        if not state:
-            state["scores"] = Scores(tree, p)
-        scores = state["scores"]
+        of, count, tree, p = shared.value
+        weight, trained = np.log10(count + 1.0), len(count) > 1 or count[-1]
+        scores = Scores(tree, p)
         rest = np.log10(tree.group_mass[tree.rest])
         for batch in batches:
             for lo, hi, at, size in windows(batch, 1, SCORE_WINDOW):
@@ -670,9 +671,11 @@ def score(docs: DataFrame, folds: int = FOLDS, fold: int = HELD_OUT, head: int =
     tree = Tree(known, class_sizes(counts, known))
     p, _ = train_words(training, known, tree, tree.start(known, model), n)
 
+    shared = docs.sparkSession.sparkContext.broadcast((known.of, known.count, tree, p))
     scored = written(rows.select("row", "at", "doc_id", "held_out").transform(
-        in_tasks, _scorer(known, tree, p), "row long, doc_id long, held_out boolean, n_tokens long, "
-                                           "known long, logs double, model double"), "lm-scored")
+        in_tasks, _scorer(shared), "row long, doc_id long, held_out boolean, n_tokens long, "
+                                   "known long, logs double, model double"), "lm-scored")
+    shared.destroy()
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "row", F.col("x.rare").alias("token"), F.col("x.times").alias("times"))
     met = rare.join(counts, "token").groupBy("row").agg(

@@ -2,6 +2,7 @@
 
 import base64
 import math
+import os
 import random
 
 import numpy as np
@@ -262,6 +263,21 @@ def test_scores_match_a_plain_second_computation(spark, texts, monkeypatch):
         assert math.isclose(got[doc], total / math.log(10), rel_tol=1e-4, abs_tol=1e-3)
 
 
+def test_parameters_leave_the_disk_when_their_round_is_over(spark):
+    def held():
+        folder = spark.sparkContext._temp_dir
+        return sum(e.stat().st_size for e in os.scandir(folder) if e.is_file())
+
+    words = [f"word{i:05d}" for i in range(20_000)]
+    frame = spark.createDataFrame([(i, " ".join(words[i::20])) for i in range(20)] * 2,
+                                  "doc_id long, text string")
+    before = held()
+    got = lm_scoring.score(frame, steps=5).collect()
+    assert len(got) == 40 and all(r.n_tokens == 1001 for r in got)
+    # two vectors of 25 single precision numbers for each trained word are over three megabytes
+    assert held() - before < 1_000_000
+
+
 def test_lm_edge_cases(spark):
     rows = [(1, None), (2, ""), (None, "A b"), (3, "a\x0bB\x1fc"), (3, "a\x0bB\x1fc")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
