@@ -54,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.llm.hashing import BLOCK, cuts
-from fraudmart.llm.shared import documents_view, in_tasks, written
+from fraudmart.llm.shared import documents_view, in_tasks, kept, written
 
 FOLDS, HELD_OUT = 7, 2
 HEAD_CLASSES, TAIL_CLASSES = 72, 54
@@ -159,6 +159,7 @@ class Classes:
         return np.concatenate([*parts, np.array([self.end], np.int32)]), rarer
 
 
+@kept
 @lru_cache(maxsize=2)
 def _classes(key: tuple) -> Classes:
     words, counts, end = key

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.llm import spm
-from fraudmart.llm.shared import documents_view, in_tasks
+from fraudmart.llm.shared import documents_view, in_tasks, kept
 from fraudmart.llm.token_counts import read_model
 
 
@@ -130,6 +130,7 @@ class Codec:
         return text[1:] if self.model.add_dummy_prefix and text[:1] == " " else text
 
 
+@kept
 @lru_cache(maxsize=2)
 def codec(data: bytes) -> Codec:
     return Codec(data)

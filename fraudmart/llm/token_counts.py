@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fraudmart.llm import spm
-from fraudmart.llm.shared import documents_view, in_tasks, row_key
+from fraudmart.llm.shared import documents_view, in_tasks, kept, row_key
 
 UNKNOWN_PENALTY = 10.0
 
@@ -103,6 +103,7 @@ class Counter:
         return tokens, total
 
 
+@kept
 @lru_cache(maxsize=2)
 def counter(data: bytes) -> Counter:
     return Counter(data)

@@ -4,11 +4,13 @@ import random
 
 import duckdb
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from fraudmart.llm import (chat, decontam, exact_dedup, language_id, lm_scoring, queries,
                            sentencepiece_codec, token_counts)
+from fraudmart.llm.shared import in_tasks
 from tools.oracle_check import bag
 
 LONG = "one long line of words that goes on " * 120_000   # over four million characters
@@ -82,6 +84,22 @@ def test_clashing_columns_change_nothing(spark, run, clashing):
     assert sorted(map(str, plain.collect())) == sorted(map(str, named.collect()))
 
 
+def test_a_worker_keeps_nothing_for_another_operator(spark):
+    """Spark hands its Python workers on: neither codecs nor their caches go along."""
+    def kept(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sentencepiece_codec.codec.cache_info().currsize
+                           + token_counts.counter.cache_info().currsize])], names=["n"])
+
+    docs = spark.createDataFrame([(i, f"a text of some words {i}") for i in range(40)],
+                                 "doc_id long, text string").repartition(4)
+    for _ in range(2):
+        assert sum(r.n_tokens for r in sentencepiece_codec.encode(docs).collect()) > 0
+        assert sum(r.n_tokens for r in token_counts.token_counts(docs).collect()) > 0
+    assert {r.n for r in in_tasks(docs, kept, "n long").collect()} == {0}
+
+
 def test_the_language_stage_rejects(spark):
     """Texts without letters go, and those that fit no language, whatever they declare."""
     rnd = random.Random(4)
