@@ -3,7 +3,8 @@
 The model's protobuf is parsed (``spm``) and rebuilt as a tokenizer: normaliser
 (character map, white space, prefix), metaspace marker, scores (unigram) or
 merges in score order (merging models), and byte fallback. Segments of a batch
-that were not seen before are encoded in one multithreaded call.
+that were not seen before are encoded in one call, on the task's own thread: a thread
+that the library starts for a call keeps memory until its worker ends.
 
 Parity: each new segment is also encoded by the ``sentencepiece`` library. The ids
 are always those of the rebuilt tokenizer; the document's ``n_differing`` counts
@@ -18,6 +19,7 @@ empty table, empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import os
 from array import array
 from functools import lru_cache
 from itertools import accumulate, chain
@@ -150,11 +152,15 @@ def _pieces(batch, size: int = 1 << 20):
         yield at, texts
 
 
-def encode(docs: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame:
-    """Per document ``doc_id, n_tokens, ids, round_trip, n_differing``."""
-    data = read_model(model_path)
+def _one_thread() -> None:
+    """The ``tokenizers`` library reads this at each call: as many threads as the machine has
+    cores otherwise, in each of its workers."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
 
+def _encoder(data: bytes):
     def run(batches):
+        _one_thread()
         c = codec(data)
         for b in batches:
             for at, texts in _pieces(b):
@@ -168,9 +174,13 @@ def encode(docs: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame:
                      pa.array([g[1] for g in got], pa.bool_()),
                      pa.array([g[2] for g in got], pa.int64())],
                     names=["doc_id", "n_tokens", "ids", "round_trip", "n_differing"])
+    return run
 
+
+def encode(docs: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame:
+    """Per document ``doc_id, n_tokens, ids, round_trip, n_differing``."""
     return documents_view(docs).transform(in_tasks,
-        run, "doc_id long, n_tokens long, ids array<int>, round_trip boolean, n_differing long")
+        _encoder(read_model(model_path)), "doc_id long, n_tokens long, ids array<int>, round_trip boolean, n_differing long")
 
 
 def decode(encoded: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame:
@@ -178,6 +188,7 @@ def decode(encoded: DataFrame, model_path: str = spm.DEFAULT_MODEL) -> DataFrame
     data = read_model(model_path)
 
     def run(batches):
+        _one_thread()
         c = codec(data)
         for b in batches:
             texts = [c.decode([i for i in ids or () if i is not None])

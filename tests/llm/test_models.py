@@ -4,6 +4,8 @@ import base64
 import math
 import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -383,6 +385,24 @@ def test_codec_equals_the_library_on_whole_texts(spark, texts, data):
             assert c.decode(ids) == t
 
 
+def test_encoding_starts_no_threads_in_a_worker():
+    code = """if True:
+        import os
+        import pyarrow as pa
+        from fraudmart.llm import sentencepiece_codec as s, spm
+        from fraudmart.llm.token_counts import read_model
+        s.codec(read_model(spm.DEFAULT_MODEL))
+        frame = pa.RecordBatch.from_arrays([pa.array(range(64)), pa.array(
+            [f"some words {i} of text{i}" for i in range(64)])], names=["doc_id", "text"])
+        threads = len(os.listdir("/proc/self/task"))
+        assert sum(b.num_rows for b in s._encoder(read_model(spm.DEFAULT_MODEL))([frame])) == 64
+        print(len(os.listdir("/proc/self/task")) - threads)"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
+                          cwd=os.path.dirname(os.path.dirname(os.path.dirname(__file__))))
+    assert done.stdout.strip() == "0", done.stderr
+
+
 def test_ids_are_those_of_the_rebuilt_tokenizer(data):
     """Where the libraries differ, the difference is counted and not put in its place."""
     c = sentencepiece_codec.Codec(data)
