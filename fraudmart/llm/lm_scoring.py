@@ -20,7 +20,7 @@ with a vector, and a bias; it is trained by noise-contrastive estimation (noise:
 frequencies) and normalised by a softmax. The first model gives the start; the
 tasks of a round train copies, whose rows are averaged in Spark by how often each
 was trained. Texts are split once, into a table of head indices that trigrams, training
-and scoring read; training rows are dealt to tasks, and ordered in them, by a hash of
+and scoring read; training rows are dealt out, and ordered, by a hash of
 their text, so the scores belong to the rows and not to how they were partitioned. A rarer word has its add-one share of its class's rarer words, of
 which a share is reserved for words that training did not have: probabilities of
 all words sum to one.
@@ -49,7 +49,6 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,8 +63,8 @@ END, START = CLASSES - 2, CLASSES - 1
 END_TOKEN = ""
 HEAD_WORDS = 200_000
 DIMENSIONS, STEPS, BATCH, NOISE, SEED = 24, 1500, 1024, 20, 7
-#: words of a group; rounds over disjoint parts of the training rows; tokens that a task
-#: trains on in all rounds; noise words that the contexts of a batch share; learning rate
+#: words of a group; rounds over disjoint parts of the training rows; tokens that a copy of
+#: the parameters is trained on in all rounds; noise words that the contexts of a batch share; learning rate
 GROUP, ROUNDS, TASK_TOKENS, SHARED, RATE = 64, 2, 16_000_000, 32, .1
 #: tokens that a task trains on, and scores, at a time
 WINDOW, SCORE_WINDOW = 1 << 16, 1 << 17
@@ -220,6 +219,23 @@ def windows(batch: pa.RecordBatch, column: int, size: int):
         lo = hi
 
 
+def dealt_windows(batches, size: int):
+    """Rows ``dealer, dealt_by, at``, sorted, in runs of about ``size`` tokens of one dealer,
+    whatever batches they come in: dealer, tokens, sizes."""
+    me, parts, sizes, held = None, [], [], 0
+    for batch in batches:
+        dealers, lists = batch.column(0).to_pylist(), batch.column(2)
+        cut, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+        for i, (dealer, n) in enumerate(zip(dealers, np.diff(cut).tolist())):
+            if sizes and (dealer != me or held + n > size):
+                yield me, np.concatenate(parts), np.array(sizes)
+                parts, sizes, held = [], [], 0
+            me, held = dealer, held + n
+            parts.append(flat[cut[i]:cut[i + 1]]), sizes.append(n)
+    if sizes:
+        yield me, np.concatenate(parts), np.array(sizes)
+
+
 def before(units: np.ndarray, size: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
     """The two units before each token of its text (``none``: there is none)."""
     a, b = np.empty_like(units), np.empty_like(units)
@@ -528,37 +544,44 @@ def _average(row, n, v) -> pa.RecordBatch:
         names=["row", "n", "v"])
 
 
+def _copy(dealer: int, task: Training):
+    """The rows of a dealer's parameters that it trained."""
+    for at in range(0, len(task.p), 20_000):
+        rows = at + np.flatnonzero(task.times[at:at + 20_000])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows, pa.int64()), pa.array(np.full(len(rows), dealer), pa.int32()),
+             pa.array(task.times[rows], pa.int64()), _vectors(task.p[rows])],
+            names=["row", "task", "n", "v"])
+
+
 def train_words(train: DataFrame, known: Classes, tree: Tree, start: np.ndarray, n: int,
                 rounds: int = ROUNDS) -> tuple[np.ndarray, int]:
     """Parameters after all training rows, and how many tokens they were trained on.
 
-    Rounds train on disjoint parts of the rows; the tasks' rows are averaged in Spark.
+    Rounds train on disjoint parts of the rows; dealers' rows are averaged in Spark.
     Parameters lie on the machines' disks while their round lasts, no longer."""
     p, trained = start, 0
-    tasks = max(1, -(-n // TASK_TOKENS))
+    dealers = max(1, -(-n // TASK_TOKENS))
     for k in range(rounds):
         shared = train.sparkSession.sparkContext.broadcast((known.of, tree, p))
 
         def run(batches, shared=shared, k=k):
             one_thread()
-            task, (of, tree, p) = None, shared.value
-            for batch in batches:
-                for _, _, at, size in windows(batch, 1, WINDOW):
-                    if task is None:
-                        task = Training(tree, p, SEED + k * 1_000_003
-                                        + TaskContext.get().partitionId(), RATE / (k + 1))
-                    task.window(tree.rows(of, at, size))
+            task, me, (of, tree, p) = None, None, shared.value
+            for dealer, at, size in dealt_windows(batches, WINDOW):
+                if dealer != me:
+                    if task is not None:
+                        yield from _copy(me, task)
+                    task, me = Training(tree, p, SEED + k * 1_000_003 + dealer, RATE / (k + 1)), dealer
+                task.window(tree.rows(of, at, size))
             if task is not None:
-                me = TaskContext.get().partitionId()
-                for at in range(0, len(p), 20_000):
-                    rows = at + np.flatnonzero(task.times[at:at + 20_000])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(rows, pa.int64()), pa.array(np.full(len(rows), me), pa.int32()),
-                         pa.array(task.times[rows], pa.int64()), _vectors(task.p[rows])],
-                        names=["row", "task", "n", "v"])
-
-        part = train.where(F.pmod("dealt_by", F.lit(rounds)) == k).select("dealt_by", "at")
-        dealt = part.repartition(tasks, "dealt_by").sortWithinPartitions("dealt_by")
+                yield from _copy(me, task)
+
+        # a dealer's copy of the parameters belongs to its rows: how many copies there are follows
+        # the tokens, not the partitions
+        dealer = F.pmod(F.hash("dealt_by"), F.lit(dealers)).alias("dealer")
+        part = train.where(F.pmod("dealt_by", F.lit(rounds)) == k).select(dealer, "dealt_by", "at")
+        dealt = part.repartition(4 * dealers, "dealer").sortWithinPartitions("dealer", "dealt_by")
         copies = dealt.transform(in_tasks, run, "row long, task int, n long, v array<float>")
         moved = (copies.repartition("row").sortWithinPartitions("row", "task")
                  .transform(in_tasks, _averaged, "row long, n long, v array<float>").toArrow())
@@ -586,40 +609,44 @@ class Scores:
     @staticmethod
     def _total(s: np.ndarray) -> np.ndarray:
         """Logarithm of the sum of the exponentials of each row."""
-        with np.errstate(over="ignore"):
-            e = np.exp(s).sum(axis=1)
-        if not (np.isfinite(e) & (e > 1e-30)).all():
+        e = np.exp(s).sum(axis=1)
+        if not (e.min() > 1e-30 and e.max() < np.inf):
             top = s.max(axis=1)
             return top + np.log(np.exp(s - top[:, None]).sum(axis=1))
         return np.log(e)
 
-    def _of(self, h, q, target):
-        s = h @ q.T
-        return s[np.arange(len(s)), target] - self._total(s)
-
     def __call__(self, a, b, cls, group, row) -> np.ndarray:
         t = self.tree
-        # the sum over the classes belongs to the context: once for each one of the window
         pair, which = np.unique(a * t.units + b, return_inverse=True)
-        contexts = self.left[pair // t.units] + self.right[pair % t.units]
-        total = np.empty(len(pair))
-        for at in range(0, len(pair), 2048):
-            total[at:at + 2048] = self._total(contexts[at:at + 2048] @ self.q.T)
-        h = contexts[which]
-        out = np.einsum("ij,ij->i", h, self.q[cls]) - total[which]
-        # the same of groups in their class, and of words in their group
-        for base, first, which, target in (
-                (t.groups_at, t.first_group, cls - HEAD_CLASSES, group),
-                (t.words_at, t.first_word, group, row)):
-            some = np.flatnonzero(target >= 0)
-            some = some[np.argsort(which[some], kind="stable")]
-            sets, starts = np.unique(which[some], return_index=True)
-            hs, at = h[some], target[some]
-            lp = np.empty(len(some))
-            for k, lo, hi in zip(sets.tolist(), starts.tolist(), [*starts[1:].tolist(), len(some)]):
-                lp[lo:hi] = self._of(hs[lo:hi], self.p[base + first[k]:base + first[k + 1]],
-                                     at[lo:hi] - first[k])
-            out[some] += lp
+        contexts = self.left[pair // t.units]
+        contexts += self.right[pair % t.units]
+        out = np.empty(len(which))
+        with np.errstate(over="ignore"):
+            # the sum over the classes belongs to the context: once for each one of the window
+            total = np.empty(len(pair))
+            for at in range(0, len(pair), 2048):
+                total[at:at + 2048] = self._total(contexts[at:at + 2048] @ self.q.T)
+            for at in range(0, len(which), 16384):
+                part = slice(at, at + 16384)
+                out[part] = np.einsum("ij,ij->i", contexts[which[part]], self.q[cls[part]])
+            out -= total[which]
+            # the same of groups in their class, and of words in their group
+            for base, first, over, target in (
+                    (t.groups_at, t.first_group, cls - HEAD_CLASSES, group),
+                    (t.words_at, t.first_word, group, row)):
+                some = np.flatnonzero(target >= 0)
+                some = some[np.argsort(over[some], kind="stable")]
+                sets, starts = np.unique(over[some], return_index=True)
+                at, h = target[some], which[some]
+                lp = np.empty(len(some))
+                for k, lo, hi in zip(sets.tolist(), starts.tolist(),
+                                     [*starts[1:].tolist(), len(some)]):
+                    s = contexts[h[lo:hi]] @ self.p[base + first[k]:base + first[k + 1]].T
+                    own = np.arange(0, s.size, s.shape[1])
+                    own += at[lo:hi]
+                    own -= first[k]
+                    lp[lo:hi] = s.ravel()[own] - self._total(s)
+                out[some] += lp
         return out / math.log(10)
 
 

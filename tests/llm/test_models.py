@@ -210,6 +210,36 @@ def test_scores_belong_to_the_rows_not_to_their_partitions(spark, texts):
     assert all(math.isclose(a, b, rel_tol=1e-5) for (_, a), (_, b) in zip(few, many))
 
 
+def test_copies_of_parameters_follow_the_tokens_not_the_partitions(spark, texts, monkeypatch):
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    monkeypatch.setattr(lm_scoring, "TASK_TOKENS", 4_000)
+    original = type(frame).repartition
+
+    def run(least):
+        monkeypatch.setattr(type(frame), "repartition", lambda self, n, *c: original(
+            self, max(n, least) if c and isinstance(n, int) else n, *c))
+        return sorted((r.doc_id, r.score) for r in lm_scoring.score(frame, steps=20).collect())
+
+    few, many = run(1), run(40)
+    assert [d for d, _ in few] == [d for d, _ in many]
+    assert all(math.isclose(a, b, rel_tol=1e-5) for (_, a), (_, b) in zip(few, many))
+
+
+def test_windows_of_a_dealer_do_not_depend_on_batches():
+    rnd = np.random.default_rng(3)
+    dealer, size = np.repeat([2, 5], [30, 11]), rnd.integers(1, 40, 41)
+    at = lm_scoring.pa.ListArray.from_arrays(np.cumsum([0, *size]).astype(np.int32),
+                                             np.arange(size.sum(), dtype=np.int32))
+    batch = lm_scoring.pa.RecordBatch.from_arrays(
+        [lm_scoring.pa.array(dealer, "int32"), lm_scoring.pa.array(range(41), "int64"), at],
+        names=["dealer", "dealt_by", "at"])
+    got = [[(d, a.tolist(), s.tolist()) for d, a, s in lm_scoring.dealt_windows(
+        [batch.slice(i, n) for i in range(0, 41, n)], 100)] for n in (41, 7)]
+    assert got[0] == got[1]
+    assert sum((a for _, a, _ in got[0]), []) == list(range(size.sum()))
+    assert all(sum(s) <= 100 for _, _, s in got[0]) and {d for d, *_ in got[0]} == {2, 5}
+
+
 def test_scores_match_a_plain_second_computation(spark, texts, monkeypatch):
     """Softmax by softmax, token by token, from the trained parameters."""
     kept = {}
