@@ -43,16 +43,16 @@ from __future__ import annotations
 import ctypes
 import math
 import os
-from collections import Counter
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.hashing import BLOCK, cuts
+from fraudmart.llm.hashing import cuts
 from fraudmart.llm.shared import documents_view, in_tasks, kept, written
 
 FOLDS, HELD_OUT = 7, 2
@@ -66,42 +66,65 @@ DIMENSIONS, STEPS, BATCH, NOISE, SEED = 24, 1500, 1024, 20, 7
 #: words of a group; rounds over disjoint parts of the training rows; tokens that a copy of
 #: the parameters is trained on in all rounds; noise words that the contexts of a batch share; learning rate
 GROUP, ROUNDS, TASK_TOKENS, SHARED, RATE = 64, 2, 16_000_000, 32, .1
-#: tokens that a task trains on, and scores, at a time
-WINDOW, SCORE_WINDOW = 1 << 16, 1 << 17
+#: tokens that a task trains on, and scores, at a time; bytes of text that it splits at a time
+WINDOW, SCORE_WINDOW, SLICE = 1 << 16, 1 << 17, 1 << 22
 
 
 def held_out(doc_id: Column, folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
-
-
 def tail_class(word: str | bytes) -> int:
     data = word.encode() if isinstance(word, str) else word
     return HEAD_CLASSES + crc32(data[-2:]) % TAIL_CLASSES
 
 
+def text_slices(texts: pa.Array):
+    """Rows of about ``SLICE`` bytes at a time: first row, end, texts. A longer text comes alone,
+    in blocks cut at white space."""
+    upto = np.cumsum([0, *pc.fill_null(pc.binary_length(texts), 0).to_pylist()])
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + SLICE, side="right")) - 1)
+        if upto[hi] - upto[lo] > SLICE:
+            blocks = pa.array(cuts(texts[lo].as_py().encode()), pa.binary())
+            yield lo, hi, blocks.cast(pa.string())
+        else:
+            yield lo, hi, texts.slice(lo, hi - lo)
+        lo = hi
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (lower-case A-Z, none of null), in order, and how many each has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    cut, words = np.asarray(lists.offsets), lists.values
+    some = pc.binary_length(words).to_numpy() > 0   # white space at an end leaves an empty one
+    if some.all():
+        return words, np.diff(cut)
+    return words.filter(pa.array(some)), np.diff(np.concatenate([[0], np.cumsum(some)])[cut])
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("token", use_threads=False).aggregate(
+        [("c", "sum")]).rename_columns({"c_sum": "c"})
+
+
 def token_table(docs: DataFrame, flush: int = 400_000) -> DataFrame:
     """``token, c`` of a frame with ``text``; each task counts before the shuffle."""
     def run(batches):
-        seen: Counter = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()).cast(pa.string()),
-                 pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
-
+        held, texts = [], 0
         for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update(tokens(t))
-                seen[END_TOKEN.encode()] += 1
-                if len(seen) > flush:
-                    yield out()
-                    seen.clear()
-        if seen:
-            yield out()
+            texts += b.num_rows
+            for _, _, part in text_slices(b.column(0)):
+                token, c = pc.value_counts(words_of(part)[0]).flatten()
+                held.append(pa.table({"token": token, "c": c}))
+                if sum(map(len, held)) > flush:
+                    held = [_summed(held)]
+                    if len(held[0]) > flush:
+                        yield from held.pop().to_batches()
+        end = pa.table({"token": pa.array([END_TOKEN]), "c": pa.array([texts], pa.int64())})
+        if texts:
+            yield from _summed([*held, end]).to_batches()
 
     return (docs.select("text").transform(in_tasks, run, "token string, c long")
             .groupBy("token").agg(F.sum("c").alias("c")))
@@ -135,27 +158,26 @@ class Classes:
 
     def __init__(self, head: dict[str, int], end_count: int):
         words = list(head)
-        self.index = {w.encode(): i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.string())
         self.of = np.array([i if i < HEAD_CLASSES else tail_class(w)
                             for i, w in enumerate(words)] + [END], dtype=np.int64)
         self.count = np.array([head[w] for w in words] + [end_count], dtype=np.int64)
         self.end = len(words)
 
-    def heads(self, text: str | None) -> tuple[np.ndarray, Counter]:
-        """Head indices of a text's tokens with the end (a rarer word: -1 - k in the k-th tail
-        class), and its rarer words."""
-        data, get = (text or "").encode(), self.index.get
-        parts, rarer = [], Counter()
-        for piece in [data] if len(data) <= BLOCK else cuts(data):
-            toks = piece.lower().split()
-            at = np.fromiter((get(t, -1) for t in toks), np.int32, len(toks))
-            rare = np.flatnonzero(at < 0)
-            if len(rare):
-                words = [toks[i] for i in rare.tolist()]
-                at[rare] = [HEAD_CLASSES - 1 - tail_class(w) for w in words]
-                rarer.update(words)
-            parts.append(at)
-        return np.concatenate([*parts, np.array([self.end], np.int32)]), rarer
+    @cached_property
+    def index(self) -> dict[bytes, int]:
+        return {w.encode(): i for i, w in enumerate(self.words.to_pylist())}
+
+    def heads(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
+        """Head indices of words (a rarer word: -1 - k in the k-th tail class), and the places of
+        the rarer ones with them."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy().copy()
+        places = np.flatnonzero(at < 0)
+        rarer = words.take(pa.array(places)).dictionary_encode()
+        tails = np.array([tail_class(w) for w in rarer.dictionary.to_pylist()], np.int32)
+        if len(places):
+            at[places] = HEAD_CLASSES - 1 - tails[rarer.indices.to_numpy()]
+        return at, places, rarer
 
 
 @kept
@@ -174,30 +196,29 @@ def token_rows(docs: DataFrame, key: tuple) -> DataFrame:
     each text and how often they occur: all that later steps read of a text."""
     def run(batches):
         known = _classes(key)
-
-        def out(b, lo, hi, ats, rares):
-            ends = pa.array(np.cumsum([0, *map(len, ats)]), pa.int32())
-            words = pa.array(np.cumsum([0, *map(len, rares)]), pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [*[b.column(i).slice(lo, hi - lo) for i in range(3)],
-                 pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ats))),
-                 pa.ListArray.from_arrays(words, pa.array(
-                     [w for c in rares for w in c], pa.binary()).cast(pa.string())),
-                 pa.ListArray.from_arrays(words, pa.array(
-                     [n for c in rares for n in c.values()], pa.int64()))],
-                names=["doc_id", "held_out", "dealt_by", "at", "rare", "times"])
-
         for b in batches:
-            texts, done, held, ats, rares = b.column(3), 0, 0, [], []
-            for i in range(b.num_rows):
-                at, rarer = known.heads(texts[i].as_py())
-                ats.append(at), rares.append(rarer)
-                held += len(at)
-                if held > SCORE_WINDOW:
-                    yield out(b, done, i + 1, ats, rares)
-                    done, held, ats, rares = i + 1, 0, [], []
-            if ats:
-                yield out(b, done, b.num_rows, ats, rares)
+            for lo, hi, texts in text_slices(b.column(3)):
+                words, size = words_of(texts)
+                if len(texts) != hi - lo:   # blocks of one text
+                    size = size.sum(keepdims=True)
+                at, places, rarer = known.heads(words)
+                ends = np.cumsum(size + 1)
+                units = np.full(ends[-1], known.end, np.int32)
+                inside = np.ones(len(units), dtype=bool)
+                inside[ends - 1] = False
+                units[inside] = at
+                n = max(len(rarer.dictionary), 1)
+                text = np.searchsorted(np.cumsum(size), places, side="right")
+                pair, times = np.unique(text * n + rarer.indices.to_numpy(), return_counts=True)
+                cut = pa.array(np.searchsorted(pair, np.arange(hi - lo + 1) * n), pa.int32())
+                out = pa.RecordBatch.from_arrays(
+                    [*[b.column(i).slice(lo, hi - lo) for i in range(3)],
+                     pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(units)),
+                     pa.ListArray.from_arrays(cut, rarer.dictionary.take(pa.array(pair % n))),
+                     pa.ListArray.from_arrays(cut, pa.array(times, pa.int64()))],
+                    names=["doc_id", "held_out", "dealt_by", "at", "rare", "times"])
+                for first, end, _, _ in windows(out, 3, SCORE_WINDOW):
+                    yield out.slice(first, end - first)
 
     return docs.select("doc_id", "held_out", F.xxhash64("text").alias("dealt_by"), "text").transform(
         in_tasks, run, TOKEN_ROWS)
@@ -409,14 +430,6 @@ class Tree:
         return a, b, cls, group, np.where(rare, -1, self.row[head])
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x *= np.float32(.5)
-    np.tanh(x, out=x)
-    x += 1
-    x *= np.float32(.5)
-    return x
-
-
 @lru_cache(maxsize=1)
 def one_thread() -> None:
     """Tasks share their machine: matrix products of this process stay on one core (where
@@ -445,113 +458,166 @@ class Training:
         self.mass = {at: (np.log(NOISE * m / m.sum()).astype(np.float32), np.cumsum(m / m.sum()))
                      for at, m in ((tree.groups_at, tree.group_mass), (tree.words_at, tree.word_mass))
                      if len(m)}
-
-    def _add(self, rows: np.ndarray, g: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
-        s = rows[order]
-        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        rows = s[first]
-        self._step(rows, np.add.reduceat(g[order], first, axis=0))
-        self.times[rows] += np.diff(np.append(first, len(s)))
-
-    def _step(self, rows, g: np.ndarray) -> None:
+        self.place = np.zeros(len(start), dtype=np.int32)
+        # whole rows as single values: they are put back much faster than by two dimensions
+        self.whole = self.p.view(f"V{self.p.strides[0]}").ravel()
+        most, d = 4 * BATCH + 2 * SHARED, self.p.shape[1]
+        self.rows, self.grads = np.empty(most, dtype=np.int64), np.empty((most, d), dtype=np.float32)
+        self.every, self.cells = np.arange(most), np.arange(most * d).reshape(most, d)
+
+    def _add(self, n: int) -> None:
+        """Adds up the first ``n`` gradients by row, then steps."""
+        rows, every, place, d = self.rows[:n], self.every[:n], self.place, self.p.shape[1]
+        place[rows] = every
+        first = rows[place.take(rows) == every]   # each row once
+        place[first] = every[:len(first)]
+        which = place.take(rows)
+        total = np.bincount(self.cells.take(which, axis=0).ravel(), self.grads[:n].ravel(),
+                            len(first) * d).astype(np.float32).reshape(-1, d)
+        self._scale(first, total)
+        total += self.p.take(first, axis=0)
+        self.whole[first] = total.view(self.whole.dtype).ravel()
+        self.times[first] += np.bincount(which, minlength=len(first))
+
+    def _scale(self, rows, g: np.ndarray) -> None:
         acc = self.seen[rows] + np.einsum("ij,ij->i", g, g) / g.shape[1]
         self.seen[rows] = acc
         g *= (self.rate / np.sqrt(acc))[:, None]
+
+    def _step(self, rows: slice, g: np.ndarray) -> None:
+        self._scale(rows, g)
         self.p[rows] += g
 
-    def _told(self, h: np.ndarray, at: int, target: np.ndarray):
-        """Targets told from noise that the batch shares: the gradients of the contexts, and
-        rows of parameters with theirs."""
-        offset, upto = self.mass[at]
-        noise = np.searchsorted(upto, self.rnd.random(SHARED)).clip(max=len(upto) - 1)
-        qt, qn = self.p[at + target], self.p[at + noise]
-        real = (1 - _sigmoid(np.einsum("ij,ij->i", h, qt) - offset[target]))[:, None]
-        false = _sigmoid(h @ qn.T - offset[noise])
-        false *= -np.float32(NOISE / SHARED)
+    # a sigmoid is (1 + tanh(x / 2)) / 2: halves and offsets go into the smaller factor of a product
+
+    def _told(self, h: np.ndarray, at: int, target: np.ndarray, noise: np.ndarray, out: slice):
+        """Targets told from noise that the batch shares: the gradients of the contexts. Rows of
+        parameters and their gradients go to ``out``."""
+        offset, n = self.mass[at][0], len(target)
+        rows, grads = self.rows[out], self.grads[out]
+        np.add(target, at, out=rows[:n])
+        np.add(noise, at, out=rows[n:])
+        qt, qn = self.p.take(rows[:n], axis=0), self.p.take(rows[n:], axis=0)
+        real = np.einsum("ij,ij->i", h, qt)
+        real -= offset.take(target)
+        real = (.5 - .5 * np.tanh(.5 * real))[:, None]
+        half = .5 * qn
+        half[:, -1] -= .5 * offset.take(noise)
+        false = np.tanh(h @ half.T)
+        false += 1
+        false *= -np.float32(.5 * NOISE / SHARED)
+        np.multiply(real, h, out=grads[:n])
+        np.matmul(false.T, h, out=grads[n:])
         qt *= real
         qt += false @ qn
-        return qt, np.concatenate([at + target, at + noise]), np.concatenate([real * h, false.T @ h])
+        return qt
 
-    def batch(self, a, b, cls, group, row) -> None:
-        """A vector's last entry is its bias; that of a context is one."""
+    def batch(self, a, b, cls, told) -> None:
+        """A vector's last entry is its bias; that of a context is one. ``told``: of groups and
+        words, where their rows begin, the targets of the first tokens, noise."""
         t, d = self.tree, self.p.shape[1] - 1
+        n = len(cls)
+        units = self.rows[:2 * n]
+        units[:n], units[n:] = a, b
         c = np.zeros((2, d + 1, d + 1), dtype=np.float32)
         c[:, :d] = self.p[t.matrices_at:].reshape(2, d, d + 1)
-        ra, rb = self.p[a], self.p[b]
+        r = self.p.take(units, axis=0)
+        ra, rb = r[:n], r[n:]
         h = ra @ c[0]
         h += rb @ c[1]
         h[:, d] = 1
         q = self.p[t.classes_at:t.matrices_at]
-        at = np.arange(len(cls))
-        g = _sigmoid(h @ q.T - self.offset)
-        real = 1 - g[at, cls]
-        g *= -self.noise
-        g[at, cls] += real
-        gh, gq = g @ q, g.T @ h
-        told = []
-        for start, target in ((t.groups_at, group), (t.words_at, row)):
-            some = np.flatnonzero(target >= 0)
-            if len(some):
-                g, *more = self._told(h[some], start, target[some])
-                gh[some] += g
-                told.append(more)
+        half = .5 * q
+        half[:, d] -= .5 * self.offset
+        g = h @ half.T
+        np.tanh(g, out=g)
+        # the gradient of a score is -noise * (1 + tanh) / 2, of the target's besides what is
+        # missing to one; the factor of the class goes into the products below
+        share, own = -.5 * self.noise, np.arange(n) * g.shape[1] + cls
+        flat = g.ravel()
+        real = .5 - .5 * flat.take(own)
+        g += 1
+        flat[own] += real / share.take(cls)
+        gh, gq = g @ (q * share[:, None]), (g.T @ h) * share[:, None]
+        upto = 2 * n
+        for at, target, noise in told:
+            m, k = len(target), upto + len(target) + len(noise)
+            gh[:m] += self._told(h[:m], at, target, noise, slice(upto, k))
+            upto = k
         gh[:, d] = 0
         gc = np.concatenate([ra[:, :d].T @ gh, rb[:, :d].T @ gh])
-        told.append([np.concatenate([a, b]), np.concatenate([gh @ c[0].T, gh @ c[1].T])])
-        self._add(*(np.concatenate(x) for x in zip(*told)))
+        np.matmul(gh, c[0].T, out=self.grads[:n])
+        np.matmul(gh, c[1].T, out=self.grads[n:2 * n])
+        self._add(upto)
         self._step(slice(t.classes_at, t.matrices_at), gq)
         self._step(slice(t.matrices_at, None), gc)
-        self.times[t.classes_at:] += len(cls)
+        self.times[t.classes_at:] += n
 
     def window(self, rows) -> None:
-        order = self.rnd.permutation(len(rows[0]))
-        for at in range(0, len(order), BATCH):
-            self.batch(*[x[order[at:at + BATCH]] for x in rows])
+        a, b, cls, *targets = rows
+        n, starts = len(a), (self.tree.groups_at, self.tree.words_at)
+        order, part = self.rnd.permutation(n), np.arange(n) // BATCH
+        # of a batch, tokens with a word come first, then those with a group only
+        has = [x[order] >= 0 for x in targets]
+        sizes = np.array([np.bincount(part, x) for x in has], dtype=np.int64).T
+        order = order[np.argsort(3 * part - has[0] - has[1], kind="stable")]
+        a, b, cls, *targets = (x[order] for x in rows)
+        drawn = np.zeros((*sizes.shape, SHARED))
+        drawn[sizes > 0] = self.rnd.random((np.count_nonzero(sizes), SHARED))
+        noise = [np.searchsorted(upto, drawn[:, i]).clip(max=len(upto) - 1)
+                 for i, upto in ((i, self.mass[x][1]) for i, x in enumerate(starts) if x in self.mass)]
+        for k, at in enumerate(range(0, n, BATCH)):
+            own = slice(at, at + BATCH)
+            self.batch(a[own], b[own], cls[own],
+                       [(starts[i], targets[i][at:at + m], noise[i][k])
+                        for i, m in enumerate(sizes[k].tolist()) if m])
+
+
+#: rows of parameters that travel as one: rows, how often each was trained, vectors
+COPIES, COPY_ROWS = "block int, task int, row binary, n binary, v binary", 2048
+
+
+def _block(block: int, task: int, rows: np.ndarray, n: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    data = [pa.array([x.tobytes()], pa.binary()) for x in (
+        rows.astype(np.int64), n.astype(np.int64), v.astype(np.float32))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block], pa.int32()), pa.array([task], pa.int32()), *data],
+        names=["block", "task", "row", "n", "v"])
 
 
-def _vectors(rows: np.ndarray) -> pa.ListArray:
-    ends = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows.ravel(), pa.float32()))
+def _rows(row: bytes, n: bytes, v: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows = np.frombuffer(row, np.int64)
+    return rows, np.frombuffer(n, np.int64), np.frombuffer(v, np.float32).reshape(len(rows), -1)
 
 
-def _matrix(vectors: pa.ListArray) -> np.ndarray:
-    return vectors.flatten().to_numpy().reshape(len(vectors), -1)
+def _copy(dealer: int, task: Training):
+    """The rows of a dealer's parameters that it trained."""
+    for k, at in enumerate(range(0, len(task.p), COPY_ROWS)):
+        rows = at + np.flatnonzero(task.times[at:at + COPY_ROWS])
+        if len(rows):
+            yield _block(k, dealer, rows, task.times[rows], task.p[rows])
 
 
 def _averaged(batches):
-    """Copies of rows, sorted by row -> each row's average, weighted by ``n``."""
-    held = None   # row, n and weighted sum of the last row so far: the next batch may go on
-    for b in batches:
-        if not b.num_rows:
-            continue
-        row, n = b.column(0).to_numpy(), b.column(2).to_numpy()
-        v = _matrix(b.column(3)).astype(np.float64) * n[:, None]
-        if held is not None:
-            row, n, v = (np.concatenate(x) for x in zip(held, (row, n, v)))
-        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-        row, n, v = row[first], np.add.reduceat(n, first), np.add.reduceat(v, first, axis=0)
-        held = row[-1:], n[-1:], v[-1:]
-        if len(row) > 1:
-            yield _average(row[:-1], n[:-1], v[:-1])
-    if held is not None:
-        yield _average(*held)
-
-
-def _average(row, n, v) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(row), pa.array(n), _vectors((v / n[:, None]).astype(np.float32))],
-        names=["row", "n", "v"])
+    """Copies of blocks, sorted by block and task -> each row's average, weighted by ``n``."""
+    me, n, v = None, None, None
 
+    def out():
+        some = np.flatnonzero(n)
+        return _block(me, -1, me * COPY_ROWS + some, n[some], v[some] / n[some, None])
 
-def _copy(dealer: int, task: Training):
-    """The rows of a dealer's parameters that it trained."""
-    for at in range(0, len(task.p), 20_000):
-        rows = at + np.flatnonzero(task.times[at:at + 20_000])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(np.full(len(rows), dealer), pa.int32()),
-             pa.array(task.times[rows], pa.int64()), _vectors(task.p[rows])],
-            names=["row", "task", "n", "v"])
+    for b in batches:
+        for k, *copy in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4))):
+            rows, times, vectors = _rows(*copy)
+            if k != me:
+                if me is not None:
+                    yield out()
+                me, n, v = k, np.zeros(COPY_ROWS, np.int64), np.zeros((COPY_ROWS, vectors.shape[1]))
+            rows = rows - k * COPY_ROWS
+            n[rows] += times
+            v[rows] += vectors.astype(np.float64) * times[:, None]
+    if me is not None:
+        yield out()
 
 
 def train_words(train: DataFrame, known: Classes, tree: Tree, start: np.ndarray, n: int,
@@ -582,15 +648,15 @@ def train_words(train: DataFrame, known: Classes, tree: Tree, start: np.ndarray,
         dealer = F.pmod(F.hash("dealt_by"), F.lit(dealers)).alias("dealer")
         part = train.where(F.pmod("dealt_by", F.lit(rounds)) == k).select(dealer, "dealt_by", "at")
         dealt = part.repartition(4 * dealers, "dealer").sortWithinPartitions("dealer", "dealt_by")
-        copies = dealt.transform(in_tasks, run, "row long, task int, n long, v array<float>")
-        moved = (copies.repartition("row").sortWithinPartitions("row", "task")
-                 .transform(in_tasks, _averaged, "row long, n long, v array<float>").toArrow())
+        copies = dealt.transform(in_tasks, run, COPIES)
+        moved = (copies.repartition("block").sortWithinPartitions("block", "task")
+                 .transform(in_tasks, _averaged, COPIES).select("row", "n", "v").toArrow())
         shared.destroy()
-        if moved.num_rows:
-            rows = moved.column("row").to_numpy()
-            p = p.copy()
-            p[rows] = np.concatenate([_matrix(c) for c in moved.column("v").chunks])
-            trained += int(moved.column("n").to_numpy()[rows == tree.classes_at].sum())
+        p = p.copy()
+        for copy in zip(*(c.to_pylist() for c in moved.columns)):
+            rows, times, vectors = _rows(*copy)
+            p[rows] = vectors
+            trained += int(times[rows == tree.classes_at].sum())
     return p, trained
 
 
@@ -609,7 +675,7 @@ class Scores:
     @staticmethod
     def _total(s: np.ndarray) -> np.ndarray:
         """Logarithm of the sum of the exponentials of each row."""
-        e = np.exp(s).sum(axis=1)
+        e = np.einsum("ij->i", np.exp(s))
         if not (e.min() > 1e-30 and e.max() < np.inf):
             top = s.max(axis=1)
             return top + np.log(np.exp(s - top[:, None]).sum(axis=1))
@@ -618,37 +684,47 @@ class Scores:
     def __call__(self, a, b, cls, group, row) -> np.ndarray:
         t = self.tree
         pair, which = np.unique(a * t.units + b, return_inverse=True)
-        contexts = self.left[pair // t.units]
-        contexts += self.right[pair % t.units]
+        contexts = self.left.take(pair // t.units, axis=0)
+        contexts += self.right.take(pair % t.units, axis=0)
         out = np.empty(len(which))
         with np.errstate(over="ignore"):
             # the sum over the classes belongs to the context: once for each one of the window
             total = np.empty(len(pair))
-            for at in range(0, len(pair), 2048):
-                total[at:at + 2048] = self._total(contexts[at:at + 2048] @ self.q.T)
-            for at in range(0, len(which), 16384):
-                part = slice(at, at + 16384)
-                out[part] = np.einsum("ij,ij->i", contexts[which[part]], self.q[cls[part]])
+            for at in range(0, len(pair), 512):
+                total[at:at + 512] = self._total(contexts[at:at + 512] @ self.q.T)
+            for at in range(0, len(which), 4096):
+                part = slice(at, at + 4096)
+                out[part] = np.einsum("ij,ij->i", contexts.take(which[part], axis=0),
+                                      self.q.take(cls[part], axis=0))
             out -= total[which]
             # the same of groups in their class, and of words in their group
-            for base, first, over, target in (
-                    (t.groups_at, t.first_group, cls - HEAD_CLASSES, group),
-                    (t.words_at, t.first_word, group, row)):
+            for base, first, target in ((t.groups_at, t.first_group, group),
+                                        (t.words_at, t.first_word, row)):
                 some = np.flatnonzero(target >= 0)
-                some = some[np.argsort(over[some], kind="stable")]
-                sets, starts = np.unique(over[some], return_index=True)
-                at, h = target[some], which[some]
-                lp = np.empty(len(some))
-                for k, lo, hi in zip(sets.tolist(), starts.tolist(),
-                                     [*starts[1:].tolist(), len(some)]):
-                    s = contexts[h[lo:hi]] @ self.p[base + first[k]:base + first[k + 1]].T
-                    own = np.arange(0, s.size, s.shape[1])
-                    own += at[lo:hi]
-                    own -= first[k]
-                    lp[lo:hi] = s.ravel()[own] - self._total(s)
-                out[some] += lp
+                # sorted by target, so by set; each target of a context once
+                once, of = np.unique(target[some] * len(pair) + which[some], return_inverse=True)
+                if len(some):
+                    out[some] += self._shares(contexts, base, first, *np.divmod(once, len(pair)))[of]
         return out / math.log(10)
 
+    def _shares(self, contexts, base: int, first, target, which) -> np.ndarray:
+        """Log shares of sorted targets, each in its set of rows, after its context."""
+        sets, starts = np.unique(np.searchsorted(first, target, side="right") - 1, return_index=True)
+        ends, wide = np.append(starts[1:], len(target)), first[sets + 1] - first[sets]
+        own = target - np.repeat(first[sets], ends - starts)
+        lp = np.empty(len(target))
+        # sets of one size that follow each other share their softmax
+        cut = np.flatnonzero(np.diff(wide) | np.diff(starts // 1024)) + 1
+        for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), len(sets)]):
+            at, end = starts[lo], ends[hi - 1]
+            h = contexts.take(which[at:end], axis=0)
+            s = np.empty((end - at, wide[lo]), dtype=h.dtype)
+            for k, x, y in zip((base + first[sets[lo:hi]]).tolist(), (starts[lo:hi] - at).tolist(),
+                               (ends[lo:hi] - at).tolist()):
+                np.matmul(h[x:y], self.p[k:k + s.shape[1]].T, out=s[x:y])
+            lp[at:end] = s[np.arange(end - at), own[at:end]] - self._total(s)
+        return lp
+
 
 def _scorer(shared):
     """Token rows ``row, at, doc_id, held_out`` -> tokens, those with a head word, their log10

@@ -240,6 +240,66 @@ def test_windows_of_a_dealer_do_not_depend_on_batches():
     assert all(sum(s) <= 100 for _, _, s in got[0]) and {d for d, *_ in got[0]} == {2, 5}
 
 
+def test_words_and_rows_are_taken_from_many_texts_at_once(spark, monkeypatch):
+    """White space at the ends, other control characters, blocks of a long text."""
+    rnd = random.Random(4)
+    gaps = [" ", "\t", "\n\n", "\x0b", "\x0c\r", "\x1c", "\x1f", "\x85", "\u00a0", "\u2003"]
+    rows = [(i, "".join(rnd.choice(["Ab", "c", "\u00c4D", "rare%d" % rnd.randrange(40)]) + rnd.choice(gaps)
+                        for _ in range(rnd.randrange(30)))) for i in range(300)]
+    rows += [(300, None), (301, ""), (302, " \t "), (303, "  Ab c \n"), (304, "c Ab  " * 500)]
+    monkeypatch.setattr(lm_scoring, "SLICE", 700)
+    monkeypatch.setattr("fraudmart.llm.hashing.BLOCK", 512)
+    want = {i: brute.words(t, True) for i, t in rows}
+    counts = {"": len(rows)}
+    for ws in want.values():
+        for w in ws:
+            counts[w.decode()] = counts.get(w.decode(), 0) + 1
+    head = dict(sorted(((w, n) for w, n in counts.items() if w), key=lambda x: (-x[1], x[0]))[:90])
+    known = lm_scoring.Classes(head, len(rows))
+    # in this process, where the sizes above hold
+    text = lm_scoring.pa.array([t for _, t in rows], lm_scoring.pa.string())
+    seen, done = {}, 0
+    for lo, hi, part in lm_scoring.text_slices(text):
+        assert lo == done and len(part) == hi - lo or hi == lo + 1
+        words, size = lm_scoring.words_of(part)
+        at, places, rarer = known.heads(words)
+        got = [w.encode() for w in words.to_pylist()]
+        assert got == sum((want[i] for i in range(lo, hi)), []) and size.sum() == len(got)
+        assert at.tolist() == [known.index.get(w, lm_scoring.HEAD_CLASSES - 1 - lm_scoring.tail_class(w))
+                               for w in got]
+        assert [got[i] for i in places] == [w.encode() for w in rarer.to_pylist()]
+        done = hi
+    assert done == len(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.token: r.c for r in lm_scoring.token_table(frame, flush=20).collect()} == counts
+    key = (tuple(head), tuple(head.values()), len(rows))
+    docs = frame.withColumn("held_out", lm_scoring.F.lit(False))
+    for r in lm_scoring.token_rows(docs, key).collect():
+        ws = want[r.doc_id]
+        assert r["at"][:-1] == [known.index.get(w, lm_scoring.HEAD_CLASSES - 1 - lm_scoring.tail_class(w))
+                                for w in ws] and r["at"][-1] == known.end
+        rare = [w.decode() for w in ws if w not in known.index]
+        assert dict(zip(r.rare, r.times)) == {w: rare.count(w) for w in rare}
+        assert len(r.rare) == len(set(rare))
+
+
+def test_copies_of_a_block_are_averaged_by_how_often_rows_were_trained():
+    d, rnd = 3, np.random.default_rng(2)
+    copies = {(b, t): (b * lm_scoring.COPY_ROWS + np.flatnonzero(rnd.random(50) < .5), t + 1)
+              for b in (0, 2) for t in range(3)}
+    batches = [lm_scoring._block(b, t, rows, np.full(len(rows), n), np.full((len(rows), d), float(t)))
+               for (b, t), (rows, n) in copies.items()]
+    got = {}
+    for out in lm_scoring._averaged(batches):
+        rows, n, v = lm_scoring._rows(*(out.column(i)[0].as_py() for i in (2, 3, 4)))
+        got.update({r: (c, x.tolist()) for r, c, x in zip(rows.tolist(), n.tolist(), v)})
+    for r in {int(x) for rows, _ in copies.values() for x in rows}:
+        met = [(t, n) for (_, t), (rows, n) in copies.items() if r in rows]
+        total = sum(n for _, n in met)
+        assert got.pop(r) == (total, pytest.approx([sum(t * n for t, n in met) / total] * d))
+    assert not got
+
+
 def test_scores_match_a_plain_second_computation(spark, texts, monkeypatch):
     """Softmax by softmax, token by token, from the trained parameters."""
     kept = {}
