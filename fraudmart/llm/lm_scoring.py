@@ -67,7 +67,7 @@ DIMENSIONS, STEPS, BATCH, NOISE, SEED = 24, 1500, 1024, 20, 7
 #: the parameters is trained on in all rounds; noise words that the contexts of a batch share; learning rate
 GROUP, ROUNDS, TASK_TOKENS, SHARED, RATE = 64, 2, 16_000_000, 32, .1
 #: tokens that a task trains on, and scores, at a time; bytes of text that it splits at a time
-WINDOW, SCORE_WINDOW, SLICE = 1 << 16, 1 << 17, 1 << 22
+WINDOW, SCORE_WINDOW, SLICE = 1 << 16, 1 << 19, 1 << 22
 
 
 def held_out(doc_id: Column, folds: int = FOLDS, fold: int = HELD_OUT) -> Column:
@@ -458,7 +458,7 @@ class Training:
         self.mass = {at: (np.log(NOISE * m / m.sum()).astype(np.float32), np.cumsum(m / m.sum()))
                      for at, m in ((tree.groups_at, tree.group_mass), (tree.words_at, tree.word_mass))
                      if len(m)}
-        self.place = np.zeros(len(start), dtype=np.int32)
+        self.place = np.zeros(len(start), dtype=np.int64)
         # whole rows as single values: they are put back much faster than by two dimensions
         self.whole = self.p.view(f"V{self.p.strides[0]}").ravel()
         most, d = 4 * BATCH + 2 * SHARED, self.p.shape[1]
